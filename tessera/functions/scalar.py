@@ -13,10 +13,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def to_timestamp_or_null(c, fmt: str | None = None) -> Column:
-    """Text -> timestamp, unparseable -> null (pandas ``errors='coerce'``)."""
+def to_timestamp_or_null(c, fmt: str | None = None, naive: bool = True) -> Column:
+    """Text -> timestamp, unparseable -> null (pandas ``errors='coerce'``).
+
+    ``naive`` (default) gives TIMESTAMP_NTZ, like pandas' naive datetimes, so
+    the value does not depend on the session time zone.
+    """
     c = _c(c)
-    return F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
+    if fmt:
+        ts = F.try_to_timestamp(c, F.lit(fmt))
+        return ts.cast("timestamp_ntz") if naive else ts
+    return c.try_cast("timestamp_ntz") if naive else F.try_to_timestamp(c)
 
 
 def to_number_or_null(c, dtype: str = "double") -> Column:

@@ -24,32 +24,50 @@ from tessera.operators.util import attach_row, cols_of
 
 # --- simple aggregates (G1-G6, G9-G11) ----------------------------------------
 
+def sum_expr(value: str, exact_scale: int | None = None) -> Column:
+    """Sum of a double column. ``exact_scale`` sums in DECIMAL(38, s) and casts
+    back: the result is then independent of partitioning and summation order
+    (a float sum is not), which keeps money totals reproducible at any scale."""
+    if exact_scale is None:
+        return F.sum(value)
+    return F.sum(F.col(value).cast(f"decimal(38,{exact_scale})")).cast("double")
+
+
+def mean_expr(value: str, exact_scale: int | None = None) -> Column:
+    """Mean ignoring nulls; with ``exact_scale``: exact decimal sum / count."""
+    if exact_scale is None:
+        return F.avg(value)
+    return sum_expr(value, exact_scale) / F.count(value).cast("double")
+
+
+def _drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
+
+
 def group_sum(df: DataFrame, key, value: str, alias: str = "total",
-              drop_null_keys: bool = True) -> DataFrame:
+              drop_null_keys: bool = True, exact_scale: int | None = None) -> DataFrame:
     """G1: sum per group; an all-null group sums to 0, null keys are dropped
     (pandas ``groupby().sum()``)."""
     keys = cols_of(key)
-    src = df
-    if drop_null_keys:
-        for k in keys:
-            src = src.where(F.col(k).isNotNull())
-    return src.groupBy(*keys).agg(F.coalesce(F.sum(value), F.lit(0.0)).alias(alias))
+    src = _drop_null_keys(df, keys) if drop_null_keys else df
+    return src.groupBy(*keys).agg(
+        F.coalesce(sum_expr(value, exact_scale), F.lit(0.0)).alias(alias))
 
 
-def mean_of(df: DataFrame, value: str, alias: str = "mean") -> DataFrame:
+def mean_of(df: DataFrame, value: str, alias: str = "mean",
+            exact_scale: int | None = None) -> DataFrame:
     """Overall mean (nulls ignored)."""
-    return df.agg(F.avg(value).alias(alias))
+    return df.agg(mean_expr(value, exact_scale).alias(alias))
 
 
 def group_mean(df: DataFrame, key, value: str, alias: str = "mean",
-               drop_null_keys: bool = True) -> DataFrame:
+               drop_null_keys: bool = True, exact_scale: int | None = None) -> DataFrame:
     """Mean per group."""
     keys = cols_of(key)
-    src = df
-    if drop_null_keys:
-        for k in keys:
-            src = src.where(F.col(k).isNotNull())
-    return src.groupBy(*keys).agg(F.avg(value).alias(alias))
+    src = _drop_null_keys(df, keys) if drop_null_keys else df
+    return src.groupBy(*keys).agg(mean_expr(value, exact_scale).alias(alias))
 
 
 def group_means(df: DataFrame, key: Column, key_alias: str, values: dict[str, str]) -> DataFrame:
@@ -245,10 +263,10 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def top_group(df: DataFrame, key: str, value: str, alias: str = "total", n: int = 1) -> DataFrame:
+def top_group(df: DataFrame, key: str, value: str, alias: str = "total", n: int = 1,
+              exact_scale: int | None = None) -> DataFrame:
     """O3: best group(s) by the sum of ``value``; ties broken by key."""
-    g = df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.coalesce(F.sum(value), F.lit(0.0)).alias(alias))
+    g = group_sum(df, key, value, alias, exact_scale=exact_scale)
     return g.orderBy(F.col(alias).desc(), F.col(key).asc()).limit(n)
 
 
@@ -257,3 +275,31 @@ __all__ = [
     "next_id", "distinct_values", "row_count", "exact_quantiles", "median_of",
     "describe_exact", "top_n", "top_group", "attach_row",
 ]
+
+
+def dense_index(df: DataFrame, cols: Sequence[str], alias: str = "idx",
+                ranges: int | None = None) -> DataFrame:
+    """Number the distinct rows of ``df[cols]`` 0..k-1 in ascending order.
+
+    Distributed: distinct rows are range-partitioned, each range is described
+    once (first row, row count; a tiny table of at most ``ranges`` rows), the
+    ranges get running offsets, and rows are numbered inside their own range
+    only. No window ever runs without a partition key over an unbounded set.
+    Ranges are recovered from their first row, so a recomputed partitioning
+    cannot disagree with the offsets.
+    """
+    cols = list(cols)
+    n_ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[F.col(c) for c in cols])
+    d = df.select(*cols).distinct().withColumn("_key", key)
+    rng = (d.repartitionByRange(n_ranges, "_key").withColumn("_pid", F.spark_partition_id())
+            .groupBy("_pid").agg(F.min("_key").alias("_lo"), F.count(F.lit(1)).alias("_rc")))
+    w_all = Window.partitionBy(F.lit(0)).orderBy("_lo")  # at most n_ranges rows
+    rng = (rng.withColumn("_off", F.sum("_rc").over(w_all.rowsBetween(
+               Window.unboundedPreceding, Window.currentRow)) - F.col("_rc"))
+              .withColumn("_next", F.lead("_lo").over(w_all))
+              .select("_lo", "_next", "_off"))
+    cond = (F.col("_key") >= F.col("_lo")) & (F.col("_next").isNull() | (F.col("_key") < F.col("_next")))
+    placed = d.join(F.broadcast(rng), cond)   # rng: bounded by the number of ranges
+    w = Window.partitionBy("_lo").orderBy("_key")
+    return placed.select(*cols, (F.col("_off") + F.row_number().over(w) - 1).alias(alias))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 S, D, L, I, TS, DT, B = (T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(),
                          T.TimestampType(), T.DateType(), T.BooleanType())
+NTZ = T.TimestampNTZType()  # naive date-time (pandas datetime64 without zone)
 MONEY = T.DecimalType(10, 2)
 
 
@@ -26,13 +27,13 @@ SALES_TEXT = _schema(*[(c, S, True) for c in (
 
 SALES = _schema(
     ("transaction_id", L, True), ("store_id", L, True), ("store_name", S, True),
-    ("date", TS, True), ("product_id", L, True), ("product_name", S, True),
+    ("date", NTZ, True), ("product_id", L, True), ("product_name", S, True),
     ("quantity", D, True), ("unit_price", D, True), ("total", D, True),
     ("customer_id", L, True), ("promo_code", S, True))
 
 # --- trips (taxi) --------------------------------------------------------------
 TRIPS = _schema(
-    ("tpep_pickup_datetime", TS, True), ("pickup_zip", I, True), ("dropoff_zip", I, True),
+    ("tpep_pickup_datetime", NTZ, True), ("pickup_zip", I, True), ("dropoff_zip", I, True),
     ("fare_amount", D, True), ("trip_distance", D, True))
 
 # --- versioned orders table ----------------------------------------------------
