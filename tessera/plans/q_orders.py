@@ -1 +1,152 @@
-"""Catalogue entries."""
+"""Catalogue entries of the versioned orders table (E oracles: the SQL of the
+expected state after each step)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera import testviews as tv
+from tessera.operators.layout import layout_report
+from tessera.plans import orders_table
+from tessera.plans.catalog import register
+from tessera.session import scratch_path
+from tessera.sources.versioned import VersionedTable
+
+SPLIT = "1998-01-01"
+PARTITION_BY = ("country",)
+UPDATE1 = "order_id IN ('1', '2')"
+UPDATE2 = "order_id IN ('3', '5', '14999')"
+DELETE = "amount < 5000"
+N_SMALL = 20
+
+_RUNS: dict = {}
+
+
+def _batches(spark, sf):
+    o = tv.orders_tbl(spark, sf)
+    initial = o.where(F.col("order_timestamp") < F.lit(SPLIT).cast("timestamp_ntz"))
+    second = (o.where(F.col("order_timestamp") >= F.lit(SPLIT).cast("timestamp_ntz"))
+               .withColumn("payment_method", F.expr(
+                   "CASE status WHEN 'F' THEN 'CARD' WHEN 'O' THEN 'UPI' END"))
+               .withColumn("coupon_code", F.expr("CASE WHEN amount > 300000 THEN 'NEW50' END")))
+    return initial, second
+
+
+def scenario(spark, sf):
+    """Run the A3 sequence once per (application, sf) and reuse the table."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        table = VersionedTable(spark, scratch_path(spark, "orders_table"))
+        initial, second = _batches(spark, sf)
+        versions = orders_table.run(table, initial, second, PARTITION_BY, UPDATE1, UPDATE2,
+                                    DELETE, n_small=N_SMALL)
+        _RUNS[key] = (table, versions)
+    return _RUNS[key]
+
+
+BASE = f"""base AS (SELECT *, CAST(order_timestamp AS DATE) AS order_date FROM orders_tbl),
+  v0 AS (SELECT * FROM base WHERE order_timestamp < TIMESTAMP '{SPLIT}'),
+  v1 AS (SELECT * REPLACE (CASE WHEN {UPDATE1} THEN 'CANCELLED' ELSE status END AS status) FROM v0),
+  v2 AS (SELECT *, CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS VARCHAR) AS coupon_code FROM v1
+         UNION ALL
+         SELECT *, CASE status WHEN 'F' THEN 'CARD' WHEN 'O' THEN 'UPI' END AS payment_method,
+                CASE WHEN amount > 300000 THEN 'NEW50' END AS coupon_code
+         FROM base WHERE order_timestamp >= TIMESTAMP '{SPLIT}'),
+  v3 AS (SELECT * REPLACE (CASE WHEN {UPDATE2} THEN 'CANCELLED' ELSE status END AS status) FROM v2),
+  v4 AS (SELECT * FROM v3 WHERE NOT coalesce({DELETE}, false)),
+  first_row AS (SELECT * FROM v4 ORDER BY order_id LIMIT 1),
+  small AS (SELECT * REPLACE ('demo_' || CAST(i AS VARCHAR) AS order_id)
+            FROM first_row CROSS JOIN range({N_SMALL}) t(i)),
+  final AS (SELECT * FROM v4 UNION ALL SELECT * EXCLUDE (i) FROM small)"""
+
+
+def O(body: str) -> str:
+    return tv.with_views("", "orders_tbl").rstrip() + ",\n  " + BASE + "\n" + body
+
+
+@register("orders_with_date", tv.with_views(
+    "SELECT order_id, CAST(order_timestamp AS DATE) AS order_date, amount FROM orders_tbl",
+    "orders_tbl"))
+def q_orders_with_date(spark, sf):
+    """P13 + X3 + X4: timestamp text -> timestamp -> derived date."""
+    o = tv.orders_tbl(spark, sf)
+    text = F.date_format("order_timestamp", "yyyy-MM-dd HH:mm:ss")
+    return o.select("order_id", F.to_date(F.to_timestamp(text)).alias("order_date"), "amount")
+
+
+@register("partition_pruned_read", O(
+    "SELECT * FROM v0 WHERE country = 'NATION_1' AND order_date BETWEEN DATE '1996-01-01' "
+    "AND DATE '1996-12-31'"))
+def q_partition_pruned_read(spark, sf):
+    """K3 + P10: partitioned write, read back with partition + data filters."""
+    table, v = scenario(spark, sf)
+    df = orders_table.pruned_read(table, v["write"], country="NATION_1")
+    return df.where(F.col("order_date").between(F.lit("1996-01-01").cast("date"),
+                                                F.lit("1996-12-31").cast("date")))
+
+
+@register("table_update", O("SELECT * FROM v1"))
+def q_table_update(spark, sf):
+    """V1 + P11 + X14 + S4: version after ``UPDATE ... WHERE order_id IN (...)``."""
+    table, v = scenario(spark, sf)
+    return table.read(v["update1"])
+
+
+@register("append_evolve", O("SELECT * FROM v2"))
+def q_append_evolve(spark, sf):
+    """U2 + V6 + K4: append rows carrying two new columns (old rows: null)."""
+    table, v = scenario(spark, sf)
+    return table.read(v["append"])
+
+
+@register("table_delete", O("SELECT * FROM v4"))
+def q_table_delete(spark, sf):
+    """V1 + V2: second update, then ``DELETE WHERE amount < 5000``."""
+    table, v = scenario(spark, sf)
+    return table.read(v["delete"])
+
+
+@register("version_as_of", O("SELECT * FROM v0"))
+def q_version_as_of(spark, sf):
+    """V4: version 0 read after all later writes (unchanged)."""
+    table, _ = scenario(spark, sf)
+    return table.read(0)
+
+
+@register("version_history", O(
+    """SELECT * FROM (VALUES
+         (0, 'WRITE', (SELECT count(*) FROM v0)), (1, 'UPDATE', (SELECT count(*) FROM v1)),
+         (2, 'WRITE', (SELECT count(*) FROM v2)), (3, 'UPDATE', (SELECT count(*) FROM v3)),
+         (4, 'DELETE', (SELECT count(*) FROM v4))) t(version, operation, num_rows)
+       UNION ALL
+       SELECT 5 + i, 'WRITE', (SELECT count(*) FROM v4) + i + 1 FROM range(20) r(i)
+       UNION ALL SELECT 25, 'OPTIMIZE', (SELECT count(*) FROM final)
+       UNION ALL SELECT 26, 'OPTIMIZE', (SELECT count(*) FROM final)"""))
+def q_version_history(spark, sf):
+    """V5: version, operation and row count of every version (no clock)."""
+    table, _ = scenario(spark, sf)
+    return table.history().select(F.col("version").cast("bigint").alias("version"),
+                                  "operation", F.col("num_rows").cast("bigint").alias("num_rows"))
+
+
+@register("compact_table", O("SELECT * FROM final"))
+def q_compact_table(spark, sf):
+    """V7: after 20 one-row appends, compaction keeps every row."""
+    table, v = scenario(spark, sf)
+    return table.read(v["compact"])
+
+
+@register("cluster_table", O("SELECT * FROM final"))
+def q_cluster_table(spark, sf):
+    """V8: clustering by customer_id keeps every row."""
+    table, v = scenario(spark, sf)
+    return table.read(v["cluster"])
+
+
+@register("layout_report", O(
+    "SELECT country, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows FROM final GROUP BY country"))
+def q_layout_report(spark, sf):
+    """K9: files and rows per partition after compaction (one file each)."""
+    table, v = scenario(spark, sf)
+    rep = layout_report(table.read(v["compact"]), ["country"])
+    return rep.select("country", "n_files", "n_rows")

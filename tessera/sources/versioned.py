@@ -1,0 +1,154 @@
+"""Versioned, partitioned table on plain parquet.
+
+There is no Delta package in this image and Spark refuses UPDATE / DELETE /
+MERGE on parquet, so a version is an immutable set of data folders:
+
+    root/data-<version>-<id>/<partition dirs>/part-*.parquet   (written once)
+    root/_history/                                           (parquet, Spark-written)
+
+The history table holds one row per version: operation, parameters, row
+count, schema, partition columns and the list of data folders that make up
+that version. An append writes only its new rows into a fresh folder and lists
+it next to the earlier folders (no rewrite); overwrite / update / delete /
+compaction write a full new snapshot. A history row is appended only after its
+data folder was written, so a failed write leaves no visible version. Old
+versions stay readable (time travel). Single writer by contract.
+
+Reading the manifest brings one small history row to the driver (metadata,
+bounded); the data itself is only ever read by Spark tasks.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+HISTORY_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType(), False),
+    T.StructField("operation", T.StringType(), False),
+    T.StructField("parameters", T.StringType(), True),
+    T.StructField("num_rows", T.LongType(), True),
+    T.StructField("schema_json", T.StringType(), True),
+    T.StructField("partition_by", T.StringType(), True),
+    T.StructField("folders", T.StringType(), True),
+])
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    # --- metadata ------------------------------------------------------------
+    @property
+    def history_path(self) -> str:
+        return f"{self.root}/_history"
+
+    def history(self) -> DataFrame:
+        """V5: change history (version, operation, parameters, num_rows)."""
+        try:
+            h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+        except Exception:  # noqa: BLE001  (no version yet)
+            return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        return h
+
+    def _entry(self, version: int | None = None) -> dict | None:
+        h = self.history()
+        if version is not None:
+            h = h.where(F.col("version") == version)
+        row = h.orderBy(F.col("version").desc()).limit(1).collect()
+        return row[0].asDict() if row else None
+
+    def latest_version(self) -> int:
+        e = self._entry()
+        return -1 if e is None else int(e["version"])
+
+    # --- reads ---------------------------------------------------------------
+    def read(self, version: int | None = None) -> DataFrame:
+        """The latest version, or ``version`` (time travel).
+
+        Read with the version's declared schema, so partition columns keep
+        their types and columns added later come back as null for old rows.
+        """
+        e = self._entry(version)
+        if e is None:
+            raise FileNotFoundError(f"no version {version} in {self.root}")
+        schema = T.StructType.fromJson(json.loads(e["schema_json"]))
+        return self._read_many(json.loads(e["folders"]), schema)
+
+    def _read_many(self, folders: list[str], schema: T.StructType) -> DataFrame:
+        # One scan per data folder (each is its own partition tree, so they
+        # cannot share one partition discovery), unioned by name. Compaction
+        # folds them back into one folder.
+        out = None
+        for f in folders:
+            part = self.spark.read.schema(schema).parquet(f)
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    # --- writes --------------------------------------------------------------
+    def _commit(self, operation: str, params: dict, df_written: DataFrame, folders: list[str],
+                partition_by: Sequence[str], schema: T.StructType, num_rows: int | None) -> int:
+        version = self.latest_version() + 1
+        row = [(version, operation, json.dumps(params, sort_keys=True), num_rows,
+                schema.json(), json.dumps(list(partition_by)), json.dumps(folders))]
+        (self.spark.createDataFrame(row, HISTORY_SCHEMA).coalesce(1)
+             .write.mode("append").parquet(self.history_path))
+        return version
+
+    def _write_folder(self, df: DataFrame, partition_by: Sequence[str],
+                      files_per_partition: int | None = None) -> str:
+        folder = f"{self.root}/data-{uuid.uuid4().hex[:12]}"
+        from tessera.sources.writers import write_partitioned
+        write_partitioned(df, folder, partition_by, mode="errorifexists",
+                          files_per_partition=files_per_partition)
+        return folder
+
+    def _count(self, folders: list[str], schema: T.StructType) -> int:
+        # counted from the written files (parquet footers), not by recomputing
+        return self._read_many(folders, schema).count()
+
+    def overwrite(self, df: DataFrame, partition_by: Sequence[str] = (), operation: str = "WRITE",
+                  params: dict | None = None, files_per_partition: int | None = None) -> int:
+        """K3: a new full snapshot (also used by update/delete/compaction)."""
+        folder = self._write_folder(df, partition_by, files_per_partition)
+        schema = self._schema_of(df, partition_by)
+        n = self._count([folder], schema)
+        return self._commit(operation, params or {"mode": "overwrite"}, df, [folder],
+                            partition_by, schema, n)
+
+    def append(self, df: DataFrame, merge_schema: bool = False, params: dict | None = None) -> int:
+        """Add rows as a new folder; with ``merge_schema`` new columns
+        are added to the table schema (earlier rows read them as null)."""
+        e = self._entry()
+        if e is None:
+            return self.overwrite(df, operation="WRITE", params=params)
+        old = T.StructType.fromJson(json.loads(e["schema_json"]))
+        part = json.loads(e["partition_by"])
+        new_cols = [f for f in df.schema.fields if f.name not in old.fieldNames()]
+        if new_cols and not merge_schema:
+            raise ValueError(f"schema mismatch: new columns {[f.name for f in new_cols]}; "
+                             "pass merge_schema=True")
+        merged = T.StructType(old.fields + [T.StructField(f.name, f.dataType, True)
+                                            for f in new_cols])
+        folder = self._write_folder(df, part)
+        folders = json.loads(e["folders"]) + [folder]
+        n_new = self._count([folder], self._schema_of(df, part))
+        n = (e["num_rows"] or 0) + n_new
+        p = dict(params or {}, mode="append", mergeSchema=bool(merge_schema))
+        return self._commit("WRITE", p, df, folders, part, merged, n)
+
+    @staticmethod
+    def _schema_of(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
+        # data columns first, partition columns last (as Spark reads them back)
+        fields = [f for f in df.schema.fields if f.name not in partition_by]
+        fields += [f for p in partition_by for f in df.schema.fields if f.name == p]
+        return T.StructType(fields)
+
+    def partition_by(self) -> list[str]:
+        e = self._entry()
+        return [] if e is None else json.loads(e["partition_by"])
