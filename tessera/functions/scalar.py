@@ -72,8 +72,9 @@ def flag01(cond: Column) -> Column:
 
 
 def run_timestamp(ts: str | None = None) -> Column:
-    """Load time stamp; a fixed ``ts`` text makes reruns repeatable."""
-    return F.lit(ts).cast("timestamp") if ts else F.current_timestamp()
+    """Load time stamp (naive wall time, like ``NOW()`` into a Postgres
+    TIMESTAMP); a fixed ``ts`` text makes reruns and tests repeatable."""
+    return F.lit(ts).cast("timestamp_ntz") if ts else F.localtimestamp()
 
 
 def record_json(*cols) -> Column:

@@ -1 +1,257 @@
-"""Catalogue entries."""
+"""Catalogue entries of the daily shop load."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera import schemas
+from tessera import testviews as tv
+from tessera.functions.scalar import record_json
+from tessera.operators.filters import case_flag, clean_staging
+from tessera.operators.keyed import latest_per_key, orphans, upsert
+from tessera.plans import shop_daily as shop
+from tessera.plans.catalog import register
+from tessera.session import scratch_path
+from tessera.sources.versioned import VersionedTable
+
+D1, D2 = "2025-01-01", "2025-01-02"
+TS1, TS2 = "2025-01-01 06:00:00", "2025-01-02 06:00:00"
+CHANGED_SINCE = "2024-10-01"      # customers whose profile changes on day 2
+PRICE_CHANGE_FROM = 1500          # products repriced on day 2
+DIM_AS_OF = "2024-06-30"          # dimension snapshot used by the orphan check
+
+
+def _desc_last(cols):
+    return ", ".join(f"{c} DESC NULLS LAST" for c in cols)
+
+
+CUST_STG = f"""cust_stg AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+    ORDER BY {_desc_last(tv.SHOP_CUSTOMERS_ORDER)}) AS rn FROM shop_customers) WHERE rn = 1)"""
+PROD_STG = f"""prod_stg AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY product_id
+    ORDER BY {_desc_last(tv.SHOP_PRODUCTS_ORDER)}) AS rn FROM shop_products) WHERE rn = 1)"""
+
+
+def ord_stg(name: str, where: str = "TRUE") -> str:
+    return f"""{name} AS (
+  SELECT order_id, order_timestamp, customer_id, product_id, quantity,
+         CAST(total_amount AS DECIMAL(10,2)) AS total_amount, currency, status FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id
+             ORDER BY {_desc_last(tv.SHOP_ORDERS_INGEST)}) AS rn
+    FROM (SELECT * REPLACE (coalesce(TRY_CAST(quantity AS INTEGER), 0) AS quantity)
+          FROM shop_landing_orders WHERE {where})
+    WHERE quantity > 0) WHERE rn = 1)"""
+
+
+def stg_clean(name: str, src: str) -> str:
+    return f"""{name} AS (SELECT * FROM {src}
+  WHERE NOT coalesce(quantity <= 0 OR customer_id IS NULL OR product_id IS NULL, false))"""
+
+
+def fact_rows(name: str, src: str, day: str) -> str:
+    return f"""{name} AS (
+  SELECT order_id, order_timestamp, customer_id, product_id, quantity, total_amount, currency,
+         CASE WHEN currency <> 'USD' THEN TRUE ELSE FALSE END AS currency_mismatch_flag,
+         status, DATE '{day}' AS load_date
+  FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_timestamp DESC NULLS FIRST,
+          product_id DESC NULLS FIRST, quantity DESC NULLS FIRST, total_amount DESC NULLS FIRST) AS rn
+        FROM {src}) WHERE rn = 1)"""
+
+
+DAY1 = [ord_stg("stg"), stg_clean("stgc", "stg"), fact_rows("fact", "stgc", D1)]
+
+
+def Q(body: str, views: tuple, *ctes: str) -> str:
+    head = tv.with_views("", *views).rstrip()
+    return head + "".join(",\n" + c for c in ctes) + "\n" + body
+
+
+CV, PV, OV = ("shop_customers",), ("shop_products",), ("shop_landing_orders",)
+
+
+def _stg_customers(spark, sf):
+    return shop.stage_customers(tv.shop_customers(spark, sf), tv.SHOP_CUSTOMERS_ORDER)
+
+
+def _stg_products(spark, sf):
+    return shop.stage_products(tv.shop_products(spark, sf), tv.SHOP_PRODUCTS_ORDER)
+
+
+def _stg_orders(spark, sf, day=None):
+    landing = tv.shop_landing_orders(spark, sf)
+    if day is not None:
+        landing = landing.where(F.col("landing_date") == F.lit(day).cast("date"))
+    return shop.stage_orders(landing, tv.SHOP_ORDERS_INGEST)
+
+
+def _day1_fact(spark, sf):
+    clean = clean_staging(_stg_orders(spark, sf))
+    empty = shop.empty(spark, schemas.FACT_ORDERS)
+    fact = upsert(empty, shop.fact_rows(clean, D1), "order_id")
+    return fact, clean
+
+
+@register("stage_customers", Q("SELECT * FROM cust_stg", CV, CUST_STG))
+def q_stage_customers(spark, sf):
+    """W3 + K5 + S7: staged customers (last landing row per key wins)."""
+    return _stg_customers(spark, sf)
+
+
+@register("stage_products", Q("SELECT * FROM prod_stg", PV, PROD_STG))
+def q_stage_products(spark, sf):
+    """W3 + S7: staged products."""
+    return _stg_products(spark, sf)
+
+
+@register("stage_orders", Q("SELECT * FROM stg", OV, ord_stg("stg")))
+def q_stage_orders(spark, sf):
+    """W3 + P8 + X12: staged orders: quantity > 0, last row per order_id."""
+    return _stg_orders(spark, sf).drop("raw_json")
+
+
+@register("stage_clean", Q("SELECT * FROM stgc", OV, ord_stg("stg"), stg_clean("stgc", "stg")))
+def q_stage_clean(spark, sf):
+    """Staging clean-up with three-valued logic."""
+    return clean_staging(_stg_orders(spark, sf)).drop("raw_json")
+
+
+def _dim_sql(stg: str, key: str, change_where: str, change_set: str) -> str:
+    return f"""dim1 AS (SELECT *, TIMESTAMP '{TS1}' AS last_updated FROM {stg}),
+  stg2 AS (SELECT * REPLACE ({change_set}) FROM {stg} WHERE {change_where}),
+  dim2 AS (SELECT * FROM dim1 WHERE {key} NOT IN (SELECT {key} FROM stg2)
+           UNION ALL SELECT *, TIMESTAMP '{TS2}' AS last_updated FROM stg2)"""
+
+
+@register("dim_customer_upsert", Q("SELECT * FROM dim2", CV, CUST_STG, _dim_sql(
+    "cust_stg", "customer_id", f"signup_date >= DATE '{CHANGED_SINCE}'",
+    "upper(first_name) AS first_name")))
+def q_dim_customer_upsert(spark, sf):
+    """J2 + X10: two daily upserts into dim_customers (day 2 changes a subset)."""
+    stg = _stg_customers(spark, sf)
+    empty = shop.empty(spark, schemas.DIM_CUSTOMERS)
+    dim1 = shop.dim_upsert(empty, stg, "customer_id", schemas.DIM_CUSTOMERS, TS1)
+    stg2 = (stg.where(F.col("signup_date") >= F.lit(CHANGED_SINCE).cast("date"))
+               .withColumn("first_name", F.upper("first_name")))
+    return shop.dim_upsert(dim1, stg2, "customer_id", schemas.DIM_CUSTOMERS, TS2)
+
+
+@register("dim_product_upsert", Q("SELECT * FROM dim2", PV, PROD_STG, _dim_sql(
+    "prod_stg", "product_id", f"unit_price >= {PRICE_CHANGE_FROM}",
+    "CAST(unit_price + 1.00 AS DECIMAL(10,2)) AS unit_price")))
+def q_dim_product_upsert(spark, sf):
+    """J2 + X10: two daily upserts into dim_products (day 2 reprices some)."""
+    stg = _stg_products(spark, sf)
+    empty = shop.empty(spark, schemas.DIM_PRODUCTS)
+    dim1 = shop.dim_upsert(empty, stg, "product_id", schemas.DIM_PRODUCTS, TS1)
+    stg2 = (stg.where(F.col("unit_price") >= PRICE_CHANGE_FROM)
+               .withColumn("unit_price", (F.col("unit_price") + F.lit(1)).cast("decimal(10,2)")))
+    return shop.dim_upsert(dim1, stg2, "product_id", schemas.DIM_PRODUCTS, TS2)
+
+
+LATEST_COLS = ["customer_id", "order_id", "order_timestamp", "line_no", "product_id", "quantity",
+               "total_amount"]
+
+
+@register("latest_order_per_customer", tv.with_views(
+    "SELECT DISTINCT ON (customer_id) " + ", ".join(LATEST_COLS) + " FROM shop_landing_orders "
+    "ORDER BY customer_id, order_timestamp DESC NULLS FIRST, order_id DESC NULLS FIRST, "
+    "line_no DESC NULLS FIRST, product_id DESC NULLS FIRST, quantity DESC NULLS FIRST, "
+    "total_amount DESC NULLS FIRST", *OV))
+def q_latest_order_per_customer(spark, sf):
+    """``DISTINCT ON (customer_id) ORDER BY order_timestamp DESC``."""
+    landing = tv.shop_landing_orders(spark, sf)
+    return latest_per_key(landing, "customer_id", "order_timestamp",
+                          tie_breakers=["order_id", "line_no", "product_id", "quantity",
+                                        "total_amount"]).select(*LATEST_COLS)
+
+
+@register("currency_mismatch", tv.with_views(
+    "SELECT order_id, line_no, currency, CASE WHEN currency <> 'USD' THEN TRUE ELSE FALSE END "
+    "AS currency_mismatch_flag FROM shop_landing_orders", *OV))
+def q_currency_mismatch(spark, sf):
+    """``CASE WHEN currency <> 'USD' THEN TRUE ELSE FALSE END``."""
+    landing = tv.shop_landing_orders(spark, sf)
+    return landing.select("order_id", "line_no", "currency",
+                          case_flag(F.col("currency") != "USD").alias("currency_mismatch_flag"))
+
+
+@register("fact_upsert", Q("SELECT * FROM fact", OV, *DAY1))
+def q_fact_upsert(spark, sf):
+    """V3 + P14: fact rows of one load date upserted twice (idempotent)."""
+    fact, clean = _day1_fact(spark, sf)
+    return upsert(fact, shop.fact_rows(clean, D1), "order_id")
+
+
+@register("daily_fact_backfill", Q(
+    "SELECT * FROM f1 WHERE order_id NOT IN (SELECT order_id FROM f2) UNION ALL SELECT * FROM f2",
+    OV, ord_stg("s1", f"landing_date = DATE '{D1}'"), stg_clean("c1", "s1"), fact_rows("f1", "c1", D1),
+    ord_stg("s2", f"landing_date = DATE '{D2}'"), stg_clean("c2", "s2"), fact_rows("f2", "c2", D2)))
+def q_daily_fact_backfill(spark, sf):
+    """V9 + S6: load day 1, day 2, then rerun day 2: the fact table keeps one
+    row per order, the last run wins (decision F18). Each load writes the next
+    version of the fact table."""
+    table = VersionedTable(spark, scratch_path(spark, "fact_orders"))
+    table.overwrite(shop.empty(spark, schemas.FACT_ORDERS), operation="CREATE")
+    for day in (D1, D2, D2):
+        clean = clean_staging(_stg_orders(spark, sf, day))
+        table.overwrite(upsert(table.read(), shop.fact_rows(clean, day), "order_id"),
+                        operation="MERGE", params={"load_date": day})
+    return table.read()
+
+
+@register("fk_orphans", Q(
+    f"SELECT order_id, customer_id FROM fact WHERE customer_id NOT IN "
+    f"(SELECT customer_id FROM shop_customers WHERE signup_date <= DATE '{DIM_AS_OF}')",
+    ("shop_landing_orders", "shop_customers"), *DAY1))
+def q_fk_orphans(spark, sf):
+    """Fact rows whose customer is missing from the dimension snapshot."""
+    fact, _ = _day1_fact(spark, sf)
+    dim = tv.shop_customers(spark, sf).where(F.col("signup_date") <= F.lit(DIM_AS_OF).cast("date"))
+    return orphans(fact, dim, "customer_id").select("order_id", "customer_id")
+
+
+JSON_FIELDS = ["order_id", "customer_id", "product_id", "quantity", "total_amount", "currency",
+               "status"]
+
+
+@register("order_raw_json", tv.with_views(
+    "SELECT order_id, line_no, CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in JSON_FIELDS)
+    + "}) AS VARCHAR) AS raw_json FROM shop_landing_orders", *OV))
+def q_order_raw_json(spark, sf):
+    """X11: the landing record as JSON text."""
+    landing = tv.shop_landing_orders(spark, sf)
+    return landing.select("order_id", "line_no", record_json(*JSON_FIELDS).alias("raw_json"))
+
+
+@register("dq_report", Q(
+    f"""SELECT 'dim_customers_not_empty' AS "check", count(*) AS observed, count(*) > 0 AS passed
+          FROM cust_stg
+        UNION ALL
+        SELECT 'fact_no_null_keys', count(*) FILTER (WHERE customer_id IS NULL OR product_id IS NULL),
+               count(*) FILTER (WHERE customer_id IS NULL OR product_id IS NULL) = 0 FROM fact
+        UNION ALL
+        SELECT 'fact_matches_staging', (SELECT count(*) FROM fact WHERE load_date = DATE '{D1}'),
+               (SELECT count(*) FROM stgc) = (SELECT count(*) FROM fact WHERE load_date = DATE '{D1}')""",
+    ("shop_customers", "shop_landing_orders"), CUST_STG, *DAY1))
+def q_dq_report(spark, sf):
+    """Q1-Q4 + G6: the day-1 checks (dimension not empty, no null keys,
+    staging count = fact count for the load date)."""
+    fact, clean = _day1_fact(spark, sf)
+    dim = shop.dim_upsert(shop.empty(spark, schemas.DIM_CUSTOMERS), _stg_customers(spark, sf),
+                          "customer_id", schemas.DIM_CUSTOMERS, TS1)
+    return shop.dq_report(dim, fact, clean, D1)
+
+
+@register("volume_branch", Q(
+    f"SELECT DATE '{D1}' AS load_date, count(*) AS n_orders, CASE WHEN count(*) < 10 "
+    f"THEN 'warn_low_volume' ELSE 'normal_end' END AS branch FROM fact WHERE load_date = DATE '{D1}'",
+    OV, *DAY1))
+def q_volume_branch(spark, sf):
+    """Q5 + K6: day-1 order count and the branch it selects (an anomaly note
+    is written only for the low-volume branch)."""
+    fact, _ = _day1_fact(spark, sf)
+    status = shop.volume(fact, D1)
+    from tessera.sources.writers import write_text_lines
+    write_text_lines(shop.anomaly_note(status), scratch_path(spark, "anomalies"))
+    return status

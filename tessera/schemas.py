@@ -64,16 +64,18 @@ LANDING_ORDERS = _schema(
     ("product_id", S, True), ("quantity", S, True), ("total_amount", D, True),
     ("currency", S, True), ("status", S, True))
 
+# Warehouse time stamps are naive (Postgres TIMESTAMP without zone): the
+# landing instant is converted to UTC wall time on load.
 STG_ORDERS = _schema(
-    ("order_id", S, True), ("order_timestamp", TS, True), ("customer_id", S, True),
+    ("order_id", S, True), ("order_timestamp", NTZ, True), ("customer_id", S, True),
     ("product_id", S, True), ("quantity", I, True), ("total_amount", MONEY, True),
     ("currency", S, True), ("status", S, True), ("raw_json", S, True))
 
-DIM_CUSTOMERS = T.StructType(STG_CUSTOMERS.fields + [T.StructField("last_updated", TS, True)])
-DIM_PRODUCTS = T.StructType(STG_PRODUCTS.fields + [T.StructField("last_updated", TS, True)])
+DIM_CUSTOMERS = T.StructType(STG_CUSTOMERS.fields + [T.StructField("last_updated", NTZ, True)])
+DIM_PRODUCTS = T.StructType(STG_PRODUCTS.fields + [T.StructField("last_updated", NTZ, True)])
 
 FACT_ORDERS = _schema(
-    ("order_id", S, True), ("order_timestamp", TS, True), ("customer_id", S, True),
+    ("order_id", S, True), ("order_timestamp", NTZ, True), ("customer_id", S, True),
     ("product_id", S, True), ("quantity", I, True), ("total_amount", MONEY, True),
     ("currency", S, True), ("currency_mismatch_flag", B, True), ("status", S, True),
     ("load_date", DT, True))

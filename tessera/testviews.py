@@ -199,7 +199,9 @@ def shop_landing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("total_amount"),
         F.when(F.col("l_discount") >= 0.05, F.lit("USD")).otherwise(F.lit("EUR")).alias("currency"),
         F.col("o_orderstatus").alias("status"),
-        F.col("l_linenumber").alias("line_no"))
+        F.col("l_linenumber").alias("line_no"),
+        F.when(F.col("l_returnflag") == "N", F.lit("2025-01-01")).otherwise(F.lit("2025-01-02"))
+         .cast("date").alias("landing_date"))
 
 
 SHOP_LANDING_ORDERS_SQL = _cte("shop_landing_orders", """
@@ -208,7 +210,8 @@ SHOP_LANDING_ORDERS_SQL = _cte("shop_landing_orders", """
          CAST(CAST(l_quantity - 5 AS INTEGER) AS VARCHAR) AS quantity,
          l_extendedprice AS total_amount,
          CASE WHEN l_discount >= 0.05 THEN 'USD' ELSE 'EUR' END AS currency,
-         o_orderstatus AS status, l_linenumber AS line_no
+         o_orderstatus AS status, l_linenumber AS line_no,
+         CASE WHEN l_returnflag = 'N' THEN DATE '2025-01-01' ELSE DATE '2025-01-02' END AS landing_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
 # ingest position of landing orders (a total order over the record)
