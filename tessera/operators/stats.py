@@ -70,10 +70,11 @@ def group_mean(df: DataFrame, key, value: str, alias: str = "mean",
     return src.groupBy(*keys).agg(mean_expr(value, exact_scale).alias(alias))
 
 
-def group_means(df: DataFrame, key: Column, key_alias: str, values: dict[str, str]) -> DataFrame:
+def group_means(df: DataFrame, key: Column, key_alias: str, values: dict[str, str],
+                exact_scale: int | None = None) -> DataFrame:
     """Several means per derived key (e.g. week); null keys kept (SQL)."""
     return df.groupBy(key.alias(key_alias)).agg(
-        *[F.avg(src).alias(alias) for alias, src in values.items()])
+        *[mean_expr(src, exact_scale).alias(alias) for alias, src in values.items()])
 
 
 def group_count(df: DataFrame, key, alias: str = "n") -> DataFrame:
@@ -113,8 +114,9 @@ def exact_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
     """Exact, linearly interpolated quantiles per group (pandas / ``quantile_cont``).
 
     Returns one row per group: the ``by`` columns plus one double column per
-    probability (``names`` or ``q0, q1, ...``). Nulls are ignored; a group
-    without values gets no row.
+    probability (``names`` or ``q0, q1, ...``). Nulls are ignored; with
+    ``by`` a group without values gets no row, without ``by`` the single
+    result row holds nulls (SQL aggregate semantics).
 
     For position ``h = (n-1)p`` with ``k = floor(h)``, ``d = h - k`` the result is
     ``x[k]*(1-d) + x[k+1]*d``. For the median (d = 0.5) both products are exact,
@@ -225,7 +227,8 @@ def _as_double(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("double")
 
 
-def describe_exact(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+def describe_exact(df: DataFrame, cols: Sequence[str], approx: bool = False,
+                   exact_scale: int | None = None) -> DataFrame:
     """Pandas ``describe()``: one row per column with count, mean, std,
     min, 25%, 50%, 75%, max (all double; datetime columns as epoch seconds,
     std null for them). Quartiles are exact unless ``approx``.
@@ -240,7 +243,7 @@ def describe_exact(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
     proj = df.select(*[_as_double(df, c).alias(c) for c in cols])
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count(c).cast("double").alias(f"n{i}"), F.avg(c).alias(f"m{i}"),
+        aggs += [F.count(c).cast("double").alias(f"n{i}"), mean_expr(c, exact_scale).alias(f"m{i}"),
                  (F.lit(None).cast("double") if is_time[c] else F.stddev_samp(c)).alias(f"s{i}"),
                  F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
     one = proj.agg(*aggs)

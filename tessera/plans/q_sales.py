@@ -142,7 +142,8 @@ def _describe_sql() -> str:
         std = "CAST(NULL AS DOUBLE)" if is_t else f"round(stddev_samp({v}), {r})"
         parts.append(
             f"SELECT '{c}' AS column_name, CAST(count({v}) AS DOUBLE) AS count, "
-            f"round(avg({v}), {r}) AS mean, {std} AS std, min({v}) AS min, "
+            f"CAST(sum(CAST({v} AS DECIMAL(38,6))) AS DOUBLE) / CAST(count({v}) AS DOUBLE) AS mean, "
+            f"{std} AS std, min({v}) AS min, "
             f"round(quantile_cont({v}, 0.25), {r}) AS q25, round(quantile_cont({v}, 0.5), {r}) AS q50, "
             f"round(quantile_cont({v}, 0.75), {r}) AS q75, max({v}) AS max FROM sales")
     return S(" UNION ALL ".join(parts))
@@ -151,12 +152,13 @@ def _describe_sql() -> str:
 @register("describe_sales", _describe_sql())
 def q_describe_sales(spark, sf):
     """Exact describe (count, mean, std, min, quartiles, max); datetime
-    as epoch seconds. Rounded (6 places; 3 for epoch seconds) for the check."""
-    d = describe_exact(_sales(spark, sf), DESCRIBE_COLS)
+    as epoch seconds. Means are exact (decimal sums); std and quartiles are
+    rounded for the check (6 places; 3 for epoch seconds)."""
+    d = describe_exact(_sales(spark, sf), DESCRIBE_COLS, exact_scale=6)
 
     def rnd(c):
         return F.when(F.col("column") == "date", F.round(c, 3)).otherwise(F.round(c, 6))
-    return d.select(F.col("column").alias("column_name"), "count", rnd("mean").alias("mean"),
+    return d.select(F.col("column").alias("column_name"), "count", "mean",
                     rnd("std").alias("std"), "min", rnd("q25").alias("q25"),
                     rnd("q50").alias("q50"), rnd("q75").alias("q75"), "max")
 

@@ -59,10 +59,7 @@ def q_stream_flagged(spark, sf):
 @register("stream_weekly_stats", ORACLE["taxi_weekly_stats"])
 def q_stream_weekly(spark, sf):
     """T3 + K8: weekly view refreshed over the streamed bronze table."""
-    from pyspark.sql import functions as F
-    w = _read(spark, sf, "weekly")
-    return w.select("week", F.round("avg_amount", 6).alias("avg_amount"),
-                    F.round("avg_distance", 6).alias("avg_distance"))
+    return _read(spark, sf, "weekly")
 
 
 @register("stream_top_n", ORACLE["taxi_top_n"])

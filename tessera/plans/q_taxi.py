@@ -16,8 +16,21 @@ FLAGGED_SQL = f"""flagged AS (
   SELECT {WEEK_SQL} AS week, pickup_zip AS zip, fare_amount, trip_distance
   FROM bronze
   WHERE (pickup_zip = dropoff_zip AND fare_amount > 50) OR (trip_distance < 5 AND fare_amount > 50))"""
+
+
+def exact_mean_sql(c: str, scale: int = 6) -> str:
+    return (f"CAST(sum(CAST({c} AS DECIMAL(38,{scale}))) AS DOUBLE) / "
+            f"CAST(count({c}) AS DOUBLE)")
+
+
+def spark_round_sql(x: str, n: int) -> str:
+    """SQL ROUND as Spark evaluates it: half-up on the double's decimal text."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {n}) AS DOUBLE)"
+
+
 WEEKLY_SQL = f"""weekly AS (
-  SELECT {WEEK_SQL} AS week, avg(fare_amount) AS avg_amount, avg(trip_distance) AS avg_distance
+  SELECT {WEEK_SQL} AS week, {exact_mean_sql("fare_amount")} AS avg_amount,
+         {exact_mean_sql("trip_distance")} AS avg_distance
   FROM bronze GROUP BY 1)"""
 
 
@@ -91,18 +104,16 @@ def flagged_per_week(spark, sf):
 
 
 @register("taxi_weekly_stats", _sql(
-    "SELECT week, round(avg_amount, 6) AS avg_amount, round(avg_distance, 6) AS avg_distance "
-    "FROM weekly", BRONZE_SQL, WEEKLY_SQL))
+    "SELECT week, avg_amount, avg_distance FROM weekly", BRONZE_SQL, WEEKLY_SQL))
 def taxi_weekly_stats(spark, sf):
     """G4 + X5: weekly mean fare and distance over bronze."""
-    w = taxi.weekly_stats(_bronze(spark, sf))
-    return w.select("week", F.round("avg_amount", 6).alias("avg_amount"),
-                    F.round("avg_distance", 6).alias("avg_distance"))
+    return taxi.weekly_stats(_bronze(spark, sf))
 
 
 @register("taxi_top_n", _sql(
-    """SELECT w.week AS week, round(w.avg_amount, 2) AS avg_amount,
-              round(w.avg_distance, 3) AS avg_distance, f.fare_amount, f.trip_distance, f.zip
+    f"""SELECT w.week AS week, {spark_round_sql("w.avg_amount", 2)} AS avg_amount,
+              {spark_round_sql("w.avg_distance", 3)} AS avg_distance,
+              f.fare_amount, f.trip_distance, f.zip
        FROM (SELECT * FROM flagged
              ORDER BY fare_amount DESC NULLS LAST, week ASC NULLS FIRST, zip ASC NULLS FIRST,
                       trip_distance ASC NULLS FIRST LIMIT 3) f

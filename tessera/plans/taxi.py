@@ -47,9 +47,16 @@ def flagged(bronze_df: DataFrame, fare: float = 50.0, distance: float = 5.0) ->
                     F.col("pickup_zip").alias("zip"), "fare_amount", "trip_distance"))
 
 
-def weekly_stats(bronze_df: DataFrame) -> DataFrame:
+# Means are exact decimal sums / counts (money and distances carry at most
+# six decimals): the result then does not depend on partitioning or on the
+# order in which partial sums are merged. None gives a plain float AVG.
+MEAN_SCALE = 6
+
+
+def weekly_stats(bronze_df: DataFrame, exact_scale: int | None = MEAN_SCALE) -> DataFrame:
     return group_means(bronze_df, week_start("tpep_pickup_datetime"), "week",
-                       {"avg_amount": "fare_amount", "avg_distance": "trip_distance"})
+                       {"avg_amount": "fare_amount", "avg_distance": "trip_distance"},
+                       exact_scale=exact_scale)
 
 
 def top_order() -> list[Column]:
