@@ -16,7 +16,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tessera.operators.util import attach_row
 
 
 def layout_report(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
@@ -39,22 +41,43 @@ def compact(df: DataFrame, partition_cols: Sequence[str] = (), files: int | None
     return df.repartition(files or 1)
 
 
-def _zorder_key(cols: Sequence[str], bits: int = 16) -> Column:
-    """Interleave the top ``bits`` bits of each column's rank-preserving
-    integer image (xxhash is NOT order preserving, so numbers are used as is
-    and strings by their first bytes)."""
+def _zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 16) -> DataFrame:
+    """Add ``_z``: the bits of each column's order-preserving ``bits``-bit image,
+    interleaved. Numbers / dates are scaled by the column's min and max (one
+    global aggregate, attached as a one-row broadcast); strings use their
+    first two bytes."""
+    top = (1 << bits) - 1
+    dtypes = dict(df.dtypes)
+    num = [c for c in cols if dtypes[c] not in ("string",)]
+    x = df
+    if num:
+        def as_num(c):
+            t = dtypes[c]
+            if t.startswith("timestamp") or t == "date":
+                return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+            return F.col(c).cast("double")
+        bounds = df.agg(*[F.min(as_num(c)).alias(f"_lo_{i}") for i, c in enumerate(num)],
+                        *[F.max(as_num(c)).alias(f"_hi_{i}") for i, c in enumerate(num)])
+        x = attach_row(df, bounds)
     parts = []
     for c in cols:
-        v = F.col(c)
-        # order-preserving 16-bit image: strings by first two bytes, numbers clamped
-        img = F.when(v.isNull(), F.lit(0)).otherwise(
-            F.conv(F.hex(F.substring(v.cast("string"), 1, 2)), 16, 10).cast("long"))
-        parts.append(F.pmod(img, F.lit(1 << bits)))
+        if c in num:
+            i = num.index(c)
+            lo, hi = F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
+            v = F.col(c).cast("double") if not (dtypes[c].startswith("timestamp") or dtypes[c] == "date") \
+                else F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+            scaled = F.when(hi > lo, (v - lo) / (hi - lo) * top).otherwise(F.lit(0.0))
+            parts.append(F.coalesce(F.floor(scaled).cast("long"), F.lit(0)))
+        else:
+            head = F.substring(F.col(c), 1, 2)
+            parts.append(F.coalesce(F.conv(F.hex(F.rpad(head, 2, "\u0000")), 16, 10).cast("long"),
+                                    F.lit(0)))
     key = F.lit(0).cast("long")
     for b in range(bits - 1, -1, -1):
         for p in parts:
             key = key * 2 + F.shiftright(p, b).bitwiseAND(F.lit(1))
-    return key
+    extra = [c for c in x.columns if c.startswith("_lo_") or c.startswith("_hi_")]
+    return x.withColumn("_z", key).drop(*extra)
 
 
 def cluster_by(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
@@ -63,6 +86,5 @@ def cluster_by(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     cols = list(cols)
     if len(cols) == 1:
         return df.repartitionByRange(files, F.col(cols[0])).sortWithinPartitions(cols[0])
-    key = _zorder_key(cols)
-    return (df.withColumn("_z", key).repartitionByRange(files, "_z")
+    return (_zorder_key(df, cols).repartitionByRange(files, "_z")
               .sortWithinPartitions("_z").drop("_z"))

@@ -32,9 +32,13 @@ def distance_ok() -> Column:
 
 def bronze(trips: DataFrame, observed: bool = False):
     """Rows passing ``valid_distance``. With ``observed`` also returns the
-    Observation holding rows seen / dropped."""
-    kept, obs = expect_or_drop(trips, VALID_DISTANCE, distance_ok())
-    return (kept, obs) if observed else kept
+    Observation holding rows seen / dropped (the ``observe`` node must see
+    every row, so it keeps the filter out of the scan). Without it the
+    expectation is a plain filter that Catalyst pushes into the parquet scan
+    (``PushedFilters: [GreaterThan(...)]``, row groups skipped by min/max)."""
+    if observed:
+        return expect_or_drop(trips, VALID_DISTANCE, distance_ok())
+    return trips.where(distance_ok())  # WHERE drops unknown: same as TRUE-only
 
 
 def bronze_metrics(trips: DataFrame) -> DataFrame:
