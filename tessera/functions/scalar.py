@@ -6,7 +6,6 @@ All are native Catalyst expressions, so they stay inside whole-stage codegen.
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.column import Column as _Col  # noqa: F401  (re-export friendly)
 
 
 def _c(x) -> Column:

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.operators.util import attach_row, cols_of
+from tessera.operators.util import cols_of
 
 
 # --- simple aggregates (G1-G6, G9-G11) ----------------------------------------
@@ -276,7 +276,7 @@ def top_group(df: DataFrame, key: str, value: str, alias: str = "total", n: int
 __all__ = [
     "group_sum", "mean_of", "group_mean", "group_means", "group_count", "count_where",
     "next_id", "distinct_values", "row_count", "exact_quantiles", "median_of",
-    "describe_exact", "top_n", "top_group", "attach_row",
+    "describe_exact", "top_n", "top_group", "dense_index",
 ]
 
 

@@ -22,8 +22,6 @@ from tessera import schemas
 
 ORDER = tv.SALES_ORDER
 ORDER_SQL = tv.SALES_ORDER_SQL
-SALES_COLS = ["transaction_id", "store_id", "store_name", "date", "product_id", "product_name",
-              "quantity", "unit_price", "total", "customer_id", "promo_code"]
 
 MED_SQL = "med AS (SELECT median(unit_price) AS m FROM sales)"
 FILLED_SQL = """filled AS (

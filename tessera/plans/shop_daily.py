@@ -45,9 +45,14 @@ def stage_products(landing: DataFrame, ingest_order: Sequence) -> DataFrame:
 def stage_orders(landing: DataFrame, ingest_order: Sequence) -> DataFrame:
     """Skip rows whose quantity (missing/bad = 0) is not positive, keep the
     last remaining row per order_id, keep the whole record as JSON text."""
-    x = landing.withColumn("raw_json", record_json(*LANDING_FIELDS))
+    # the record's JSON is built after the dedupe (fewer bytes through the
+    # shuffle), from the surviving row with its original quantity text
+    x = landing.withColumn("_quantity_text", F.col("quantity"))
     x = positive_quantity(x, "quantity")
     x = last_per_key(x, "order_id", ingest_order)
+    fields = [F.col("_quantity_text").alias("quantity") if c == "quantity" else F.col(c)
+              for c in LANDING_FIELDS]
+    x = x.withColumn("raw_json", record_json(*fields))
     return schemas.conform(x.withColumn("order_timestamp", F.col("order_timestamp")
                                         .cast("timestamp_ntz")), schemas.STG_ORDERS)
 
