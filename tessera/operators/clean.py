@@ -52,6 +52,8 @@ def fill_median(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
 
 SALES_NUMBERS = {"quantity": "double", "unit_price": "double", "total": "double",
                  "customer_id": "bigint"}
+# key columns pandas reads as integers; text input (CSV) is typed the same way
+SALES_KEYS = {"transaction_id": "bigint", "store_id": "bigint", "product_id": "bigint"}
 
 # Fixed values of the sales clean-up (defaults that must match the reference).
 SALES_FILLS = {"quantity": 1.0, "promo_code": "NONE", "product_name": "Unknown Product",
@@ -69,7 +71,7 @@ def clean_sales(df: DataFrame, order: Sequence, high_value: float = 1000.0,
     * duplicates on ``transaction_id`` keep the first row under ``order``
       (a total order standing for input order).
     """
-    x = coerce(df, timestamps=["date"], numbers=SALES_NUMBERS)
+    x = coerce(df, timestamps=["date"], numbers={**SALES_KEYS, **SALES_NUMBERS})
     x = fill_missing(x, {"quantity": SALES_FILLS["quantity"]})
     x = fill_median(x, "unit_price", approx=approx_median)
     x = fill_missing(x, {k: v for k, v in SALES_FILLS.items() if k != "quantity"})

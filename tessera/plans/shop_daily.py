@@ -106,3 +106,55 @@ def anomaly_note(status: DataFrame) -> DataFrame:
 
 def empty(spark, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+TABLES = ("stg_customers", "stg_products", "stg_orders", "dim_customers", "dim_products",
+          "fact_orders")
+SCHEMA_OF = {"stg_customers": schemas.STG_CUSTOMERS, "stg_products": schemas.STG_PRODUCTS,
+             "stg_orders": schemas.STG_ORDERS, "dim_customers": schemas.DIM_CUSTOMERS,
+             "dim_products": schemas.DIM_PRODUCTS, "fact_orders": schemas.FACT_ORDERS}
+
+
+def load_day(spark, warehouse: str, landing_base: str, run_date, run_ts: str | None = None,
+             threshold: int = MIN_ORDER_THRESHOLD) -> dict:
+    """V9: one daily run, in the order stage -> transform -> checks -> volume
+    (decision F15). Every table is a ``VersionedTable`` under ``warehouse``;
+    each step writes the table's next version, so a rerun or a backfill of a
+    date upserts again instead of adding rows. Raises when a check fails.
+    Returns the DQ report and volume status frames (read back from disk).
+    """
+    from tessera.operators.quality import require
+    from tessera.sources.files import landing_path, read_csv, read_json_records
+    from tessera.sources.versioned import VersionedTable
+    from tessera.sources.writers import write_text_lines
+
+    t = {n: VersionedTable(spark, f"{warehouse.rstrip('/')}/{n}") for n in TABLES}
+
+    def current(name):
+        return t[name].read() if t[name].latest_version() >= 0 else empty(spark, SCHEMA_OF[name])
+
+    # stage: truncate + load = one overwrite per staging table
+    cust = read_csv(spark, landing_path(landing_base, "customers", run_date, "csv"),
+                    schemas.STG_CUSTOMERS, ingest_order=True)
+    prod = read_csv(spark, landing_path(landing_base, "products", run_date, "csv"),
+                    schemas.STG_PRODUCTS, ingest_order=True)
+    ords = read_json_records(spark, landing_path(landing_base, "orders", run_date, "json"),
+                             schemas.LANDING_ORDERS, ingest_order=True)
+    t["stg_customers"].overwrite(stage_customers(cust, ["_ingest"]), operation="TRUNCATE_LOAD")
+    t["stg_products"].overwrite(stage_products(prod, ["_ingest"]), operation="TRUNCATE_LOAD")
+    t["stg_orders"].overwrite(stage_orders(ords, ["_ingest"]), operation="TRUNCATE_LOAD")
+
+    out = transform(t["stg_orders"].read(), t["stg_customers"].read(), t["stg_products"].read(),
+                    current("dim_customers"), current("dim_products"), current("fact_orders"),
+                    run_date, run_ts)
+    for name in ("stg_orders", "dim_customers", "dim_products", "fact_orders"):
+        t[name].overwrite(out[name], operation="MERGE" if name != "stg_orders" else "DELETE",
+                          params={"run_date": str(run_date)})
+
+    fact, stg = t["fact_orders"].read(), t["stg_orders"].read()
+    rep = dq_report(t["dim_customers"].read(), fact, stg, run_date)
+    require(rep)
+    status = volume(fact, run_date, threshold)
+    ymd = str(run_date).replace("-", "")
+    write_text_lines(anomaly_note(status), f"{warehouse.rstrip('/')}/anomalies/low_volume_{ymd}")
+    return {"report": rep, "status": status, "tables": t}

@@ -256,3 +256,29 @@ def test_require_fails_on_undecided(spark):
     rep = spark.createDataFrame([("a", 1, True), ("b", None, None)], "check string, observed long, passed boolean")
     with pytest.raises(ValueError):
         require(rep)
+
+
+def test_shop_load_day_rerun(spark, tmp_dir):
+    from tessera.plans import shop_daily as shop
+    base = _landing(tmp_dir)
+    wh = os.path.join(tmp_dir, "warehouse")
+    for _ in range(2):  # the same day twice: upsert, no double rows
+        res = shop.load_day(spark, wh, base, "2025-01-01", "2025-01-01 06:00:00")
+    t = res["tables"]
+    assert t["fact_orders"].read().count() == 2
+    assert t["dim_customers"].read().count() == 5 and t["dim_products"].read().count() == 2
+    assert res["status"].first()["branch"] == "warn_low_volume"
+    note = spark.read.text(os.path.join(wh, "anomalies", "low_volume_20250101")).collect()
+    assert [r.value for r in note] == ["LOW ORDER COUNT DETECTED: 2"]
+
+
+def test_sales_run_etl(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "sample.csv")
+    with open(p, "w") as f:
+        f.write(SALES_CSV)
+    out = os.path.join(tmp_dir, "clean_json")
+    clean = sales_flow.run_etl(spark, p, out, ["transaction_id"], high_value=5.0)
+    back = spark.read.json(out)
+    assert back.count() == 10 == clean.count()
+    assert sorted(r.transaction_id for r in back.where("is_high_value").collect()) == [1001, 1004, 1006]
+    assert back.where("promo_code = 'NONE'").count() == 7
