@@ -284,25 +284,28 @@ def dense_index(df: DataFrame, cols: Sequence[str], alias: str = "idx",
                 ranges: int | None = None) -> DataFrame:
     """Number the distinct rows of ``df[cols]`` 0..k-1 in ascending order.
 
-    Distributed: distinct rows are range-partitioned, each range is described
-    once (first row, row count; a tiny table of at most ``ranges`` rows), the
-    ranges get running offsets, and rows are numbered inside their own range
-    only. No window ever runs without a partition key over an unbounded set.
-    Ranges are recovered from their first row, so a recomputed partitioning
-    cannot disagree with the offsets.
+    Distributed: distinct rows are range-partitioned and ranked inside their
+    range; that result is materialised once with a reliable ``checkpoint()``
+    (in the shared ``spark.checkpoint.dir``), so the per-range counts and the
+    ranks come from the same files even if a task is retried. Range offsets
+    are a running sum over at most ``ranges`` rows, joined back on the range
+    id (broadcast, bounded by the number of ranges). No window runs without a
+    partition key over an unbounded set, and no value is compared with every
+    range.
     """
+    from tessera.session import ensure_checkpoint_dir
     cols = list(cols)
-    n_ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*[F.col(c) for c in cols])
     d = df.select(*cols).distinct().withColumn("_key", key)
-    rng = (d.repartitionByRange(n_ranges, "_key").withColumn("_pid", F.spark_partition_id())
-            .groupBy("_pid").agg(F.min("_key").alias("_lo"), F.count(F.lit(1)).alias("_rc")))
-    w_all = Window.partitionBy(F.lit(0)).orderBy("_lo")  # at most n_ranges rows
-    rng = (rng.withColumn("_off", F.sum("_rc").over(w_all.rowsBetween(
-               Window.unboundedPreceding, Window.currentRow)) - F.col("_rc"))
-              .withColumn("_next", F.lead("_lo").over(w_all))
-              .select("_lo", "_next", "_off"))
-    cond = (F.col("_key") >= F.col("_lo")) & (F.col("_next").isNull() | (F.col("_key") < F.col("_next")))
-    placed = d.join(F.broadcast(rng), cond)   # rng: bounded by the number of ranges
-    w = Window.partitionBy("_lo").orderBy("_key")
-    return placed.select(*cols, (F.col("_off") + F.row_number().over(w) - 1).alias(alias))
+    ranked = (d.repartitionByRange(n_ranges, "_key").withColumn("_pid", F.spark_partition_id())
+               .withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy("_key")))
+               .checkpoint(eager=True))
+    counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rc"))
+    w_all = Window.partitionBy(F.lit(0)).orderBy("_pid")  # at most n_ranges rows
+    offsets = counts.select("_pid", (F.sum("_rc").over(w_all.rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)) - F.col("_rc")).alias("_off"))
+    return (ranked.join(F.broadcast(offsets), "_pid")
+                  .select(*cols, (F.col("_off") + F.col("_rn") - 1).alias(alias)))

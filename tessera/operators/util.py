@@ -13,8 +13,9 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row frame (a global aggregate) to every row.
 
     The one-row side has a size bound of one row by construction, so it is
-    broadcast; the join is an equi-join on a constant key, planned as a
-    broadcast hash join, and stays lazy (nothing is collected).
+    broadcast. Catalyst folds the constant join key, so the plan is a
+    BroadcastNestedLoopJoin whose build side is that single row: every input
+    row meets exactly one row (no pair explosion), and nothing is collected.
     """
     k = "__one"
     return (df.withColumn(k, F.lit(1))
