@@ -123,23 +123,21 @@ def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     (dedupe it with W1-W3 first). Equivalent to a full outer join with
     coalesce, but needs only an anti-join and a union.
 
+    Keys match by SQL equality: a null key never matches, so such a row is
+    kept (target) or inserted (source). A plain equi-join also lets Spark
+    reuse an existing hash partitioning on the key (a source deduped by key
+    needs no second shuffle); a null-safe match would hash on
+    ``coalesce(key), isnull(key)`` and re-shuffle both sides.
+
     Scale: the anti-join shuffles both sides by key (or broadcasts the source
     when AQE measures it small); AQE splits skewed anti-join partitions.
     """
     keys = cols_of(keys)
     src = source.select(*target.columns) if set(target.columns) <= set(source.columns) else source
-    kept = target.join(src.select(*keys), on=_null_safe_on(target, src, keys), how="left_anti")
+    kept = target.join(src.select(*keys), on=keys, how="left_anti")
     return kept.unionByName(src, allowMissingColumns=True)
 
 
-def _null_safe_on(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = a[k].eqNullSafe(b[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
             normalize=None) -> DataFrame:
     """Fact rows whose ``key`` has no match in ``dim`` (null keys count as orphans).
