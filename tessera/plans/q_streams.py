@@ -7,9 +7,11 @@ from tessera import testviews as tv
 from tessera.plans import q_taxi
 from tessera.plans.catalog import ORACLE, register
 from tessera.session import scratch_path
+from tessera.plans import taxi
 from tessera.streaming import taxi as st
 
 _RUNS: dict = {}
+_METRICS: dict = {}
 
 
 def scenario(spark, sf):
@@ -22,7 +24,8 @@ def scenario(spark, sf):
         li_schema = tv.table(spark, sf, "lineitem").schema
         src = tv.trips_from_lineitem(
             st.read_stream(spark, sf, li_schema, glob="lineitem.parquet"))
-        st.ingest_stream(spark, src, f"{base}/bronze", f"{base}/_ckpt_bronze")
+        q = st.ingest_stream(spark, src, f"{base}/bronze", f"{base}/_ckpt_bronze")
+        _METRICS[key] = st.observed_totals(q, taxi.VALID_DISTANCE)
         st.flag_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/flagged",
                        f"{base}/_ckpt_flagged")
         st.refresh_weekly(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/weekly")
@@ -45,6 +48,22 @@ def q_stream_bronze(spark, sf):
                  .alias("fare_total"))
 
 
+@register("stream_expectation_metrics", ORACLE["expectation_metrics"])
+def q_stream_expectation_metrics(spark, sf):
+    """P6 in a stream: rows seen and dropped as observed by the bronze stream
+    (summed over its micro-batches), rows kept counted from the bronze table."""
+    from pyspark.sql import functions as F
+    base = scenario(spark, sf)
+    m = _METRICS[(spark.sparkContext.applicationId, sf)]
+    obs = spark.createDataFrame(
+        [(taxi.VALID_DISTANCE, m[f"{taxi.VALID_DISTANCE}_rows"], m[f"{taxi.VALID_DISTANCE}_dropped"])],
+        "expectation string, rows_seen bigint, rows_dropped bigint")
+    kept = spark.read.schema(schemas.TRIPS).parquet(f"{base}/bronze").agg(
+        F.count(F.lit(1)).alias("rows_kept"))
+    from tessera.operators.util import attach_row
+    return attach_row(obs, kept).select("expectation", "rows_seen", "rows_kept", "rows_dropped")
+
+
 @register("stream_flagged_rides", ORACLE["taxi_flagged"])
 def q_stream_flagged(spark, sf):
     """Flagged rides streamed from bronze, summarised per (week, zip)."""

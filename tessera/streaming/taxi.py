@@ -59,6 +59,19 @@ def ingest_stream(spark: SparkSession, src: DataFrame, out: str, checkpoint: str
     return q
 
 
+def observed_totals(query, name: str) -> dict:
+    """Sum a named observation over all micro-batches of a finished query
+    (the per-batch metrics Spark reports in ``recentProgress``)."""
+    out: dict = {}
+    for p in query.recentProgress:
+        row = p["observedMetrics"].get(name) if p["observedMetrics"] else None
+        if row is None:
+            continue
+        for k, v in (row.asDict() if hasattr(row, "asDict") else dict(row)).items():
+            out[k] = out.get(k, 0) + int(v)
+    return out
+
+
 def flag_stream(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str,
                 checkpoint: str):
     """Silver flagged rides, streamed from the bronze table."""

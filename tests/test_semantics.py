@@ -106,3 +106,28 @@ def test_approx_quantiles_close(spark):
     ap = stats.exact_quantiles(df, "v", [0.25, 0.5], names=["a", "b"], approx=True).first()
     assert (ex["a"], ex["b"]) == (2500.0, 5000.0)
     assert abs(ap["a"] - 2500) <= 2 and abs(ap["b"] - 5000) <= 2
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    # one key holds a third of all rows
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("ts"), (F.col("id") * 7 % 11).alias("v"))
+    out = keyed.latest_per_key(df, "k", "ts")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # a partial aggregate sits below the exchange
+    below = plan.split("Exchange hashpartitioning")[1]
+    assert "partial_max_by" in below
+    got = {r.k: r.ts for r in out.collect()}
+    assert got[0] == 29997 and len(got) == 20001
+    win = {r.k: r.ts for r in keyed.latest_per_key(df, "k", "ts", strategy="window").collect()}
+    assert got == win
+
+
+def test_exact_quantile_hot_value(spark):
+    # a single value holding a third of all rows collapses to one histogram row
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    vals = np.array([5.0 if i % 3 == 0 else float(i) for i in range(30000)])
+    got = stats.exact_quantiles(df, "v", [0.1, 0.5, 0.9], ranges=7).first()
+    assert list(got) == pytest.approx(list(np.quantile(vals, [0.1, 0.5, 0.9])))

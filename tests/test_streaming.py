@@ -53,3 +53,23 @@ def test_weekly_stream_event_time(spark, tmp_dir):
     for k in want:
         assert abs(got[k][0] - want[k][0]) < 1e-9 and abs(got[k][1] - want[k][1]) < 1e-9
     assert all(k.weekday() == 0 for k in got)  # Monday-aligned windows
+
+
+def test_new_files_are_processed_once(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "landing")
+    trips = tv.trips(spark, SF)
+    trips.where("pickup_zip < 5").write.parquet(src)
+    base = os.path.join(tmp_dir, "out")
+
+    def run():
+        st.ingest_stream(spark, st.read_stream(spark, src, schemas.TRIPS),
+                         f"{base}/bronze", f"{base}/_ck")
+        return spark.read.schema(schemas.TRIPS).parquet(f"{base}/bronze").count()
+
+    first = run()
+    # a new landing file arrives: only it is processed by the next run
+    trips.where("pickup_zip >= 5").write.mode("append").parquet(src)
+    second = run()
+    assert first == taxi.bronze(trips.where("pickup_zip < 5")).count()
+    assert second == taxi.bronze(trips).count()
+    assert run() == second
