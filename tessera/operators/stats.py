@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.operators.util import cols_of
+from tessera.session import ensure_checkpoint_dir
 
 
 # --- simple aggregates (G1-G6, G9-G11) ----------------------------------------
@@ -144,10 +145,15 @@ def exact_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
     # (1) value histogram: hot values collapse to one row (partial aggregation).
     hist = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
 
-    # (2)+(3) range-partition the histogram and describe each range once.
+    # (2)+(3) range-partition the histogram and describe each range once. The
+    # range table (at most `ranges` rows per group) is materialised with a
+    # reliable checkpoint: range bounds come from sampling, and a recomputed
+    # copy could draw other bounds, so every later branch must read one copy.
+    ensure_checkpoint_dir(spark)
     ranged = hist.repartitionByRange(n_ranges, *by, "_v").withColumn("_pid", F.spark_partition_id())
     rng = ranged.groupBy(*by, "_pid").agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_rc"))
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_rc")
+    ).checkpoint(eager=True)
     grp_w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     rng = (rng.withColumn("_end", F.sum("_rc").over(grp_w.orderBy("_lo").rowsBetween(
                Window.unboundedPreceding, Window.currentRow)))
@@ -293,7 +299,6 @@ def dense_index(df: DataFrame, cols: Sequence[str], alias: str = "idx",
     partition key over an unbounded set, and no value is compared with every
     range.
     """
-    from tessera.session import ensure_checkpoint_dir
     cols = list(cols)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
