@@ -143,13 +143,15 @@ def exact_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
     n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # (1) value histogram: hot values collapse to one row (partial aggregation).
-    hist = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # It is materialised once (reliable checkpoint in the shared folder): the
+    # source is then scanned a single time, and later passes read the compact
+    # (value, count) rows in a fixed order.
+    ensure_checkpoint_dir(spark)
+    hist = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
 
     # (2)+(3) range-partition the histogram and describe each range once. The
-    # range table (at most `ranges` rows per group) is materialised with a
-    # reliable checkpoint: range bounds come from sampling, and a recomputed
-    # copy could draw other bounds, so every later branch must read one copy.
-    ensure_checkpoint_dir(spark)
+    # range table (at most `ranges` rows per group) is materialised too: range
+    # bounds come from sampling, so every later branch must read one copy.
     ranged = hist.repartitionByRange(n_ranges, *by, "_v").withColumn("_pid", F.spark_partition_id())
     rng = ranged.groupBy(*by, "_pid").agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_rc")
