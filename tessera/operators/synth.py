@@ -17,8 +17,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.operators.keyed import first_id_by_name
-from tessera.operators.stats import dense_index, next_id
+from tessera.operators.stats import dense_index
+from tessera.session import ensure_checkpoint_dir
 from tessera.operators.util import attach_row
 
 # Fixed parameters of the generator (ranges of the generated values).
@@ -56,16 +56,37 @@ def synth_sales(spark, sales: DataFrame, n: int, order: Sequence[str], seed: int
     are drawn as a pair; ``independent_store`` draws the name separately, as
     the original generator did (decision F2).
     """
-    start = next_id(sales, "transaction_id", "_start")
+    # One pass over the input: grouping sets give the store pairs (or stores and
+    # names), product names with their first id, promo codes and the highest id
+    # in a single Expand + partially aggregated shuffle; the small result is
+    # materialised once and every list is read from it.
+    store_sets = [["store_id"], ["store_name"]] if independent_store else [["store_id", "store_name"]]
+    sets = store_sets + [["product_name"], ["promo_code"], []]
+    keys = ["store_id", "store_name", "product_name", "promo_code"]
+    # the "first row" order is taken on the raw columns, before the NONE fill
+    src = (sales.withColumn("_rank", F.struct(*[F.col(o) for o in order]))
+                .withColumn("promo_code", F.coalesce("promo_code", F.lit("NONE"))))
+    ensure_checkpoint_dir(spark)
+    g = (src.groupingSets(sets, *keys)
+            .agg(F.grouping_id().alias("_gid"), F.min_by("product_id", "_rank").alias("product_id"),
+                 F.max("transaction_id").alias("_max_id"))
+            .checkpoint(eager=True))
+
+    def gid(*grouped):
+        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in grouped)
+
+    start = g.where(F.col("_gid") == gid()).select(
+        (F.coalesce(F.col("_max_id"), F.lit(-1)) + 1).alias("_start"))
     if independent_store:
-        stores = dense_index(sales, ["store_id"])
-        names = dense_index(sales, ["store_name"])
+        stores = dense_index(g.where(F.col("_gid") == gid("store_id")), ["store_id"])
+        names = dense_index(g.where(F.col("_gid") == gid("store_name")), ["store_name"])
     else:
-        stores = dense_index(sales, ["store_id", "store_name"])
-    prods = dense_index(sales.where(F.col("product_name").isNotNull()), ["product_name"])
-    prods = prods.join(first_id_by_name(sales, "product_name", "product_id", order), "product_name")
-    promos = dense_index(sales.select(F.coalesce("promo_code", F.lit("NONE")).alias("promo_code")),
-                         ["promo_code"])
+        stores = dense_index(g.where(F.col("_gid") == gid("store_id", "store_name")),
+                             ["store_id", "store_name"])
+    pg = g.where((F.col("_gid") == gid("product_name")) & F.col("product_name").isNotNull())
+    prods = dense_index(pg, ["product_name"]).join(pg.select("product_name", "product_id"),
+                                                   "product_name")
+    promos = dense_index(g.where(F.col("_gid") == gid("promo_code")), ["promo_code"])
 
     def size(df: DataFrame, alias: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(alias))

@@ -131,3 +131,19 @@ def test_exact_quantile_hot_value(spark):
     vals = np.array([5.0 if i % 3 == 0 else float(i) for i in range(30000)])
     got = stats.exact_quantiles(df, "v", [0.1, 0.5, 0.9], ranges=7).first()
     assert list(got) == pytest.approx(list(np.quantile(vals, [0.1, 0.5, 0.9])))
+
+
+def test_synth_independent_store(spark):
+    from tessera.operators.synth import synth_sales
+    from tessera import testviews as tv
+    s = tv.sales(spark, "/root/testdata/sf0.001")
+    a = synth_sales(spark, s, 300, tv.SALES_ORDER, independent_store=True)
+    b = synth_sales(spark, s, 300, tv.SALES_ORDER, independent_store=True)
+    rows = a.collect()
+    assert len(rows) == 300 and sorted(rows) == sorted(b.collect())  # repeatable
+    names = {r.store_name for r in s.select("store_name").distinct().collect()}
+    assert {r.store_name for r in rows} <= names
+    start = s.agg(F.max("transaction_id")).first()[0] + 1
+    assert sorted(r.transaction_id for r in rows) == list(range(start, start + 300))
+    assert all(1 <= r.quantity <= 10 and 0.5 <= r.unit_price <= 15.0 for r in rows)
+    assert all(2001 <= r.customer_id <= 5000 and r.date.month == 10 for r in rows)
