@@ -45,3 +45,20 @@ def run_etl(spark: SparkSession, csv_path: str, out_path: str, order: Sequence,
     clean = clean_sales(raw, order, high_value=high_value)
     write_json(clean, out_path)
     return clean
+
+
+# The ETL steps under the names the original script used.
+def extract(spark: SparkSession, csv_path: str) -> DataFrame:
+    """Read the sales CSV (all columns as text, coerced in ``transform``)."""
+    return read_csv(spark, csv_path, schemas.SALES_TEXT)
+
+
+def transform(df: DataFrame, order: Sequence = ("transaction_id",),
+              high_value: float = 1000.0) -> DataFrame:
+    """Coerce, fill, derive ``computed_total`` / ``is_high_value``, dedupe."""
+    return clean_sales(df, list(order), high_value=high_value)
+
+
+def load(df: DataFrame, output_path: str) -> None:
+    """Write JSON records (ISO time stamps, nulls kept)."""
+    write_json(df, output_path)
