@@ -3,7 +3,8 @@
 v0 partitioned overwrite -> pruned read -> v1 update -> v2 append with new
 columns -> v3 update -> v4 delete -> v5.. one-row appends (small files) ->
 compaction -> clustering. Each change is a DataFrame transformation of the
-previous version, written as the next version (``VersionedTable``).
+previous version, written as the next version (``VersionedTable``); updates
+and deletes rewrite only the partitions their condition touches.
 """
 
 from __future__ import annotations
@@ -42,15 +43,15 @@ def run(table: VersionedTable, initial: DataFrame, second_batch: DataFrame,
     v = {}
     v["write"] = table.overwrite(with_order_date(initial), partition_by,
                                  params={"mode": "overwrite", "partitionBy": list(partition_by)})
-    v["update1"] = table.overwrite(
-        update_where(table.read(), first_update, {"status": "'CANCELLED'"}), partition_by,
+    v["update1"] = table.change(
+        first_update, lambda df: update_where(df, first_update, {"status": "'CANCELLED'"}),
         operation="UPDATE", params={"predicate": first_update})
     v["append"] = table.append(with_order_date(second_batch), merge_schema=True)
-    v["update2"] = table.overwrite(
-        update_where(table.read(), second_update, {"status": "'CANCELLED'"}), partition_by,
+    v["update2"] = table.change(
+        second_update, lambda df: update_where(df, second_update, {"status": "'CANCELLED'"}),
         operation="UPDATE", params={"predicate": second_update})
-    v["delete"] = table.overwrite(delete_where(table.read(), delete_cond), partition_by,
-                                  operation="DELETE", params={"predicate": delete_cond})
+    v["delete"] = table.change(delete_cond, lambda df: delete_where(df, delete_cond),
+                               operation="DELETE", params={"predicate": delete_cond})
     base = table.read(v["delete"])
     for i in range(n_small):
         v[f"small_{i}"] = table.append(small_file_rows(base, i))

@@ -80,13 +80,18 @@ class VersionedTable:
         schema = T.StructType.fromJson(json.loads(e["schema_json"]))
         return self._read_many(json.loads(e["folders"]), schema)
 
-    def _read_many(self, folders: list[str], schema: T.StructType) -> DataFrame:
+    def _read_many(self, folders: list, schema: T.StructType) -> DataFrame:
         # One scan per data folder (each is its own partition tree, so they
-        # cannot share one partition discovery), unioned by name. Compaction
-        # folds them back into one folder.
+        # cannot share one partition discovery), unioned by name. An entry may
+        # exclude partitions that a later change rewrote elsewhere: that filter
+        # is on partition columns only, so Spark prunes those directories.
+        # Compaction folds everything back into one folder.
         out = None
-        for f in folders:
-            part = self.spark.read.schema(schema).parquet(f)
+        for entry in folders:
+            path, exclude = (entry, []) if isinstance(entry, str) else (entry["path"], entry["exclude"])
+            part = self.spark.read.schema(schema).parquet(path)
+            if exclude:
+                part = part.where(~_any_partition(exclude, schema))
             out = part if out is None else out.unionByName(part)
         return out
 
@@ -142,6 +147,36 @@ class VersionedTable:
         p = dict(params or {}, mode="append", mergeSchema=bool(merge_schema))
         return self._commit("WRITE", p, df, folders, part, merged, n)
 
+    def change(self, cond, apply, operation: str, params: dict | None = None) -> int:
+        """V1 / V2 on a partitioned table: rewrite only the partitions where
+        ``cond`` is TRUE for some row. ``apply`` maps the rows of those
+        partitions to their new rows (an update or a delete). The touched
+        partition values (bounded by the number of partitions, like a file
+        listing) are found with a distributed ``distinct``; earlier folders
+        stay, listed with those partitions excluded. An unpartitioned table is
+        rewritten whole.
+        """
+        from tessera.functions.scalar import true_only
+        e = self._entry()
+        part = json.loads(e["partition_by"])
+        current = self.read()
+        if not part:
+            return self.overwrite(apply(current), (), operation=operation, params=params)
+        c = F.expr(cond) if isinstance(cond, str) else cond
+        touched = current.where(true_only(c)).select(*part).distinct()
+        values = [{k: (None if v is None else str(v)) for k, v in r.asDict().items()}
+                  for r in touched.collect()]
+        schema = T.StructType.fromJson(json.loads(e["schema_json"]))
+        old = [({"path": x, "exclude": []} if isinstance(x, str) else x)
+               for x in json.loads(e["folders"])]
+        entries = [{"path": x["path"], "exclude": x["exclude"] + values} for x in old]
+        if values:
+            rows = current.where(_any_partition(values, schema))
+            entries.append({"path": self._write_folder(apply(rows), part), "exclude": []})
+        n = self._read_many(entries, schema).count()
+        return self._commit(operation, dict(params or {}, partitions_rewritten=len(values)),
+                            current, entries, part, schema, n)
+
     @staticmethod
     def _schema_of(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
         # data columns first, partition columns last (as Spark reads them back)
@@ -152,3 +187,16 @@ class VersionedTable:
     def partition_by(self) -> list[str]:
         e = self._entry()
         return [] if e is None else json.loads(e["partition_by"])
+
+
+def _any_partition(values: list[dict], schema: T.StructType):
+    """OR over partition value dicts of AND(col <=> value), typed by ``schema``."""
+    out = None
+    for v in values:
+        term = None
+        for k, x in v.items():
+            lit = F.lit(x).cast(schema[k].dataType)
+            t = F.col(k).eqNullSafe(lit)
+            term = t if term is None else term & t
+        out = term if out is None else out | term
+    return out

@@ -174,6 +174,12 @@ def test_orders_versions(spark, tmp_dir):
     assert sorted(r.order_id for r in pr.collect()) == ["o-1001", "o-1003"]
     plan = pr._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+    # the first update touched one (country, date) partition: only it was rewritten
+    h1 = t.history().where("version = 1").first()
+    assert json.loads(h1["parameters"])["partitions_rewritten"] == 1
+    entries = json.loads(h1["folders"])
+    assert len(entries) == 2 and spark.read.parquet(entries[1]["path"]).count() == 2  # o-1002, o-1005
+    assert "PartitionFilters" in t.read(1)._jdf.queryExecution().executedPlan().toString()
     assert t.read(0).where("order_id = 'o-1002'").first()["status"] == "PAID"
     assert t.read(1).where("order_id = 'o-1002'").first()["status"] == "CANCELLED"
     v2r = t.read(2)
