@@ -147,9 +147,16 @@ def load_day(spark, warehouse: str, landing_base: str, run_date, run_ts: str | N
     out = transform(t["stg_orders"].read(), t["stg_customers"].read(), t["stg_products"].read(),
                     current("dim_customers"), current("dim_products"), current("fact_orders"),
                     run_date, run_ts)
-    for name in ("stg_orders", "dim_customers", "dim_products", "fact_orders"):
+    for name in ("stg_orders", "dim_customers", "dim_products"):
         t[name].overwrite(out[name], operation="MERGE" if name != "stg_orders" else "DELETE",
                           params={"run_date": str(run_date)})
+    # the fact table is partitioned by load date; a run rewrites only the
+    # partitions holding one of its orders (an order can move to a later date)
+    rows = fact_rows(t["stg_orders"].read(), run_date)
+    if t["fact_orders"].latest_version() < 0:
+        t["fact_orders"].overwrite(rows, ["load_date"], operation="CREATE")
+    else:
+        t["fact_orders"].merge(rows, "order_id", params={"run_date": str(run_date)})
 
     fact, stg = t["fact_orders"].read(), t["stg_orders"].read()
     rep = dq_report(t["dim_customers"].read(), fact, stg, run_date)

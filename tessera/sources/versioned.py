@@ -150,28 +150,53 @@ class VersionedTable:
     def change(self, cond, apply, operation: str, params: dict | None = None) -> int:
         """V1 / V2 on a partitioned table: rewrite only the partitions where
         ``cond`` is TRUE for some row. ``apply`` maps the rows of those
-        partitions to their new rows (an update or a delete). The touched
-        partition values (bounded by the number of partitions, like a file
-        listing) are found with a distributed ``distinct``; earlier folders
-        stay, listed with those partitions excluded. An unpartitioned table is
-        rewritten whole.
+        partitions to their new rows (an update or a delete). An unpartitioned
+        table is rewritten whole.
         """
         from tessera.functions.scalar import true_only
-        e = self._entry()
-        part = json.loads(e["partition_by"])
+        part = self.partition_by()
         current = self.read()
         if not part:
             return self.overwrite(apply(current), (), operation=operation, params=params)
         c = F.expr(cond) if isinstance(cond, str) else cond
-        touched = current.where(true_only(c)).select(*part).distinct()
-        values = [{k: (None if v is None else str(v)) for k, v in r.asDict().items()}
-                  for r in touched.collect()]
+        touched = current.where(true_only(c)).select(*part)
+        return self._rewrite_partitions(current, touched, apply, operation, params)
+
+    def merge(self, source: DataFrame, keys, operation: str = "MERGE",
+              params: dict | None = None) -> int:
+        """V3 / V9: upsert ``source`` (unique per key) by key, rewriting only the
+        partitions that hold one of its keys or receive one of its rows (a row
+        may move to another partition: the old copy goes with its partition's
+        rewrite). Touched partitions are found with a distributed semi-join."""
+        from tessera.operators.keyed import upsert
+        from tessera.operators.util import cols_of
+        keys = cols_of(keys)
+        part = self.partition_by()
+        current = self.read()
+        if not part:
+            return self.overwrite(upsert(current, source, keys), (), operation=operation,
+                                  params=params)
+        hit = current.join(source.select(*keys), keys, "left_semi").select(*part)
+        touched = hit.unionByName(source.select(*part))
+        return self._rewrite_partitions(current, touched, lambda rows: upsert(rows, source, keys),
+                                        operation, params, extra_rows=True)
+
+    def _rewrite_partitions(self, current: DataFrame, touched: DataFrame, apply,
+                            operation: str, params: dict | None, extra_rows: bool = False) -> int:
+        """Write ``apply(rows of the touched partitions)`` as a new folder and
+        list earlier folders with those partitions excluded. The touched
+        partition values are bounded by the number of partitions (metadata,
+        like a file listing) and come from a distributed ``distinct``."""
+        e = self._entry()
+        part = json.loads(e["partition_by"])
         schema = T.StructType.fromJson(json.loads(e["schema_json"]))
+        values = [{k: (None if v is None else str(v)) for k, v in r.asDict().items()}
+                  for r in touched.distinct().collect()]
         old = [({"path": x, "exclude": []} if isinstance(x, str) else x)
                for x in json.loads(e["folders"])]
         entries = [{"path": x["path"], "exclude": x["exclude"] + values} for x in old]
-        if values:
-            rows = current.where(_any_partition(values, schema))
+        if values or extra_rows:
+            rows = current.where(_any_partition(values, schema)) if values else current.limit(0)
             entries.append({"path": self._write_folder(apply(rows), part), "exclude": []})
         n = self._read_many(entries, schema).count()
         return self._commit(operation, dict(params or {}, partitions_rewritten=len(values)),

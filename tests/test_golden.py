@@ -288,3 +288,24 @@ def test_sales_run_etl(spark, tmp_dir):
     assert back.count() == 10 == clean.count()
     assert sorted(r.transaction_id for r in back.where("is_high_value").collect()) == [1001, 1004, 1006]
     assert back.where("promo_code = 'NONE'").count() == 7
+
+
+def test_fact_merge_moves_order_to_later_load(spark, tmp_dir):
+    from tessera.sources.versioned import VersionedTable
+    cols = "order_id string, order_timestamp timestamp_ntz, status string, load_date date"
+    t = VersionedTable(spark, os.path.join(tmp_dir, "fact"))
+    d1 = spark.createDataFrame([("o1", dt.datetime(2025, 1, 1, 5), "new", dt.date(2025, 1, 1)),
+                                ("o2", dt.datetime(2025, 1, 1, 6), "new", dt.date(2025, 1, 1)),
+                                ("o3", dt.datetime(2024, 12, 31, 6), "new", dt.date(2024, 12, 31))], cols)
+    t.overwrite(d1, ["load_date"])
+    # day 2 sends o1 again with an OLDER time stamp: the later run still wins
+    d2 = spark.createDataFrame([("o1", dt.datetime(2024, 12, 1), "fixed", dt.date(2025, 1, 2)),
+                                ("o4", dt.datetime(2025, 1, 2, 1), "new", dt.date(2025, 1, 2))], cols)
+    for _ in range(2):  # a rerun changes nothing
+        t.merge(d2, "order_id")
+    got = {r.order_id: (r.status, r.load_date) for r in t.read().collect()}
+    assert got == {"o1": ("fixed", dt.date(2025, 1, 2)), "o2": ("new", dt.date(2025, 1, 1)),
+                   "o3": ("new", dt.date(2024, 12, 31)), "o4": ("new", dt.date(2025, 1, 2))}
+    h = t.history().where("version = 1").first()
+    # o1's old partition (2025-01-01) and the new one (2025-01-02); 2024-12-31 untouched
+    assert json.loads(h["parameters"])["partitions_rewritten"] == 2
