@@ -33,12 +33,15 @@ def layout_report(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFram
 
 
 def compact(df: DataFrame, partition_cols: Sequence[str] = (), files: int | None = None) -> DataFrame:
-    """V7: same rows, few files: hash-partition by the partition columns
-    (``files`` output tasks for an unpartitioned table)."""
-    cols = [F.col(c) for c in partition_cols]
-    if cols:
-        return df.repartition(files, *cols) if files else df.repartition(*cols)
-    return df.repartition(files or 1)
+    """V7: same rows, few files. Partitioned: rebalance by the partition
+    columns, so each partition value is one file unless it exceeds AQE's
+    advisory partition size, in which case it becomes several files of about
+    that size (or ``files`` fixed hash buckets). Unpartitioned: rebalanced
+    into advisory-sized files (or exactly ``files``)."""
+    cols = list(partition_cols)
+    if files:
+        return df.repartition(files, *[F.col(c) for c in cols])
+    return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
 
 
 def _zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 16) -> DataFrame:

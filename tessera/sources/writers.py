@@ -32,16 +32,19 @@ def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str =
                       files_per_partition: int | None = None) -> None:
     """K3 / K4: partitioned parquet write (overwrite or append).
 
-    ``repartition(*cols)`` co-locates each partition value in one task (one
-    file per partition value). For a very large partition value pass
-    ``files_per_partition`` to spread it over that many files instead.
+    By default the rows are rebalanced by the partition columns (``rebalance``
+    hint): AQE keeps each partition value in one task (one file per value)
+    when it is small, and splits a value larger than the advisory partition
+    size over several tasks, so a partition value holding a third of all rows
+    is not written by one task. ``files_per_partition`` instead fixes the
+    number of files per value with a hash salt.
     """
     cols = list(cols)
     if files_per_partition and files_per_partition > 1:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in cols], salt)
     elif cols:
-        df = df.repartition(*[F.col(c) for c in cols])
+        df = df.hint("rebalance", *cols)
     df.write.mode(mode).partitionBy(*cols).parquet(path)
 
 

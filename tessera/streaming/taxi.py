@@ -28,9 +28,15 @@ from tessera.plans import taxi
 from tessera.sources.writers import materialize
 
 
+DEFAULT_MAX_FILES = 1000
+
+
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None,
-                max_files: int | None = None) -> DataFrame:
-    """Incremental read of new parquet files under ``path``."""
+                max_files: int | None = DEFAULT_MAX_FILES) -> DataFrame:
+    """Incremental read of new parquet files under ``path``.
+
+    ``max_files`` bounds one micro-batch (``availableNow`` then drains a large
+    backlog in several bounded batches instead of one huge one)."""
     r = spark.readStream.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
