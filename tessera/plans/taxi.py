@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.functions.scalar import round_half_up, week_start
 from tessera.operators.filters import suspicious_ride
+from tessera.operators.keyed import left_lookup
 from tessera.operators.quality import expect_or_drop, expectation_counts
 from tessera.operators.stats import group_means, top_n
 
@@ -74,7 +75,7 @@ def top_rides(flagged_df: DataFrame, weekly_df: DataFrame, n: int = 3) -> DataFr
     w = weekly_df.select(F.col("week").alias("_w"), "avg_amount", "avg_distance")
     # `best` has at most n rows; `weekly` one row per week, broadcast by AQE
     # when its measured size is under the threshold (sort-merge otherwise).
-    j = best.join(w, F.col("_w") == F.col("week"), "left")
+    j = left_lookup(best, w, F.col("_w") == F.col("week"))
     return j.select(F.col("_w").alias("week"),
                     round_half_up("avg_amount", 2).alias("avg_amount"),
                     round_half_up("avg_distance", 3).alias("avg_distance"),

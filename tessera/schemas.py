@@ -80,16 +80,12 @@ FACT_ORDERS = _schema(
     ("currency", S, True), ("currency_mismatch_flag", B, True), ("status", S, True),
     ("load_date", DT, True))
 
-HISTORY = _schema(
-    ("version", L, False), ("operation", S, False), ("parameters", S, True),
-    ("num_rows", L, True), ("schema_json", S, True), ("partition_by", S, True))
-
 SCHEMAS = {
     "sales": SALES, "sales_text": SALES_TEXT, "trips": TRIPS, "orders": ORDERS,
     "orders_text": ORDERS_TEXT, "orders_evolved_text": ORDERS_EVOLVED_TEXT,
     "stg_customers": STG_CUSTOMERS, "stg_products": STG_PRODUCTS, "stg_orders": STG_ORDERS,
     "landing_orders": LANDING_ORDERS, "dim_customers": DIM_CUSTOMERS,
-    "dim_products": DIM_PRODUCTS, "fact_orders": FACT_ORDERS, "history": HISTORY,
+    "dim_products": DIM_PRODUCTS, "fact_orders": FACT_ORDERS,
 }
 
 
