@@ -289,30 +289,31 @@ __all__ = [
 
 
 def dense_index(df: DataFrame, cols: Sequence[str], alias: str = "idx",
-                ranges: int | None = None) -> DataFrame:
-    """Number the distinct rows of ``df[cols]`` 0..k-1 in ascending order.
+                ranges: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Number the distinct rows of ``df[cols]`` 0..k-1 in ascending order
+    (separately within each group of ``by``).
 
     Distributed: distinct rows are range-partitioned and ranked inside their
     range; that result is materialised once with a reliable ``checkpoint()``
     (in the shared ``spark.checkpoint.dir``), so the per-range counts and the
     ranks come from the same files even if a task is retried. Range offsets
-    are a running sum over at most ``ranges`` rows, joined back on the range
-    id (broadcast, bounded by the number of ranges). No window runs without a
-    partition key over an unbounded set, and no value is compared with every
-    range.
+    are running sums over at most ``groups x ranges`` rows, joined back on
+    (group, range id). No window runs without a partition key over an
+    unbounded set, and no value is compared with every range.
     """
-    cols = list(cols)
+    cols, by = list(cols), list(by)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*[F.col(c) for c in cols])
-    d = df.select(*cols).distinct().withColumn("_key", key)
-    ranked = (d.repartitionByRange(n_ranges, "_key").withColumn("_pid", F.spark_partition_id())
-               .withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy("_key")))
+    d = df.select(*by, *cols).distinct().withColumn("_key", key)
+    ranked = (d.repartitionByRange(n_ranges, *by, "_key").withColumn("_pid", F.spark_partition_id())
+               .withColumn("_rn", F.row_number().over(
+                   Window.partitionBy(*by, "_pid").orderBy("_key")))
                .checkpoint(eager=True))
-    counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rc"))
-    w_all = Window.partitionBy(F.lit(0)).orderBy("_pid")  # at most n_ranges rows
-    offsets = counts.select("_pid", (F.sum("_rc").over(w_all.rowsBetween(
+    counts = ranked.groupBy(*by, "_pid").agg(F.count(F.lit(1)).alias("_rc"))
+    w_grp = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_pid")
+    offsets = counts.select(*by, "_pid", (F.sum("_rc").over(w_grp.rowsBetween(
         Window.unboundedPreceding, Window.currentRow)) - F.col("_rc")).alias("_off"))
-    return (ranked.join(F.broadcast(offsets), "_pid")
-                  .select(*cols, (F.col("_off") + F.col("_rn") - 1).alias(alias)))
+    return (ranked.join(F.broadcast(offsets), [*by, "_pid"])
+                  .select(*by, *cols, (F.col("_off") + F.col("_rn") - 1).alias(alias)))

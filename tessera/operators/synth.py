@@ -77,16 +77,22 @@ def synth_sales(spark, sales: DataFrame, n: int, order: Sequence[str], seed: int
 
     start = g.where(F.col("_gid") == gid()).select(
         (F.coalesce(F.col("_max_id"), F.lit(-1)) + 1).alias("_start"))
+    # number every list in one pass: within each grouping set the columns it
+    # does not group by are null, so the key orders by the grouped columns
+    lists = g.where((F.col("_gid") != gid()) & ~((F.col("_gid") == gid("product_name"))
+                                                 & F.col("product_name").isNull()))
+    numbered = dense_index(lists, keys, by=["_gid"])
+
+    def part(*grouped):
+        return numbered.where(F.col("_gid") == gid(*grouped)).select(*grouped, "idx")
+
     if independent_store:
-        stores = dense_index(g.where(F.col("_gid") == gid("store_id")), ["store_id"])
-        names = dense_index(g.where(F.col("_gid") == gid("store_name")), ["store_name"])
+        stores, names = part("store_id"), part("store_name")
     else:
-        stores = dense_index(g.where(F.col("_gid") == gid("store_id", "store_name")),
-                             ["store_id", "store_name"])
-    pg = g.where((F.col("_gid") == gid("product_name")) & F.col("product_name").isNotNull())
-    prods = dense_index(pg, ["product_name"]).join(pg.select("product_name", "product_id"),
-                                                   "product_name")
-    promos = dense_index(g.where(F.col("_gid") == gid("promo_code")), ["promo_code"])
+        stores = part("store_id", "store_name")
+    pids = g.where(F.col("_gid") == gid("product_name")).select("product_name", "product_id")
+    prods = part("product_name").join(pids, "product_name")
+    promos = part("promo_code")
 
     def size(df: DataFrame, alias: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(alias))
