@@ -160,7 +160,8 @@ class VersionedTable:
             return self.overwrite(apply(current), (), operation=operation, params=params)
         c = F.expr(cond) if isinstance(cond, str) else cond
         touched = current.where(true_only(c)).select(*part)
-        return self._rewrite_partitions(current, touched, apply, operation, params)
+        return self._rewrite_partitions(current, touched, apply, operation, params,
+                                        full=lambda: apply(current))
 
     def merge(self, source: DataFrame, keys, operation: str = "MERGE",
               params: dict | None = None) -> int:
@@ -179,21 +180,34 @@ class VersionedTable:
         hit = current.join(source.select(*keys), keys, "left_semi").select(*part)
         touched = hit.unionByName(source.select(*part))
         return self._rewrite_partitions(current, touched, lambda rows: upsert(rows, source, keys),
-                                        operation, params, extra_rows=True)
+                                        operation, params, extra_rows=True,
+                                        full=lambda: upsert(current, source, keys))
+
+    # Above this many partition values (touched now, or excluded so far) a
+    # change rewrites the whole table instead: it resets the manifest and keeps
+    # read predicates short.
+    MAX_REWRITE_PARTITIONS = 1000
 
     def _rewrite_partitions(self, current: DataFrame, touched: DataFrame, apply,
-                            operation: str, params: dict | None, extra_rows: bool = False) -> int:
+                            operation: str, params: dict | None, extra_rows: bool = False,
+                            full=None) -> int:
         """Write ``apply(rows of the touched partitions)`` as a new folder and
         list earlier folders with those partitions excluded. The touched
         partition values are bounded by the number of partitions (metadata,
-        like a file listing) and come from a distributed ``distinct``."""
+        like a file listing) and come from a distributed ``distinct``; at most
+        ``MAX_REWRITE_PARTITIONS + 1`` of them reach the driver."""
         e = self._entry()
         part = json.loads(e["partition_by"])
         schema = T.StructType.fromJson(json.loads(e["schema_json"]))
+        limit = self.MAX_REWRITE_PARTITIONS
         values = [{k: (None if v is None else str(v)) for k, v in r.asDict().items()}
-                  for r in touched.distinct().collect()]
+                  for r in touched.distinct().limit(limit + 1).collect()]
         old = [({"path": x, "exclude": []} if isinstance(x, str) else x)
                for x in json.loads(e["folders"])]
+        excluded = max((len(x["exclude"]) for x in old), default=0)
+        if full is not None and (len(values) > limit or excluded + len(values) > limit):
+            return self.overwrite(full(), part, operation=operation,
+                                  params=dict(params or {}, partitions_rewritten="all"))
         entries = [{"path": x["path"], "exclude": x["exclude"] + values} for x in old]
         if values or extra_rows:
             rows = current.where(_any_partition(values, schema)) if values else current.limit(0)

@@ -309,3 +309,20 @@ def test_fact_merge_moves_order_to_later_load(spark, tmp_dir):
     h = t.history().where("version = 1").first()
     # o1's old partition (2025-01-01) and the new one (2025-01-02); 2024-12-31 untouched
     assert json.loads(h["parameters"])["partitions_rewritten"] == 2
+
+
+def test_change_falls_back_to_full_rewrite(spark, tmp_dir):
+    from tessera.operators.changes import update_where
+    from tessera.sources.versioned import VersionedTable
+    t = VersionedTable(spark, os.path.join(tmp_dir, "t"))
+    t.MAX_REWRITE_PARTITIONS = 3
+    df = spark.range(40).select((F.col("id") % 8).alias("p"), F.col("id"), F.lit("a").alias("s"))
+    t.overwrite(df, ["p"])
+    t.change("p < 2", lambda x: update_where(x, "p < 2", {"s": F.lit("b")}), "UPDATE")
+    assert json.loads(t.history().where("version = 1").first()["parameters"])["partitions_rewritten"] == 2
+    t.change("p >= 4", lambda x: update_where(x, "p >= 4", {"s": F.lit("c")}), "UPDATE")
+    h2 = t.history().where("version = 2").first()
+    assert json.loads(h2["parameters"])["partitions_rewritten"] == "all"
+    assert len(json.loads(h2["folders"])) == 1
+    got = {r.id: r.s for r in t.read().collect()}
+    assert all(got[i] == ("b" if i % 8 < 2 else "c" if i % 8 >= 4 else "a") for i in range(40))

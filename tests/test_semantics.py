@@ -147,3 +147,23 @@ def test_synth_independent_store(spark):
     assert sorted(r.transaction_id for r in rows) == list(range(start, start + 300))
     assert all(1 <= r.quantity <= 10 and 0.5 <= r.unit_price <= 15.0 for r in rows)
     assert all(2001 <= r.customer_id <= 5000 and r.date.month == 10 for r in rows)
+
+
+def test_hot_partition_value_is_split_on_write(spark, tmp_dir):
+    import glob
+    import os
+    from tessera.sources.writers import write_partitioned
+    df = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            F.concat(F.lit("p"), (F.col("id") % 50).cast("string"))).alias("part"),
+        F.col("id"), (F.col("id") * 7919 % 1000003).alias("payload"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        out = os.path.join(tmp_dir, "t")
+        write_partitioned(df, out, ["part"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = glob.glob(os.path.join(out, "part=hot", "*.parquet"))
+    assert len(hot) > 1                       # the hot value is written by several tasks
+    assert spark.read.parquet(out).count() == 300000
