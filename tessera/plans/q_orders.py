@@ -150,3 +150,14 @@ def q_layout_report(spark, sf):
     table, v = scenario(spark, sf)
     rep = layout_report(table.read(v["compact"]), ["country"])
     return rep.select("country", "n_files", "n_rows")
+
+
+@register("cluster_table_zorder", O("SELECT * FROM final"))
+def q_cluster_table_zorder(spark, sf):
+    """V8, several columns: Z-order clustering by (customer_id, order_date),
+    written as files and read back: every row kept."""
+    from tessera.operators.layout import cluster_by
+    table, v = scenario(spark, sf)
+    path = scratch_path(spark, "orders_zorder")
+    cluster_by(table.read(v["compact"]), ["customer_id", "order_date"], 8).write.parquet(path)
+    return spark.read.schema(table.read(v["compact"]).schema).parquet(path)
