@@ -3,9 +3,8 @@
 * ``layout_report`` counts files and bytes per partition from the hidden
   ``_metadata`` columns: a distributed aggregate, no file listing on the
   driver.
-* ``compact`` rewrites a table with ``repartition(n, *partition_cols)`` so
-  each partition value lands in one task: one file per partition (or ``n``
-  hash buckets of files for a very large partition value).
+* ``compact`` rebalances a table by its partition columns (AQE): one file
+  per partition value, several advisory-sized files for a very large value.
 * ``cluster_by`` range-partitions on the clustering column(s) and sorts inside
   each file, so parquet min/max statistics of each file cover a narrow range
   and a point lookup skips most files. For several columns the sort key is a
@@ -51,14 +50,16 @@ def _zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 16) -> DataFrame
     first two bytes."""
     top = (1 << bits) - 1
     dtypes = dict(df.dtypes)
-    num = [c for c in cols if dtypes[c] not in ("string",)]
+
+    def as_num(c):
+        t = dtypes[c]
+        if t.startswith("timestamp") or t == "date":
+            return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+        return F.col(c).cast("double")
+
+    num = [c for c in cols if dtypes[c] != "string"]
     x = df
     if num:
-        def as_num(c):
-            t = dtypes[c]
-            if t.startswith("timestamp") or t == "date":
-                return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-            return F.col(c).cast("double")
         bounds = df.agg(*[F.min(as_num(c)).alias(f"_lo_{i}") for i, c in enumerate(num)],
                         *[F.max(as_num(c)).alias(f"_hi_{i}") for i, c in enumerate(num)])
         x = attach_row(df, bounds)
@@ -67,14 +68,11 @@ def _zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 16) -> DataFrame
         if c in num:
             i = num.index(c)
             lo, hi = F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
-            v = F.col(c).cast("double") if not (dtypes[c].startswith("timestamp") or dtypes[c] == "date") \
-                else F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-            scaled = F.when(hi > lo, (v - lo) / (hi - lo) * top).otherwise(F.lit(0.0))
+            scaled = F.when(hi > lo, (as_num(c) - lo) / (hi - lo) * top).otherwise(F.lit(0.0))
             parts.append(F.coalesce(F.floor(scaled).cast("long"), F.lit(0)))
         else:
-            head = F.substring(F.col(c), 1, 2)
-            parts.append(F.coalesce(F.conv(F.hex(F.rpad(head, 2, "\u0000")), 16, 10).cast("long"),
-                                    F.lit(0)))
+            head = F.rpad(F.substring(F.col(c), 1, 2), 2, "\u0000")
+            parts.append(F.coalesce(F.conv(F.hex(head), 16, 10).cast("long"), F.lit(0)))
     key = F.lit(0).cast("long")
     for b in range(bits - 1, -1, -1):
         for p in parts:
