@@ -289,7 +289,8 @@ __all__ = [
 
 
 def dense_index(df: DataFrame, cols: Sequence[str], alias: str = "idx",
-                ranges: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+                ranges: int | None = None, by: Sequence[str] = (),
+                few_groups: bool | None = None) -> DataFrame:
     """Number the distinct rows of ``df[cols]`` 0..k-1 in ascending order
     (separately within each group of ``by``).
 
@@ -298,10 +299,13 @@ def dense_index(df: DataFrame, cols: Sequence[str], alias: str = "idx",
     (in the shared ``spark.checkpoint.dir``), so the per-range counts and the
     ranks come from the same files even if a task is retried. Range offsets
     are running sums over at most ``groups x ranges`` rows, joined back on
-    (group, range id). No window runs without a partition key over an
+    (group, range id); that table is broadcast only when the group count has a
+    fixed bound (``few_groups``, default: no ``by``), otherwise AQE decides from
+    its measured size. No window runs without a partition key over an
     unbounded set, and no value is compared with every range.
     """
     cols, by = list(cols), list(by)
+    few_groups = (not by) if few_groups is None else few_groups
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -315,5 +319,6 @@ def dense_index(df: DataFrame, cols: Sequence[str], alias: str = "idx",
     w_grp = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_pid")
     offsets = counts.select(*by, "_pid", (F.sum("_rc").over(w_grp.rowsBetween(
         Window.unboundedPreceding, Window.currentRow)) - F.col("_rc")).alias("_off"))
-    return (ranked.join(F.broadcast(offsets), [*by, "_pid"])
+    offsets = F.broadcast(offsets) if few_groups else offsets
+    return (ranked.join(offsets, [*by, "_pid"])
                   .select(*by, *cols, (F.col("_off") + F.col("_rn") - 1).alias(alias)))

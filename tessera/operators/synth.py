@@ -81,7 +81,7 @@ def synth_sales(spark, sales: DataFrame, n: int, order: Sequence[str], seed: int
     # does not group by are null, so the key orders by the grouped columns
     lists = g.where((F.col("_gid") != gid()) & ~((F.col("_gid") == gid("product_name"))
                                                  & F.col("product_name").isNull()))
-    numbered = dense_index(lists, keys, by=["_gid"])
+    numbered = dense_index(lists, keys, by=["_gid"], few_groups=True)  # <= 5 grouping sets
 
     def part(*grouped):
         return numbered.where(F.col("_gid") == gid(*grouped)).select(*grouped, "idx")
