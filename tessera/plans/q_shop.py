@@ -94,7 +94,7 @@ def _day1_fact(spark, sf):
 
 @register("stage_customers", Q("SELECT * FROM cust_stg", CV, CUST_STG))
 def q_stage_customers(spark, sf):
-    """W3 + K5 + S7: staged customers (last landing row per key wins)."""
+    """W3 + S7: staged customers (last landing row per key wins)."""
     return _stg_customers(spark, sf)
 
 
@@ -188,7 +188,7 @@ def q_fact_upsert(spark, sf):
     OV, ord_stg("s1", f"landing_date = DATE '{D1}'"), stg_clean("c1", "s1"), fact_rows("f1", "c1", D1),
     ord_stg("s2", f"landing_date = DATE '{D2}'"), stg_clean("c2", "s2"), fact_rows("f2", "c2", D2)))
 def q_daily_fact_backfill(spark, sf):
-    """V9 + S6: load day 1, day 2, then rerun day 2: the fact table keeps one
+    """V9: load day 1, day 2, then rerun day 2: the fact table keeps one
     row per order, the last run wins (decision F18). The fact table is
     partitioned by load date and each load merges into the partitions it
     touches only."""

@@ -326,3 +326,20 @@ def test_change_falls_back_to_full_rewrite(spark, tmp_dir):
     assert len(json.loads(h2["folders"])) == 1
     got = {r.id: r.s for r in t.read().collect()}
     assert all(got[i] == ("b" if i % 8 < 2 else "c" if i % 8 >= 4 else "a") for i in range(40))
+
+
+def test_backfill_paths_and_truncate_load(spark, tmp_dir):
+    from tessera.sources.files import landing_paths, read_json_records
+    from tessera.sources.writers import truncate_and_load
+    base = _landing(tmp_dir)
+    # a second landing day: one multi-path read covers both dates
+    with open(os.path.join(base, "orders", "orders_20250102.json"), "w") as f:
+        json.dump([dict(ORDERS[0], order_id="o2001")], f)
+    paths = landing_paths(base, "orders", ["2025-01-01", "2025-01-02"], "json")
+    assert paths[1].endswith("orders/orders_20250102.json")
+    df = read_json_records(spark, paths, schemas.LANDING_ORDERS, ingest_order=True)
+    assert df.count() == 4 and df.select("_ingest.file").distinct().count() == 2
+    stg = os.path.join(tmp_dir, "stg_orders")
+    truncate_and_load(df.drop("_ingest"), stg)
+    truncate_and_load(df.drop("_ingest").limit(1), stg)  # truncate + insert = one overwrite
+    assert spark.read.parquet(stg).count() == 1
