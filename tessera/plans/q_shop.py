@@ -255,3 +255,23 @@ def q_volume_branch(spark, sf):
     from tessera.sources.writers import write_text_lines
     write_text_lines(shop.anomaly_note(status), scratch_path(spark, "anomalies"))
     return status
+
+
+@register("landing_stage_orders", Q("SELECT * FROM stg", OV, ord_stg("stg")))
+def q_landing_stage_orders(spark, sf):
+    """S6 + S2 + K5: the landing orders written as one dated file per load date,
+    read back for both dates in one multi-path read, staged, and loaded into
+    the staging table with truncate + load (E: equals the staged orders)."""
+    from tessera.sources.files import landing_path, landing_paths, read_json_records
+    from tessera.sources.writers import truncate_and_load, write_json
+    base = scratch_path(spark, "landing")
+    landing = tv.shop_landing_orders(spark, sf)
+    for day in (D1, D2):
+        write_json(landing.where(F.col("landing_date") == F.lit(day).cast("date"))
+                   .drop("landing_date"), landing_path(base, "orders", day, "json"))
+    schema = landing.drop("landing_date").schema
+    read = read_json_records(spark, landing_paths(base, "orders", [D1, D2], "json"), schema,
+                             array_file=False)
+    stg = f"{base}/stg_orders"
+    truncate_and_load(shop.stage_orders(read, tv.SHOP_ORDERS_INGEST), stg)
+    return spark.read.schema(schemas.STG_ORDERS).parquet(stg).drop("raw_json")
