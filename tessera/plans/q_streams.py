@@ -29,6 +29,8 @@ def scenario(spark, sf):
         st.flag_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/flagged",
                        f"{base}/_ckpt_flagged")
         st.refresh_weekly(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/weekly")
+        st.weekly_state_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/weekly_state",
+                               f"{base}/_ckpt_weekly")
         st.refresh_top_n(spark, f"{base}/flagged", f"{base}/weekly", f"{base}/top_n")
         _RUNS[key] = base
     return _RUNS[key]
@@ -81,6 +83,13 @@ def q_stream_weekly(spark, sf):
     return _read(spark, sf, "weekly")
 
 
+@register("stream_weekly_event_time", ORACLE["taxi_weekly_stats"])
+def q_stream_weekly_event_time(spark, sf):
+    """T3 (stateful): weekly means kept in the stream's state store, Monday-
+    aligned event-time windows, read from the view the stream publishes."""
+    return _read(spark, sf, "weekly_state")
+
+
 @register("stream_top_n", ORACLE["taxi_top_n"])
 def q_stream_top_n(spark, sf):
     """T4: gold top-3 view over the streamed silver tables."""

@@ -100,15 +100,35 @@ def refresh_top_n(spark: SparkSession, flagged_dir: str, weekly_dir: str, out: s
     return spark.read.parquet(out)
 
 
-def weekly_stream(bronze: DataFrame, delay: str = "1 day") -> DataFrame:
+def weekly_stream(bronze: DataFrame, delay: str = "1 day", exact_scale: int | None = None
+                  ) -> DataFrame:
     """T3, event-time variant: Monday-aligned weekly windows with a watermark.
 
     The watermark needs a zoned TIMESTAMP, so the naive pickup time is cast
-    first; rows later than the watermark are dropped by Spark.
+    first; in append mode rows later than the watermark are dropped by Spark.
+    ``exact_scale`` gives decimal-exact means (see ``stats.mean_expr``).
     """
+    from tessera.operators.stats import mean_expr
     ts = F.col("tpep_pickup_datetime").cast("timestamp")
     return (bronze.withColumn("_ts", ts).withWatermark("_ts", delay)
                   .groupBy(F.window("_ts", "7 days", "7 days", "4 days").alias("w"))
-                  .agg(F.avg("fare_amount").alias("avg_amount"),
-                       F.avg("trip_distance").alias("avg_distance"))
+                  .agg(mean_expr("fare_amount", exact_scale).alias("avg_amount"),
+                       mean_expr("trip_distance", exact_scale).alias("avg_distance"))
                   .select(F.to_date(F.col("w.start")).alias("week"), "avg_amount", "avg_distance"))
+
+
+def weekly_state_stream(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str,
+                        checkpoint: str, exact_scale: int | None = 6):
+    """T3 as a stateful stream: weekly windows kept in the checkpointed state
+    store (one row per week: bounded by the time span, not the data volume),
+    emitted in complete mode; each micro-batch overwrites the view with the
+    current weeks (``foreachBatch`` issues one distributed write per batch)."""
+    agg = weekly_stream(read_stream(spark, bronze_dir, schema), exact_scale=exact_scale)
+
+    def publish(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (agg.writeStream.outputMode("complete").foreachBatch(publish)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
