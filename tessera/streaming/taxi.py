@@ -104,17 +104,25 @@ def weekly_stream(bronze: DataFrame, delay: str = "1 day", exact_scale: int | No
                   ) -> DataFrame:
     """T3, event-time variant: Monday-aligned weekly windows with a watermark.
 
-    The watermark needs a zoned TIMESTAMP, so the naive pickup time is cast
-    first; in append mode rows later than the watermark are dropped by Spark.
+    The watermark needs a zoned TIMESTAMP, so the naive pickup time is turned
+    into an instant without using the session time zone; in append mode rows
+    later than the watermark are dropped by Spark.
     ``exact_scale`` gives decimal-exact means (see ``stats.mean_expr``).
     """
     from tessera.operators.stats import mean_expr
-    ts = F.col("tpep_pickup_datetime").cast("timestamp")
+    # naive wall time -> the instant with that UTC wall time (no session time
+    # zone involved), so windows align to Monday 00:00 of the naive calendar
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch,
+                              F.col("tpep_pickup_datetime").cast("timestamp_ntz"))
+    ts = F.timestamp_micros(micros)
+    day_micros = F.lit(86400 * 1000000)
+    week = F.date_from_unix_date(F.floor(F.unix_micros(F.col("w.start")) / day_micros).cast("int"))
     return (bronze.withColumn("_ts", ts).withWatermark("_ts", delay)
                   .groupBy(F.window("_ts", "7 days", "7 days", "4 days").alias("w"))
                   .agg(mean_expr("fare_amount", exact_scale).alias("avg_amount"),
                        mean_expr("trip_distance", exact_scale).alias("avg_distance"))
-                  .select(F.to_date(F.col("w.start")).alias("week"), "avg_amount", "avg_distance"))
+                  .select(week.alias("week"), "avg_amount", "avg_distance"))
 
 
 def weekly_state_stream(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str,
