@@ -25,6 +25,13 @@ def to_timestamp_or_null(c, fmt: str | None = None, naive: bool = True) -> Colum
     return c.try_cast("timestamp_ntz") if naive else F.try_to_timestamp(c)
 
 
+def utc_wall_time(c) -> Column:
+    """Instant (TIMESTAMP) -> its UTC wall time as TIMESTAMP_NTZ, whatever the
+    session time zone (a naive value is returned unchanged)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(c)), epoch)
+
+
 def to_number_or_null(c, dtype: str = "double") -> Column:
     """Any -> number, bad -> null (pandas ``to_numeric(errors='coerce')``)."""
     return _c(c).try_cast(dtype)

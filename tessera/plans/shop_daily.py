@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tessera import schemas
-from tessera.functions.scalar import record_json, run_timestamp
+from tessera.functions.scalar import record_json, run_timestamp, utc_wall_time
 from tessera.operators.filters import case_flag, clean_staging, positive_quantity
 from tessera.operators.keyed import last_per_key, latest_per_key, upsert
 from tessera.operators.quality import (anomaly_lines, check_counts, check_no_nulls,
@@ -53,8 +53,9 @@ def stage_orders(landing: DataFrame, ingest_order: Sequence) -> DataFrame:
     fields = [F.col("_quantity_text").alias("quantity") if c == "quantity" else F.col(c)
               for c in LANDING_FIELDS]
     x = x.withColumn("raw_json", record_json(*fields))
-    return schemas.conform(x.withColumn("order_timestamp", F.col("order_timestamp")
-                                        .cast("timestamp_ntz")), schemas.STG_ORDERS)
+    if dict(x.dtypes)["order_timestamp"] == "timestamp":  # an instant (ISO text with zone)
+        x = x.withColumn("order_timestamp", utc_wall_time("order_timestamp"))
+    return schemas.conform(x, schemas.STG_ORDERS)
 
 
 def dim_upsert(dim: DataFrame, staged: DataFrame, key: str, schema, run_ts: str | None = None

@@ -89,3 +89,24 @@ def test_null_placement_in_keep_one(spark, desc, nulls_first, want):
     for strategy in ("agg", "window"):
         r = keep_one(df, "k", [Order("ts", desc=desc, nulls_first=nulls_first)], strategy).first()
         assert r["ts"] == want, strategy
+
+
+def test_landing_instants_become_utc_wall_time(spark, tmp_dir):
+    import json
+    from tessera.plans import shop_daily as shop
+    from tessera.sources.files import read_json_records
+    p = os.path.join(tmp_dir, "o.json")
+    with open(p, "w") as f:
+        json.dump([{"order_id": "o1", "order_timestamp": "2025-01-01T02:00:00Z", "customer_id": "c",
+                    "product_id": "p", "quantity": 1, "total_amount": 1.0, "currency": "USD",
+                    "status": "x"}], f)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = read_json_records(spark, p, schemas.LANDING_ORDERS, ingest_order=True)
+            got = shop.stage_orders(df, ["_ingest"]).select(
+                F.date_format("order_timestamp", "yyyy-MM-dd HH:mm:ss")).first()[0]
+            assert got == "2025-01-01 02:00:00", tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
