@@ -319,6 +319,10 @@ def dense_index(df: DataFrame, cols: Sequence[str], alias: str = "idx",
     w_grp = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_pid")
     offsets = counts.select(*by, "_pid", (F.sum("_rc").over(w_grp.rowsBetween(
         Window.unboundedPreceding, Window.currentRow)) - F.col("_rc")).alias("_off"))
+    offsets = offsets.select(*[F.col(b).alias(f"_o_{b}") for b in by], F.col("_pid").alias("_o_pid"),
+                             "_off")
     offsets = F.broadcast(offsets) if few_groups else offsets
-    return (ranked.join(offsets, [*by, "_pid"])
+    cond = _and([F.col(b).eqNullSafe(F.col(f"_o_{b}")) for b in by]  # a null group is a group
+                + [F.col("_pid") == F.col("_o_pid")])
+    return (ranked.join(offsets, cond)
                   .select(*by, *cols, (F.col("_off") + F.col("_rn") - 1).alias(alias)))

@@ -167,3 +167,12 @@ def test_hot_partition_value_is_split_on_write(spark, tmp_dir):
     hot = glob.glob(os.path.join(out, "part=hot", "*.parquet"))
     assert len(hot) > 1                       # the hot value is written by several tasks
     assert spark.read.parquet(out).count() == 300000
+
+
+def test_null_groups_are_groups(spark):
+    df = spark.createDataFrame([(None, 3.0), (None, 1.0), ("a", 2.0), ("a", 4.0), (None, 2.0)],
+                               "g string, v double")
+    q = {r.g: r.q0 for r in stats.exact_quantiles(df, "v", [0.5], by=["g"]).collect()}
+    assert q == {None: 2.0, "a": 3.0}
+    idx = sorted((r.g or "", r.v, r.idx) for r in stats.dense_index(df, ["v"], by=["g"]).collect())
+    assert idx == [("", 1.0, 0), ("", 2.0, 1), ("", 3.0, 2), ("a", 2.0, 0), ("a", 4.0, 1)]
