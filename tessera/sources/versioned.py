@@ -42,6 +42,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._latest: dict | None = None   # last entry this writer committed (single writer)
 
     # --- metadata ------------------------------------------------------------
     @property
@@ -57,6 +58,8 @@ class VersionedTable:
         return h
 
     def _entry(self, version: int | None = None) -> dict | None:
+        if self._latest is not None and version in (None, self._latest["version"]):
+            return self._latest
         h = self.history()
         if version is not None:
             h = h.where(F.col("version") == version)
@@ -103,6 +106,7 @@ class VersionedTable:
                 schema.json(), json.dumps(list(partition_by)), json.dumps(folders))]
         (self.spark.createDataFrame(row, HISTORY_SCHEMA).coalesce(1)
              .write.mode("append").parquet(self.history_path))
+        self._latest = dict(zip(HISTORY_SCHEMA.fieldNames(), row[0]))
         return version
 
     def _write_folder(self, df: DataFrame, partition_by: Sequence[str],
