@@ -52,9 +52,13 @@ def run(table: VersionedTable, initial: DataFrame, second_batch: DataFrame,
         operation="UPDATE", params={"predicate": second_update})
     v["delete"] = table.change(delete_cond, lambda df: delete_where(df, delete_cond),
                                operation="DELETE", params={"predicate": delete_cond})
-    base = table.read(v["delete"])
+    # the demo row is found once (one top-1 pass) and materialised; each of the
+    # small appends then derives from that single row instead of the table
+    from tessera.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(table.spark)
+    first = table.read(v["delete"]).orderBy("order_id").limit(1).checkpoint(eager=True)
     for i in range(n_small):
-        v[f"small_{i}"] = table.append(small_file_rows(base, i))
+        v[f"small_{i}"] = table.append(small_file_rows(first, i))
     v["compact"] = table.overwrite(compact(table.read(), partition_by), partition_by,
                                    operation="OPTIMIZE", params={"compact": True})
     v["cluster"] = table.overwrite(cluster_by(table.read(), [cluster_col], cluster_files), (),
