@@ -181,7 +181,17 @@ class VersionedTable:
         if not part:
             return self.overwrite(upsert(current, source, keys), (), operation=operation,
                                   params=params)
-        hit = current.join(source.select(*keys), keys, "left_semi").select(*part)
+        # bound the target scan by the source's key range (two scalars per key,
+        # bounded): the literal range reaches the parquet scan as a pushed filter,
+        # so row groups whose key statistics lie outside it are skipped
+        bounds = source.agg(*[F.min(k).alias(f"lo_{i}") for i, k in enumerate(keys)],
+                            *[F.max(k).alias(f"hi_{i}") for i, k in enumerate(keys)]).first()
+        cand = current
+        for i, k in enumerate(keys):
+            lo, hi = bounds[f"lo_{i}"], bounds[f"hi_{i}"]
+            if lo is not None:
+                cand = cand.where(F.col(k).between(F.lit(lo), F.lit(hi)))
+        hit = cand.join(source.select(*keys), keys, "left_semi").select(*part)
         touched = hit.unionByName(source.select(*part))
         return self._rewrite_partitions(current, touched, lambda rows: upsert(rows, source, keys),
                                         operation, params, extra_rows=True,
