@@ -67,19 +67,20 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """``docs (doc_id, text)`` -> ``(doc_id, fp, rank)``: the fingerprint as a signed long
-    and its Gray rank, shifted so that signed order is rank order. Null text: empty."""
+    """``docs (doc_id, text)`` -> ``(doc_id, th, fp, rank)``: the text's hash, the fingerprint
+    as a signed long and its Gray rank, shifted so that signed order is rank order. Null
+    text: empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            fp = np.array([majority_bits(shingle_hashes(t or b"", words)) for t in b.column(1).to_pylist()],
+            fp = np.array([majority_bits(shingle_hashes(t or b"", words)) for t in b.column(2).to_pylist()],
                           np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(fp.view(np.int64)), pa.array((gray_rank(fp) ^ TOP).view(np.int64))],
-                ["doc_id", "fp", "rank"])
+                [b.column(0), b.column(1), pa.array(fp.view(np.int64)),
+                 pa.array((gray_rank(fp) ^ TOP).view(np.int64))], ["doc_id", "th", "fp", "rank"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        run, "doc_id long, fp long, rank long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").cast("binary")).mapInArrow(
+        run, "doc_id long, th long, fp long, rank long")
 
 
 # ---- the index ------------------------------------------------------------------
@@ -162,18 +163,18 @@ def link_within(members: np.ndarray, visitors: np.ndarray, max_bits: int) -> tup
     return both[child], both[parent[child]]
 
 
-def similar_links(values: DataFrame, max_bits: int, block_rows: int = 8192, max_blocks: int = 8192) -> DataFrame:
+def similar_links(values: DataFrame, max_bits: int, blocks: int = 64, block_rows: int = 1 << 20,
+                  max_blocks: int = 8192) -> DataFrame:
     """``values (fp, rank)``, different fingerprints in a written table -> forest edges
     ``(src, dst)`` that connect exactly what chains of links connect.
 
-    The driver holds one row per block (at most ``max_blocks``): its Gray-rank bound
-    and its node. Blocks grow past ``block_rows`` only beyond 67 million fingerprints.
+    At least ``blocks`` blocks, more once they would hold over ``block_rows``, at most
+    ``max_blocks``: the driver holds one row per block, its Gray-rank bound and its node.
     """
-    n = values.count()
-    blocks = max(1, min(max_blocks, -(-n // block_rows)))
-    cuts = values.agg(F.percentile_approx("rank", [i / blocks for i in range(1, blocks)] or [0.5],
+    blocks = max(blocks, min(max_blocks, -(-values.count() // block_rows)))
+    cuts = values.agg(F.percentile_approx("rank", [i / blocks for i in range(1, blocks)],
                                           20 * blocks + 1000)).first()[0] or []
-    bound = np.unique(np.array(cuts if blocks > 1 else [], np.int64))
+    bound = np.unique(np.array(cuts, np.int64))
 
     def assign(batches):
         for b in batches:
@@ -205,6 +206,16 @@ def similar_links(values: DataFrame, max_bits: int, block_rows: int = 8192, max_
             .groupBy("block").applyInArrow(inside, "src long, dst long"))
 
 
+def components(docs: DataFrame, words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint table, and ``(fp, component)`` of each different fingerprint; the
+    component is its smallest fingerprint as a signed long."""
+    fps = materialize(fingerprints(docs, words), "simhash")
+    values = materialize(fps.select("fp", "rank").distinct(), "simhash-values")
+    edges = materialize(similar_links(values, max_bits), "simhash-edges")
+    comp = connected_components(edges, "simhash-cc").withColumnRenamed("id", "fp")
+    return fps, values.select("fp").join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with ``doc_id`` and ``text`` -> one row per input row:
     ``(doc_id, fingerprint, component_id)``.
@@ -217,12 +228,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataF
       reachable, or null.
     * Other columns are ignored, whatever their names. Empty input: empty result.
     """
-    fps = materialize(fingerprints(docs, words), "simhash")
-    values = materialize(fps.groupBy("fp", "rank").agg(F.min("doc_id").alias("rep")), "simhash-values")
-    edges = materialize(similar_links(values, max_bits), "simhash-edges")
-    comp = connected_components(edges, "simhash-cc")
-    named = values.join(comp.withColumnRenamed("id", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp"))
+    fps, comp = components(docs, words, max_bits)
+    named = fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).join(comp, "fp")
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     owner = named.join(least, "component").select("fp", "component_id")
     return fps.join(owner, "fp").select(
@@ -230,15 +237,18 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataF
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` (needs ``doc_id`` and ``text``) with one row of each component: the row
-    whose ``doc_id`` names it. Of rows that repeat that ``doc_id`` the one with the
-    smallest (fingerprint, text hash, row hash) stays. Rows with a null ``doc_id`` stay
-    only where their component has no other id, one of them. Columns as in ``docs``.
-    """
-    d = docs.withColumn("__th", F.xxhash64("text")).withColumn("__row", F.xxhash64(*docs.columns))
-    near = materialize(near_duplicates(docs.select("doc_id", "text"), words, max_bits), "simhash-near")
-    # rows of the id that names the component; without any id, the fingerprint stands in
-    stay = near.where("component_id <=> doc_id").select(
-        F.col("doc_id").alias("__id"), "fingerprint").dropDuplicates(["__id"])
-    kept = d.join(stay, d["doc_id"].cast("long").eqNullSafe(stay["__id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """``docs`` (needs ``doc_id`` and ``text``) with one row of each component: the one
+    with the smallest non-null ``doc_id``, then the smallest text hash; a component
+    without ids keeps the row of the smallest text hash. Of rows that repeat both, one
+    stays. All columns as in ``docs``. Empty input: empty result."""
+    fps, comp = components(docs, words, max_bits)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    first = (fps.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n")).join(comp, "fp")
+             .groupBy("component").agg(F.min("first").alias("first")))
+    first = materialize(first.select(F.col("first.doc_id").alias("__id"), F.col("first.th").alias("__th")),
+                        "simhash-first")
+    kept = docs.join(first, docs["doc_id"].cast("long").eqNullSafe(first["__id"])
+                     & F.xxhash64(docs["text"]).eqNullSafe(first["__th"]), "left_semi")
+    repeats = fps.groupBy("doc_id", "th").count().where("count > 1").join(
+        first, fps["doc_id"].eqNullSafe(first["__id"]) & fps["th"].eqNullSafe(first["__th"]), "left_semi")
+    return kept if repeats.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
