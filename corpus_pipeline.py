@@ -7,12 +7,20 @@ All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import line_dedup, simhash_near
+from tessera.llm import byte_bpe, line_dedup, quality_mil, simhash_near
 from tessera.llm.common import materialize, read_table
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on ``labels``, rejects go."""
+    labels = read_table(spark, sf_dir, "labels")
+    scored = quality_mil.classify(docs, labels, score_col="__score", predicted_col="__predicted")
+    return scored.where("__predicted = 1").select(*docs.columns)
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of equal or nearly equal lines, one occurrence stays."""
     return line_dedup.dedup_lines(docs)
@@ -23,7 +31,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash_near.keep_one(docs, words=3, max_bits=2)
 
 
-STAGES = [("line dedup", dedup_lines), ("simhash near-dedup", drop_near_copies)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of each text that is left, decoded again and hashed."""
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+STAGES = [("quality classifier", keep_quality), ("line dedup", dedup_lines), ("simhash near-dedup", drop_near_copies),
+          ("byte bpe", encode)]
 
 #: No SQL: the classifier is trained and the SimHash bit counts have no DuckDB form. The
 #: stages are tested against brute-force versions.

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, simhash_near
+from . import byte_bpe, line_dedup, quality_mil, simhash_near
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,7 +33,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("dropped").cast("long").alias("n_dropped"), "dropped", "text")
 
 
+@register("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 @register("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_near.near_duplicates(docs, words=3, max_bits=2)
+
+
+@register("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return quality_mil.classify(docs, labels).select(
+        "doc_id", quality_mil.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
