@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import byte_bpe, line_dedup, quality_mil, simhash_near
+from tessera.llm import byte_bpe, decontaminate, line_dedup, quality_mil, simhash_near
 from tessera.llm.common import materialize, read_table
 
 
@@ -31,13 +31,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash_near.keep_one(docs, words=3, max_bits=2)
 
 
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item (0.8 of its 5-word shingles) go."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), words=5, threshold=0.8)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of each text that is left, decoded again and hashed."""
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 STAGES = [("quality classifier", keep_quality), ("line dedup", dedup_lines), ("simhash near-dedup", drop_near_copies),
-          ("byte bpe", encode)]
+          ("benchmark decontamination", drop_benchmark), ("byte bpe", encode)]
 
 #: No SQL: the classifier is trained and the SimHash bit counts have no DuckDB form. The
 #: stages are tested against brute-force versions.

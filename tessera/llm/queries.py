@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, quality_mil, simhash_near
+from . import byte_bpe, decontaminate, line_dedup, quality_mil, simhash_near
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near.near_duplicates(docs, words=3, max_bits=2)
 
 
+@register("op7_benchmark_decontamination", """
+    WITH w AS (
+      SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS t FROM documents),
+    ds AS (
+      SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(string_split(t, ' ')) - 4, 1) + 1),
+        lambda i: array_to_string(string_split(t, ' ')[i:i + 4], ' '))) AS s FROM w WHERE t <> ''),
+    b AS (
+      SELECT item_id, trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS t FROM benchmark),
+    bs AS (
+      SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(string_split(t, ' ')) - 4, 1) + 1),
+        lambda i: array_to_string(string_split(t, ' ')[i:i + 4], ' '))) AS s FROM b WHERE t <> ''),
+    n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+    m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+    FROM m JOIN n USING (item_id) WHERE n_shared >= ceil(0.8 * n_shingles - 1e-9)
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items contained in documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_contained(docs, read_table(spark, sf_dir, "benchmark"), words=5, threshold=0.8).select(
+        "doc_id", "item_id", "n_shared", "n_shingles", "containment")
+
+
 @register("op8_quality_classifier")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
