@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, line_dedup, quality_mil, simhash_near
+from . import byte_bpe, decontaminate, line_dedup, quality_mil, simhash_near, token_files
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     return quality_mil.classify(docs, labels).select(
         "doc_id", quality_mil.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@register("op10_token_files")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end=1)
