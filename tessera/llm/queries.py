@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, line_dedup, quality_mil, simhash_near, token_files
+from . import byte_bpe, decontaminate, line_dedup, lm_score, quality_mil, simhash_near, token_files
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality_mil.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@register("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
