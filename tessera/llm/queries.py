@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, line_dedup, lm_score, quality_mil, simhash_near, token_files
+from . import byte_bpe, decontaminate, line_dedup, lm_score, quality_mil, simhash_near, syncmers, token_files
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near.near_duplicates(docs, words=3, max_bits=2)
 
 
+@register("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.against_next(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op7_benchmark_decontamination", """
     WITH w AS (
       SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS t FROM documents),
