@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, line_dedup, lm_score, quality_mil, simhash_near, syncmers, token_files
+from . import (
+    byte_bpe, decontaminate, license_scan, line_dedup, lm_score, quality_mil, secret_scan, simhash_near, syncmers,
+    token_files)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,12 +41,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+@register("op3_license_scan", license_scan.oracle_sql())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of each document, and how many known licence sentences it has."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).select("doc_id", "licenses", "n_known")
+
+
 @register("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_near.near_duplicates(docs, words=3, max_bits=2)
 
 
+@register("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in each document with the forest's probability."""
+    return secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op6_document_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.against_next(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
