@@ -47,8 +47,8 @@ def with_shingle_hashes(df: DataFrame, words: str, n: int, name: str) -> DataFra
 
 
 def item_sketches(items: DataFrame, n: int, threshold: float) -> DataFrame:
-    """``items (item_id, words)`` -> ``(item_id, need, h)``: the minimum hashes of each item
-    and the shingles a document needs to contain it."""
+    """``items (item_id, ih, words)`` -> ``(item_id, ih, need, h)``: the minimum hashes of each
+    item and the shingles a document needs to contain it."""
     need = F.ceil(threshold * F.col("q") - 1e-9)
     upper = F.pow(F.lit(2), F.floor(F.log2("q")) + 1) - 1
     keep = (upper - F.ceil(threshold * upper - 1e-9) + 1).cast("int")
@@ -56,7 +56,7 @@ def item_sketches(items: DataFrame, n: int, threshold: float) -> DataFrame:
             .withColumn("hashes", F.array_sort(F.array_distinct("hashes")))
             .withColumn("q", F.size("hashes")).where("q > 0")
             .withColumn("h", F.explode_outer(F.slice("hashes", F.lit(1), keep)))
-            .select("item_id", need.cast("int").alias("need"), "h"))
+            .select("item_id", "ih", need.cast("int").alias("need"), "h"))
 
 
 def find_contained(docs: DataFrame, benchmark: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -70,7 +70,8 @@ def find_contained(docs: DataFrame, benchmark: DataFrame, words: int = 5, thresh
       items of equal id and text one item; null ids are kept as ids of their own.
     * Other columns are ignored, whatever their names. Empty tables: empty result.
     """
-    items = materialize(benchmark.select("item_id", word_list(F.col("text")).alias("words")).distinct(), "bench-items")
+    items = benchmark.select("item_id", word_list(F.col("text")).alias("words")).where(F.size("words") > 0).distinct()
+    items = materialize(items.withColumn("ih", F.xxhash64("words")), "bench-items")
     sketches = materialize(item_sketches(items, words, threshold), "bench-sketches")
     texts = docs.select("doc_id", F.xxhash64("text").alias("th"), word_list(F.col("text")).alias("w"))
     # explode_outer: a plain explode makes Spark test the array's size below, computing it twice
@@ -79,13 +80,12 @@ def find_contained(docs: DataFrame, benchmark: DataFrame, words: int = 5, thresh
               .select("doc_id", "th", "n_words", F.explode_outer("hashes").alias("h")))
     found = probes.join(broadcast_if_small(sketches), "h").where(
         F.greatest(F.col("n_words") - (words - 1), F.lit(1)) >= F.col("need"))
-    found = materialize(found.select("doc_id", "th", "item_id").distinct(), "bench-candidates")
-    few = F.col("item_id").eqNullSafe(F.col("item"))
-    pairs = (broadcast_if_small(found.select(F.col("doc_id").alias("d"), F.col("th").alias("t"),
-                                             F.col("item_id").alias("item"))))
+    found = materialize(found.select("doc_id", "th", "item_id", "ih").distinct(), "bench-candidates")
+    pairs = broadcast_if_small(found.toDF("d", "t", "i", "item_hash"))
     there = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
-    both = there.select("doc_id", "th", "item", shingle_texts("w", words).alias("s")).join(
-        broadcast_if_small(items.select("item_id", shingle_texts("words", words).alias("wanted"))), few)
+    wanted = broadcast_if_small(items.select("item_id", "ih", shingle_texts("words", words).alias("wanted")))
+    both = there.select("doc_id", "th", "i", "item_hash", shingle_texts("w", words).alias("s")).join(
+        wanted, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("ih") == F.col("item_hash")))
     return (both.select("doc_id", "th", "item_id", F.size(F.array_intersect("s", "wanted")).cast("long").alias("n_shared"),
                         F.size("wanted").cast("long").alias("n_shingles"))
             .where(F.col("n_shared") >= F.ceil(threshold * F.col("n_shingles") - 1e-9)).distinct()
