@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
@@ -54,12 +56,53 @@ def simhashes(lines: list[list[str]]) -> np.ndarray:
     return np.packbits(2 * total > size[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def at_least(a: str, b: str) -> int:
+    """A lower bound of the distance: characters that one string has more often."""
+    more, fewer = Counter(a), Counter(b)
+    return max((more - fewer).total(), (fewer - more).total())
+
+
+def at_most(a: str, b: str) -> int:
+    """An upper bound of the distance: the cost of replacing what lies between common
+    anchors, the words that both strings have once, in their longest common order."""
+    x, y = a.split(" "), b.split(" ")
+    once_x, once_y = Counter(x), Counter(y)
+    ends_x, ends_y = list(accumulate(len(w) + 1 for w in x)), list(accumulate(len(w) + 1 for w in y))
+    place_y = {w: k for k, w in enumerate(y)}
+    common = [(i, place_y[w]) for i, w in enumerate(x) if once_x[w] == 1 and once_y.get(w) == 1]
+    tails: list[int] = []  # place in y of the last anchor of the best chain of each length
+    last: list[int] = []
+    back: list[int] = []
+    for k, (_, j) in enumerate(common):
+        at = bisect_left(tails, j)
+        back.append(last[at - 1] if at else -1)
+        if at == len(tails):
+            tails.append(j)
+            last.append(k)
+        else:
+            tails[at], last[at] = j, k
+    chain, k = [], last[-1] if last else -1
+    while k >= 0:
+        chain.append(common[k])
+        k = back[k]
+    total, px, py = 0, 0, 0
+    for i, j in reversed(chain):
+        total += max(ends_x[i] - len(x[i]) - 1 - px, ends_y[j] - len(y[j]) - 1 - py)
+        px, py = ends_x[i], ends_y[j]
+    return total + max(len(a) + 1 - px, len(b) + 1 - py)
+
+
 def within_edits(a: str, b: str, limit: int) -> bool:
-    """Whether the Levenshtein distance is at most ``limit`` (bit-parallel columns)."""
+    """Whether the Levenshtein distance is at most ``limit``: by the two bounds where they
+    decide it, else exactly (bit-parallel columns)."""
     if a == b:
         return True
     if abs(len(a) - len(b)) > limit:
         return False
+    if limit and at_most(a, b) <= limit:
+        return True
+    if at_least(a, b) > limit:
+        return False
     k, n = 0, min(len(a), len(b))
     while k < n and a[k] == b[k]:
         k += 1
