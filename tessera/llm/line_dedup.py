@@ -306,7 +306,8 @@ def dedup_lines(docs: DataFrame, max_bits: int = 3, similarity: float = 0.8,
     gone = repeated_lines(docs.select(F.col("doc_id").cast("long"), own.alias("th"), "text"), max_bits, similarity)
     gone = gone.select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), F.col("dropped").alias("__dropped"))
     gone = materialize(gone, "line-dropped")
-    joined = docs.join(broadcast_if_small(gone, 100_000), docs["doc_id"].cast("long").eqNullSafe(gone["__doc"])
+    # no hint: one text shuffle at every size, unless Spark finds the table tiny
+    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__doc"])
                        & own.eqNullSafe(gone["__th"]), "left")
     cut = F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(
         _without(F.when(F.col("__dropped").isNotNull(), F.col("text")), F.col("__dropped")))
