@@ -33,8 +33,15 @@ def utc_wall_time(c) -> Column:
 
 
 def to_number_or_null(c, dtype: str = "double") -> Column:
-    """Any -> number, bad -> null (pandas ``to_numeric(errors='coerce')``)."""
-    return _c(c).try_cast(dtype)
+    """Any -> number, bad -> null (pandas ``to_numeric(errors='coerce')``). NaN counts as
+    missing; a whole number with a decimal point (``2001.0``) is an integer, another
+    fraction is no valid integer and becomes null."""
+    c = _c(c)
+    number = F.nullif(F.nanvl(c.try_cast("double"), F.lit(None).cast("double")), F.lit(float("nan")))
+    if dtype in ("double", "float"):
+        return number.cast(dtype)
+    whole = F.when(number == F.floor(number), number.try_cast(dtype))
+    return F.coalesce(c.cast("string").try_cast(dtype), whole)
 
 
 def to_ts(c, fmt: str | None = None) -> Column:
@@ -63,6 +70,15 @@ def round_half_even(c, scale: int = 2) -> Column:
     return F.rint(_c(c) * F.lit(k)) / F.lit(k)
 
 
+#: Field texts that a CSV reader takes as missing, beside the empty field.
+MISSING = ("NA", "N/A", "n/a", "NULL", "null", "NaN", "nan", "None", "<NA>", "#N/A")
+
+
+def missing_to_null(c, tokens=MISSING) -> Column:
+    """A text field that is one of ``tokens`` is missing."""
+    return F.when(~one_of(c, tokens), _c(c))
+
+
 def weighted_sum(terms: list[tuple[float, object]]) -> Column:
     """``sum(w_i * c_i)`` with double weights."""
     out = None
@@ -84,18 +100,14 @@ def run_timestamp(ts: str | None = None) -> Column:
 
 
 def record_json(*cols) -> Column:
-    """X11: whole record -> JSON text."""
-    return F.to_json(F.struct(*[_c(c) for c in cols]))
+    """X11: whole record -> JSON text, null fields kept."""
+    return F.to_json(F.struct(*[_c(c) for c in cols]), {"ignoreNullFields": "false"})
 
 
 def int_or_zero(c) -> Column:
-    """To int, with 0 for a missing, null or bad value."""
-    return F.coalesce(_c(c).try_cast("int"), F.lit(0))
-
-
-def format_day(c, pattern: str = "yyyy-MM-dd") -> Column:
-    """Date -> text (``yyyy-MM-dd`` or ``yyyyMMdd``)."""
-    return F.date_format(_c(c), pattern)
+    """To int, truncated toward zero, with 0 for a missing, null or bad value."""
+    c = _c(c)
+    return F.coalesce(c.cast("string").try_cast("int"), c.try_cast("double").try_cast("int"), F.lit(0))
 
 
 def one_of(c, values) -> Column:

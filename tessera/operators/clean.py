@@ -10,21 +10,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.functions.scalar import to_number_or_null, to_timestamp_or_null
+from tessera.functions.scalar import MISSING, missing_to_null, to_number_or_null, to_timestamp_or_null
 from tessera.operators.keyed import first_per_key
 from tessera.operators.stats import exact_quantiles
 from tessera.operators.util import attach_row
 
 
-def coerce(df: DataFrame, timestamps: Sequence[str] = (), numbers: dict[str, str] | None = None
-           ) -> DataFrame:
-    """Force types with "bad value -> null".
+def coerce(df: DataFrame, timestamps: Sequence[str] = (), numbers: dict[str, str] | None = None,
+           missing: Sequence[str] = ()) -> DataFrame:
+    """Force types with "bad value -> null"; text fields that are one of ``missing``
+    become null first.
 
     Text columns are parsed with ``try_to_timestamp`` / ``try_cast``; columns
     that already have a type are cast, which is a no-op for the same type.
     """
     numbers = numbers or {}
     dtypes = dict(df.dtypes)
+    if missing:
+        df = df.withColumns({c: missing_to_null(c, missing) for c, t in dtypes.items() if t == "string"})
     out = {}
     for c in timestamps:
         out[c] = to_timestamp_or_null(F.col(c)) if dtypes[c] == "string" else F.col(c)
@@ -71,7 +74,7 @@ def clean_sales(df: DataFrame, order: Sequence, high_value: float = 1000.0,
     * duplicates on ``transaction_id`` keep the first row under ``order``
       (a total order standing for input order).
     """
-    x = coerce(df, timestamps=["date"], numbers={**SALES_KEYS, **SALES_NUMBERS})
+    x = coerce(df, timestamps=["date"], numbers={**SALES_KEYS, **SALES_NUMBERS}, missing=MISSING)
     x = fill_missing(x, {"quantity": SALES_FILLS["quantity"]})
     x = fill_median(x, "unit_price", approx=approx_median)
     x = fill_missing(x, {k: v for k, v in SALES_FILLS.items() if k != "quantity"})

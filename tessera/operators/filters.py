@@ -47,13 +47,9 @@ def suspicious_ride(fare: float = 50.0, distance: float = 5.0) -> Column:
     return ((z1 == z2) & (f > fare)) | ((d < distance) & (f > fare))
 
 
-def flag_rides(df: DataFrame, fare: float = 50.0, distance: float = 5.0,
-               as_column: bool = False) -> DataFrame:
-    """P5: keep suspicious rides, or (``as_column``) add ``is_suspicious``."""
-    cond = suspicious_ride(fare, distance)
-    if as_column:
-        return df.withColumn("is_suspicious", true_only(cond))
-    return df.where(cond)
+def flag_rides(df: DataFrame, fare: float = 50.0, distance: float = 5.0) -> DataFrame:
+    """P5: keep suspicious rides."""
+    return df.where(suspicious_ride(fare, distance))
 
 
 def positive_quantity(df: DataFrame, col: str = "quantity") -> DataFrame:
@@ -79,11 +75,6 @@ def read_partition(df: DataFrame, **equals) -> DataFrame:
     return out
 
 
-def select_as(df: DataFrame, mapping: dict[str, Column | str]) -> DataFrame:
-    """Column subset with aliases (``{new_name: expr}``)."""
-    return df.select(*[(F.col(e) if isinstance(e, str) else e).alias(n) for n, e in mapping.items()])
-
-
 def with_columns(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     """Add derived or literal columns."""
     return df.withColumns(cols)

@@ -107,14 +107,10 @@ def last_per_key(df: DataFrame, keys, ingest_order: Sequence, strategy: str = "a
 
 # --- joins --------------------------------------------------------------------
 
-def left_lookup(left: DataFrame, right: DataFrame, on, broadcast_right: bool = False) -> DataFrame:
-    """Left equi-join; unmatched (including null-key) rows keep nulls.
-
-    ``broadcast_right`` only when the right side has a known size bound;
-    otherwise AQE broadcasts it if its measured size is under the threshold.
-    """
-    r = F.broadcast(right) if broadcast_right else right
-    return left.join(r, on=on, how="left")
+def left_lookup(left: DataFrame, right: DataFrame, on) -> DataFrame:
+    """Left equi-join; unmatched (including null-key) rows keep nulls. AQE broadcasts
+    the right side if its measured size is under the threshold."""
+    return left.join(right, on=on, how="left")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
@@ -147,13 +143,6 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = Non
     dim_key = dim_key or key
     fk = F.col(key) if normalize is None else normalize(F.col(key))
     dk = F.col(dim_key) if normalize is None else normalize(F.col(dim_key))
-    d = dim.select(dk.alias("_dk")).distinct()
+    d = dim.select(dk.alias("_dk"))
     f = fact.withColumn("_fk", fk)
-    return f.join(d, f["_fk"] == d["_dk"], "left_anti").drop("_fk")
-
-
-def first_id_by_name(df: DataFrame, name: str, id_col: str, order: Sequence[str]) -> DataFrame:
-    """Name -> id of the first row carrying that name (pandas ``.iloc[0]``)."""
-    rank = F.struct(*[F.col(o) for o in order])
-    return df.where(F.col(name).isNotNull()).groupBy(name).agg(
-        F.min_by(F.col(id_col), rank).alias(id_col))
+    return f.join(d, f["_fk"] == d["_dk"], "left_anti").drop("_fk")
\ No newline at end of file

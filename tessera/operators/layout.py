@@ -17,8 +17,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.operators.util import attach_row
-
 
 def layout_report(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
     """K9: files, bytes and rows per partition (from ``_metadata``)."""
@@ -32,60 +30,54 @@ def layout_report(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFram
 
 
 def compact(df: DataFrame, partition_cols: Sequence[str] = (), files: int | None = None) -> DataFrame:
-    """V7: same rows, few files. Partitioned: rebalance by the partition
-    columns, so each partition value is one file unless it exceeds AQE's
-    advisory partition size, in which case it becomes several files of about
-    that size (or ``files`` fixed hash buckets). Unpartitioned: rebalanced
-    into advisory-sized files (or exactly ``files``)."""
+    """V7: same rows, few files. Partitioned: rebalance by the partition columns, so each
+    partition value is one file unless it exceeds AQE's advisory partition size, in
+    which case it becomes several files of about that size. ``files``: that many slices
+    of about equal size, by ranges of the partition columns and a row hash, so a hot
+    value is split over several; unpartitioned, exactly that many files."""
     cols = list(partition_cols)
     if files:
-        return df.repartition(files, *[F.col(c) for c in cols])
+        return df.repartitionByRange(files, *cols, F.xxhash64(*df.columns)) if cols else df.repartition(files)
     return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
 
 
-def _zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 16) -> DataFrame:
-    """Add ``_z``: the bits of each column's order-preserving ``bits``-bit image,
-    interleaved. Numbers / dates are scaled by the column's min and max (one
-    global aggregate, attached as a one-row broadcast); strings use their
-    first two bytes."""
-    top = (1 << bits) - 1
-    dtypes = dict(df.dtypes)
-
-    def as_num(c):
-        t = dtypes[c]
-        if t.startswith("timestamp") or t == "date":
-            return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-        return F.col(c).cast("double")
-
-    num = [c for c in cols if dtypes[c] != "string"]
-    x = df
-    if num:
-        bounds = df.agg(*[F.min(as_num(c)).alias(f"_lo_{i}") for i, c in enumerate(num)],
-                        *[F.max(as_num(c)).alias(f"_hi_{i}") for i, c in enumerate(num)])
-        x = attach_row(df, bounds)
+#: Values sampled per column to place the Z-order's range bounds (layout only).
+BOUND_SAMPLE = 10_000
+
+
+def _range_bounds(df: DataFrame, col: str, ranges: int) -> list:
+    """At most ``ranges - 1`` ascending values that cut ``col`` into ranges of about equal
+    size: quantiles of a bounded sample taken by row hash (full strings)."""
+    rows = (df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"), F.xxhash64(*df.columns).alias("h"))
+              .orderBy("h", "v").limit(BOUND_SAMPLE).select("v").orderBy("v").collect())
+    values = [r["v"] for r in rows]
+    return sorted({values[len(values) * i // ranges] for i in range(1, ranges)}) if values else []
+
+
+def _zorder_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Add ``_z``: the interleaved bits of each column's range number. Range bounds are
+    quantiles, so outliers and long shared prefixes do not empty the ranges; any number
+    of columns up to 62 fits the key (6 bits each up to 10 columns, fewer beyond)."""
+    bits = max(1, min(6, 62 // len(cols)))
     parts = []
     for c in cols:
-        if c in num:
-            i = num.index(c)
-            lo, hi = F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
-            scaled = F.when(hi > lo, (as_num(c) - lo) / (hi - lo) * top).otherwise(F.lit(0.0))
-            parts.append(F.coalesce(F.floor(scaled).cast("long"), F.lit(0)))
-        else:
-            head = F.rpad(F.substring(F.col(c), 1, 2), 2, "\u0000")
-            parts.append(F.coalesce(F.conv(F.hex(head), 16, 10).cast("long"), F.lit(0)))
+        bounds = [F.lit(v).cast(df.schema[c].dataType) for v in _range_bounds(df, c, 1 << bits)]
+        above = [F.when(F.col(c) >= b, 1).otherwise(0) for b in bounds]
+        parts.append(sum(above, F.lit(0)).cast("long"))
     key = F.lit(0).cast("long")
+    x = df.withColumns({f"_r_{i}": p for i, p in enumerate(parts)})
     for b in range(bits - 1, -1, -1):
-        for p in parts:
-            key = key * 2 + F.shiftright(p, b).bitwiseAND(F.lit(1))
-    extra = [c for c in x.columns if c.startswith("_lo_") or c.startswith("_hi_")]
-    return x.withColumn("_z", key).drop(*extra)
+        for i in range(len(parts)):
+            key = key * 2 + F.shiftright(F.col(f"_r_{i}"), b).bitwiseAND(F.lit(1))
+    return x.withColumn("_z", key).drop(*[f"_r_{i}" for i in range(len(parts))])
 
 
 def cluster_by(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
-    """V8: range-partition into ``files`` files on the clustering key and sort
-    within each (one column: the column itself; several: a Z-order key)."""
-    cols = list(cols)
+    """V8: range-partition into ``files`` files on the clustering key and sort within each
+    (one column: the column itself; several: a Z-order key). A row hash ends the range
+    key, so one value with many rows spreads over several files."""
+    cols, tie = list(cols), F.xxhash64(*df.columns)
     if len(cols) == 1:
-        return df.repartitionByRange(files, F.col(cols[0])).sortWithinPartitions(cols[0])
-    return (_zorder_key(df, cols).repartitionByRange(files, "_z")
+        return df.repartitionByRange(files, F.col(cols[0]), tie).sortWithinPartitions(cols[0])
+    return (_zorder_key(df, cols).repartitionByRange(files, F.col("_z"), tie)
               .sortWithinPartitions("_z").drop("_z"))

@@ -65,6 +65,13 @@ def check_no_nulls(df: DataFrame, cols, name: str = "no_null_keys") -> DataFrame
     return df.agg(*_check(name, n, n == 0))
 
 
+def check_unique(df: DataFrame, cols, name: str = "unique_key") -> DataFrame:
+    """Primary-key rule: no two rows share a key (``observed``: keys that repeat)."""
+    repeats = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    n = F.count(F.lit(1))
+    return repeats.agg(*_check(name, n, n == 0))
+
+
 def check_counts(stg: DataFrame, fact: DataFrame, load_date, name: str = "fact_matches_staging"
                  ) -> DataFrame:
     """Q3: staging row count equals fact rows of ``load_date``."""
@@ -106,7 +113,7 @@ def volume_status(fact: DataFrame, load_date, threshold: int = 10) -> DataFrame:
 
 
 def anomaly_lines(status: DataFrame) -> DataFrame:
-    """K6 body: one text line per low-volume status row, none otherwise."""
+    """K6 body: one text line per low-volume status row, none otherwise. Fixed: the text."""
     return (status.where(F.col("branch") == "warn_low_volume")
                   .select(F.format_string("LOW ORDER COUNT DETECTED: %d", F.col("n_orders"))
                           .alias("value")))

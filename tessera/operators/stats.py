@@ -83,18 +83,6 @@ def group_count(df: DataFrame, key, alias: str = "n") -> DataFrame:
     return df.groupBy(*cols_of(key)).agg(F.count(F.lit(1)).alias(alias))
 
 
-def count_where(df: DataFrame, conds: dict[str, Column], total_alias: str | None = "n_rows") -> DataFrame:
-    """Whole-table and conditional counts in a single pass (one row)."""
-    aggs = [F.count(F.lit(1)).alias(total_alias)] if total_alias else []
-    aggs += [F.count_if(F.coalesce(c, F.lit(False))).alias(a) for a, c in conds.items()]
-    return df.agg(*aggs)
-
-
-def next_id(df: DataFrame, col: str, alias: str = "next_id") -> DataFrame:
-    """Highest id + 1 (one row; 0 for an empty table)."""
-    return df.agg((F.coalesce(F.max(col), F.lit(-1)) + 1).alias(alias))
-
-
 def distinct_values(df: DataFrame, col: str, fill=None) -> DataFrame:
     """Distinct values of a column, missing replaced by ``fill`` first."""
     c = F.coalesce(F.col(col), F.lit(fill)) if fill is not None else F.col(col)
@@ -282,8 +270,8 @@ def top_group(df: DataFrame, key: str, value: str, alias: str = "total", n: int
 
 
 __all__ = [
-    "group_sum", "mean_of", "group_mean", "group_means", "group_count", "count_where",
-    "next_id", "distinct_values", "row_count", "exact_quantiles", "median_of",
+    "group_sum", "mean_of", "group_mean", "group_means", "group_count",
+    "distinct_values", "row_count", "exact_quantiles", "median_of",
     "describe_exact", "top_n", "top_group", "dense_index",
 ]
 

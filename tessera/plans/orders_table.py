@@ -1,66 +1,67 @@
-"""Versioned orders table flow (A3).
+"""Orders table flow (A3) on plain partitioned parquet.
 
-v0 partitioned overwrite -> pruned read -> v1 update -> v2 append with new
-columns -> v3 update -> v4 delete -> v5.. one-row appends (small files) ->
-compaction -> clustering. Each change is a DataFrame transformation of the
-previous version, written as the next version (``VersionedTable``); updates
-and deletes rewrite only the partitions their condition touches.
+Partitioned write -> pruned read -> update -> append with new columns -> update -> delete
+-> small files -> compaction of the partitioned table; beside it an unpartitioned raw
+table is clustered. Updates and deletes rewrite only the partitions they touch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.changes import delete_where, update_where
-from tessera.operators.layout import cluster_by, compact
-from tessera.sources.versioned import VersionedTable
+from tessera.operators.filters import read_partition, with_columns
+from tessera.operators.layout import compact
+from tessera.functions.scalar import to_day
+from tessera.session import scratch_path
+from tessera.sources.tables import ParquetTable
+
+STEPS = ("write", "update1", "append", "update2", "delete", "small", "compact")
 
 
 def with_order_date(df: DataFrame) -> DataFrame:
     """P13 + X4: derived partition column ``order_date``."""
-    return df.withColumn("order_date", F.to_date("order_timestamp"))
+    return with_columns(df, {"order_date": to_day("order_timestamp")})
 
 
-def pruned_read(table: VersionedTable, version: int | None = None, **equals) -> DataFrame:
+def pruned_read(table: ParquetTable, **equals) -> DataFrame:
     """P10: filter on partition columns; the scan lists only matching folders."""
-    df = table.read(version)
-    for c, v in equals.items():
-        df = df.where(F.col(c) == F.lit(v))
-    return df
+    return read_partition(table.read(), **equals)
 
 
-def small_file_rows(df: DataFrame, i: int, order: Sequence[str] = ("order_id",)) -> DataFrame:
-    """One demo row (decision F10: the first row under a total order)."""
-    return df.orderBy(*order).limit(1).withColumn("order_id", F.lit(f"demo_{i}"))
+def small_files(table: ParquetTable, n: int, order: Sequence[str] = ("order_id",)) -> ParquetTable:
+    """Append ``n`` copies of the first row under ``order`` (decision F10) as new orders,
+    one file each: the state that compaction is for."""
+    first = table.read().orderBy(*order).limit(1)
+    copies = first.crossJoin(table.spark.range(n)).withColumn(
+        "order_id", F.concat(F.lit("demo_"), F.col("id").cast("string"))).drop("id")
+    copies.repartitionByRange(n, "order_id").write.mode("append").partitionBy(*table.partition_by).parquet(table.path)
+    return table
 
 
-def run(table: VersionedTable, initial: DataFrame, second_batch: DataFrame,
-        partition_by: Sequence[str], first_update: str, second_update: str, delete_cond: str,
-        n_small: int = 20, cluster_col: str = "customer_id", cluster_files: int = 8) -> dict:
-    """Run the whole A3 sequence; returns the version number of each step."""
-    v = {}
-    v["write"] = table.overwrite(with_order_date(initial), partition_by,
-                                 params={"mode": "overwrite", "partitionBy": list(partition_by)})
-    v["update1"] = table.change(
-        first_update, lambda df: update_where(df, first_update, {"status": "'CANCELLED'"}),
-        operation="UPDATE", params={"predicate": first_update})
-    v["append"] = table.append(with_order_date(second_batch), merge_schema=True)
-    v["update2"] = table.change(
-        second_update, lambda df: update_where(df, second_update, {"status": "'CANCELLED'"}),
-        operation="UPDATE", params={"predicate": second_update})
-    v["delete"] = table.change(delete_cond, lambda df: delete_where(df, delete_cond),
-                               operation="DELETE", params={"predicate": delete_cond})
-    # the demo row is found once (one top-1 pass) and materialised; each of the
-    # small appends then derives from that single row instead of the table
-    from tessera.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(table.spark)
-    first = table.read(v["delete"]).orderBy("order_id").limit(1).checkpoint(eager=True)
-    for i in range(n_small):
-        v[f"small_{i}"] = table.append(small_file_rows(first, i))
-    v["compact"] = table.overwrite(compact(table.read(), partition_by), partition_by,
-                                   operation="OPTIMIZE", params={"compact": True})
-    v["cluster"] = table.overwrite(cluster_by(table.read(), [cluster_col], cluster_files), (),
-                                   operation="OPTIMIZE", params={"zOrderBy": [cluster_col]})
-    return v
+def steps(spark, path: str, initial: DataFrame, second_batch: DataFrame, partition_by: Sequence[str],
+          first_update: str, second_update: str, delete_cond: str, n_small: int = 20
+          ) -> Iterator[tuple[str, str, ParquetTable]]:
+    """Run the flow on the folder ``path``: ``(step, operation, table)`` after each step. The
+    next step changes the same folder in place."""
+    cancel = {"status": "'CANCELLED'"}
+    rows = with_order_date(initial)
+    schema = T.StructType([*[f for f in rows.schema if f.name not in partition_by],
+                           *[rows.schema[c] for c in partition_by]])
+    t = ParquetTable(spark, path, schema, tuple(partition_by)).overwrite(rows)
+    yield "write", "WRITE", t
+    t = t.change(first_update, lambda df: update_where(df, first_update, cancel))
+    yield "update1", "UPDATE", t
+    t = t.append(with_order_date(second_batch), merge_schema=True)
+    yield "append", "WRITE", t
+    t = t.change(second_update, lambda df: update_where(df, second_update, cancel))
+    yield "update2", "UPDATE", t
+    t = t.change(delete_cond, lambda df: delete_where(df, delete_cond))
+    yield "delete", "DELETE", t
+    t = small_files(t, n_small)
+    yield "small", "WRITE", t
+    side = ParquetTable(spark, scratch_path(spark, "orders-compact"), t.schema, t.partition_by)
+    yield "compact", "OPTIMIZE", side.overwrite(compact(t.read(), t.partition_by))

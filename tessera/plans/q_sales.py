@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera import testviews as tv
 from tessera.functions.scalar import to_number_or_null, to_timestamp_or_null
+from tessera.operators.changes import concat
 from tessera.operators.clean import clean_sales
 from tessera.operators.filters import between, greater_than, not_equal_count, where_equals
 from tessera.operators.keyed import first_per_key
@@ -277,7 +278,7 @@ def q_synth_sales(spark, sf):
 def q_sales_concat(spark, sf):
     """Original rows + generated rows, by column name, duplicates kept."""
     s = _sales(spark, sf)
-    return s.unionByName(synth_sales(spark, s, 1000, ORDER))
+    return concat(s, synth_sales(spark, s, 1000, ORDER))
 
 
 @register("csv_roundtrip", S("SELECT * FROM sales"))

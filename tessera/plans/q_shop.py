@@ -9,16 +9,17 @@ from tessera import testviews as tv
 from tessera.functions.scalar import record_json
 from tessera.operators.filters import case_flag, clean_staging
 from tessera.operators.keyed import latest_per_key, orphans, upsert
+from tessera.operators.quality import all_passed, check_no_nulls, check_unique, report
 from tessera.plans import shop_daily as shop
 from tessera.plans.catalog import register
 from tessera.session import scratch_path
-from tessera.sources.versioned import VersionedTable
+from tessera.sources.tables import ParquetTable
+from tessera.sources.writers import write_text_lines
 
 D1, D2 = "2025-01-01", "2025-01-02"
 TS1, TS2 = "2025-01-01 06:00:00", "2025-01-02 06:00:00"
 CHANGED_SINCE = "2024-10-01"      # customers whose profile changes on day 2
 PRICE_CHANGE_FROM = 1500          # products repriced on day 2
-DIM_AS_OF = "2024-06-30"          # dimension snapshot used by the orphan check
 
 
 def _desc_last(cols):
@@ -192,23 +193,35 @@ def q_daily_fact_backfill(spark, sf):
     row per order, the last run wins (decision F18). The fact table is
     partitioned by load date and each load merges into the partitions it
     touches only."""
-    table = VersionedTable(spark, scratch_path(spark, "fact_orders"))
-    table.overwrite(shop.empty(spark, schemas.FACT_ORDERS), ["load_date"], operation="CREATE")
+    table = ParquetTable(spark, scratch_path(spark, "fact_orders"), schemas.FACT_ORDERS, ("load_date",))
+    table.overwrite(shop.empty(spark, schemas.FACT_ORDERS))
     for day in (D1, D2, D2):
-        clean = clean_staging(_stg_orders(spark, sf, day))
-        table.merge(shop.fact_rows(clean, day), "order_id", params={"load_date": day})
+        rows = ParquetTable(spark, scratch_path(spark, "fact_day"), schemas.FACT_ORDERS)
+        rows.overwrite(shop.fact_rows(clean_staging(_stg_orders(spark, sf, day)), day))  # staged once per day
+        table.merge(rows.read(), "order_id")
     return table.read()
 
 
 @register("fk_orphans", Q(
-    f"SELECT order_id, customer_id FROM fact WHERE customer_id NOT IN "
-    f"(SELECT customer_id FROM shop_customers WHERE signup_date <= DATE '{DIM_AS_OF}')",
+    "SELECT order_id, customer_id FROM fact WHERE customer_id NOT IN (SELECT customer_id FROM shop_customers)",
     ("shop_landing_orders", "shop_customers"), *DAY1))
 def q_fk_orphans(spark, sf):
-    """Fact rows whose customer is missing from the dimension snapshot."""
+    """Fact rows whose customer is missing from the dimension."""
     fact, _ = _day1_fact(spark, sf)
-    dim = tv.shop_customers(spark, sf).where(F.col("signup_date") <= F.lit(DIM_AS_OF).cast("date"))
-    return orphans(fact, dim, "customer_id").select("order_id", "customer_id")
+    return orphans(fact, tv.shop_customers(spark, sf), "customer_id").select("order_id", "customer_id")
+
+
+@register("fk_orphans_products", Q(
+    "SELECT product_id, product_name FROM shop_products p WHERE NOT EXISTS "
+    "(SELECT 1 FROM fact f WHERE upper('p' || f.product_id) = upper('P' || p.product_id))",
+    ("shop_landing_orders", "shop_products"), *DAY1))
+def q_fk_orphans_products(spark, sf):
+    """J3, product side with upper-cased keys (decision F14): products that no fact names;
+    the two tables write their keys in different case."""
+    fact, _ = _day1_fact(spark, sf)
+    named = fact.select(F.concat(F.lit("p"), "product_id").alias("key"))
+    prods = tv.shop_products(spark, sf).withColumn("key", F.concat(F.lit("P"), "product_id"))
+    return orphans(prods, named, "key", normalize=F.upper).select("product_id", "product_name")
 
 
 JSON_FIELDS = ["order_id", "customer_id", "product_id", "quantity", "total_amount", "currency",
@@ -243,6 +256,50 @@ def q_dq_report(spark, sf):
     return shop.dq_report(dim, fact, clean, D1)
 
 
+@register("dq_gate", Q(
+    """SELECT (SELECT count(*) > 0 FROM cust_stg)
+              AND (SELECT count(*) FILTER (WHERE customer_id IS NULL OR product_id IS NULL) = 0 FROM fact)
+              AND (SELECT count(*) FROM stgc) = (SELECT count(*) FROM fact) AS all_passed""",
+    ("shop_customers", "shop_landing_orders"), CUST_STG, *DAY1))
+def q_dq_gate(spark, sf):
+    """Q4: the decision of the gate over the day-1 report."""
+    return all_passed(q_dq_report(spark, sf))
+
+
+@register("key_checks", Q(
+    """SELECT 'dim_customers_key' AS "check", count(*) AS observed, count(*) = 0 AS passed
+         FROM (SELECT customer_id FROM cust_stg GROUP BY customer_id HAVING count(*) > 1)
+       UNION ALL SELECT 'dim_products_key', count(*), count(*) = 0
+         FROM (SELECT product_id FROM prod_stg GROUP BY product_id HAVING count(*) > 1)
+       UNION ALL SELECT 'fact_key', count(*), count(*) = 0
+         FROM (SELECT order_id FROM fact GROUP BY order_id HAVING count(*) > 1)
+       UNION ALL SELECT 'landing_key', count(*), count(*) = 0
+         FROM (SELECT order_id FROM shop_landing_orders GROUP BY order_id HAVING count(*) > 1)
+       UNION ALL SELECT 'fact_key_not_null', count(*) FILTER (WHERE order_id IS NULL),
+              count(*) FILTER (WHERE order_id IS NULL) = 0 FROM fact""",
+    ("shop_customers", "shop_products", "shop_landing_orders"), CUST_STG, PROD_STG, *DAY1))
+def q_key_checks(spark, sf):
+    """Primary-key rules of the warehouse (unique, not null); the landing orders break
+    them, which staging repairs."""
+    fact, _ = _day1_fact(spark, sf)
+    return report(check_unique(_stg_customers(spark, sf), ["customer_id"], "dim_customers_key"),
+                  check_unique(_stg_products(spark, sf), ["product_id"], "dim_products_key"),
+                  check_unique(fact, ["order_id"], "fact_key"),
+                  check_unique(tv.shop_landing_orders(spark, sf), ["order_id"], "landing_key"),
+                  check_no_nulls(fact, ["order_id"], "fact_key_not_null"))
+
+
+@register("low_volume_note", Q(
+    f"SELECT 'LOW ORDER COUNT DETECTED: ' || CAST(count(*) AS VARCHAR) AS value FROM fact WHERE load_date = DATE '{D1}'",
+    OV, *DAY1))
+def q_low_volume_note(spark, sf):
+    """Q5 + K6, low branch: a threshold above the day's count writes the note; read back."""
+    fact, _ = _day1_fact(spark, sf)
+    path = scratch_path(spark, "low_volume")
+    write_text_lines(shop.anomaly_note(shop.volume(fact, D1, threshold=2 ** 31 - 1)), path)
+    return spark.read.text(path)
+
+
 @register("volume_branch", Q(
     f"SELECT DATE '{D1}' AS load_date, count(*) AS n_orders, CASE WHEN count(*) < 10 "
     f"THEN 'warn_low_volume' ELSE 'normal_end' END AS branch FROM fact WHERE load_date = DATE '{D1}'",
@@ -252,7 +309,6 @@ def q_volume_branch(spark, sf):
     is written only for the low-volume branch)."""
     fact, _ = _day1_fact(spark, sf)
     status = shop.volume(fact, D1)
-    from tessera.sources.writers import write_text_lines
     write_text_lines(shop.anomaly_note(status), scratch_path(spark, "anomalies"))
     return status
 
@@ -275,3 +331,34 @@ def q_landing_stage_orders(spark, sf):
     stg = f"{base}/stg_orders"
     truncate_and_load(shop.stage_orders(read, tv.SHOP_ORDERS_INGEST), stg)
     return spark.read.schema(schemas.STG_ORDERS).parquet(stg).drop("raw_json")
+
+
+@register("landing_array_files", Q(
+    """SELECT * EXCLUDE (raw_json), CAST(json_extract(raw_json, '$.status') AS VARCHAR) AS raw_status,
+              CAST(json_extract(raw_json, '$.line_no') AS INTEGER) AS raw_line,
+              contains(raw_json, '"missing":null') AS raw_missing
+       FROM (SELECT * FROM stg_raw)""", OV, """stg_raw AS (
+  SELECT order_id, order_timestamp, customer_id, product_id, quantity,
+         CAST(total_amount AS DECIMAL(10,2)) AS total_amount, currency, status,
+         to_json({'status': status, 'line_no': line_no, 'missing': NULL}) AS raw_json FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY """ + _desc_last(tv.SHOP_ORDERS_INGEST) + """) AS rn
+    FROM (SELECT * REPLACE (coalesce(TRY_CAST(quantity AS INTEGER), 0) AS quantity) FROM shop_landing_orders)
+    WHERE quantity > 0) WHERE rn = 1)"""))
+def q_landing_array_files(spark, sf):
+    """S2 + X11: the landing orders as files that hold one JSON array of about 500 records
+    each (with a null field and a field that no table has), read back, staged, the whole
+    record kept."""
+    from tessera.sources.files import read_json_records
+    landing = tv.shop_landing_orders(spark, sf).drop("landing_date")
+    files = max(1, landing.count() // 500)
+    record = F.to_json(F.struct(*landing.columns, F.lit(None).cast("string").alias("missing")), {"ignoreNullFields": "false"})
+    path = scratch_path(spark, "landing_arrays")
+    (landing.select(F.pmod(F.xxhash64(*landing.columns), F.lit(files)).alias("file"), record.alias("r"))
+     .groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value"))
+     .select("value").repartition(files).write.option("maxRecordsPerFile", 1).text(path))
+    read = read_json_records(spark, path, landing.schema, raw="raw_json")
+    staged = shop.stage_orders(read, tv.SHOP_ORDERS_INGEST)
+    field = lambda name: F.get_json_object("raw_json", f"$.{name}")
+    text = F.concat(F.lit('"'), field("status"), F.lit('"'))
+    return staged.select(*[c for c in staged.columns if c != "raw_json"], text.alias("raw_status"),
+                         field("line_no").cast("int").alias("raw_line"), F.col("raw_json").contains('"missing":null').alias("raw_missing"))

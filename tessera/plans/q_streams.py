@@ -7,44 +7,37 @@ from tessera import testviews as tv
 from tessera.plans import q_taxi
 from tessera.plans.catalog import ORACLE, register
 from tessera.session import scratch_path
-from tessera.plans import taxi
 from tessera.streaming import taxi as st
 
-_RUNS: dict = {}
-_METRICS: dict = {}
-
-
-def scenario(spark, sf):
-    """bronze stream -> flagged stream -> weekly view -> top-N view, once per
-    (application, sf). The source is the lineitem file of ``sf``, read as a
-    stream with ``pathGlobFilter``."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _RUNS:
-        base = scratch_path(spark, "taxi_stream")
-        li_schema = tv.table(spark, sf, "lineitem").schema
-        src = tv.trips_from_lineitem(
-            st.read_stream(spark, sf, li_schema, glob="lineitem.parquet"))
-        q = st.ingest_stream(spark, src, f"{base}/bronze", f"{base}/_ckpt_bronze")
-        _METRICS[key] = st.observed_totals(q, taxi.VALID_DISTANCE)
-        st.flag_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/flagged",
-                       f"{base}/_ckpt_flagged")
-        st.refresh_weekly(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/weekly")
+def scenario(spark, sf, upto: str) -> str:
+    """bronze stream -> flagged stream -> weekly views -> top-N view in a fresh folder, as
+    far as ``upto`` needs. The source is the lineitem file of ``sf``, read as a stream."""
+    base = scratch_path(spark, "taxi_stream")
+    src = tv.trips_from_lineitem(
+        st.read_stream(spark, sf, tv.table(spark, sf, "lineitem").schema, glob="lineitem.parquet"))
+    st.ingest_stream(spark, src, f"{base}/bronze", f"{base}/_ckpt_bronze",
+                     metrics=f"{base}/metrics" if upto == "metrics" else None)
+    if upto in ("flagged", "top_n"):
+        st.flag_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/flagged", f"{base}/_ckpt_flagged")
+    if upto in ("weekly", "top_n"):
+        st.refresh_weekly(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/weekly", exact_scale=6)
+    if upto == "weekly_state":
         st.weekly_state_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/weekly_state",
-                               f"{base}/_ckpt_weekly")
+                               f"{base}/_ckpt_weekly", exact_scale=6)
+    if upto == "top_n":
         st.refresh_top_n(spark, f"{base}/flagged", f"{base}/weekly", f"{base}/top_n")
-        _RUNS[key] = base
-    return _RUNS[key]
+    return base
 
 
 def _read(spark, sf, name):
-    return spark.read.parquet(f"{scenario(spark, sf)}/{name}")
+    return spark.read.parquet(f"{scenario(spark, sf, name)}/{name}")
 
 
 @register("stream_bronze", ORACLE["taxi_bronze"])
 def q_stream_bronze(spark, sf):
     """T1 + S5 + K7: streamed bronze table (count and exact fare total)."""
     from pyspark.sql import functions as F
-    b = spark.read.schema(schemas.TRIPS).parquet(f"{scenario(spark, sf)}/bronze")
+    b = spark.read.schema(schemas.TRIPS).parquet(f"{scenario(spark, sf, 'bronze')}/bronze")
     return b.agg(F.count(F.lit(1)).alias("n_rows"),
                  F.sum((F.col("fare_amount") * 1000).cast("decimal(18,2)")).cast("double")
                  .alias("fare_total"))
@@ -52,18 +45,9 @@ def q_stream_bronze(spark, sf):
 
 @register("stream_expectation_metrics", ORACLE["expectation_metrics"])
 def q_stream_expectation_metrics(spark, sf):
-    """P6 in a stream: rows seen and dropped as observed by the bronze stream
-    (summed over its micro-batches), rows kept counted from the bronze table."""
-    from pyspark.sql import functions as F
-    base = scenario(spark, sf)
-    m = _METRICS[(spark.sparkContext.applicationId, sf)]
-    obs = spark.createDataFrame(
-        [(taxi.VALID_DISTANCE, m[f"{taxi.VALID_DISTANCE}_rows"], m[f"{taxi.VALID_DISTANCE}_dropped"])],
-        "expectation string, rows_seen bigint, rows_dropped bigint")
-    kept = spark.read.schema(schemas.TRIPS).parquet(f"{base}/bronze").agg(
-        F.count(F.lit(1)).alias("rows_kept"))
-    from tessera.operators.util import attach_row
-    return attach_row(obs, kept).select("expectation", "rows_seen", "rows_kept", "rows_dropped")
+    """P6 in a stream: exact counts over all micro-batches, from the metrics folder."""
+    return st.total_counts(spark, f"{scenario(spark, sf, 'metrics')}/metrics").select(
+        "expectation", "rows_seen", "rows_kept", "rows_dropped")
 
 
 @register("stream_flagged_rides", ORACLE["taxi_flagged"])

@@ -107,7 +107,7 @@ def flagged_per_week(spark, sf):
     "SELECT week, avg_amount, avg_distance FROM weekly", BRONZE_SQL, WEEKLY_SQL))
 def taxi_weekly_stats(spark, sf):
     """G4 + X5: weekly mean fare and distance over bronze."""
-    return taxi.weekly_stats(_bronze(spark, sf))
+    return taxi.weekly_stats(_bronze(spark, sf), exact_scale=6)
 
 
 @register("taxi_top_n", _sql(
@@ -120,5 +120,5 @@ def taxi_weekly_stats(spark, sf):
        LEFT JOIN weekly w ON w.week = f.week""", BRONZE_SQL, FLAGGED_SQL, WEEKLY_SQL))
 def taxi_top_n(spark, sf):
     """J1 + O2 + X6: the gold view: top 3 fares with their week's rounded means."""
-    out = taxi.run(tv.trips(spark, sf), n=3)
+    out = taxi.run(tv.trips(spark, sf), n=3, exact_scale=6)
     return out["top_n"]

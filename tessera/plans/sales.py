@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera import schemas
-from tessera.functions.scalar import flag01, round_half_even
+from tessera.functions.scalar import flag01, round_half_even, weighted_sum
 from tessera.operators.clean import clean_sales
 from tessera.sources.files import read_csv
 from tessera.sources.writers import write_json
@@ -33,8 +33,7 @@ def engagement(clean: DataFrame) -> DataFrame:
     wq, wt, wp = SCORE_WEIGHTS
     flag = flag01(F.col("promo_code") != F.lit("NONE"))
     x = clean.withColumn("promo_used_flag", flag)
-    score = (F.col("quantity") * F.lit(wq) + F.col("total") * F.lit(wt)
-             + F.col("promo_used_flag") * F.lit(wp))
+    score = weighted_sum([(wq, "quantity"), (wt, "total"), (wp, "promo_used_flag")])
     return x.withColumn("engagement_score", round_half_even(score, 2))
 
 
@@ -45,20 +44,3 @@ def run_etl(spark: SparkSession, csv_path: str, out_path: str, order: Sequence,
     clean = clean_sales(raw, order, high_value=high_value)
     write_json(clean, out_path)
     return clean
-
-
-# The ETL steps under the names the original script used.
-def extract(spark: SparkSession, csv_path: str) -> DataFrame:
-    """Read the sales CSV (all columns as text, coerced in ``transform``)."""
-    return read_csv(spark, csv_path, schemas.SALES_TEXT)
-
-
-def transform(df: DataFrame, order: Sequence = ("transaction_id",),
-              high_value: float = 1000.0) -> DataFrame:
-    """Coerce, fill, derive ``computed_total`` / ``is_high_value``, dedupe."""
-    return clean_sales(df, list(order), high_value=high_value)
-
-
-def load(df: DataFrame, output_path: str) -> None:
-    """Write JSON records (ISO time stamps, nulls kept)."""
-    write_json(df, output_path)

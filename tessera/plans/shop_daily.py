@@ -43,16 +43,16 @@ def stage_products(landing: DataFrame, ingest_order: Sequence) -> DataFrame:
 
 
 def stage_orders(landing: DataFrame, ingest_order: Sequence) -> DataFrame:
-    """Skip rows whose quantity (missing/bad = 0) is not positive, keep the
-    last remaining row per order_id, keep the whole record as JSON text."""
-    # the record's JSON is built after the dedupe (fewer bytes through the
-    # shuffle), from the surviving row with its original quantity text
+    """Skip rows whose quantity (missing/bad = 0) is not positive, keep the last remaining
+    row per order_id, keep the whole record as JSON text: as the reader carried it in
+    ``raw_json``, else built from the fields (after the dedupe, from the surviving row)."""
     x = landing.withColumn("_quantity_text", F.col("quantity"))
     x = positive_quantity(x, "quantity")
     x = last_per_key(x, "order_id", ingest_order)
-    fields = [F.col("_quantity_text").alias("quantity") if c == "quantity" else F.col(c)
-              for c in LANDING_FIELDS]
-    x = x.withColumn("raw_json", record_json(*fields))
+    if "raw_json" not in landing.columns:
+        fields = [F.col("_quantity_text").alias("quantity") if c == "quantity" else F.col(c)
+                  for c in LANDING_FIELDS]
+        x = x.withColumn("raw_json", record_json(*fields))
     if dict(x.dtypes)["order_timestamp"] == "timestamp":  # an instant (ISO text with zone)
         x = x.withColumn("order_timestamp", utc_wall_time("order_timestamp"))
     return schemas.conform(x, schemas.STG_ORDERS)
@@ -60,7 +60,8 @@ def stage_orders(landing: DataFrame, ingest_order: Sequence) -> DataFrame:
 
 def dim_upsert(dim: DataFrame, staged: DataFrame, key: str, schema, run_ts: str | None = None
                ) -> DataFrame:
-    src = staged.withColumn("last_updated", run_timestamp(run_ts))
+    """Null keys are no dimension rows (primary key), so a rerun adds none again."""
+    src = staged.where(F.col(key).isNotNull()).withColumn("last_updated", run_timestamp(run_ts))
     return schemas.conform(upsert(dim, schemas.conform(src, schema), key), schema)
 
 
@@ -121,21 +122,23 @@ SCHEMA_OF = {"stg_customers": schemas.STG_CUSTOMERS, "stg_products": schemas.STG
 
 def load_day(spark, warehouse: str, landing_base: str, run_date, run_ts: str | None = None,
              threshold: int = MIN_ORDER_THRESHOLD) -> dict:
-    """V9: one daily run, in the order stage -> transform -> checks -> volume
-    (decision F15). Every table is a ``VersionedTable`` under ``warehouse``;
-    each step writes the table's next version, so a rerun or a backfill of a
-    date upserts again instead of adding rows. Raises when a check fails.
-    Returns the DQ report and volume status frames (read back from disk).
+    """V9: one daily run, in the order stage -> transform -> checks -> volume (decision
+    F15). Every table is a plain parquet table under ``warehouse``; the fact table is
+    partitioned by load date. A rerun or a backfill of a date upserts again instead of
+    adding rows. Raises when a check fails. Returns the DQ report, the volume status and
+    the tables, read back from disk, and the loaders' row counts.
     """
     from tessera.operators.quality import require
     from tessera.sources.files import landing_path, read_csv, read_json_records
-    from tessera.sources.versioned import VersionedTable
-    from tessera.sources.writers import write_text_lines
+    from tessera.sources.tables import ParquetTable
+    from tessera.sources.writers import truncate_and_load, write_text_lines
 
-    t = {n: VersionedTable(spark, f"{warehouse.rstrip('/')}/{n}") for n in TABLES}
-
-    def current(name):
-        return t[name].read() if t[name].latest_version() >= 0 else empty(spark, SCHEMA_OF[name])
+    base = warehouse.rstrip("/")
+    t = {n: ParquetTable(spark, f"{base}/{n}", SCHEMA_OF[n], ("load_date",) if n == "fact_orders" else ())
+         for n in TABLES}
+    for n in ("dim_customers", "dim_products", "fact_orders"):
+        if not exists(spark, t[n].path):
+            t[n].overwrite(empty(spark, SCHEMA_OF[n]))
 
     # stage: truncate + load = one overwrite per staging table
     cust = read_csv(spark, landing_path(landing_base, "customers", run_date, "csv"),
@@ -143,29 +146,27 @@ def load_day(spark, warehouse: str, landing_base: str, run_date, run_ts: str | N
     prod = read_csv(spark, landing_path(landing_base, "products", run_date, "csv"),
                     schemas.STG_PRODUCTS, ingest_order=True)
     ords = read_json_records(spark, landing_path(landing_base, "orders", run_date, "json"),
-                             schemas.LANDING_ORDERS, ingest_order=True)
-    t["stg_customers"].overwrite(stage_customers(cust, ["_ingest"]), operation="TRUNCATE_LOAD")
-    t["stg_products"].overwrite(stage_products(prod, ["_ingest"]), operation="TRUNCATE_LOAD")
-    t["stg_orders"].overwrite(stage_orders(ords, ["_ingest"]), operation="TRUNCATE_LOAD")
-
-    out = transform(t["stg_orders"].read(), t["stg_customers"].read(), t["stg_products"].read(),
-                    current("dim_customers"), current("dim_products"), current("fact_orders"),
-                    run_date, run_ts)
-    for name in ("stg_orders", "dim_customers", "dim_products"):
-        t[name].overwrite(out[name], operation="MERGE" if name != "stg_orders" else "DELETE",
-                          params={"run_date": str(run_date)})
-    # the fact table is partitioned by load date; a run rewrites only the
-    # partitions holding one of its orders (an order can move to a later date)
-    rows = fact_rows(t["stg_orders"].read(), run_date)
-    if t["fact_orders"].latest_version() < 0:
-        t["fact_orders"].overwrite(rows, ["load_date"], operation="CREATE")
-    else:
-        t["fact_orders"].merge(rows, "order_id", params={"run_date": str(run_date)})
+                             schemas.LANDING_ORDERS, ingest_order=True, raw="raw_json")
+    truncate_and_load(stage_customers(cust, ["_ingest"]), t["stg_customers"].path)
+    truncate_and_load(stage_products(prod, ["_ingest"]), t["stg_products"].path)
+    truncate_and_load(clean_staging(stage_orders(ords, ["_ingest"])), t["stg_orders"].path)
+    counts = {n: t[n].read().count() for n in ("stg_customers", "stg_products", "stg_orders")}
+
+    for dim, stg, key in (("dim_customers", "stg_customers", "customer_id"),
+                          ("dim_products", "stg_products", "product_id")):
+        src = schemas.conform(t[stg].read().where(F.col(key).isNotNull()).withColumn("last_updated", run_timestamp(run_ts)), SCHEMA_OF[dim])
+        t[dim].change(F.lit(True), lambda rows, src=src, key=key: upsert(rows, src, key))
+    t["fact_orders"].merge(fact_rows(t["stg_orders"].read(), run_date), "order_id")
 
     fact, stg = t["fact_orders"].read(), t["stg_orders"].read()
     rep = dq_report(t["dim_customers"].read(), fact, stg, run_date)
     require(rep)
     status = volume(fact, run_date, threshold)
     ymd = str(run_date).replace("-", "")
-    write_text_lines(anomaly_note(status), f"{warehouse.rstrip('/')}/anomalies/low_volume_{ymd}")
-    return {"report": rep, "status": status, "tables": t}
+    write_text_lines(anomaly_note(status), f"{base}/anomalies/low_volume_{ymd}")
+    return {"report": rep, "status": status, "tables": t, "counts": counts}
+
+
+def exists(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

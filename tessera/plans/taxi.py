@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.functions.scalar import round_half_up, week_start
-from tessera.operators.filters import suspicious_ride
+from tessera.operators.filters import flag_rides
 from tessera.operators.keyed import left_lookup
 from tessera.operators.quality import expect_or_drop, expectation_counts
 from tessera.operators.stats import group_means, top_n
@@ -47,18 +47,14 @@ def bronze_metrics(trips: DataFrame) -> DataFrame:
 
 
 def flagged(bronze_df: DataFrame, fare: float = 50.0, distance: float = 5.0) -> DataFrame:
-    return (bronze_df.where(suspicious_ride(fare, distance))
+    return (flag_rides(bronze_df, fare, distance)
             .select(week_start("tpep_pickup_datetime").alias("week"),
                     F.col("pickup_zip").alias("zip"), "fare_amount", "trip_distance"))
 
 
-# Means are exact decimal sums / counts (money and distances carry at most
-# six decimals): the result then does not depend on partitioning or on the
-# order in which partial sums are merged. None gives a plain float AVG.
-MEAN_SCALE = 6
-
-
-def weekly_stats(bronze_df: DataFrame, exact_scale: int | None = MEAN_SCALE) -> DataFrame:
+def weekly_stats(bronze_df: DataFrame, exact_scale: int | None = None) -> DataFrame:
+    """Weekly means. ``exact_scale``: for inputs of at most that many decimals, exact
+    decimal sums, which do not depend on the order of merging; None: a plain AVG."""
     return group_means(bronze_df, week_start("tpep_pickup_datetime"), "week",
                        {"avg_amount": "fare_amount", "avg_distance": "trip_distance"},
                        exact_scale=exact_scale)
@@ -82,8 +78,8 @@ def top_rides(flagged_df: DataFrame, weekly_df: DataFrame, n: int = 3) -> DataFr
                     "fare_amount", "trip_distance", "zip")
 
 
-def run(trips: DataFrame, n: int = 3) -> dict[str, DataFrame]:
+def run(trips: DataFrame, n: int = 3, exact_scale: int | None = None) -> dict[str, DataFrame]:
     b = bronze(trips)
     f = flagged(b)
-    w = weekly_stats(b)
+    w = weekly_stats(b, exact_scale)
     return {"bronze": b, "flagged": f, "weekly": w, "top_n": top_rides(f, w, n)}

@@ -12,13 +12,16 @@ Scale notes (these are the settings the operators are designed around):
   not depend on the machine.
 
 Scratch data (snapshots, stream checkpoints, lineage cuts) always lives under
-the folder the cluster names in ``spark.checkpoint.dir``; a private folder is
-only created when that setting is empty (local tests).
+the folder the cluster names in ``spark.checkpoint.dir``. Where that setting is
+empty, a local master gets a private folder, removed at exit; a cluster is refused,
+since its executors would not see it.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -56,8 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:  # tests / local runs without a configured shared folder
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
+    elif sc.master.split("[")[0] == "local":  # one machine: a private folder, gone at exit
+        own = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 

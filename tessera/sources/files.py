@@ -36,12 +36,23 @@ def read_csv(spark: SparkSession, path, schema: T.StructType, ingest_order: bool
 
 
 def read_json_records(spark: SparkSession, path, schema: T.StructType,
-                      ingest_order: bool = False, array_file: bool = True) -> DataFrame:
-    """A JSON file holding one array of records (``multiLine``); with
-    ``array_file=False`` JSON lines. Each array file is read whole by one task,
-    so many daily files parallelise across tasks."""
-    df = spark.read.schema(schema).option("multiLine", array_file).json(path)
-    return _with_ingest(df) if ingest_order else df
+                      ingest_order: bool = False, array_file: bool = True, raw: str | None = None) -> DataFrame:
+    """S2 + X11: a JSON file holding one array of records; with ``array_file=False`` JSON
+    lines (which Spark splits over tasks; prefer them for large files, an array file is
+    one task). ``raw`` names a column with each record's own JSON text, unknown fields,
+    nulls and numbers included. A file that is no array, or a line that is no record,
+    gives a record of nulls."""
+    text = spark.read.option("wholetext", array_file).text(path if isinstance(path, str) else list(path))
+    text = text.select("value", F.struct(F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("line")).alias("at"))
+    if array_file:
+        rows = text.select("at", F.posexplode(F.from_json("value", "array<string>")).alias("pos", "text"))
+    else:
+        rows = text.select("at", F.lit(0).alias("pos"), F.col("value").alias("text"))
+    rows = rows.select(F.col("text"), F.from_json("text", schema).alias("r"),
+                       F.struct("at.file", "at.block", F.struct("at.line", "pos").alias("pos")).alias("_ingest"))
+    return rows.select("r.*", *([F.col("text").alias(raw)] if raw else []), *(["_ingest"] if ingest_order else []))
 
 
 def landing_path(base: str, entity: str, run_date, ext: str) -> str:

@@ -1,7 +1,7 @@
 """Sinks (K1-K6, K8).
 
-Writers never read and overwrite the same folder in one job (Spark refuses;
-versioned tables write a new snapshot folder instead). Partitioned writes
+Writers never read and overwrite the same folder in one job (changes of a table
+are written beside it first, see ``sources.tables``). Partitioned writes
 repartition by the partition columns first so each partition value is
 written by one task, giving one file per partition instead of one per task.
 """
@@ -45,7 +45,8 @@ def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str =
         df = df.repartition(*[F.col(c) for c in cols], salt)
     elif cols:
         df = df.hint("rebalance", *cols)
-    df.write.mode(mode).partitionBy(*cols).parquet(path)
+    w = df.write.mode(mode)
+    (w.partitionBy(*cols) if cols else w).parquet(path)
 
 
 def truncate_and_load(df: DataFrame, path: str) -> None:

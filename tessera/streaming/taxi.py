@@ -1,8 +1,8 @@
 """Taxi medallion flow as Structured Streaming.
 
 * T1 ``ingest_stream``: incremental, append-only ingest of new source files
-  with the ``valid_distance`` expectation (dropped rows counted by
-  ``observe``; metrics appear in the query progress) into a parquet table.
+  with the ``valid_distance`` expectation into a parquet table; a second
+  stream keeps exact counts of seen and dropped rows per micro-batch.
 * T2 ``flag_stream``: a second stream that reads the bronze table as its
   source, filters suspicious rides and appends them to the silver table.
 * T3 ``refresh_weekly``: the weekly statistics view, recomputed over all of
@@ -20,10 +20,10 @@ restart from the checkpoint adds nothing (exactly-once file sink).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.quality import expect_or_drop
+from tessera.operators.quality import expect_or_drop, expectation_counts
 from tessera.plans import taxi
 from tessera.sources.writers import materialize
 
@@ -54,28 +54,36 @@ def write_stream(df: DataFrame, out: str, checkpoint: str, name: str | None = No
     return w.start(out)
 
 
-def ingest_stream(spark: SparkSession, src: DataFrame, out: str, checkpoint: str):
-    """bronze = rows passing ``valid_distance``; returns the finished query
-    (its ``recentProgress`` carries the observed row / drop counts)."""
-    # a named observation (streams report it in each progress event)
+def ingest_stream(spark: SparkSession, src: DataFrame, out: str, checkpoint: str, metrics: str | None = None):
+    """bronze = rows passing ``valid_distance``. With ``metrics`` a second stream over
+    the same source counts rows seen and dropped into that folder (P6)."""
     kept, _ = expect_or_drop(src, taxi.VALID_DISTANCE, taxi.distance_ok(),
                              observation=taxi.VALID_DISTANCE)
     q = write_stream(kept, out, checkpoint)
     q.awaitTermination()
+    if metrics:
+        count_stream(src, taxi.VALID_DISTANCE, taxi.distance_ok(), metrics, f"{checkpoint}_metrics")
     return q
 
 
-def observed_totals(query, name: str) -> dict:
-    """Sum a named observation over all micro-batches of a finished query
-    (the per-batch metrics Spark reports in ``recentProgress``)."""
-    out: dict = {}
-    for p in query.recentProgress:
-        row = p["observedMetrics"].get(name) if p["observedMetrics"] else None
-        if row is None:
-            continue
-        for k, v in (row.asDict() if hasattr(row, "asDict") else dict(row)).items():
-            out[k] = out.get(k, 0) + int(v)
-    return out
+def count_stream(src: DataFrame, name: str, cond: Column, out: str, checkpoint: str):
+    """P6 in a stream: one row of counts per micro-batch, in a folder named by the batch id.
+    A batch that is repeated after a failure replaces its own row, so the sum over the
+    folder is exact over any number of batches and restarts (``total_counts``)."""
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        expectation_counts(batch, name, cond).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = (src.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def total_counts(spark: SparkSession, metrics: str) -> DataFrame:
+    """Rows seen, kept and dropped over all batches so far."""
+    return spark.read.parquet(metrics).groupBy("expectation").agg(
+        *[F.sum(c).alias(c) for c in ("rows_seen", "rows_kept", "rows_dropped")])
 
 
 def flag_stream(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str,
@@ -86,9 +94,10 @@ def flag_stream(spark: SparkSession, bronze_dir: str, schema: T.StructType, out:
     return q
 
 
-def refresh_weekly(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str) -> DataFrame:
+def refresh_weekly(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str,
+                   exact_scale: int | None = None) -> DataFrame:
     """Weekly stats over everything ingested so far (K8 materialize)."""
-    materialize(taxi.weekly_stats(spark.read.schema(schema).parquet(bronze_dir)), out)
+    materialize(taxi.weekly_stats(spark.read.schema(schema).parquet(bronze_dir), exact_scale), out)
     return spark.read.parquet(out)
 
 
@@ -126,7 +135,7 @@ def weekly_stream(bronze: DataFrame, delay: str = "1 day", exact_scale: int | No
 
 
 def weekly_state_stream(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str,
-                        checkpoint: str, exact_scale: int | None = 6):
+                        checkpoint: str, exact_scale: int | None = None):
     """T3 as a stateful stream: weekly windows kept in the checkpointed state
     store (one row per week: bounded by the time span, not the data volume),
     emitted in complete mode; each micro-batch overwrites the view with the

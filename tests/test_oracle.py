@@ -10,11 +10,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as se  # noqa: E402
 from oracle_check import digest  # noqa: E402
+from tessera.plans.catalog import ORACLE, QUERIES, load_all  # noqa: E402
 from tessera.testviews import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = se.queries()
-ORACLE = se.oracle_sql()
+load_all()  # the optional training-data queries are tested in tests/llm
 
 
 @pytest.fixture(scope="module")

@@ -81,8 +81,8 @@ def _plan(df):
 
 
 def test_plans_have_no_python_and_use_top_k(spark):
-    import __spark_entry__ as se
-    qs = se.queries()
+    from tessera.plans.catalog import QUERIES as qs, load_all
+    load_all()
     sf = "/root/testdata/sf0.001"
     top = qs["taxi_top_n"](spark, sf)
     p = top._jdf.queryExecution().sparkPlan().toString()
@@ -176,3 +176,39 @@ def test_null_groups_are_groups(spark):
     assert q == {None: 2.0, "a": 3.0}
     idx = sorted((r.g or "", r.v, r.idx) for r in stats.dense_index(df, ["v"], by=["g"]).collect())
     assert idx == [("", 1.0, 0), ("", 2.0, 1), ("", 3.0, 2), ("a", 2.0, 0), ("a", 4.0, 1)]
+
+
+def test_numbers_that_lose_no_rows(spark):
+    from tessera.functions.scalar import int_or_zero, missing_to_null, to_number_or_null
+    rows = ["2001.0", "2", "2.7", "NaN", "NA", "", None, "9007199254740993", "-1.0", "x"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "i int, v string")
+    got = df.select(to_number_or_null("v", "bigint"), to_number_or_null("v"), int_or_zero("v"),
+                    missing_to_null("v")).orderBy("i").collect()
+    assert [r[0] for r in got] == [2001, 2, None, None, None, None, None, 9007199254740993, -1, None]
+    assert [r[1] for r in got] == [2001.0, 2.0, 2.7, None, None, None, None, 9007199254740992.0, -1.0, None]
+    assert [r[2] for r in got] == [2001, 2, 2, 0, 0, 0, 0, 0, -1, 0]
+    assert [r[3] for r in got] == ["2001.0", "2", "2.7", None, None, "", None, "9007199254740993", "-1.0", "x"]
+
+
+def test_layout_of_a_hot_value(spark, tmp_dir):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    from tessera.operators.layout import cluster_by, compact
+    df = spark.range(20000).select(F.when(F.col("id") % 10 > 0, "c-0007").otherwise(
+        F.format_string("c-%04d", F.col("id") % 97)).alias("k"), F.col("id"), (F.col("id") * 7 % 1000).cast("double").alias("v"),
+        F.lit(1).alias("one"))
+    for name, x in (("one", cluster_by(df, ["k"], 8)), ("z", cluster_by(df, ["k", "v", "id", "one"], 8)),
+                    ("files", compact(df, files=8)), ("parts", compact(df, ["k"], files=8))):
+        x.write.parquet(f"{tmp_dir}/{name}")
+        sizes = [pq.read_metadata(f).num_rows for f in glob.glob(f"{tmp_dir}/{name}/*.parquet")]
+        sizes = [s for s in sizes if s]
+        assert sum(sizes) == 20000 and len(sizes) == 8 and max(sizes) < 2 * 20000 / 8, (name, sizes)
+
+    def skipped(name, value):  # files whose statistics exclude a value
+        ranges = [pq.read_metadata(f).row_group(0).column(2).statistics for f in glob.glob(f"{tmp_dir}/{name}/*.parquet")]
+        return sum(not s.min <= value <= s.max for s in ranges)
+
+    assert skipped("z", 5.0) > skipped("files", 5.0) == 0

@@ -21,7 +21,7 @@ def test_multi_batch_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir
     dropped = sum(p["observedMetrics"]["valid_distance"]["valid_distance_dropped"]
                   for p in q.recentProgress if "valid_distance" in p.get("observedMetrics", {}))
     st.flag_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/flagged", f"{base}/_ck_f")
-    batch = taxi.run(tv.trips(spark, SF))
+    batch = taxi.run(tv.trips(spark, SF), exact_scale=6)
     bronze = spark.read.schema(schemas.TRIPS).parquet(f"{base}/bronze")
     assert bronze.count() == batch["bronze"].count()
     assert dropped == tv.trips(spark, SF).count() - bronze.count()
@@ -33,7 +33,7 @@ def test_multi_batch_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir
     st.flag_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/flagged", f"{base}/_ck_f")
     assert spark.read.schema(schemas.TRIPS).parquet(f"{base}/bronze").count() == bronze.count()
     assert spark.read.parquet(f"{base}/flagged").count() == flagged.count()
-    st.refresh_weekly(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/weekly")
+    st.refresh_weekly(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/weekly", exact_scale=6)
     top = st.refresh_top_n(spark, f"{base}/flagged", f"{base}/weekly", f"{base}/top")
     assert sorted(top.collect()) == sorted(batch["top_n"].collect())
 
@@ -80,9 +80,31 @@ def test_stateful_weekly_stream_keeps_state_across_restart(spark, tmp_dir):
     trips = taxi.bronze(tv.trips(spark, SF))
     trips.where("pickup_zip < 5").write.parquet(src)
     out, ck = os.path.join(tmp_dir, "weekly"), os.path.join(tmp_dir, "_ck")
-    st.weekly_state_stream(spark, src, schemas.TRIPS, out, ck)
+    st.weekly_state_stream(spark, src, schemas.TRIPS, out, ck, exact_scale=6)
     trips.where("pickup_zip >= 5").write.mode("append").parquet(src)
-    st.weekly_state_stream(spark, src, schemas.TRIPS, out, ck)   # restart: new file only
+    st.weekly_state_stream(spark, src, schemas.TRIPS, out, ck, exact_scale=6)   # restart: new file only
     got = sorted(spark.read.parquet(out).collect())
-    want = sorted(taxi.weekly_stats(trips).collect())
+    want = sorted(taxi.weekly_stats(trips, 6).collect())
     assert got == want
+
+
+def test_expectation_counts_are_exact_over_many_batches_and_a_restart(spark, tmp_dir):
+    src, base = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    trips = tv.trips(spark, SF).limit(260)
+
+    def land(part, n):
+        part.repartition(n).write.mode("append").parquet(src)
+        st.ingest_stream(spark, st.read_stream(spark, src, schemas.TRIPS, max_files=1), f"{base}/bronze",
+                         f"{base}/_ck", metrics=f"{base}/metrics")
+
+    land(trips, 105)
+    land(trips, 4)
+    got = st.total_counts(spark, f"{base}/metrics").first()
+    kept = trips.where(taxi.distance_ok()).count()
+    assert (got["rows_seen"], got["rows_kept"], got["rows_dropped"]) == (520, 2 * kept, 520 - 2 * kept)
+    assert len([d for d in os.listdir(f"{base}/metrics") if d.startswith("batch=")]) > 100
+    # a repeated batch replaces its own row
+    first = spark.read.schema(schemas.TRIPS).parquet(src).limit(0)
+    st.expectation_counts(first, taxi.VALID_DISTANCE, taxi.distance_ok()).write.mode("overwrite").parquet(
+        f"{base}/metrics/batch=0")
+    assert st.total_counts(spark, f"{base}/metrics").first()["rows_seen"] < 520
