@@ -13,6 +13,7 @@ codes are numbered canonically, so lengths suffice to rebuild them).
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,16 +34,49 @@ EVERY, BLOCK_BYTES = 256, 1 << 20
 
 # ---- ids ------------------------------------------------------------------------
 
+#: ASCII marks that, after letters, are a piece of their own in the tokenizer's pattern.
+MARKS = ".,;:!?#$%&*+-/=@^_|~()[]{}"
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library. Its pattern never takes ASCII white
     space into a piece, so a text's ids are its words' ids in turn; different words are
-    encoded once and remembered, at most ``memory`` of them at a time."""
+    encoded once and remembered, at most ``memory`` of them at a time. Words of letters go
+    to the library many at a time: each is one piece, and a piece's last token is known
+    by the vocabulary's end-of-word suffix. Marks after them are a second piece."""
 
-    def __init__(self, path: str, memory: int = 600_000):
+    def __init__(self, path: str, memory: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.memory = Tokenizer.from_file(path), memory
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.last = {i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)}
         self._forget()
 
+    def _single(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str], many: int = 500) -> dict[str, list[int]]:
+        groups, out = [words[k:k + many] for k in range(0, len(words), many)], {}
+        for group, ids in zip(groups, self._single([" ".join(g) for g in groups]), strict=True):
+            ends = [k + 1 for k, i in enumerate(ids) if i in self.last]
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                out.update(zip(group, (ids[a:b] for a, b in zip([0, *ends], ends)), strict=True))
+            else:  # a vocabulary without end-of-word tokens
+                out.update(zip(group, self._single(group), strict=True))
+        return out
+
+    def _ids(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of each word."""
+        split = []
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            core = text.rstrip(MARKS)
+            split.append((core, text[len(core):]) if core.isalpha() else ("", text))
+        letters = self._letters(sorted({c for c, _ in split if c}))
+        rest = sorted({t for _, t in split if t})
+        other = dict(zip(rest, self._single(rest), strict=True))
+        return [letters.get(c, []) + other.get(t, []) for c, t in split]
+
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.start, self.ids = np.zeros(1, np.int64), np.empty(0, np.int32)
@@ -55,8 +89,7 @@ class WordEncoder:
         known = self.known
         new = list({w for row in words for w in row if w not in known})
         if new:
-            got = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new],
-                                                              add_special_tokens=False)]
+            got = self._ids(new)
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             size = np.fromiter(map(len, got), np.int64, len(got))
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
