@@ -14,7 +14,7 @@ pairs were seen. Counts come from the filter, N, V, C and T are exact sums.
 The filter is broadcast; ``max_bytes`` bounds it, so from about one thousand million levels
 a gigabyte on (8 bits a level) its error rate rises instead of its size. No n-gram is left
 out. ``base_score`` needs exact counts: the ``HEAVY`` most frequent words are broadcast, all
-others, none of which has more than 1/``HEAVY`` of the tokens, are joined by a shuffle.
+others, of which none has much more than 1/``HEAVY`` of the tokens, are joined by a shuffle.
 Words are identified by 64 bits of XXH64.
 """
 
@@ -62,11 +62,14 @@ def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 # ---- the filter -----------------------------------------------------------------
 
-def _places(key: np.ndarray, level: np.ndarray | int, bits: np.ndarray) -> Iterator[np.ndarray]:
-    h = mix(key + np.asarray(level).astype(U64) * U64(0xD1342543DE82EF95))
-    a, b = h & U64(0xFFFFFFFF), (h >> U64(32)) | U64(1)
-    for i in range(HASHES):
-        yield (a + U64(i) * b) % bits
+def _two_hashes(key: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(key + U64(level * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF))
+    return h & U64(0xFFFFFFFF), (h >> U64(32)) | U64(1)
+
+
+def _place(a: np.ndarray, b: np.ndarray, i: int, bits: np.ndarray | np.uint64) -> np.ndarray:
+    """The i-th bit of a key in a segment of ``bits`` (below 2^32) bits."""
+    return ((a + U64(i) * b & U64(0xFFFFFFFF)) * bits) >> U64(32)
 
 
 def build_segment(key: np.ndarray, count: np.ndarray, max_bytes: int) -> bytes:
@@ -76,8 +79,9 @@ def build_segment(key: np.ndarray, count: np.ndarray, max_bytes: int) -> bytes:
     bits = np.zeros(size * 8, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
         at = key[level >= j]
-        for place in _places(at, j, U64(size * 8)):
-            bits[place] = True
+        a, b = _two_hashes(at, j)
+        for i in range(HASHES):
+            bits[_place(a, b, i, U64(size * 8))] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -87,10 +91,10 @@ class Filter:
     first: np.ndarray  # first byte of each segment, and the end
 
     @staticmethod
-    def of(rows) -> Filter:
-        """From (segment, bits) rows; a segment without keys is one zero word."""
-        part = {r["segment"]: bytes(r["bits"]) for r in rows}
-        parts = [part.get(s, bytes(8)) for s in range(SEGMENTS)]
+    def of(rows: pa.Table) -> Filter:
+        """From an Arrow table (segment, bits); a segment without keys is one zero word."""
+        part = dict(zip(rows.column("segment").to_pylist(), rows.column("bits"), strict=True))
+        parts = [part[s].as_buffer() if s in part else bytes(8) for s in range(SEGMENTS)]
         return Filter(np.frombuffer(b"".join(parts), np.uint8),
                       np.append(0, np.cumsum([len(p) for p in parts])).astype(U64))
 
@@ -102,10 +106,11 @@ class Filter:
         level = 0
         while len(at) and level + 2 < len(ESTIMATE):
             level += 1
-            hit = np.ones(len(at), bool)
-            for place in _places(key[at], level, bits[at]):
-                hit &= (self.data[first[at] + (place >> U64(3))] >> (place & U64(7)).astype(np.uint8) & 1).astype(bool)
-            at = at[hit]
+            a, b = _two_hashes(key[at], level)
+            for i in range(HASHES):
+                place = _place(a, b, i, bits[at])
+                hit = (self.data[first[at] + (place >> U64(3))] >> (place & U64(7)).astype(np.uint8) & 1).astype(bool)
+                at, a, b = at[hit], a[hit], b[hit]
             out[at] += 1
         return out
 
@@ -160,14 +165,14 @@ def segment_counts(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray, np.nda
 
 def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' tokens in turn, the end of each included, and their numbers."""
-    h, end, flat = xxhash.xxh64_intdigest, int(END), []
+    h, end, flat = xxhash.xxh64_digest, END.astype(">u8").tobytes(), []
     count = np.empty(len(texts), np.int64)
     for i, t in enumerate(texts):
         words = t.lower().split() if t else []
         flat += map(h, words)
         flat.append(end)
         count[i] = len(words) + 1
-    return np.array(flat, U64), count
+    return np.frombuffer(b"".join(flat), ">u8").astype(U64), count
 
 
 def histories(word: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -275,9 +280,11 @@ def fit(docs: DataFrame, max_bytes: int = 128 << 20) -> tuple[Model, DataFrame]:
                                              ["h", "c", "segment"])
 
     words = Filter.of(counts.mapInArrow(key_of, "h long, c long, segment int").groupBy("segment").applyInArrow(
-        build_words, "segment int, bits binary").collect())
+        build_words, "segment int, bits binary").toArrow())
     n_docs = end["c"] if end else 0
-    top = counts.orderBy(F.desc("c"), "h").limit(HEAVY).toPandas().sort_values("h")
+    # the words above the count that about HEAVY words exceed: no global sort, no top-k heap
+    above = counts.agg(F.percentile_approx("c", max(0.0, 1 - HEAVY / max(1, v)), 10_000)).first()[0] if v > HEAVY else 0
+    top = counts.where(F.col("c") > (above or 0)).toArrow().sort_by("h")
 
     def build_pairs(table: pa.Table) -> pa.Table:
         segment, key, count, tag = segment_counts(table)
@@ -288,11 +295,11 @@ def fit(docs: DataFrame, max_bytes: int = 128 << 20) -> tuple[Model, DataFrame]:
                          "read": pa.array([size(ESTIMATE[levels_of(count)])])})
 
     rows = _partials(docs, words, n_docs).groupBy("segment").applyInArrow(
-        build_pairs, "segment int, bits binary, seen array<double>, kinds array<double>, read array<double>").collect()
-    seen, kinds, read = (np.sum([r[c] for r in rows] or [np.zeros(128)], axis=0) for c in ("seen", "kinds", "read"))
+        build_pairs, "segment int, bits binary, seen array<double>, kinds array<double>, read array<double>").toArrow()
+    seen, kinds, read = (np.sum(rows.column(c).to_pylist() or [[0.0] * 128], axis=0) for c in ("seen", "kinds", "read"))
     return Model(words, Filter.of(rows), n, v, n_docs, estimated, seen / np.maximum(1, seen + kinds),
-                 np.where(seen > 0, read / np.maximum(1, seen), 1.0), top["h"].to_numpy(np.int64),
-                 top["c"].to_numpy(np.int64)), counts
+                 np.where(seen > 0, read / np.maximum(1, seen), 1.0), top.column("h").to_numpy(),
+                 top.column("c").to_numpy()), counts
 
 
 def score(docs: DataFrame, max_bytes: int = 128 << 20) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -209,7 +210,7 @@ def test_filter_counts_never_fall_short():
     segment = (key >> np.uint64(54)).astype(int)
     rows = [{"segment": int(s), "bits": lm_score.build_segment(key[segment == s], count[segment == s], 1 << 20)}
             for s in np.unique(segment)]
-    f = lm_score.Filter.of(rows)
+    f = lm_score.Filter.of(pa.Table.from_pylist(rows))
     true, read = lm_score.levels_of(count), f.levels(key)
     assert (read >= true).all() and (read > true).mean() < 0.1
     assert (f.levels(r.integers(0, 2 ** 64, 4000, np.uint64)) > 0).mean() < 0.1
