@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, connected_components, materialize, pieces, union_labels
 from .simhash_near import link_within
 
-#: Lines of one candidate group that one task compares with each other.
-PART_LINES = 2000
+#: Lines of one candidate group that one task compares with each other; values of one
+#: block key beyond which the Gray-order index searches them instead of their pairs.
+PART_LINES, CROWD = 2000, 1024
 
 _OTHER = re.compile(r"[\W_]+")
 
@@ -167,53 +168,61 @@ def block_links(values: DataFrame, max_bits: int, shared: int = 2) -> DataFrame:
 
     The 64 bits are cut into ``max_bits + shared`` blocks: two values that near agree on
     at least ``shared`` whole blocks (pigeonhole), so each choice of ``shared`` blocks is
-    an equi-join key, dealt out by hash."""
+    an equi-join key (``64 * shared / blocks`` bits; raise ``shared`` with the number of
+    values). Values go to their keys' deals packed, nine bytes for each choice."""
     n = max_bits + shared
     edge = [64 * i // n for i in range(n + 1)]
-    masks = [sum(((1 << edge[i + 1]) - (1 << edge[i])) for i in chosen) for chosen in combinations(range(n), shared)]
+    masks = np.array([sum(((1 << edge[i + 1]) - (1 << edge[i])) for i in chosen)
+                      for chosen in combinations(range(n), shared)], np.uint64)
 
     def keys(batches):
         for b in pieces(batches, rows=1 << 16):
             sim = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for k, mask in enumerate(masks):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(sim), k, np.int8)), pa.array((sim & np.uint64(mask)).view(np.int64)),
-                     pa.array(sim.view(np.int64))], ["choice", "bits", "sim"])
-
-    def links(batches):
-        got = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False),
-                b.column(2).to_numpy(zero_copy_only=False)) for b in batches]
-        if not got:
-            return
-        choice, bits, sim = (np.concatenate(x) for x in zip(*got, strict=True))
+            choice = np.repeat(np.arange(len(masks), dtype=np.uint8), len(sim))
+            every = np.tile(sim, len(masks))
+            h = ((every & masks[choice]) + choice) * np.uint64(0x9E3779B97F4A7C15)
+            deal = (h ^ h >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(54)
+            order = np.argsort(deal, kind="stable")
+            cut = np.searchsorted(deal[order], np.arange(1025, dtype=np.uint64))
+            choice, every = choice[order], every[order]
+            some = np.flatnonzero(cut[1:] > cut[:-1]).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), *[pa.array([x[cut[d]:cut[d + 1]].tobytes() for d in some], pa.binary())
+                                               for x in (choice, every)]], ["deal", "choices", "sims"])
+
+    def links(table: pa.Table) -> pa.Table:
+        choice = np.frombuffer(b"".join(table.column("choices").to_pylist()), np.uint8)
+        sim = np.frombuffer(b"".join(table.column("sims").to_pylist()), np.uint64)
+        bits = sim & masks[choice]
         order = np.lexsort((bits, choice))
-        choice, bits, sim = choice[order], bits[order], sim[order].view(np.uint64)
+        choice, bits, sim = choice[order], bits[order], sim[order]
         new = np.ones(len(sim), bool)
         new[1:] = (choice[1:] != choice[:-1]) | (bits[1:] != bits[:-1])
         start = np.flatnonzero(new)
         size = np.diff(np.append(start, len(sim)))
         group = np.cumsum(new) - 1
-        src, dst = [], []
-        small = size[group] <= 64
-        for d in range(1, min(64, int(size.max()))):  # pairs at distance d in the sorted run
-            a = np.flatnonzero(small[:-d] & (group[:-d] == group[d:]))
-            a = a[np.bitwise_count(sim[a] ^ sim[a + d]) <= max_bits]
-            src.append(sim[a])
-            dst.append(sim[a + d])
-        for s, m in zip(start[size > 64].tolist(), size[size > 64].tolist(), strict=True):
-            a, b = link_within(sim[s:s + m], sim[:0], max_bits)
-            src.append(a)
-            dst.append(b)
-        src, dst = np.concatenate(src or [sim[:0]]), np.concatenate(dst or [sim[:0]])
+        src, dst = [sim[:0]], [sim[:0]]
+        at, d = np.flatnonzero(size[group] <= CROWD), 1
+        while len(at):  # pairs at distance d in the sorted run; who has none at d has none beyond
+            at = at[at + d < len(sim)]
+            at = at[group[at] == group[at + d]]
+            near = at[np.bitwise_count(sim[at] ^ sim[at + d]) <= max_bits]
+            src.append(sim[near])
+            dst.append(sim[near + d])
+            d += 1
+        for s, m in zip(start[size > CROWD].tolist(), size[size > CROWD].tolist(), strict=True):
+            x, y = link_within(sim[s:s + m], sim[:0], max_bits)
+            src.append(x)
+            dst.append(y)
+        src, dst = np.concatenate(src), np.concatenate(dst)
         ids, at = np.unique(np.concatenate([src, dst]), return_inverse=True)
         parent = np.arange(len(ids))
         union_labels(parent, at[:len(src)], at[len(src):])
         child = np.flatnonzero(parent != np.arange(len(ids)))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[child].view(np.int64)),
-                                          pa.array(ids[parent[child]].view(np.int64))], ["src", "dst"])
+        return pa.table({"src": ids[child].view(np.int64), "dst": ids[parent[child]].view(np.int64)})
 
-    return (values.select("sim").mapInArrow(keys, "choice byte, bits long, sim long")
-            .repartition("choice", "bits").mapInArrow(links, "src long, dst long"))
+    return (values.select("sim").mapInArrow(keys, "deal int, choices binary, sims binary")
+            .groupBy("deal").applyInArrow(links, "src long, dst long"))
 
 
 def edit_links(lines: DataFrame, max_bits: int, similarity: float, part_lines: int = PART_LINES) -> DataFrame:
@@ -249,7 +258,7 @@ def _edits(longer: int, similarity: float) -> int:
     return int((1 - similarity) * longer + 1e-9)
 
 
-def repeated_lines(docs: DataFrame, max_bits: int = 3, similarity: float = 0.8) -> DataFrame:
+def repeated_lines(docs: DataFrame, max_bits: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs (doc_id, th, text)`` -> ``(doc_id, th, dropped)`` for texts that lose lines:
     the sorted numbers (from 0) of lines whose group keeps an earlier occurrence."""
     lines = materialize(line_table(docs), "lines")
@@ -291,7 +300,7 @@ def _without(text: Column, dropped: Column) -> Column:
     return F.pandas_udf(run, "string")(text, dropped)
 
 
-def dedup_lines(docs: DataFrame, max_bits: int = 3, similarity: float = 0.8,
+def dedup_lines(docs: DataFrame, max_bits: int = 5, similarity: float = 0.8,
                 dropped: str | None = None) -> DataFrame:
     """``docs`` (needs ``doc_id`` and ``text``) with the repeated lines cut from ``text``.
 
