@@ -1,7 +1,7 @@
 """Row-level changes and set operations.
 
-Each is a pure DataFrame -> DataFrame transformation; a versioned table
-writes the result as its next snapshot. Conditions use SQL three-valued
+Each is a pure DataFrame -> DataFrame transformation; a table
+(``sources.tables``) rewrites the partitions they touch. Conditions use SQL three-valued
 logic: only rows where the condition is TRUE are touched.
 """
 

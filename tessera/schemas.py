@@ -36,7 +36,7 @@ TRIPS = _schema(
     ("tpep_pickup_datetime", NTZ, True), ("pickup_zip", I, True), ("dropoff_zip", I, True),
     ("fare_amount", D, True), ("trip_distance", D, True))
 
-# --- versioned orders table ----------------------------------------------------
+# --- orders table (fixed: names must match) ----------------------------------------------------
 ORDERS_TEXT = _schema(
     ("order_id", S, False), ("order_timestamp", S, False), ("customer_id", S, False),
     ("country", S, False), ("amount", D, False), ("currency", S, False), ("status", S, False))
