@@ -121,7 +121,7 @@ def exact_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
     bc = F.broadcast if few_groups else (lambda x: x)
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     v = F.col(value) if isinstance(value, str) else value
-    vals = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    vals = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
     if approx:
         return vals.groupBy(*by).agg(*[

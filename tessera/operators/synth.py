@@ -1,11 +1,9 @@
 """Seeded synthetic sales rows.
 
 Rows are generated with ``spark.range(n)`` (distributed) and every random
-draw is a pure integer function of (row index, column slot, seed):
-
-    lcg(x) = ((x mod 2^31) * 1103515245 + 12345) mod 2^31,   draw = lcg(x) div 16
-
-so any engine can repeat it (no ``rand()``), and reruns give the same rows.
+draw is a pure integer function of (row index, column slot, seed): the first 48 bits of
+the MD5 of ``row:slot:seed``. Draws of different rows and slots are independent, any
+engine can repeat them (no ``rand()``), and reruns give the same rows.
 Choices from existing values use the sorted distinct lists numbered by
 :func:`dense_index` and an equi-join on the drawn index; AQE broadcasts a list
 only when its measured size is small.
@@ -22,7 +20,6 @@ from tessera.session import ensure_checkpoint_dir
 from tessera.operators.util import attach_row
 
 # Fixed parameters of the generator (ranges of the generated values).
-LCG_MUL, LCG_ADD, LCG_MOD = 1103515245, 12345, 2147483648
 QTY_RANGE = (1, 10)
 PRICE_CENTS_RANGE = (50, 1500)
 DAY_RANGE = (1, 28)
@@ -31,13 +28,12 @@ SLOTS = 8  # random draws per row
 
 
 def draw(i: Column, slot: int, seed: int = 0) -> Column:
-    x = F.pmod(i * SLOTS + F.lit(slot + seed * 1000003), F.lit(LCG_MOD))
-    return F.floor(F.pmod(x * LCG_MUL + LCG_ADD, F.lit(LCG_MOD)) / 16).cast("long")
+    key = F.concat(i.cast("string"), F.lit(f":{slot}:{seed}"))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("long")
 
 
 def draw_sql(i: str, slot: int, seed: int = 0) -> str:
-    x = f"(({i}) * {SLOTS} + {slot + seed * 1000003}) % {LCG_MOD}"
-    return f"((({x}) * {LCG_MUL} + {LCG_ADD}) % {LCG_MOD}) // 16"
+    return f"CAST('0x' || substr(md5(CAST({i} AS VARCHAR) || ':{slot}:{seed}'), 1, 12) AS BIGINT)"
 
 
 def _pick(gen: DataFrame, choices: DataFrame, slot_col: str, size_col: str) -> DataFrame:

@@ -212,3 +212,16 @@ def test_layout_of_a_hot_value(spark, tmp_dir):
         return sum(not s.min <= value <= s.max for s in ranges)
 
     assert skipped("z", 5.0) > skipped("files", 5.0) == 0
+
+
+def test_generator_draws_are_independent(spark):
+    import numpy as np
+
+    from tessera.operators.synth import draw
+    far = 1 << 28
+    df = spark.range(2000).select(*[draw(F.col("id"), s).alias(f"s{s}") for s in range(8)],
+                                  draw(F.col("id") + far, 0).alias("far"))
+    x = df.toPandas().to_numpy(float)
+    assert len(np.unique(x)) == x.size  # no draw repeats, also not 2^28 rows on
+    assert np.abs(np.corrcoef(x.T) - np.eye(9)).max() < 0.1
+    assert abs(x.mean() / 2 ** 47 - 1) < 0.02
