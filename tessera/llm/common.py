@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,56 @@ def pieces(batches: Iterator[pa.RecordBatch], n_bytes: int = 4 << 20,
             yield batch.slice(k, step)
 
 
+class IdStore:
+    """Remembers the id sequence of each 64-bit key, at most about ``memory`` keys at a time."""
+
+    def __init__(self, memory: int):
+        self.memory = memory
+        self._empty = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32))
+        self.known = self._empty
+
+    def look_up(self, key: np.ndarray, make: Callable[[np.ndarray], list[list[int]]]
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Offset and number of ids in the returned store for each of the different keys;
+        ``make`` gives the sequences of those (by index) that are new."""
+        have, offset, n, store = self.known if len(self.known[0]) <= self.memory else self._empty
+        pos = np.searchsorted(have, key)
+        seen = have[np.minimum(pos, len(have) - 1)] == key if len(have) else np.zeros(len(key), bool)
+        if not seen.all():
+            new = np.flatnonzero(~seen)
+            ids = make(new)
+            more = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter((x for row in ids for x in row), np.int32, int(more.sum()))
+            have = np.concatenate([have, key[new]])
+            offset = np.concatenate([offset, len(store) + np.cumsum(more) - more])
+            n, store = np.concatenate([n, more]), np.concatenate([store, flat])
+            order = np.argsort(have, kind="stable")
+            have, offset, n = have[order], offset[order], n[order]
+            pos = np.searchsorted(have, key)
+        self.known = (have, offset, n, store)
+        return offset[pos], n[pos], store
+
+
+def run_keys(symbol: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of symbols that starts at ``at``; the runs (with what a zero
+    symbol fills) follow each other without gaps."""
+    place = (np.arange(at[0], at[0] + int(length.sum())) - np.repeat(at, length)).astype(np.uint64)
+    x = symbol[at[0]:at[0] + len(place)].astype(np.uint64)
+    mixed = (x + (place << np.uint64(24)) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    mixed[x == 0] = 0
+    return np.add.reduceat(mixed, at - at[0])
+
+
+def first_places(which: np.ndarray, different: int) -> np.ndarray:
+    """First place of each of the different values in the factorised array."""
+    first = np.empty(different, np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]
+    return first
+
+
 def union_labels(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Merge the sets of ``a[i]`` and ``b[i]`` in the label array ``parent`` (each
     label points to the smallest index of its set; kept fully compressed)."""

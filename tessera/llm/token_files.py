@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from .common import pieces
+from .common import IdStore, first_places, pieces, run_keys
 
 #: Ids between two checkpoints; payload bytes at which a block is closed.
 EVERY, BLOCK_BYTES = 256, 1 << 20
@@ -47,10 +49,10 @@ class WordEncoder:
 
     def __init__(self, path: str, memory: int = 1_000_000):
         from tokenizers import Tokenizer
-        self.tokenizer, self.memory = Tokenizer.from_file(path), memory
+        self.tokenizer = Tokenizer.from_file(path)
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.last = {i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)}
-        self._forget()
+        self.store = IdStore(memory)
 
     def _single(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -71,7 +73,9 @@ class WordEncoder:
         for w in words:
             text = w.decode("utf-8", "replace")
             core = text.rstrip(MARKS)
-            split.append((core, text[len(core):]) if core.isalpha() else ("", text))
+            # letters that stay letters in the tokenizer's normal form (a dotted capital I does not)
+            plain = core if core.isascii() else unicodedata.normalize("NFC", core).lower()
+            split.append((core, text[len(core):]) if core.isalpha() and plain.isalpha() else ("", text))
         letters = self._letters(sorted({c for c, _ in split if c}))
         rest = sorted({t for _, t in split if t})
         other = dict(zip(rest, self._single(rest), strict=True))
@@ -83,26 +87,26 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes], end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in turn, ``end`` after each text, and how many each text has."""
-        words = [t.split() for t in texts]
-        if len(self.known) > self.memory:
-            self._forget()
-        known = self.known
-        new = list({w for row in words for w in row if w not in known})
-        if new:
-            got = self._ids(new)
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in got for i in x), np.int32, int(size.sum()))])
-        n_words = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter((known[w] for row in words for w in row), np.int64, int(n_words.sum()))
-        n = self.start[at + 1] - self.start[at]
-        owner = np.repeat(np.arange(len(texts)), n_words)
-        count = np.bincount(owner, weights=n, minlength=len(texts)).astype(np.int64)
+        joined = b" ".join(texts) + b" "
+        byte = np.frombuffer(joined, np.uint8)
+        word = (byte != 32) & ((byte < 9) | (byte > 13))
+        at = np.flatnonzero(word & np.append(True, ~word[:-1]))
         extra = 0 if end is None else 1
-        put = np.arange(int(n.sum())) + extra * np.repeat(owner, n)
+        if not len(at):
+            return np.full(extra * len(texts), end or 0, np.int32), np.full(len(texts), extra, np.int64)
+        which, different = pd.factorize(run_keys(np.where(word, byte.astype(np.uint16) + 1, 0), at, np.diff(np.append(at, len(byte)))))
+        first = at[first_places(which, len(different))]
+        stop = np.flatnonzero(~word)
+        stop = stop[np.searchsorted(stop, first)]
+        offset, n, store = self.store.look_up(np.asarray(different, np.uint64), lambda new: self._ids(
+            [joined[first[i]:stop[i]] for i in new.tolist()]))
+        offset, n = offset[which], n[which]
+        before = np.cumsum(n) - n
+        owner = np.searchsorted(np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1), at, side="right")
+        count = np.bincount(owner, weights=n, minlength=len(texts)).astype(np.int64)
         out = np.full(int(n.sum()) + extra * len(texts), end or 0, np.int32)
-        out[put] = self.ids[np.repeat(self.start[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        out[np.arange(int(n.sum())) + extra * np.repeat(owner, n)] = store[
+            np.repeat(offset - before, n) + np.arange(int(n.sum()))]
         return out, count + extra
 
 
@@ -213,52 +217,54 @@ class Code:
 
 # ---- files ----------------------------------------------------------------------
 
-def encode_ids(docs: DataFrame, path: str, end: int | None = 1) -> tuple[DataFrame, str]:
-    """``docs (doc_id, text)`` -> a written table ``(doc_id, th, ids)``, and the integer kind
-    of ``ids``: two bytes where the vocabulary allows it."""
+def encode_ids(docs: DataFrame, path: str, end: int | None = 1) -> tuple[DataFrame, DataFrame, str]:
+    """``docs (doc_id, text)`` -> a written table ``(doc_id, th, ids)``, the counts ``(id, n)``
+    over all rows, and the integer kind of ``ids``: two bytes where the vocabulary allows
+    it. Each task writes the counts of its ids as one more row of the same table."""
     from tokenizers import Tokenizer
     kind = "<u2" if max(Tokenizer.from_file(path).get_vocab_size(), end or 0) <= 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder, total = _encoder(path), np.zeros(1, np.int64)
         for b in pieces(batches, n_bytes=2 << 20):
             flat, count = encoder.encode([t or b"" for t in b.column(2).to_pylist()], end)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _cut(flat, count, kind)],
-                                             ["doc_id", "th", "ids"])
+            part = np.bincount(flat, minlength=len(total))
+            part[:len(total)] += total
+            total = part
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), _cut(flat, count, kind), pa.array([False] * b.num_rows)],
+                ["doc_id", "th", "ids", "counts"])
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array(
+                [np.concatenate([used, total[used]]).astype("<i8").tobytes()], pa.binary()), pa.array([True])],
+            ["doc_id", "th", "ids", "counts"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                used, n = np.frombuffer(x, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n)], ["id", "n"])
 
     ids = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), F.col("text").cast("binary")
-                      ).mapInArrow(run, "doc_id long, th long, ids binary")
+                      ).mapInArrow(run, "doc_id long, th long, ids binary, counts boolean")
     out = scratch_path(docs.sparkSession, "token-ids")
     ids.write.option("compression", "zstd").parquet(out)
-    return docs.sparkSession.read.schema(ids.schema).parquet(out), kind
-
-
-def id_counts(ids: DataFrame, kind: str) -> DataFrame:
-    """``(id, n)`` over all rows; each task hands on one row per id it saw."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
-        for b in pieces(batches):
-            part = np.bincount(_flat(b.column(0), kind)[0])
-            if len(part) > len(total):
-                total = np.pad(total, (0, len(part) - len(total)))
-            total[:len(part)] += part
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
-
-    return ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    table = docs.sparkSession.read.schema(ids.schema).parquet(out)
+    counts = table.where("counts").select("ids").mapInArrow(spread, "id long, n long")
+    return table.where("not counts").drop("counts"), counts.groupBy("id").agg(F.sum("n").alias("n")), kind
 
 
 BLOCK = ("part int, start long, doc_ids array<long>, n_ids array<long>, n_bytes array<long>, "
          "checkpoints binary, payload binary")
 
 
-def write_files(ids: DataFrame, kind: str, path: str, parts: int | None = None) -> None:
+def write_files(ids: DataFrame, counts: DataFrame, kind: str, path: str, parts: int | None = None) -> None:
     """Write the table of ``encode_ids`` as files below ``path``, in ascending ``doc_id``
     (null first; rows of one id by text hash). The driver sees the counts, one row per id
     of the vocabulary, and makes the code."""
     spark = ids.sparkSession
-    seen = sorted((r["id"], r["n"]) for r in id_counts(ids, kind).collect())
+    seen = sorted((r["id"], r["n"]) for r in counts.collect())
     used, n = (np.array([r[k] for r in seen], np.int64) for k in (0, 1))
     lengths = code_lengths(n, max(16, len(used).bit_length() + 2))
     spark.createDataFrame(list(zip(used.tolist(), lengths.tolist(), strict=True)), "id long, length long").coalesce(
@@ -342,7 +348,7 @@ def round_trip(docs: DataFrame, path: str, end: int | None = 1) -> DataFrame:
     A null text is encoded as an empty one (only the end id). Null ids come first, rows of
     one id in the order of their text's hash; repeated rows come back as often as they
     came. Other columns are ignored. Empty input: empty result."""
-    ids, kind = encode_ids(docs, path, end)
+    ids, counts, kind = encode_ids(docs, path, end)
     out = scratch_path(docs.sparkSession, "token-files")
-    write_files(ids, kind, out)
+    write_files(ids, counts, kind, out)
     return with_crc32(read_files(docs.sparkSession, out))

@@ -256,3 +256,17 @@ def test_licence_rules():
     assert license_scan.apply_rules(["MITref", "MITref"]) == (["MIT"], [])
     assert [n for _, n in license_scan.known_sentences("A. Licensed under the Apache License, Version 2.0. B.")] == ["APACHEref"]
     assert license_scan.known_sentences("The driving licence of my aunt expired. No permission was given.") == []
+
+
+def test_word_encoder_equals_the_library_on_whole_texts():
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    path, r = public_tokenizers.path("word_bpe_49k.json"), random.Random(1)
+    library, coder = Tokenizer.from_file(path), token_files.WordEncoder(path, memory=2000)
+    signs = "abcTHE's .,!\n\t\r\x0b\x0c\x00\u0301é漢İß1²\xa0-\u2028 \x1c'\u0958क\u0307"
+    for _ in range(20):
+        texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 60))) for _ in range(100)]
+        ids, n = coder.encode([t.encode() for t in texts], 1)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+        assert got == [[*e.ids, 1] for e in library.encode_batch(texts, add_special_tokens=False)]
