@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import IdStore, first_places, pieces
 
 #: Bytes of a leaf; tokens of a join's first window on each side.
 LEAF, WINDOW = 16, 2
@@ -99,8 +99,7 @@ class TreeBPE:
         self.merged = np.array([merges[p] for p in self.pair.tolist()], np.int64)
         self.settled = lru_cache(1 << 16)(self._settled)
         self.leaf = lru_cache(1 << 14)(self._leaf)
-        self.memory = memory
-        self.known = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32))
+        self.store = IdStore(memory)
 
     # ---- leaves
 
@@ -258,38 +257,15 @@ class TreeBPE:
         text = np.cumsum(end) - end
         at, length, key, text = at[~end], length[~end], key[~end], text[~end]
         which, different = pd.factorize(key)
-        first = np.empty(len(different), np.int64)
-        first[which[::-1]] = np.arange(len(which))[::-1]
-        offset, n, store = self._look_up(different, joined, at[first], length[first])
+        first = first_places(which, len(different))
+        begin, stop = at[first], at[first] + length[first]
+        offset, n, store = self.store.look_up(different, lambda new: self.matches(
+            [joined[begin[i]:stop[i]] for i in new.tolist()]))
         offset, n = offset[which], n[which]
         before = np.cumsum(n) - n
         ids = store[np.repeat(offset - before, n) + np.arange(n.sum())]
         return ids, np.bincount(text, weights=n, minlength=len(texts)).astype(np.int64)
 
-    def _look_up(self, key, joined, at, length):
-        """Offset and number of ids in the store for each match; new ones are encoded
-        and remembered, at most ``memory`` of them at a time."""
-        have, offset, n, store = self.known
-        if len(have) > self.memory:
-            have, offset, n, store = have[:0], offset[:0], n[:0], store[:0]
-        pos = np.searchsorted(have, key)
-        seen = np.zeros(len(key), bool)
-        if len(have):
-            seen = have[np.minimum(pos, len(have) - 1)] == key
-        if not seen.all():
-            new = np.flatnonzero(~seen)
-            ids = self.matches([joined[a:a + m] for a, m in zip(at[new].tolist(), length[new].tolist(), strict=True)])
-            more = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((x for row in ids for x in row), np.int32, int(more.sum()))
-            have = np.concatenate([have, key[new]])
-            offset = np.concatenate([offset, len(store) + np.cumsum(more) - more])
-            n, store = np.concatenate([n, more]), np.concatenate([store, flat])
-            order = np.argsort(have, kind="stable")
-            have, offset, n = have[order], offset[order], n[order]
-            pos = np.searchsorted(have, key)
-        self.known = (have, offset, n, store)
-        return offset[pos], n[pos], store
-
     def decode(self, ids: list[int]) -> bytes:
         """The tokens' bytes, concatenated up a tree."""
         level = list(map(self.bytes_of.__getitem__, ids))
