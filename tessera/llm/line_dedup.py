@@ -1,7 +1,7 @@
 """Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, components.
 
 A line is normalised (lower case, every run of characters that are no letters or digits
-becomes one space) and gets a 64-bit SimHash of its words. Two lines link when their
+becomes one space) and gets a 64-bit SimHash of its different words. Two lines link when their
 SimHashes differ in at most ``max_bits`` places and the edit similarity of the normalised
 lines, 1 - distance / longer length, reaches ``similarity``. Of each connected group the
 occurrence with the smallest (doc_id, text hash, line number) stays.
@@ -41,6 +41,12 @@ def normalise(line: str) -> str:
     return _OTHER.sub(" ", line.lower()).strip()
 
 
+def features(norm: str) -> list[str]:
+    """The different words of a normalised line: one often repeated word must not decide
+    all bits, or lines of common words would all be candidates of each other."""
+    return list(set(norm.split(" ")))
+
+
 def simhashes(lines: list[list[str]]) -> np.ndarray:
     """SimHash of each word list (at least one word each): majority of the words' XXH64 bits."""
     h = xxhash.xxh64_intdigest
@@ -155,7 +161,7 @@ def line_table(docs: DataFrame) -> DataFrame:
             key = [hashlib.blake2b(x.encode(), digest_size=16).digest() for x in norms]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(at), b.column(1).take(at), pa.array(pos, pa.int32()), pa.array(key, pa.binary()),
-                 pa.array(simhashes([x.split(" ") for x in norms]).view(np.int64)), pa.array(norms)],
+                 pa.array(simhashes([features(x) for x in norms]).view(np.int64)), pa.array(norms)],
                 ["doc_id", "th", "pos", "key", "sim", "norm"])
 
     return docs.select("doc_id", "th", F.col("text").cast("binary")).mapInArrow(
@@ -240,9 +246,10 @@ def edit_links(lines: DataFrame, max_bits: int, similarity: float, part_lines: i
     def check(table: pa.Table) -> pa.Table:
         key, norm = table.column("key").to_pylist(), table.column("norm").to_pylist()
         sim = table.column("sim").to_numpy().view(np.uint64)
-        root = np.arange(len(key))
+        root, size = np.arange(len(key)), np.array([len(x) for x in norm])
         for i in range(len(key) - 1):
-            near = np.flatnonzero((np.bitwise_count(sim[i + 1:] ^ sim[i]) <= max_bits) & (root[i + 1:] != root[i]))
+            near = np.flatnonzero((np.bitwise_count(sim[i + 1:] ^ sim[i]) <= max_bits) & (root[i + 1:] != root[i])
+                                  & (abs(size[i + 1:] - size[i]) <= (1 - similarity) * np.maximum(size[i + 1:], size[i]) + 1e-9))
             for j in (near + i + 1).tolist():
                 longer = max(len(norm[i]), len(norm[j]))
                 if root[i] != root[j] and within_edits(norm[i], norm[j], _edits(longer, similarity)):

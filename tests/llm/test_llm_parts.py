@@ -99,7 +99,7 @@ def test_line_dedup_equals_all_pairs(spark):
         docs.append((i, "\n".join(lines)))
     places = [(i, k, line_dedup.normalise(x)) for i, t in docs for k, x in enumerate(t.split("\n"))]
     places = [p for p in places if p[2]]
-    sim = line_dedup.simhashes([p[2].split(" ") for p in places])
+    sim = line_dedup.simhashes([line_dedup.features(p[2]) for p in places])
     parent = np.arange(len(places))
     for a in range(len(places)):
         for b in range(a):
