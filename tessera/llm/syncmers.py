@@ -3,8 +3,9 @@
 A window of ``k`` code points is selected when the smallest hash among the ``s``-mers inside
 it lies at its first or last place. Whether a window is selected depends on the window
 alone (context-free), so an edit changes only anchors that overlap it, and copied text
-keeps its anchors wherever it stands. The fingerprint keeps the ``size`` smallest different
-hashes of the selected windows (a bottom sketch); likeness is estimated from two sketches.
+keeps its anchors wherever it stands. All anchors are kept with their places, packed; the
+likeness of two texts is exact over all of them, and ``common_places`` gives where they meet.
+The fingerprint beside them is a sketch: the ``size`` smallest different hashes.
 """
 
 from __future__ import annotations
@@ -63,20 +64,58 @@ def closed_syncmers(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.n
     return at, _mix(h + U64(k))
 
 
-def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE) -> np.ndarray:
-    """The ``size`` smallest different upper halves of the anchors' hashes, ascending."""
+def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
+    """``closed_syncmers`` of a text of any length, worked off in stretches."""
     parts, step = [], 1 << 20
     for start in range(0, max(1, len(text) - k + 1), step):  # windows start in one part each
-        parts.append(np.unique(closed_syncmers(text[start:start + step + k - 1], k, s)[1] >> U64(32))[:size])
-    return np.unique(np.concatenate(parts))[:size].astype(np.uint32)
+        at, h = closed_syncmers(text[start:start + step + k - 1], k, s)
+        parts.append((at + start, h))
+    return np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
+
+
+def sketch(h: np.ndarray, size: int = SIZE) -> np.ndarray:
+    """The ``size`` smallest different upper halves of the anchors' hashes, ascending."""
+    return np.unique(h >> U64(32))[:size].astype(np.uint32)
+
+
+def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE) -> np.ndarray:
+    return sketch(anchors(text, k, s)[1], size)
+
+
+_PACKED = np.dtype([("place", ">u4"), ("hash", ">u8")])
+
+
+def pack(at: np.ndarray, h: np.ndarray) -> bytes:
+    """Twelve bytes for each anchor, by place: place and hash, both big-endian."""
+    out = np.empty(len(at), _PACKED)
+    out["place"], out["hash"] = at, h
+    return out.tobytes()
+
+
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(data, _PACKED)
+    return rows["place"].astype(np.int64), rows["hash"].astype(U64)
+
+
+def common_places(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Rows (place in a, place in b) of the common anchors, by place in a; an anchor that
+    comes several times in a text counts at its first place."""
+    ha, ia = np.unique(a[1], return_index=True)
+    hb, ib = np.unique(b[1], return_index=True)
+    _, x, y = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
+    both = np.stack([a[0][ia[x]], b[0][ib[y]]], axis=1)
+    return both[np.argsort(both[:, 0], kind="stable")]
 
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
-    """Share of common anchors, 2 |A and B| / (|A| + |B|): exact while both texts have at most
-    ``size`` anchors, else estimated from the smallest of the union. Two texts without
-    anchors are alike (1), one without and one with are not (0)."""
+def likeness(a: np.ndarray, b: np.ndarray, size: int | None = SIZE) -> float:
+    """Share of common anchors, 2 |A and B| / (|A| + |B|), of two sets of different hashes.
+    ``size`` None: exact, over all anchors. Of sketches of ``size``: exact while both texts have
+    at most ``size`` anchors, else estimated from the smallest of the union. Two texts
+    without anchors are alike (1), one without and one with are not (0)."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
+    if size is None:
+        return 2 * len(np.intersect1d(a, b, assume_unique=True)) / (len(a) + len(b))
     union = np.union1d(a, b)
     if len(a) == size or len(b) == size:
         union = union[:size]
@@ -90,16 +129,18 @@ def _hex(x: np.ndarray) -> str:
 
 
 def fingerprints(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
-    """``docs`` (needs ``doc_id`` and ``text``) -> ``(doc_id, fingerprint)``, eight hexadecimal
-    digits per kept anchor; null text: empty, whose fingerprint is the empty string."""
+    """``docs`` (needs ``doc_id`` and ``text``) -> ``(doc_id, anchors, fingerprint)``: all anchors
+    packed, and eight hexadecimal digits per anchor of the sketch; null text: both empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            fp = [_hex(fingerprint((t or b"").decode("utf-8", "replace"), k, s, size)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.string())], ["doc_id", "fingerprint"])
+            every = [anchors((t or b"").decode("utf-8", "replace"), k, s) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([pack(*x) for x in every], pa.binary()),
+                 pa.array([_hex(sketch(h, size)) for _, h in every], pa.string())], ["doc_id", "anchors", "fingerprint"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        run, "doc_id long, fingerprint string")
+        run, "doc_id long, anchors binary, fingerprint string")
 
 
 # ---- each document beside the next one ------------------------------------------
@@ -131,13 +172,14 @@ def with_next(docs: DataFrame, per_range: int = 10_000, max_ranges: int = 4096)
         again.select("doc_id", "text", "th", F.col("before").alias("range"), F.lit(True).alias("last")))
 
 
-EDITED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-          "near_edited double, near_next double")
+EDITED = ("doc_id long, n_chars long, edited_sha256 string, anchors binary, edited_anchors binary, "
+          "fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def against_next(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
-    """``docs`` (needs ``doc_id`` and ``text``) -> one row per input row with its fingerprint,
-    that of its edited text, and the likeness to the edited text and the next document.
+    """``docs`` (needs ``doc_id`` and ``text``) -> one row per input row with all its anchors and
+    its sketch, those of its edited text, and the exact likeness to the edited text and the
+    next document.
 
     The edited text has the last ``n_chars // 4`` code points replaced by the first as many
     (or all) of the next document: the next in ``(doc_id, text hash)`` order, null ids
@@ -150,7 +192,8 @@ def against_next(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE) -> D
         for b in pieces(batches):
             for doc_id, data, where, last in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 text = (data or b"").decode("utf-8", "replace")
-                row = (doc_id, text, where, last, fingerprint(text, k, s, size))
+                at, h = anchors(text, k, s)
+                row = (doc_id, text, where, last, at, h, np.unique(h))
                 if held is not None and not held[3] and held[2] == where:
                     out.append(beside(held, row))
                 held = row
@@ -159,15 +202,17 @@ def against_next(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE) -> D
                 out = []
 
     def beside(row: tuple, following: tuple) -> dict:
-        doc_id, text, _, _, fp = row
+        doc_id, text, _, _, at, h, own = row
         n = len(text) // 4
         edited = text[:len(text) - n] + following[1][:n]
-        new = fingerprint(edited, k, s, size)
+        new_at, new = anchors(edited, k, s)
         return {"doc_id": doc_id, "n_chars": len(text), "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(),
-                "fingerprint": _hex(fp), "edited_fingerprint": _hex(new), "near_edited": likeness(fp, new, size),
-                "near_next": likeness(fp, following[4], size)}
+                "anchors": pack(at, h), "edited_anchors": pack(new_at, new),
+                "fingerprint": _hex(sketch(h, size)), "edited_fingerprint": _hex(sketch(new, size)),
+                "near_edited": likeness(own, np.unique(new), None), "near_next": likeness(own, following[6], None)}
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
+                        ("anchors", pa.binary()), ("edited_anchors", pa.binary()),
                         ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                         ("near_edited", pa.float64()), ("near_next", pa.float64())])
     rows = with_next(docs).repartitionByRange("range")
