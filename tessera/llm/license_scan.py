@@ -3,12 +3,14 @@
 A text is cut into sentences; each is normalised and mapped to the identifier of a known
 licence sentence, if it is one. The sequence of identifiers, unknown sentences left out, is
 then matched against licence rules in their order: a rule that matches takes its
-identifiers out of the sequence, so that more specific rules come first.
+identifiers out of the sequence, so that more specific rules come first. A known sentence
+may run over the ends of lines; an SPDX tag gives the licences that it names.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -89,21 +91,84 @@ _KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 #: Every known sentence has one of these words.
 _WORDS = re.compile(r"licen|permission|redistribut|notice|copyright|warrant|provided|domain|spdx|public|cc0|cc by|"
                     r"creative|useful|endorse|applicable|mpl|governing")
+#: An SPDX tag with its licence expression.
+_ID = r"\(*[A-Za-z0-9][A-Za-z0-9.+-]*(?::[A-Za-z0-9.-]+)?\)*"
+_TAG = re.compile(rf"(?i:SPDX-License-Identifier):[ \t]*({_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_ID})*)")
+_EXCEPTION = re.compile(r"[ \t]WITH[ \t]+[^ \t]+")
+#: As ``_KNOWN``, but each match as short as it can be.
+_SHORT = [(name, re.compile(pattern.replace(".*", ".*?"))) for name, pattern in SENTENCES]
+_ORDER = {name: k for k, (name, _) in enumerate(SENTENCES)}
 
 
 def normalise(sentence: str) -> str:
     return _DOTS.sub(r"\1", _PLAIN.sub(" ", sentence.lower())).strip()
 
 
+def spdx_licences(text: str) -> list[str]:
+    """Licences (by their names in ``RULES`` where they have one) of the SPDX tags of a text,
+    each once, in order; exceptions after WITH are no licences."""
+    out = []
+    for expression in _TAG.findall(text):
+        for name in re.split(r"[ \t]+(?:AND|OR)[ \t]+", _EXCEPTION.sub("", expression)):
+            name = name.strip("()").rstrip(".")
+            name = re.sub(r"-only$", "", re.sub(r"-or-later$", "+", name))
+            name = re.sub(r"^([AL]GPL-[0-9.]+)\+$", r"\1", name)
+            name = re.sub(r"^(CC-BY(?:-NC|-ND|-SA)*)-[0-9.]+$", r"\1", name)
+            if name not in out:
+                out.append(name)
+    return out
+
+
+def _over_lines(parts: list[tuple[int, str]], names: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """``names`` of the lines ``parts`` (number, normalised) of one stretch without an end mark,
+    with the known sentences that run over line ends. Of two that overlap, the first of
+    ``SENTENCES`` counts."""
+    start, size = [], 0
+    for _, plain in parts:
+        start.append(size)
+        size += len(plain) + 1
+    joined = " ".join(plain for _, plain in parts)
+    line = {k: (at, plain) for at, (k, plain) in zip(start, parts, strict=True)}
+    spans = []  # (from, to, number, name)
+    for k, name in names:
+        m = dict(_SHORT)[name].search(line[k][1])
+        spans.append((line[k][0] + m.start(), line[k][0] + m.end(), k, name))
+    for name, pattern in _SHORT:
+        at = 0
+        while m := pattern.search(joined, at):
+            low, high = m.span()
+            while later := pattern.search(joined, low + 1, high):  # the shortest that ends here
+                low = later.start()
+            i, j = bisect_right(start, low) - 1, bisect_right(start, high - 1) - 1
+            over = [x for x in spans if x[0] < high and low < x[1]]
+            if i < j and all(_ORDER[x[3]] > _ORDER[name] for x in over):
+                spans = [x for x in spans if x not in over] + [(low, high, parts[i][0], name)]
+            at = max(high, at + 1)
+    return [(k, name) for _, _, k, name in sorted(spans)]
+
+
 def known_sentences(text: str) -> list[tuple[int, str]]:
     """Numbers (from 0) and identifiers of the known sentences of a text, in order."""
-    out = []
-    for k, sentence in enumerate(_SPLIT.split(text)):
-        plain = normalise(sentence)
+    text = _TAG.sub(r"\n\nSPDX-License-Identifier:\1\n\n", text)  # a sentence of its own
+    out, parts, names, at = [], [], [], 0
+
+    def end() -> None:
+        plain = " ".join(p for _, p in parts)
+        out.extend(_over_lines(parts, names) if len(parts) > 1 and _WORDS.search(plain) else names)
+        parts.clear()
+        names.clear()
+
+    for k, cut in enumerate([*_SPLIT.finditer(text), None]):
+        plain = normalise(text[at:cut.start() if cut else len(text)])
+        if plain:
+            parts.append((k, plain))
         if _WORDS.search(plain):
             name = next((n for n, p in _KNOWN if p.search(plain)), None)
             if name:
-                out.append((k, name))
+                names.append((k, name))
+        if cut is None or cut[0] != "\n" or text[cut.start() - 1:cut.start()] in tuple(".!?;:"):
+            end()
+        at = cut.end() if cut else at
     return out
 
 
@@ -119,6 +184,12 @@ def apply_rules(names: list[str]) -> tuple[list[str], list[str]]:
     return found, rest.replace("|", " ").split()
 
 
+def _named(found: list[str], text: str) -> list[str]:
+    """``found`` with the licences that the text's SPDX tags name for the rule's "SPDX"."""
+    named = spdx_licences(text) if "SPDX" in found else []
+    return list(dict.fromkeys([*(x for x in found if x != "SPDX"), *named])) if named else found
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` (needs ``doc_id`` and ``text``) -> one row per input row: ``(doc_id, licenses,
     n_known, sentence_ids, sentence_numbers, unmatched)``.
@@ -130,8 +201,10 @@ def scan(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = pa.list_(pa.string())
         for b in pieces(batches):
-            known = [known_sentences((t or b"").decode("utf-8", "replace")) for t in b.column(1).to_pylist()]
+            texts = [(t or b"").decode("utf-8", "replace") for t in b.column(1).to_pylist()]
+            known = [known_sentences(t) for t in texts]
             rules = [apply_rules([n for _, n in k]) for k in known]
+            rules = [(_named(r[0], t), r[1]) for r, t in zip(rules, texts, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([r[0] for r in rules], strings), pa.array([len(k) for k in known], pa.int64()),
                  pa.array([[n for _, n in k] for k in known], strings),
@@ -146,7 +219,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def oracle_sql() -> str:
     """DuckDB SQL of ``(doc_id, licenses, n_known)``: the same two tables, applied by SQL to
-    every sentence of every document."""
+    every sentence of every document. It knows neither sentences over line ends nor what
+    an SPDX tag names: equal on texts without those."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     case = " ".join(f"WHEN regexp_matches(s, {quote(p)}) THEN {quote(n)}" for n, p in SENTENCES)
     steps, last = [], "seq"

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from tessera.llm import syncmers
+from tessera.llm import license_scan, syncmers
 
 
 def _words(seed, n):
@@ -31,3 +31,22 @@ def test_long_texts_keep_all_anchors_with_places(spark):
     inside = both[both[:, 1] >= 18]
     assert len(inside) > 40 and (np.diff(inside, axis=1) == 18 - 90_000).mean() > 0.9
     assert syncmers.fingerprints(df).where("length(anchors) > 12 * 512").count() == 2
+
+
+def test_licences_over_line_ends_and_spdx_tags(spark):
+    apache = "Licensed under the Apache\nLicense, Version 2.0 (the thing);\nyou may not use this file except in\nCompliance with the License."
+    texts = [
+        ("SPDX-License-Identifier: MIT", ["MIT"]), ("// SPDX-License-Identifier:Apache-2.0\nint main;", ["Apache-2.0"]),
+        ("# SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0 OR MIT)\nX = 1", ["GPL-2.0+", "MIT"]),
+        ("/* SPDX-License-Identifier: LGPL-2.1-only */", ["LGPL-2.1"]),
+        ("SPDX-License-Identifier: BSD-3-Clause\nThis is released under the MIT License.", ["MIT", "BSD-3-Clause"]),
+        ("SPDX-License-Identifier: CC-BY-SA-4.0.\nMore.", ["CC-BY-SA"]),
+        (apache, ["Apache-2.0"]), ("It is released under the\nMIT License. It is good.", ["MIT"]),
+        ("under the GNU General Public License version 3 of the\nLicense, or any later\nVersion.", ["GPL-3.0+"]),
+        ("Released under the MIT License\nRedistributions of source code must retain the above\nCopyright notice", ["MIT"]),
+        ("Released under the\n\nMIT License", []), ("Plain text\nWithout any\nPermission", [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.scan(df).collect()}
+    assert [got[i] for i in range(len(texts))] == [want for _, want in texts]
+    assert [n for _, n in license_scan.known_sentences(apache)] == ["APACHEref", "APACHEcompliance"]
+    assert [n for _, n in license_scan.known_sentences(texts[9][0])] == ["MITref", "BSDsource"]
