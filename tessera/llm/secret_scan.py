@@ -1,7 +1,7 @@
 """Secret scanning: candidate strings, and a random forest that removes false positives.
 
-Candidates are long runs of key-like characters, values assigned to a name, and private-key
-headers. The forest judges each by its length, character classes and transitions, the
+Candidates are long runs of key-like characters, tokens of parts joined by dots, values
+assigned to a name (also inside another value), and private-key headers. The forest judges each by its length, character classes and transitions, the
 share of its letter runs that the corpus's own words cover, path signs, and the words
 beside it. It is trained on labelled findings; without a labelled table, candidates of
 unmistakable form (issuer prefixes, values assigned to a secret's name; plain words and
@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, materialize
 
 RUN = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
-ASSIGNED = r"""(?i)(?<![a-z0-9_\-])[a-z][a-z0-9_\-]{1,30}+["']?\s?(?:=|:|:=|=>)\s?["']?([^\s"',;()<>]{6,})"""
+DOTTED = r"(?<![A-Za-z0-9_\-.])(?=[A-Za-z0-9_\-]++\.[A-Za-z0-9_\-])[A-Za-z0-9_\-.]{15,}[A-Za-z0-9_\-]"
+#: The value is only looked at, so that the search goes on inside it.
+ASSIGNED = (r"""(?i)(?<![a-z0-9_\-])(?=[0-9_\-]*+[a-z])[a-z0-9_\-]++["']?\s?(?:=>|:=|=|:)\s?["']?"""
+            r"""(?=([^\s"',;()<>]{6,}))""")
 HEADER = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
 #: Names that secrets are assigned to, and prefixes of issued keys.
 CUE = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api.?key|access.?key|auth|credential|private.?key|bearer)"
@@ -49,19 +52,40 @@ def _grams(col: str) -> Column:
 def candidates(docs: DataFrame) -> DataFrame:
     """``docs (doc_id, text)`` -> one row per document and different candidate:
     ``(doc_id, candidate, first_pos, n_found, before, after)``: the first place (from 1), the
-    occurrences, and up to 40 characters on both sides of the first."""
-    runs = F.regexp_extract_all("text", F.lit(RUN), F.lit(0))
-    values = F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(1))
+    occurrences, and up to 40 characters on both sides of the occurrence that speaks most
+    for a secret (a name beside it, an assignment, a name near, a quote), of equal ones the first."""
+    all_of = lambda p, group: F.regexp_extract_all("text", F.lit(p), F.lit(group))
     found = docs.select("doc_id", "text", F.array_distinct(F.concat(
-        runs, values, F.regexp_extract_all("text", F.lit(HEADER), F.lit(0)))).alias("found")).where("text is not null")
+        all_of(RUN, 0), all_of(DOTTED, 0), all_of(ASSIGNED, 1), all_of(HEADER, 0))).alias("found")).where("text is not null")
     one = found.select("doc_id", "text", F.explode_outer("found").alias("candidate")).where("candidate is not null")
-    at = one.withColumn("first_pos", F.instr("text", F.col("candidate")))
-    size = F.length("candidate")
-    return at.select(
-        "doc_id", "candidate", F.col("first_pos").cast("long").alias("first_pos"),
-        ((F.length("text") - F.length(F.replace("text", F.col("candidate"), F.lit("")))) / size).cast("long").alias("n_found"),
-        F.substring(F.col("text"), F.greatest(F.col("first_pos") - 40, F.lit(1)), F.least(F.lit(40), F.col("first_pos") - 1)).alias("before"),
-        F.substring(F.col("text"), F.col("first_pos") + size, F.lit(40)).alias("after"))
+    literal = F.concat(F.lit("\\Q"), F.replace("candidate", F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    cut = one.select("doc_id", "candidate", F.split("text", literal, -1).alias("parts"))
+    part = lambda i: F.coalesce(F.get("parts", i), F.lit(""))
+
+    def beside(i: Column) -> Column:  # the occurrence after part i, and its neighbours' texts
+        before = F.concat(F.when(i > 0, F.concat(F.right(part(i - 1), F.lit(40)), "candidate")).otherwise(""), part(i))
+        after = F.concat(part(i + 1), F.when(i + 2 < F.size("parts"), F.concat(
+            "candidate", F.left(part(i + 2), F.lit(40)))).otherwise(""))
+        return F.struct((-i).alias("turn"), F.right(before, F.lit(40)).alias("before"), F.left(after, F.lit(40)).alias("after"))
+
+    def strength(x: Column) -> Column:
+        marks = _context(x["before"], x["after"])
+        return F.struct((8 * marks["cue_beside"] + 4 * marks["assigned"] + 2 * marks["cue_near"] + marks["quoted"]).alias("s"),
+                        x["turn"].alias("turn"), x["before"].alias("before"), x["after"].alias("after"))
+
+    each = cut.select("doc_id", "candidate", F.length(F.get("parts", F.lit(0))).alias("skipped"), F.transform(
+        F.sequence(F.lit(0), F.size("parts") - 2), beside).alias("places"))
+    best = each.select("doc_id", "candidate", "skipped", F.size("places").alias("n"),
+                       F.array_max(F.transform("places", strength)).alias("best"))
+    return best.select("doc_id", "candidate", (F.col("skipped") + 1).cast("long").alias("first_pos"),
+                       F.col("n").cast("long").alias("n_found"), "best.before", "best.after")
+
+
+def _context(before: Column, after: Column) -> dict[str, Column]:
+    flag = lambda cond: cond.cast("double")
+    return {"assigned": flag(before.rlike(r"""[=:>]\s?["']?$""")), "quoted": flag(before.rlike(r"""["']$""")),
+            "cue_beside": flag(before.rlike(CUE + r"""[A-Za-z0-9_\-]*["']?\s?[=:>]*\s?["']?$""")),
+            "cue_near": flag(F.concat_ws(" ", before, after).rlike(CUE))}
 
 
 def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
@@ -82,9 +106,7 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
         "different": F.size(F.array_distinct(F.split(c, ""))) / n, "hex": flag(c.rlike("^[0-9a-fA-F]+$")),
         "slashes": F.regexp_count(c, F.lit("/")).cast("double"),
         "path": flag(F.col("before").rlike(r"[/\\.~]$") | F.col("after").rlike(r"^[/\\]|^\.[a-z]") | c.rlike(r"^//|^[a-z]+/[a-z]+/")),
-        "assigned": flag(F.col("before").rlike(r"""[=:>]\s?["']?$""")), "quoted": flag(F.col("before").rlike(r"""["']$""")),
-        "cue_beside": flag(F.col("before").rlike(CUE + r"""[A-Za-z0-9_\-]*["']?\s?[=:>]*\s?["']?$""")),
-        "cue_near": flag(F.concat_ws(" ", "before", "after").rlike(CUE))}
+        **_context(F.col("before"), F.col("after"))}
     return out.select("*", *[v.alias(k) for k, v in new.items()])
 
 

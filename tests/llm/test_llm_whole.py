@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from tessera.llm import license_scan, syncmers
+from tessera.llm import license_scan, secret_scan, syncmers
 
 
 def _words(seed, n):
@@ -50,3 +50,25 @@ def test_licences_over_line_ends_and_spdx_tags(spark):
     assert [got[i] for i in range(len(texts))] == [want for _, want in texts]
     assert [n for _, n in license_scan.known_sentences(apache)] == ["APACHEref", "APACHEcompliance"]
     assert [n for _, n in license_scan.known_sentences(texts[9][0])] == ["MITref", "BSDsource"]
+
+
+def test_assigned_values_of_any_name_are_candidates(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVP"
+    texts = [("SPRING_DATASOURCE_PRODUCTION_PASSWORD=s3cr#t!99", "s3cr#t!99"), ("run --password=hunter2!x9 now", "hunter2!x9"),
+             ("//registry/:_authToken=ab!12cd#9", "ab!12cd#9"), ("env: DB_PASSWORD=ab3!kd9x", "ab3!kd9x"),
+             ("x: y: PASSWORD=ab=3!kd9x", "ab=3!kd9x"), ("p=ab3!kd9x", "ab3!kd9x"), ("Authorization: Bearer " + jwt, jwt)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {(r["doc_id"], r["candidate"]): r for r in secret_scan.candidates(df).collect()}
+    for i, (t, want) in enumerate(texts):
+        assert got[i, want]["first_pos"] == t.index(want) + 1 and got[i, want]["n_found"] == 1
+
+
+def test_strongest_context_of_all_occurrences(spark):
+    value, odd = "Zk3!q9TxB7wLm2Rv", "a\\E$1.b[2"
+    text = f"seen {value} and, much further on after many other words of no interest, password={value} end {value}"
+    rows = secret_scan.candidates(spark.createDataFrame(
+        [(1, text), (2, f"key={odd} x key={odd}")], "doc_id long, text string")).collect()
+    r = next(r for r in rows if r["candidate"] == value)
+    assert (r["first_pos"], r["n_found"], r["before"][-9:], r["after"]) == (6, 3, "password=", f" end {value}")
+    r = next(r for r in rows if r["candidate"] == odd)
+    assert (r["first_pos"], r["n_found"], r["before"], r["after"]) == (5, 2, "key=", f" x key={odd}")
