@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, decontaminate, license_scan, line_dedup, lm_score, quality_mil, secret_scan, simhash_near, syncmers,
-    token_files)
+    byte_bpe, decontaminate, fill_middle, license_scan, line_dedup, lm_score, quality_mil, secret_scan, simhash_near,
+    syncmers, target_resample, token_files)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_files.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end=1)
+
+
+@register("op11_fill_in_middle")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of each text, by digests of the output and of the way back."""
+    made = fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"), seed=42)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@register("op12_target_resampling", target_resample.oracle_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the word distribution of the benchmark texts."""
+    return target_resample.resample(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                    read_table(spark, sf_dir, "benchmark").select("text"),
+                                    longest=1, buckets=10_000, seed=2024, percent=10, min_words=20)
