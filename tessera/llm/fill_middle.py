@@ -115,6 +115,8 @@ class BoundarySet:
 
 def boundaries(texts: list[bytes]) -> Iterator[np.ndarray]:
     """Offsets in code points at which the units of each UTF-8 text end."""
+    if not texts:
+        return
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     stop = np.cumsum(size)
     byte = np.frombuffer(b"".join(texts), np.uint8)

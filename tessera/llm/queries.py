@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, decontaminate, fill_middle, license_scan, line_dedup, lm_score, quality_mil, secret_scan, simhash_near,
-    syncmers, target_resample, token_files)
+    byte_bpe, decontaminate, fill_middle, license_scan, line_dedup, lm_score, minhash_near, quality_mil, secret_scan,
+    simhash_near, syncmers, target_resample, token_files)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_resample.resample(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                     read_table(spark, sf_dir, "benchmark").select("text"),
                                     longest=1, buckets=10_000, seed=2024, percent=10, min_words=20)
+
+
+@register("op13_minhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of documents whose 2-word shingle sets have a similarity of 0.8."""
+    return minhash_near.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                        words=2, percent=80)
