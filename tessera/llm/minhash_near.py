@@ -3,16 +3,18 @@
 1. A document is the set of its word shingles. ``bands * rows`` universal hashes of the
    shingles are minimised; a band of ``rows`` minima is one bucket key, one byte of each
    minimum is kept as the signature. Documents of equal sets are one node.
-2. In each bucket all members meet one pivot, not each other: the pairs, met in many bands
-   or one, are told apart by sizes and signatures, and those that may link are verified on
-   their full sets. Components follow from the verified links.
-3. Similarity is not transitive, so a bucket whose members are still in several components
-   goes on without its pivot. The Jaccard distance is a metric, so it comes apart: members
-   linked to the pivot and members far from it cannot link with each other. What lies
-   between goes with both parts. Each part takes a new pivot in the next round.
-4. Buckets that hold several components after ``rounds`` rounds are compared in full, in
-   blocks of bounded size that hand on spanning forests. So every two members of a bucket
-   are in the end in one component, verified against each other, or proven far apart.
+2. In each bucket all members meet one pivot, not each other. The different pairs of a node
+   and a pivot, met in many bands or one, are told apart by sizes and signatures; those
+   that may link are verified on their full sets. Components follow from verified links.
+3. Similarity is not transitive: two members may link with each other and not with the
+   pivot. The members of all buckets of one pivot are its group, and a group that
+   still holds several components is compared in full: its largest component with the
+   others, in blocks of bounded text that hand on spanning forests, again by signature
+   and then by full sets. Members far from the pivot are not compared with those linked to
+   it (Jaccard distances obey the triangle inequality). Where many blocks would be needed,
+   further pivots join most of the group's components first.
+4. So every two nodes of a bucket are in the end in one component, verified against each
+   other or proven unlike, and no bucket's pairs are ever written out.
 5. Components: alternating large-star and small-star rounds. Joins on keys that may be hot
    deal a hot key's rows over as many tasks as its measured count needs.
 
@@ -24,8 +26,8 @@ standard deviations below the threshold.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,12 @@ BANDS, ROWS = 40, 5
 #: most ``MOST_HOT`` keys are counted as hot (the line rises with the number of rows).
 HOT_ROWS, MOST_HOT = 1000, 50_000
 
-#: Text bytes of one side of a block in the full comparison.
-BLOCK_BYTES = 1 << 20
+#: Text bytes of one side of a block in the full comparison, and how many blocks a member
+#: may be in on average before a group's components are first joined by further pivots.
+BLOCK_BYTES, FEW_TIMES = 1 << 20, 3
+
+#: Word hashes that a task keeps.
+KEEP_WORDS = 200_000
 
 LINKED, UNSURE, APART, TO_VERIFY = 0, 1, 2, 3
 
@@ -86,17 +92,44 @@ class Minima:
         return (least >> np.uint64(32)).astype("<u4")  # the minimum's high half is the halves' minimum
 
 
+class Words(dict):
+    """Hash of each word met so far; forgotten when too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        out = self[word] = xxhash.xxh64_intdigest(word)
+        return out
+
+
+def set_hashes(text: bytes | None, words: int, known: Words) -> np.ndarray:
+    """Sorted 64-bit hashes of the text's different shingles, mixed from its words' hashes."""
+    parts = text.lower().split() if text else []
+    h = np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts))
+    if len(known) > KEEP_WORDS:
+        known.clear()
+    n = min(words, len(h))
+    if not n:
+        return h
+    x = h[:len(h) - n + 1].copy()
+    for k in range(1, n):
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x += h[k:len(h) - n + 1 + k]
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    return np.unique(x)
+
+
 def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """``docs (doc_id, text)`` -> ``(doc_id, text, n, k1, k2, sig, buckets)``: the size of the
     shingle set, its 128-bit hash, the signature and the bucket keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        minima = Minima(bands * rows)
+        minima, known = Minima(bands * rows), Words()
         for b in pieces(batches):
             n, key, sig, buckets = [], [], [], []
             for t in b.column(1).to_pylist():
-                found = shingles(t, words)
-                h = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found)))
+                h = set_hashes(t, words, known)
                 n.append(len(h))
                 key.append(xxhash.xxh3_128_digest(h.tobytes()))
                 least = minima.of(h)
@@ -178,6 +211,11 @@ def signature_bounds(percent: int, size: int) -> tuple[float, float]:
     return below(t), below(max(0.0, 2 * t - 1))
 
 
+def may_link(equal: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int, bound: float) -> np.ndarray:
+    """Whether sets of sizes ``n`` and ``m`` with this share of equal signature bytes may link."""
+    return (equal >= bound) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+
+
 def judge_by_signature(pairs: DataFrame, percent: int) -> DataFrame:
     """``pairs (node, pivot, n, sig, pivot_n, pivot_sig)`` -> ``(node, pivot, kind)``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,12 +224,10 @@ def judge_by_signature(pairs: DataFrame, percent: int) -> DataFrame:
             sig, other = (np.frombuffer(b"".join(get(x).to_pylist()), np.uint8).reshape(b.num_rows, -1)
                           for x in ("sig", "pivot_sig"))
             n, m = (get(x).to_numpy() for x in ("n", "pivot_n"))
-            low, high = np.minimum(n, m), np.maximum(n, m)
             equal = (sig == other).mean(axis=1)
-            may_link, near = signature_bounds(percent, sig.shape[1])
-            kind = np.full(b.num_rows, UNSURE, np.int32)
-            kind[(100 * low >= percent * high) & (equal >= may_link)] = TO_VERIFY
-            kind[(equal < near) | (100 * low < (2 * percent - 100) * high)] = APART
+            bound, near = signature_bounds(percent, sig.shape[1])
+            kind = np.where(may_link(equal, n, m, percent, bound), TO_VERIFY, UNSURE).astype(np.int32)
+            kind[(equal < near) | (100 * np.minimum(n, m) < (2 * percent - 100) * np.maximum(n, m))] = APART
             yield pa.RecordBatch.from_arrays([get("node"), get("pivot"), pa.array(kind)], ["node", "pivot", "kind"])
 
     return pairs.mapInArrow(run, "node long, pivot long, kind int")
@@ -220,30 +256,41 @@ def verify(pairs: DataFrame, words: int, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "node long, pivot long, kind int")
 
 
-def block_links(rows: list[tuple[int, int, bool, set[bytes]]], percent: int) -> Iterator[tuple[int, int]]:
-    """Links that join the components of a block's ``(node, component, first, shingles)``: each
-    row marked ``first`` is compared with all others by an index of the shingles. Of the
-    links found, those of a spanning forest are given."""
-    where, root = defaultdict(list), {}
-    for k, r in enumerate(rows):
-        for s in r[3]:
-            where[s].append(k)
+@dataclass
+class Member:
+    node: int
+    component: int
+    n: int
+    sig: np.ndarray
+    text: bytes
+
+
+def block_links(first: list[Member], rest: list[Member], words: int, percent: int) -> Iterator[tuple[int, int]]:
+    """Links that join components of a block: the ``first`` members are compared with each other
+    and with the ``rest``, by signature and size, then, while their components are still
+    apart, on their full sets. The links given are a spanning forest."""
+    every = first + rest
+    sig, n = np.stack([r.sig for r in every]), np.array([r.n for r in every])
+    sets, root = {}, {}
 
     def find(x: int) -> int:
         while root.setdefault(x, x) != x:
             root[x] = x = root[root[x]]
         return x
 
-    for k, (node, component, first, own) in enumerate(rows):
-        if not first:
-            continue
-        shared = np.bincount(np.fromiter((j for s in own for j in where[s]), np.int64), minlength=len(rows))
-        for j in np.flatnonzero(shared).tolist():
-            other = rows[j]
-            if (j != k and 100 * shared[j] >= percent * (len(own) + len(other[3]) - shared[j])
-                    and find(component) != find(other[1])):
-                root[find(component)] = find(other[1])
-                yield node, other[0]
+    def of(k: int) -> set[bytes]:
+        if k not in sets:
+            sets[k] = set(shingles(every[k].text, words))
+        return sets[k]
+
+    bound, _ = signature_bounds(percent, sig.shape[1])
+    for k, r in enumerate(first):
+        equal = (sig[k + 1:] == sig[k]).mean(axis=1)
+        for j in (np.flatnonzero(may_link(equal, n[k + 1:], n[k], percent, bound)) + k + 1).tolist():
+            other = every[j]
+            if find(r.component) != find(other.component) and similar(of(k), of(j), percent):
+                root[find(r.component)] = find(other.component)
+                yield r.node, other.node
 
 
 # ---- linking ------------------------------------------------------------------------
@@ -260,27 +307,33 @@ class Linker:
         self.components = table.sparkSession.createDataFrame([], "node long, component long")  # of linked nodes
 
     def run(self) -> DataFrame:
-        members = self.first_members()
+        kinds = self.judge(self.bucket_pairs())
+        self.merge(kinds)
+        groups = kinds.withColumnRenamed("pivot", "group").join(
+            self.nodes.select("node", F.length("text").alias("bytes")), "node")
+        groups = materialize(groups, "minhash-groups")
         for k in range(self.rounds):
-            kinds = self.judge(members)
-            self.merge(kinds.where(F.col("kind") == LINKED).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-            members = self.next_members(members, kinds, k)
-            if members.isEmpty():
-                return self.components
-        self.merge(self.compare_in_full(members))
+            rows, plan, light = self.open_groups(groups)
+            if light:
+                break
+            self.merge(self.judge(self.further_pivots(rows, k)))
+        else:
+            rows, plan, _ = self.open_groups(groups)
+        self.merge_links(self.compare_in_full(rows, plan))
         return self.components
 
-    def first_members(self) -> DataFrame:
-        """``(bucket, node, pivot)`` of the buckets with two nodes or more."""
+    def bucket_pairs(self) -> DataFrame:
+        """Different ``(node, pivot)`` of all buckets; the pivot is the bucket's least node."""
         spread = self.nodes.select("node", F.explode("buckets").alias("bucket"))
         several = materialize(spread.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("many"))
                               .where("many > 1"), "minhash-buckets")
         total = several.agg(F.sum("many")).first()[0] or 0
-        return materialize(join_hot(spread, several, ["bucket"], total, "node"), "minhash-members")
+        members = join_hot(spread, several, ["bucket"], total, "node")
+        return members.where("node <> pivot").select("node", "pivot").distinct()
 
-    def judge(self, members: DataFrame) -> DataFrame:
-        """Kind of each different pair of a member and its bucket's pivot."""
-        pairs = materialize(members.where("node <> pivot").select("node", "pivot").distinct(), "minhash-pairs")
+    def judge(self, pairs: DataFrame) -> DataFrame:
+        """``(node, pivot, kind)`` of each pair."""
+        pairs = materialize(pairs, "minhash-pairs")
         by_sig = materialize(judge_by_signature(self.with_both(pairs, "n", "sig"), self.percent), "minhash-judged")
         likely = by_sig.where(F.col("kind") == TO_VERIFY).select("node", "pivot")
         verified = materialize(verify(self.with_both(likely, "text"), self.words, self.percent), "minhash-verified")
@@ -293,69 +346,93 @@ class Linker:
         pivots = many.join(own.toDF("pivot", *(f"pivot_{c}" for c in columns)), "pivot")
         return join_hot(pairs.join(own, "node"), pivots, ["pivot"], pairs.count(), "node")
 
-    def merge(self, links: DataFrame) -> None:
+    def merge(self, kinds: DataFrame) -> None:
+        self.merge_links(kinds.where(F.col("kind") == LINKED).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+
+    def merge_links(self, links: DataFrame) -> None:
         self.components = star_components(links.unionByName(self.components.toDF("a", "b")))
 
-    def next_members(self, members: DataFrame, kinds: DataFrame, k: int) -> DataFrame:
-        """Members that have partners in other components left to compare with, without the
-        pivots, in the part (near the pivot, far from it) or parts of the bucket they are in."""
-        far = F.xxhash64("bucket", F.lit(k))
-        parts = (F.when(F.col("kind") == LINKED, F.array("bucket")).when(F.col("kind") == APART, F.array(far))
-                 .otherwise(F.array(F.col("bucket"), far)))
-        left = (members.join(kinds, ["node", "pivot"]).select("node", F.explode(parts).alias("bucket"))
-                .join(self.components, "node", "left")
-                .select("bucket", "node", F.coalesce("component", "node").alias("component")))
-        left = materialize(left, "minhash-left")
-        order = F.struct(F.xxhash64("node", F.lit(k)), "node")
-        several = materialize(
-            left.groupBy("bucket").agg(F.min(order).alias("first"), F.count("*").alias("many"),
-                                       F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low <> high").select("bucket", F.col("first.node").alias("pivot"), "many"), "minhash-buckets")
-        total = several.agg(F.sum("many")).first()[0] or 0
-        return materialize(join_hot(left, several, ["bucket"], total, "node")
-                           .select("bucket", "node", "pivot"), "minhash-members")
-
-    def compare_in_full(self, members: DataFrame) -> DataFrame:
-        """Links ``(a, b)`` between all members of a bucket that are in different components.
-        The bucket's largest component is compared with the others only; both sides are cut
-        into parts of about ``block_bytes`` of text, and each two parts make a block."""
-        size = self.nodes.select("node", F.length("text").alias("bytes"))
-        rows = (members.select("bucket", "node").join(size, "node").join(self.components, "node", "left")
+    def open_groups(self, groups: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+        """The rows of the groups with several components; how each is cut, ``(group, many, main,
+        parts, near, more)``: its main component (the one with the most text) and into
+        how many parts its other members go, the main one's that are linked to the pivot
+        (``near``) and its rest (``more``); and whether that deals few rows twice."""
+        rows = (groups.join(self.components, "node", "left")
                 .withColumn("component", F.coalesce("component", "node")))
         rows = materialize(rows, "minhash-open")
-        each = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-        cut = lambda total: F.greatest(F.ceil(total / self.block_bytes), F.lit(1)).cast("long")
-        main = F.max(F.struct("bytes", "component", "n"))
-        plan = each.groupBy("bucket").agg(main.alias("main"), F.sum("bytes").alias("bytes"), F.sum("n").alias("many"))
+        near = F.when(F.col("kind") == LINKED, F.col("bytes")).otherwise(0)
+        each = rows.groupBy("group", "component").agg(
+            F.sum("bytes").alias("bytes"), F.count("*").alias("n"), F.sum(near).alias("near"))
+        plan = each.groupBy("group").agg(
+            F.max(F.struct("bytes", "component", "n", "near")).alias("main"), F.sum("bytes").alias("bytes"),
+            F.sum("n").alias("many"), F.count("*").alias("components")).where("components > 1")
+        small = F.col("bytes") <= self.block_bytes  # one block
+
+        def cut(total: Column) -> Column:
+            return F.ceil(total / self.block_bytes).cast("long")
+
+        near, whole = F.col("main.near"), F.col("main.bytes")
         plan = materialize(plan.select(
-            "bucket", "many", F.col("main.component").alias("main"), cut(F.col("main.bytes")).alias("main_parts"),
-            cut(F.col("bytes") - F.col("main.bytes")).alias("parts")), "minhash-plan")
-        dealt = join_hot(rows, plan, ["bucket"], rows.count(), "node")
-        in_main, zero = F.col("component") == F.col("main"), F.lit(0).cast("long")
-        part = F.pmod(F.xxhash64("node", F.lit(1)), F.when(in_main, F.col("main_parts")).otherwise(F.col("parts")))
-        upto = lambda n: F.sequence(zero, F.col(n) - 1)
-
-        def block(lo: Column, hi: Column, first: Column) -> Column:
-            return F.struct(lo.cast("long").alias("lo"), hi.cast("long").alias("hi"), first.alias("first"))
-
-        # block (lo, hi) with hi below parts: two parts of the others; above: a part of them and one of the main
-        with_others = F.transform(upto("parts"), lambda q: block(F.least("part", q), F.greatest("part", q), F.lit(True)))
-        with_main = F.transform(upto("main_parts"), lambda q: block(F.col("part"), F.col("parts") + q, F.lit(True)))
-        of_main = F.transform(upto("parts"), lambda p: block(p, F.col("parts") + F.col("part"), F.lit(False)))
-        blocks = (dealt.withColumn("part", part)
-                  .withColumn("block", F.explode(F.when(in_main, of_main).otherwise(F.concat(with_others, with_main))))
-                  .select("bucket", "block.lo", "block.hi", "block.first", "node", "component"))
+            "group", "many", F.col("main.component").alias("main"), F.col("main.n").alias("main_n"),
+            F.when(small, 1).otherwise(F.greatest(cut(F.col("bytes") - whole), F.lit(1))).alias("parts"),
+            F.when(small, 0).otherwise(cut(near)).alias("near"),
+            F.when(small, 0).otherwise(cut(whole - near)).alias("more")), "minhash-plan")
+        others = F.col("many") - F.col("main_n")
+        dealt, n = plan.agg(F.sum(others * (F.col("parts") + F.col("near") + F.col("more")) + F.col("main_n") * F.col("parts")),
+                            F.sum("many")).first()
+        return rows, plan.drop("main_n"), not n or dealt <= FEW_TIMES * n
+
+    def further_pivots(self, rows: DataFrame, k: int) -> DataFrame:
+        """``(node, pivot)`` of another pivot in each open group, taken by hash, and the members that
+        are not in its component."""
+        order = F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "component")
+        pivots = rows.groupBy("group").agg(
+            F.min(order).alias("first"), F.min("component").alias("low"), F.max("component").alias("high"),
+            F.count("*").alias("many")).where("low <> high")
+        pivots = materialize(pivots.select("group", F.col("first.node").alias("pivot"),
+                                           F.col("first.component").alias("of_pivot"), "many"), "minhash-pivots")
+        return (join_hot(rows, pivots, ["group"], rows.count(), "node")
+                .where("component <> of_pivot").select("node", "pivot").distinct())
+
+    def compare_in_full(self, rows: DataFrame, plan: DataFrame) -> DataFrame:
+        """Links ``(a, b)`` between members of a group that are in different components. Each two
+        parts that are to be compared make a block ``(lo, hi)``: two parts of the others, or
+        one of them and, numbered after them, one of the main component."""
+        dealt = join_hot(rows, plan, ["group"], rows.count(), "node")
+        is_main, is_near = F.col("component") == F.col("main"), F.col("kind") == LINKED
+        alone = F.col("near") + F.col("more") == 0  # one block for the whole group
+        upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(1), F.col(n).cast("int"))).otherwise(
+            F.array().cast("array<int>"))
+        part = F.pmod(F.xxhash64("node", F.lit(1)), F.when(~is_main, F.col("parts")).when(is_near, F.col("near"))
+                      .otherwise(F.col("more"))).cast("int")
+        after = F.col("parts").cast("int")  # the main component's parts: the near ones, then the rest
+
+        def block(lo: Column, hi: Column) -> Column:
+            return F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+
+        with_others = F.transform(upto("parts"), lambda q: block(F.least("part", q - 1), F.greatest("part", q - 1)))
+        with_near = F.transform(upto("near"), lambda q: block(F.col("part"), after + q - 1))
+        with_more = F.transform(upto("more"), lambda q: block(F.col("part"), after + F.col("near").cast("int") + q - 1))
+        own = after + F.col("part") + F.when(is_near, 0).otherwise(F.col("near").cast("int"))
+        of_main = F.transform(upto("parts"), lambda p: block(p - 1, own))
+        blocks = (F.when(alone, F.array(block(F.lit(0), F.lit(0)))).when(is_main, of_main)
+                  .when(F.col("kind") == APART, F.concat(with_others, with_more))
+                  .otherwise(F.concat(with_others, with_near, with_more)))
+        blocks = (dealt.withColumn("part", F.when(~alone, part)).withColumn("block", F.explode(blocks))
+                  .select("group", "block.lo", "block.hi", (~is_main).alias("first"), "node", "component"))
         words, percent = self.words, self.percent
 
         def inside(table: pa.Table) -> pa.Table:
-            rows = [(r["node"], r["component"], r["first"], set(shingles(r["text"], words)))
-                    for r in table.select(["node", "component", "first", "text"]).to_pylist()]
-            links = list(block_links(rows, percent))
+            sides: tuple[list, list] = [], []
+            for r in table.select(["first", "node", "component", "n", "sig", "text"]).to_pylist():
+                sides[not r["first"]].append(Member(r["node"], r["component"], r["n"],
+                                                    np.frombuffer(r["sig"], np.uint8), r["text"]))
+            links = list(block_links(*sides, words, percent)) if sides[0] else []
             return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
                              "b": pa.array([x for _, x in links], pa.int64())})
 
-        return (blocks.join(self.nodes.select("node", "text"), "node")
-                .groupBy("bucket", "lo", "hi").applyInArrow(inside, "a long, b long"))
+        return (blocks.join(self.nodes.select("node", "n", "sig", "text"), "node")
+                .groupBy("group", "lo", "hi").applyInArrow(inside, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
