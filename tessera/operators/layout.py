@@ -15,7 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 
 def layout_report(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
@@ -41,43 +42,94 @@ def compact(df: DataFrame, partition_cols: Sequence[str] = (), files: int | None
     return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
 
 
-#: Values sampled per column to place the Z-order's range bounds (layout only).
+#: Rows sampled to place the range bounds of the clustering columns (layout only).
 BOUND_SAMPLE = 10_000
 
 
-def _range_bounds(df: DataFrame, col: str, ranges: int) -> list:
-    """At most ``ranges - 1`` ascending values that cut ``col`` into ranges of about equal
-    size: quantiles of a bounded sample taken by row hash (full strings)."""
-    rows = (df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"), F.xxhash64(*df.columns).alias("h"))
-              .orderBy("h", "v").limit(BOUND_SAMPLE).select("v").orderBy("v").collect())
-    values = [r["v"] for r in rows]
-    return sorted({values[len(values) * i // ranges] for i in range(1, ranges)}) if values else []
-
-
-def _zorder_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Add ``_z``: the interleaved bits of each column's range number. Range bounds are
-    quantiles, so outliers and long shared prefixes do not empty the ranges; any number
-    of columns up to 62 fits the key (6 bits each up to 10 columns, fewer beyond)."""
+def _range_bounds(df: DataFrame, cols: Sequence[str], ranges: int) -> list[list]:
+    """For each column at most ``ranges - 1`` ascending values that cut it into ranges of about
+    equal size: quantiles of one bounded sample of rows, taken by hash in a single scan
+    of the clustering columns."""
+    rows = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = (rows.withColumn("h", F.xxhash64(*rows.columns, F.monotonically_increasing_id()))
+            .orderBy("h").limit(BOUND_SAMPLE).drop("h").collect())
+    bounds = []
+    for i in range(len(cols)):
+        values = sorted(r[i] for r in rows if r[i] is not None and r[i] == r[i])
+        bounds.append(sorted({values[len(values) * k // ranges] for k in range(1, ranges)}) if values else [])
+    return bounds
+
+
+def _range_number(c: Column, bounds: list, dtype: T.DataType) -> Column:
+    """How many of the ascending bounds are not above the value (null: none), by halving."""
+    def between(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c >= F.lit(bounds[mid]).cast(dtype), between(mid + 1, hi)).otherwise(between(lo, mid))
+
+    return between(0, len(bounds))
+
+
+def hilbert_table(n: int) -> tuple[list[int], int]:
+    """State table of the ``n``-dimensional Hilbert curve. A state is the corner at which the
+    curve enters a cell and the axis it leaves along (Hamilton's rules). Entry ``state *
+    2**n + corner`` holds ``step << bits | next state``, where step counts along the curve;
+    also returns ``bits``."""
+    size = 1 << n
+    gray = lambda i: i ^ i >> 1
+    inverse = {gray(i): i for i in range(size)}
+    trailing = lambda i: (~i & i + 1).bit_length() - 1  # noqa: E731 - trailing set bits
+    left = lambda x, k: (x << k % n | x >> (n - k % n)) & size - 1  # noqa: E731 - rotation of n bits
+    entry = lambda w: 0 if w == 0 else gray(2 * ((w - 1) // 2))
+    axis = lambda w: 0 if w == 0 else trailing(w - 1 if w % 2 == 0 else w) % n
+    bits, out = (n * size - 1).bit_length(), []
+    for state in range(n * size):
+        e, d = divmod(state, n)
+        for corner in range(size):
+            w = inverse[left(corner ^ e, n - (d + 1) % n)]
+            after = (e ^ left(entry(w), d + 1)) * n + (d + axis(w) + 1) % n
+            out.append(w << bits | after)
+    return out, bits
+
+
+def _curve_key(df: DataFrame, cols: Sequence[str], curve: str) -> Column:
+    """Place of a row's range numbers on a Hilbert curve or in Z-order. Range bounds are
+    quantiles, so outliers and long shared prefixes do not empty the ranges. 6 bits a
+    column up to 10 columns, fewer beyond (the Hilbert curve takes up to 6 columns)."""
     bits = max(1, min(6, 62 // len(cols)))
-    parts = []
-    for c in cols:
-        bounds = [F.lit(v).cast(df.schema[c].dataType) for v in _range_bounds(df, c, 1 << bits)]
-        above = [F.when(F.col(c) >= b, 1).otherwise(0) for b in bounds]
-        parts.append(sum(above, F.lit(0)).cast("long"))
-    key = F.lit(0).cast("long")
-    x = df.withColumns({f"_r_{i}": p for i, p in enumerate(parts)})
-    for b in range(bits - 1, -1, -1):
-        for i in range(len(parts)):
-            key = key * 2 + F.shiftright(F.col(f"_r_{i}"), b).bitwiseAND(F.lit(1))
-    return x.withColumn("_z", key).drop(*[f"_r_{i}" for i in range(len(parts))])
-
-
-def cluster_by(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
-    """V8: range-partition into ``files`` files on the clustering key and sort within each
-    (one column: the column itself; several: a Z-order key). A row hash ends the range
-    key, so one value with many rows spreads over several files."""
+    numbers = [_range_number(F.col(c), bounds, df.schema[c].dataType).cast("long")
+               for c, bounds in zip(cols, _range_bounds(df, cols, 1 << bits), strict=True)]
+    n = len(cols)
+    numbers = F.array(*numbers)  # evaluated once a row, as the source of the fold below
+
+    def corner(x: Column, b: int) -> Column:  # bit b of each column
+        bit = [F.shiftright(F.get(x, F.lit(i)), b).bitwiseAND(F.lit(1)) * (1 << (n - 1 - i)) for i in range(n)]
+        return sum(bit[1:], bit[0])
+
+    corners = F.element_at(F.transform(F.array(numbers), lambda x: F.array(
+        *[corner(x, b) for b in range(bits - 1, -1, -1)])), 1)
+    if curve == "zorder":
+        return F.aggregate(corners, F.lit(0).cast("long"), lambda key, c: key * (1 << n) + c)
+    if n > 6:
+        raise ValueError("a Hilbert key takes at most 6 columns")
+    table, low = hilbert_table(n)
+    steps = F.array(*[F.lit(x).cast("long") for x in table])
+
+    def step(key: Column, c: Column) -> Column:  # key: place so far, then the state in the low bits
+        state = key.bitwiseAND(F.lit((1 << low) - 1))
+        return F.shiftleft(F.shiftright(key, low), low + n) + F.get(steps, (state * (1 << n) + c).cast("int"))
+
+    return F.shiftright(F.aggregate(corners, F.lit(0).cast("long"), step), low)
+
+
+def cluster_by(df: DataFrame, cols: Sequence[str], files: int, curve: str = "hilbert") -> DataFrame:
+    """V8: range-partition into ``files`` files on the clustering key and sort within each.
+    One column: the column itself; several: their place on a Hilbert curve (neighbours on
+    it are neighbours in every column) or, with ``curve="zorder"``, in Z-order. A row hash
+    ends the range key, so one value with many rows spreads over several files."""
     cols, tie = list(cols), F.xxhash64(*df.columns)
     if len(cols) == 1:
         return df.repartitionByRange(files, F.col(cols[0]), tie).sortWithinPartitions(cols[0])
-    return (_zorder_key(df, cols).repartitionByRange(files, F.col("_z"), tie)
-              .sortWithinPartitions("_z").drop("_z"))
+    return (df.withColumn("_z", _curve_key(df, cols, "zorder" if len(cols) > 6 else curve))
+            .repartitionByRange(files, F.col("_z"), tie).sortWithinPartitions("_z").drop("_z"))

@@ -5,11 +5,11 @@ Scale notes
 * Sums, means, counts, min/max are algebraic: Spark runs a partial aggregate
   before the shuffle, so a key holding a third of all rows is reduced map-side.
 * Spark's exact ``percentile`` merges a value->count map of *all* distinct
-  values of a group in one task. :func:`exact_quantiles` instead
-  (1) pre-aggregates to (value, count) pairs, so a hot value is one row,
-  (2) range-partitions those pairs, (3) sums counts per range (tiny table),
-  (4) locates the range that holds each wanted rank, and (5) ranks values only
-  inside that range. No task ever holds more than one range partition.
+  values of a group in one task. :func:`exact_quantiles` instead selects by
+  radix: it counts the values' leading bits, then the next bits of only those
+  values that share a wanted rank's leading bits. What is counted is bounded
+  by the digit's width, a hot value is one cell, and the source is scanned
+  three times with no shuffle of values.
 * ``approx=True`` uses ``percentile_approx`` (bounded-size sketches).
 """
 
@@ -96,6 +96,33 @@ def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:
 
 # --- exact quantiles (G7, G8, P17) ----------------------------------------------
 
+def ordered_bits(v: Column) -> Column:
+    """The order-preserving whole number of a double: the 64 bits of its size (11 of the
+    exponent, 52 of the fraction), negative for negative values; both zeros are 0, NaN and
+    null give null. Powers of two are exact, so is every step."""
+    a, one = F.abs(v), F.lit(float(1 << 52))
+    e = F.floor(F.log2(a))
+    m = a / F.pow(F.lit(2.0), e)  # the logarithm may be one off beside a power of two
+    e = e + F.when(m >= 2, 1).when(m < 1, -1).otherwise(0)
+    normal = (e + 1023) * (1 << 52) + ((a / F.pow(F.lit(2.0), e) - 1) * one).cast("long")
+    bits = (F.when(a == F.lit(float("inf")), F.lit(2047 << 52)).when(a < F.lit(2.0 ** -1022), (a / F.lit(5e-324)).cast("long"))
+            .otherwise(normal))
+    return F.when(~F.isnan(v), F.when(v < 0, -bits).otherwise(bits))
+
+
+def from_ordered_bits(k: Column) -> Column:
+    """The double of an ``ordered_bits`` number."""
+    b = F.abs(k)
+    e, fraction = F.shiftright(b, 52), b.bitwiseAND(F.lit((1 << 52) - 1))
+    a = (F.when(e == 2047, F.lit(float("inf"))).when(e == 0, b.cast("double") * F.lit(5e-324))
+         .otherwise((F.lit(1.0) + fraction / F.lit(float(1 << 52))) * F.pow(F.lit(2.0), e - 1023)))
+    return F.when(k < 0, -a).otherwise(a)
+
+
+#: Low bits left out at each step of the selection: digits of 22, 21 and 21 bits.
+DIGIT_SHIFTS = (42, 21, 0)
+
+
 def exact_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None, ranges: int | None = None,
                     approx: bool = False, accuracy: int = 10000,
@@ -103,7 +130,7 @@ def exact_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
     """Exact, linearly interpolated quantiles per group (pandas / ``quantile_cont``).
 
     Returns one row per group: the ``by`` columns plus one double column per
-    probability (``names`` or ``q0, q1, ...``). Nulls are ignored; with
+    probability (``names`` or ``q0, q1, ...``). Nulls and NaN are ignored; with
     ``by`` a group without values gets no row, without ``by`` the single
     result row holds nulls (SQL aggregate semantics).
 
@@ -111,87 +138,33 @@ def exact_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
     ``x[k]*(1-d) + x[k+1]*d``. For the median (d = 0.5) both products are exact,
     so the value is the correctly rounded midpoint.
 
+    Radix selection: the first digit of all values is counted, then the next digit of the
+    values that share a wanted rank's digits so far, then the last. Each step is one scan
+    of the column and one aggregate of at most 2**22 cells a wanted rank, whatever the
+    number of different values; nothing is sampled, sorted or written. The last step
+    gives the value itself.
+
     ``few_groups`` (default: true when ``by`` is empty) says the number of
-    groups has a fixed bound (e.g. column names); the rank tables, at most
-    ``groups x 2 x len(probs)`` rows, are then broadcast. Otherwise joins are
-    keyed by the group and AQE picks the strategy from measured sizes.
+    groups has a fixed bound (e.g. column names); the wanted ranks, ``groups x 2 x
+    len(probs)`` rows, are then broadcast. Otherwise joins are keyed by group and digit and
+    AQE picks the strategy from measured sizes. ``ranges`` has no effect any more.
     """
     by = list(by)
     few_groups = (not by) if few_groups is None else few_groups
-    bc = F.broadcast if few_groups else (lambda x: x)
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     v = F.col(value) if isinstance(value, str) else value
-    vals = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-
     if approx:
+        vals = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         return vals.groupBy(*by).agg(*[
             F.percentile_approx("_v", float(p), accuracy).alias(n) for p, n in zip(probs, names)])
 
-    spark = df.sparkSession
-    n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    # (1) value histogram: hot values collapse to one row (partial aggregation).
-    # It is materialised once (reliable checkpoint in the shared folder): the
-    # source is then scanned a single time, and later passes read the compact
-    # (value, count) rows in a fixed order.
-    ensure_checkpoint_dir(spark)
-    hist = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
-
-    # (2)+(3) range-partition the histogram and describe each range once. The
-    # range table (at most `ranges` rows per group) is materialised too: range
-    # bounds come from sampling, so every later branch must read one copy.
-    ranged = hist.repartitionByRange(n_ranges, *by, "_v").withColumn("_pid", F.spark_partition_id())
-    rng = ranged.groupBy(*by, "_pid").agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_rc")
-    ).checkpoint(eager=True)
-    grp_w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    rng = (rng.withColumn("_end", F.sum("_rc").over(grp_w.orderBy("_lo").rowsBetween(
-               Window.unboundedPreceding, Window.currentRow)))
-              .withColumn("_start", F.col("_end") - F.col("_rc"))
-              .withColumn("_n", F.sum("_rc").over(grp_w)))
-
-    # (4) wanted ranks: per group and probability, k and k+1 (capped at n-1).
-    probs_arr = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"))
-                          for i, p in enumerate(probs)])
-    totals = rng.select(*by, "_n").distinct()
-    tgt = (totals.select(*by, "_n", F.inline(probs_arr))
-           .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("_p"))
-           .withColumn("_k0", F.floor("_h").cast("long"))
-           .withColumn("_d", F.col("_h") - F.col("_k0").cast("double"))
-           .withColumn("_k1", F.least(F.col("_k0") + 1, F.col("_n") - 1))
-           .select(*by, "_i", "_d", F.inline(F.array(
-               F.struct(F.lit(0).alias("_side"), F.col("_k0").alias("_k")),
-               F.struct(F.lit(1).alias("_side"), F.col("_k1").alias("_k"))))))
-
-    r = rng.alias("r")
-    t = tgt.alias("t")
-    cond = [F.col(f"t.{b}").eqNullSafe(F.col(f"r.{b}")) for b in by]
-    cond += [F.col("t._k") >= F.col("r._start"), F.col("t._k") < F.col("r._end")]
-    hit = bc(t).join(r, on=_and(cond)).select(
-        *[F.col(f"t.{b}").alias(b) for b in by], "t._i", "t._d", "t._side", "t._k",
-        "r._lo", "r._hi", "r._start")
-
-    # (5) rank values only inside the ranges that hold a wanted rank.
-    sel = hit.select(*by, "_lo", "_hi", "_start").distinct().alias("s")
-    h = hist.alias("h")
-    cond = [F.col(f"h.{b}").eqNullSafe(F.col(f"s.{b}")) for b in by]
-    cond += [F.col("h._v") >= F.col("s._lo"), F.col("h._v") <= F.col("s._hi")]
-    inside = h.join(bc(sel), on=_and(cond)).select(
-        *[F.col(f"h.{b}").alias(b) for b in by], "h._v", "h._c", "s._lo", "s._start")
-    w = Window.partitionBy(*by, "_lo").orderBy("_v").rowsBetween(Window.unboundedPreceding,
-                                                                  Window.currentRow)
-    inside = (inside.withColumn("_ce", F.col("_start") + F.sum("_c").over(w))
-                    .withColumn("_cs", F.col("_ce") - F.col("_c")))
-
-    a = hit.alias("a")
-    b = inside.alias("b")
-    cond = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
-    cond += [F.col("a._lo") == F.col("b._lo"),
-             F.col("a._k") >= F.col("b._cs"), F.col("a._k") < F.col("b._ce")]
-    picked = bc(a).join(b, on=_and(cond)).select(
-        *[F.col(f"a.{c}").alias(c) for c in by], "a._i", "a._d", "a._side", F.col("b._v"))
-
-    per_prob = picked.groupBy(*by, "_i").agg(
+    vals = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    vals = vals.select(*by, ordered_bits(F.col("_v")).alias("_bits")).where(F.col("_bits").isNotNull())
+    picks = _first_digits(vals, by, probs)
+    for shift in DIGIT_SHIFTS[1:]:
+        picks = _next_digits(vals, by, picks, shift, few_groups)
+    found = picks.select(*by, "_i", "_side", "_d", from_ordered_bits(F.col("_digits")).alias("_v"))
+    per_prob = found.groupBy(*by, "_i").agg(
         F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_x0"),
         F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_x1"),
         F.max("_d").alias("_d"))
@@ -201,6 +174,39 @@ def exact_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
         F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
 
 
+def _first_digits(vals: DataFrame, by: list[str], probs: Sequence[float]) -> DataFrame:
+    """``(by, _i, _side, _d, _digits, _rest)``: of the ranks k (side 0) and k + 1 (side 1, at most
+    the last) of each probability, the first digit and the rank among the values that
+    share it."""
+    cells = vals.groupBy(*by, F.shiftright("_bits", DIGIT_SHIFTS[0]).alias("_digits")).agg(F.count(F.lit(1)).alias("_c"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    upto = group.orderBy("_digits").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumns({"_end": F.sum("_c").over(upto), "_n": F.sum("_c").over(group)})
+    wanted = F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(side).alias("_side"), F.lit(float(p)).alias("_p"))
+                                for i, p in enumerate(probs) for side in (0, 1)]))
+    h = (F.col("_n") - 1).cast("double") * F.col("_p")
+    rank = F.least(F.floor(h) + F.col("_side"), F.col("_n") - 1)
+    return (cells.select("*", wanted)
+            .select(*by, "_i", "_side", (h - F.floor(h).cast("double")).alias("_d"), "_digits",
+                    (rank - F.col("_end") + F.col("_c")).alias("_rest"), "_c")
+            .where("_rest >= 0 and _rest < _c").drop("_c"))
+
+
+def _next_digits(vals: DataFrame, by: list[str], picks: DataFrame, shift: int, few_groups: bool) -> DataFrame:
+    """The picks with one digit more, counted among the values that share their digits."""
+    before = DIGIT_SHIFTS[DIGIT_SHIFTS.index(shift) - 1]
+    p = picks.select(*[F.col(b).alias(f"_p_{b}") for b in by], "_i", "_side", "_d", "_digits", "_rest")
+    cond = _and([F.col(b).eqNullSafe(F.col(f"_p_{b}")) for b in by]  # a null group is a group
+                + [F.shiftright("_bits", before) == F.col("_digits")])
+    pick = [*by, "_i", "_side"]
+    cells = (vals.join(F.broadcast(p) if few_groups else p, cond)
+             .groupBy(*pick, "_d", "_rest", F.shiftright("_bits", shift).alias("_next")).agg(F.count(F.lit(1)).alias("_c")))
+    upto = Window.partitionBy(*pick).orderBy("_next").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (cells.withColumn("_rest", F.col("_rest") - F.sum("_c").over(upto) + F.col("_c"))
+            .where("_rest >= 0 and _rest < _c")
+            .select(*pick, "_d", F.col("_next").alias("_digits"), "_rest"))
+
+
 def _and(conds: list[Column]) -> Column:
     out = conds[0]
     for c in conds[1:]:
@@ -247,8 +253,7 @@ def describe_exact(df: DataFrame, cols: Sequence[str], approx: bool = False,
         n=len(cols), body=", ".join(
             f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols)))
     moments = one.selectExpr(stack)
-    long = proj.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in cols])))
+    long = proj.unpivot([], cols, "column", "v")  # rows meet the cell counts in the same stage
     qs = exact_quantiles(long, "v", [0.25, 0.5, 0.75], by=["column"],
                          names=["q25", "q50", "q75"], approx=approx, few_groups=True)
     return (moments.join(qs, "column", "left")

@@ -13,6 +13,7 @@ from tessera.operators.layout import cluster_by, layout_report
 from tessera.plans import orders_table
 from tessera.plans.catalog import register
 from tessera.session import scratch_path
+from tessera.sources.history import HistoryTable
 from tessera.sources.tables import ParquetTable
 
 SPLIT = "1998-01-01"
@@ -33,10 +34,10 @@ def _batches(spark, sf):
     return initial, second
 
 
-def _steps(spark, sf):
+def _steps(spark, sf, kind=ParquetTable):
     initial, second = _batches(spark, sf)
     return orders_table.steps(spark, scratch_path(spark, "orders_table"), initial, second, PARTITION_BY,
-                              UPDATE1, UPDATE2, DELETE, n_small=N_SMALL)
+                              UPDATE1, UPDATE2, DELETE, n_small=N_SMALL, kind=kind)
 
 
 def table_at(spark, sf, step: str) -> ParquetTable:
@@ -104,16 +105,10 @@ def q_table_delete(spark, sf):
 
 @register("version_as_of", O("SELECT * FROM v0"))
 def q_version_as_of(spark, sf):
-    """V4, re-aimed: the state before a change is kept as a dated copy, a partition of a
-    plain parquet table; reading an earlier state is a pruned read."""
-    path = scratch_path(spark, "orders_copies")
-    for k, (step, _, t) in enumerate(_steps(spark, sf)):
-        t.read().withColumn("copy", F.lit(k)).write.mode("append").partitionBy("copy").parquet(path)
-        if step == "write":
-            schema = t.schema
-        if step == "update1":
-            break
-    return spark.read.parquet(path).where("copy = 0").select(*schema.fieldNames())
+    """V4: after an update and an append of rows with more columns, the state of the first
+    version: a filter on the rows' intervals, which are partition folders."""
+    t = next(t for step, _, t in _steps(spark, sf, HistoryTable) if step == "append")
+    return t.as_of(0)
 
 
 @register("version_history", O(
@@ -123,12 +118,10 @@ def q_version_as_of(spark, sf):
          (4, 'DELETE', (SELECT count(*) FROM v4)), (5, 'WRITE', (SELECT count(*) FROM final)),
          (6, 'OPTIMIZE', (SELECT count(*) FROM final))) t(version, operation, num_rows)"""))
 def q_version_history(spark, sf):
-    """V5, re-aimed: an audit table that the flow appends one counted row to per step."""
-    path = scratch_path(spark, "orders_audit")
-    for k, (_, operation, t) in enumerate(_steps(spark, sf)):
-        t.read().agg(F.lit(k).cast("bigint").alias("version"), F.lit(operation).alias("operation"),
-                     F.count(F.lit(1)).alias("num_rows")).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    """V5: the operations of the whole flow and the rows of the state after each, an
+    aggregate over the rows' intervals."""
+    *_, (_, _, t) = _steps(spark, sf, HistoryTable)
+    return t.history().select("version", "operation", "num_rows")
 
 
 @register("compact_table", O("SELECT * FROM final"))
@@ -162,8 +155,13 @@ def q_cluster_table_zorder(spark, sf):
 def q_layout_report(spark, sf):
     """K9: files, bytes and rows per partition before and after compaction. The oracle
     compares the rows and that no partition has more files than before."""
-    seen = {step: t for step, _, t in _steps(spark, sf) if step in ("small", "compact")}
-    reports = [layout_report(t.read(), ["country"]).withColumn("state", F.lit(step)) for step, t in seen.items()]
+    reports = []
+    for step, _, t in _steps(spark, sf):
+        if step in ("small", "compact"):  # kept, as the next step changes the same files
+            report = layout_report(t.read(), ["country"]).withColumn("state", F.lit(step))
+            path = scratch_path(spark, "orders_layout")
+            report.write.parquet(path)
+            reports.append(spark.read.schema(report.schema).parquet(path))
     both = reduce(DataFrame.unionByName, reports)
     before = reports[0].select("country", F.col("n_files").alias("_before"))
     return both.join(before, "country").select(

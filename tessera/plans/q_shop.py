@@ -333,6 +333,72 @@ def q_landing_stage_orders(spark, sf):
     return spark.read.schema(schemas.STG_ORDERS).parquet(stg).drop("raw_json")
 
 
+def _landing_files(spark, sf, base: str) -> None:
+    """The landing files of two days: order records as JSON array files (all records of an
+    order in one file, in ingest order), customers and products as CSV; on day 2 only the
+    customers that changed and the products that were repriced come."""
+    from tessera.sources.files import landing_path
+    from tessera.sources.writers import write_csv
+    landing = tv.shop_landing_orders(spark, sf)
+    stamp = F.date_format("order_timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("order_timestamp")
+    fields = [stamp if c == "order_timestamp" else F.col(c) for c in shop.LANDING_FIELDS]
+    place = F.struct(*[F.col(c).cast("int") if c == "quantity" else F.col(c) for c in tv.SHOP_ORDERS_INGEST])
+    rows = landing.select("landing_date", F.struct(place.alias("at"), F.to_json(F.struct(*fields)).alias("r")).alias("r"),
+                          F.pmod(F.xxhash64("order_id"), F.lit(max(1, landing.count() // 5000))).alias("file"))
+    files = rows.groupBy("landing_date", "file").agg(F.array_sort(F.collect_list("r")).alias("r")).select(
+        "landing_date", F.concat(F.lit("["), F.array_join(F.col("r.r"), ","), F.lit("]")).alias("value"))
+    cust, prod = tv.shop_customers(spark, sf), tv.shop_products(spark, sf)
+    changed = cust.where(F.col("signup_date") >= F.lit(CHANGED_SINCE).cast("date")).withColumn("first_name", F.upper("first_name"))
+    repriced = prod.where(F.col("unit_price") >= PRICE_CHANGE_FROM).withColumn(
+        "unit_price", (F.col("unit_price") + F.lit(1)).cast("decimal(10,2)"))
+    for day, c, p in ((D1, cust, prod), (D2, changed, repriced)):
+        write_csv(c, landing_path(base, "customers", day, "csv"))
+        write_csv(p, landing_path(base, "products", day, "csv"))
+        (files.where(F.col("landing_date") == F.lit(day).cast("date")).select("value")
+         .write.option("maxRecordsPerFile", 1).text(landing_path(base, "orders", day, "json")))
+
+
+@register("daily_load", Q(
+    """SELECT f.*, d.first_name, d.last_updated, p.unit_price
+       FROM (SELECT * FROM f1 WHERE order_id NOT IN (SELECT order_id FROM f2) UNION ALL SELECT * FROM f2) f
+       LEFT JOIN cust2 d USING (customer_id) LEFT JOIN prod2 p USING (product_id)""",
+    ("shop_customers", "shop_products", "shop_landing_orders"), CUST_STG, PROD_STG,
+    _dim_sql("cust_stg", "customer_id", f"signup_date >= DATE '{CHANGED_SINCE}'", "upper(first_name) AS first_name")
+    .replace("dim1", "cust1").replace("dim2", "cust2").replace("stg2", "custs2"),
+    _dim_sql("prod_stg", "product_id", f"unit_price >= {PRICE_CHANGE_FROM}",
+             "CAST(unit_price + 1.00 AS DECIMAL(10,2)) AS unit_price")
+    .replace("dim1", "prod1").replace("dim2", "prod2").replace("stg2", "prods2"),
+    ord_stg("s1", f"landing_date = DATE '{D1}'"), stg_clean("c1", "s1"), fact_rows("f1", "c1", D1),
+    ord_stg("s2", f"landing_date = DATE '{D2}'"), stg_clean("c2", "s2"), fact_rows("f2", "c2", D2)))
+def q_daily_load(spark, sf):
+    """V9 + J2, the whole daily run on landing files of two days: staging, dimension and fact
+    upserts, checks and volume note (``load_day``). The fact with its dimension rows."""
+    base, warehouse = scratch_path(spark, "landing_days"), scratch_path(spark, "warehouse")
+    _landing_files(spark, sf, base)
+    for day, ts in ((D1, TS1), (D2, TS2)):
+        t = shop.load_day(spark, warehouse, base, day, ts)["tables"]
+    cust = t["dim_customers"].read().select("customer_id", "first_name", "last_updated")
+    prod = t["dim_products"].read().select("product_id", "unit_price")
+    return t["fact_orders"].read().join(cust, "customer_id", "left").join(prod, "product_id", "left")
+
+
+@register("landing_array_split", Q(
+    "SELECT order_id, line_no, customer_id, status, currency FROM shop_landing_orders", OV))
+def q_landing_array_split(spark, sf):
+    """The landing orders of both days in one JSON array file, pretty-printed, read by as many
+    tasks as it has splits."""
+    from tessera.sources.files import read_json_records
+    fields = ["order_id", "line_no", "customer_id", "status", "currency"]
+    landing = tv.shop_landing_orders(spark, sf).select(*fields)
+    record = F.to_json(F.struct(*landing.columns), {"pretty": "true"})
+    lines = landing.select(F.concat(record, F.lit(",")).alias("value"))
+    last = spark.range(1).select(F.lit('{"order_id": null}\n]').alias("value"))
+    path = scratch_path(spark, "landing_array")
+    (spark.range(1).select(F.lit("[").alias("value")).unionByName(lines).unionByName(last)
+     .coalesce(1).write.text(path))
+    return read_json_records(spark, path, landing.schema, split=True).where("order_id IS NOT NULL")
+
+
 @register("landing_array_files", Q(
     """SELECT * EXCLUDE (raw_json), CAST(json_extract(raw_json, '$.status') AS VARCHAR) AS raw_status,
               CAST(json_extract(raw_json, '$.line_no') AS INTEGER) AS raw_line,

@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tessera import schemas
 from tessera.functions.scalar import record_json, run_timestamp, utc_wall_time
+from tessera.operators.checks import Check, equal_counts, no_nulls, not_empty, run_checks
 from tessera.operators.filters import case_flag, clean_staging, positive_quantity
 from tessera.operators.keyed import last_per_key, latest_per_key, upsert
-from tessera.operators.quality import (anomaly_lines, check_counts, check_no_nulls,
-                                       check_not_empty, report, volume_status)
+from tessera.operators.quality import anomaly_lines, volume_status
 
 LANDING_FIELDS = ["order_id", "order_timestamp", "customer_id", "product_id", "quantity",
                   "total_amount", "currency", "status"]
@@ -91,11 +91,19 @@ def transform(stg_orders: DataFrame, stg_customers: DataFrame, stg_products: Dat
     }
 
 
+def dq_checks(load_date) -> list[Check]:
+    """The daily checks: dimension not empty, no null keys in the fact, as many fact rows of the
+    load date as staged ones."""
+    today = F.col("load_date") == F.lit(load_date).cast("date")
+    return [not_empty("dim_customers", "dim_customers_not_empty"),
+            no_nulls("fact", ["customer_id", "product_id"], "fact_no_null_keys"),
+            equal_counts("fact", today, "staging", F.lit(True), "fact_matches_staging")]
+
+
 def dq_report(dim_customers: DataFrame, fact: DataFrame, stg_clean: DataFrame, load_date
               ) -> DataFrame:
-    return report(check_not_empty(dim_customers, "dim_customers_not_empty"),
-                  check_no_nulls(fact, ["customer_id", "product_id"], "fact_no_null_keys"),
-                  check_counts(stg_clean, fact, load_date, "fact_matches_staging"))
+    """One scan per table."""
+    return run_checks({"dim_customers": dim_customers, "fact": fact, "staging": stg_clean}, dq_checks(load_date))
 
 
 def volume(fact: DataFrame, load_date, threshold: int = MIN_ORDER_THRESHOLD) -> DataFrame:
@@ -119,22 +127,28 @@ SCHEMA_OF = {"stg_customers": schemas.STG_CUSTOMERS, "stg_products": schemas.STG
              "stg_orders": schemas.STG_ORDERS, "dim_customers": schemas.DIM_CUSTOMERS,
              "dim_products": schemas.DIM_PRODUCTS, "fact_orders": schemas.FACT_ORDERS}
 
+DIM_KEYS = {"dim_customers": "customer_id", "dim_products": "product_id"}
+#: Folders of a dimension (of its key's hash); it stays the same for the life of a warehouse.
+DIM_BUCKETS = 16
+
 
 def load_day(spark, warehouse: str, landing_base: str, run_date, run_ts: str | None = None,
              threshold: int = MIN_ORDER_THRESHOLD) -> dict:
     """V9: one daily run, in the order stage -> transform -> checks -> volume (decision
     F15). Every table is a plain parquet table under ``warehouse``; the fact table is
-    partitioned by load date. A rerun or a backfill of a date upserts again instead of
-    adding rows. Raises when a check fails. Returns the DQ report, the volume status and
+    partitioned by load date, the dimensions by hash of their key, so a load leaves the
+    buckets that it brings no key for as they are. A rerun or a backfill of a date upserts
+    again instead of adding rows. Raises when a check fails. Returns the DQ report, the volume status and
     the tables, read back from disk, and the loaders' row counts.
     """
     from tessera.operators.quality import require
     from tessera.sources.files import landing_path, read_csv, read_json_records
-    from tessera.sources.tables import ParquetTable
+    from tessera.sources.tables import KeyedTable, ParquetTable, exists
     from tessera.sources.writers import truncate_and_load, write_text_lines
 
     base = warehouse.rstrip("/")
-    t = {n: ParquetTable(spark, f"{base}/{n}", SCHEMA_OF[n], ("load_date",) if n == "fact_orders" else ())
+    t = {n: KeyedTable(spark, f"{base}/{n}", SCHEMA_OF[n], (DIM_KEYS[n],), DIM_BUCKETS) if n in DIM_KEYS else
+         ParquetTable(spark, f"{base}/{n}", SCHEMA_OF[n], ("load_date",) if n == "fact_orders" else ())
          for n in TABLES}
     for n in ("dim_customers", "dim_products", "fact_orders"):
         if not exists(spark, t[n].path):
@@ -152,10 +166,9 @@ def load_day(spark, warehouse: str, landing_base: str, run_date, run_ts: str | N
     truncate_and_load(clean_staging(stage_orders(ords, ["_ingest"])), t["stg_orders"].path)
     counts = {n: t[n].read().count() for n in ("stg_customers", "stg_products", "stg_orders")}
 
-    for dim, stg, key in (("dim_customers", "stg_customers", "customer_id"),
-                          ("dim_products", "stg_products", "product_id")):
-        src = schemas.conform(t[stg].read().where(F.col(key).isNotNull()).withColumn("last_updated", run_timestamp(run_ts)), SCHEMA_OF[dim])
-        t[dim].change(F.lit(True), lambda rows, src=src, key=key: upsert(rows, src, key))
+    for dim, key in DIM_KEYS.items():
+        new = t[dim.replace("dim", "stg")].read().where(F.col(key).isNotNull())
+        t[dim].merge(schemas.conform(new.withColumn("last_updated", run_timestamp(run_ts)), SCHEMA_OF[dim]))
     t["fact_orders"].merge(fact_rows(t["stg_orders"].read(), run_date), "order_id")
 
     fact, stg = t["fact_orders"].read(), t["stg_orders"].read()
@@ -165,8 +178,3 @@ def load_day(spark, warehouse: str, landing_base: str, run_date, run_ts: str | N
     ymd = str(run_date).replace("-", "")
     write_text_lines(anomaly_note(status), f"{base}/anomalies/low_volume_{ymd}")
     return {"report": rep, "status": status, "tables": t, "counts": counts}
-
-
-def exists(spark, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -14,6 +14,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.json_arrays import elements
+
 
 def _with_ingest(df: DataFrame) -> DataFrame:
     return df.withColumn("_ingest", F.struct(
@@ -35,26 +37,40 @@ def read_csv(spark: SparkSession, path, schema: T.StructType, ingest_order: bool
     return _with_ingest(df) if ingest_order else df
 
 
-def read_json_records(spark: SparkSession, path, schema: T.StructType,
-                      ingest_order: bool = False, array_file: bool = True, raw: str | None = None) -> DataFrame:
-    """S2 + X11: a JSON file holding one array of records; with ``array_file=False`` JSON
-    lines (which Spark splits over tasks; prefer them for large files, an array file is
-    one task). ``raw`` names a column with each record's own JSON text, unknown fields,
-    nulls and numbers included. A file that is no array, or a line that is no record,
-    gives a record of nulls."""
-    text = spark.read.option("wholetext", array_file).text(path if isinstance(path, str) else list(path))
-    text = text.select("value", F.struct(F.col("_metadata.file_path").alias("file"),
-                                         F.col("_metadata.file_block_start").alias("block"),
-                                         F.monotonically_increasing_id().alias("line")).alias("at"))
-    if array_file:
-        rows = text.select("at", F.posexplode(F.from_json("value", "array<string>")).alias("pos", "text"))
+def read_json_records(spark: SparkSession, path, schema: T.StructType, ingest_order: bool = False,
+                      array_file: bool = True, raw: str | None = None, split: bool | None = None) -> DataFrame:
+    """S2 + X11: files that each hold one JSON array of records; with ``array_file=False``
+    JSON lines. ``raw`` names a column with each record's own JSON text, unknown fields,
+    nulls and numbers included. A file that is no array gives no record, a line or an
+    element that is no record gives one of nulls.
+
+    An array file is read whole by one task, or, with ``split``, by many (see
+    ``json_arrays``): the same records in the same order. Left out, files are split where
+    one is larger than ``spark.sql.files.maxPartitionBytes``."""
+    paths = path if isinstance(path, str) else list(path)
+    if array_file and (_larger_than_a_split(spark, paths) if split is None else split):
+        rows = elements(spark, paths)
     else:
-        rows = text.select("at", F.lit(0).alias("pos"), F.col("value").alias("text"))
+        text = spark.read.option("wholetext", array_file).text(paths)
+        text = text.select("value", F.struct(F.col("_metadata.file_path").alias("file"),
+                                             F.col("_metadata.file_block_start").alias("block"),
+                                             F.monotonically_increasing_id().alias("line")).alias("at"))
+        if array_file:
+            rows = text.select("at", F.posexplode(F.from_json("value", "array<string>")).alias("pos", "text"))
+        else:
+            rows = text.select("at", F.lit(0).alias("pos"), F.col("value").alias("text"))
     rows = rows.select(F.col("text"), F.from_json("text", schema).alias("r"),
                        F.struct("at.file", "at.block", F.struct("at.line", "pos").alias("pos")).alias("_ingest"))
     return rows.select("r.*", *([F.col("text").alias(raw)] if raw else []), *(["_ingest"] if ingest_order else []))
 
 
+def _larger_than_a_split(spark: SparkSession, paths) -> bool:
+    """Whether a file would be more than one split (a listing; no file is opened)."""
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return not spark.read.format("binaryFile").load(paths).where(F.col("length") > size).select("path").isEmpty()
+
+
 def landing_path(base: str, entity: str, run_date, ext: str) -> str:
     """``{base}/{entity}/{entity}_{yyyymmdd}.{ext}`` for one run date."""
     d = run_date if isinstance(run_date, (_dt.date, _dt.datetime)) else \

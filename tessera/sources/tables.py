@@ -24,6 +24,7 @@ from tessera.functions.scalar import true_only
 from tessera.operators.keyed import upsert
 from tessera.operators.util import cols_of
 from tessera.session import scratch_path
+from tessera.sources.compaction import compact_files
 from tessera.sources.writers import write_partitioned
 
 
@@ -43,17 +44,30 @@ class ParquetTable:
         write_partitioned(df.select(*self.schema.fieldNames()), self.path, self.partition_by)
         return self
 
-    def append(self, df: DataFrame, merge_schema: bool = False) -> ParquetTable:
+    def append(self, df: DataFrame, merge_schema: bool = False, as_is: bool = False) -> ParquetTable:
         """K4 / V6: add rows; with ``merge_schema`` new columns join the schema of the
-        returned table. A column of another type than the table's is refused."""
+        returned table. A column of another type than the table's is refused. ``as_is``
+        keeps the frame's own partitions, one file each, instead of balancing them."""
+        schema = self.merged_schema(df.schema, merge_schema)
+        if as_is:
+            df.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
+        else:
+            write_partitioned(df, self.path, self.partition_by, mode="append")
+        return ParquetTable(self.spark, self.path, schema, self.partition_by)
+
+    def compact(self, target_bytes: int = 128 << 20, small_bytes: int | None = None) -> ParquetTable:
+        """V7: small files of a partition become few; large files stay as they are."""
+        compact_files(self.read(), self.path, self.partition_by, target_bytes, small_bytes)
+        return self
+
+    def merged_schema(self, rows: T.StructType, merge_schema: bool) -> T.StructType:
+        """The table's schema after an append of such rows; an error where it is refused."""
         types = {f.name: f.dataType for f in self.schema}
-        new = [f for f in df.schema if f.name not in types]
-        changed = [f.name for f in df.schema if f.name in types and f.dataType != types[f.name]]
+        new = [f for f in rows if f.name not in types]
+        changed = [f.name for f in rows if f.name in types and f.dataType != types[f.name]]
         if changed or (new and not merge_schema):
             raise ValueError(f"schema mismatch: new columns {[f.name for f in new]}, other types in {changed}")
-        write_partitioned(df, self.path, self.partition_by, mode="append")
-        fields = [*self.schema, *[T.StructField(f.name, f.dataType, True) for f in new]]
-        return ParquetTable(self.spark, self.path, T.StructType(fields), self.partition_by)
+        return T.StructType([*self.schema, *[T.StructField(f.name, f.dataType, True) for f in new]])
 
     def change(self, cond: str | Column, apply: Callable[[DataFrame], DataFrame]) -> ParquetTable:
         """V1 / V2: ``apply`` (an update or delete) to the partitions with a row where
@@ -69,14 +83,17 @@ class ParquetTable:
         touched = held.select(*self.partition_by).unionByName(source.select(*self.partition_by))
         return self._rewrite(touched, lambda rows: upsert(rows, source.select(*rows.columns), keys))
 
-    def _rewrite(self, touched: DataFrame, apply: Callable[[DataFrame], DataFrame]) -> ParquetTable:
+    def _rewrite(self, touched: DataFrame, apply: Callable[[DataFrame], DataFrame],
+                 among: Column | None = None) -> ParquetTable:
+        """``among``: a filter on partition columns that holds for all touched partitions."""
         part = list(self.partition_by)
         side = ParquetTable(self.spark, scratch_path(self.spark, "table-change"), self.schema, self.partition_by)
         if not part:
             side.overwrite(apply(self.read()))
             return self.overwrite(side.read())
         touched = touched.select(*part).distinct()
-        side.overwrite(apply(_semi(self.read(), touched, part, "left_semi")))
+        rows = self.read() if among is None else self.read().where(among)
+        side.overwrite(apply(_semi(rows, touched, part, "left_semi")))
         emptied = _semi(touched, side.read().select(*part).distinct(), part, "left_anti")
         names = [r.asDict() for r in emptied.select(*[F.col(c).cast("string") for c in part]).toLocalIterator()]
         (side.read().hint("rebalance", *part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -87,12 +104,62 @@ class ParquetTable:
         return self
 
 
+@dataclass(frozen=True)
+class KeyedTable:
+    """A table whose rows are dealt over ``buckets`` folders by the hash of their key.
+
+    An incoming key can only be in its own bucket, so an upsert needs no search for the
+    keys: it reads and rewrites the buckets that the incoming keys hash to, and no other
+    file. The number of buckets is fixed for a table; choose it so that a bucket is
+    some hundred MB at the size the table will have.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    keys: tuple[str, ...]
+    buckets: int = 64
+
+    BUCKET = "key_bucket"
+
+    def read(self) -> DataFrame:
+        """The current rows."""
+        return self._table().read().select(*self.schema.fieldNames())
+
+    def overwrite(self, df: DataFrame) -> KeyedTable:
+        """K3 / K5: the rows of ``df`` instead of all others."""
+        self._table().overwrite(self._dealt(df))
+        return self
+
+    def merge(self, source: DataFrame) -> KeyedTable:
+        """Upsert ``source`` (unique per key; null keys are inserted as they are). To the
+        driver come the numbers of the touched buckets, at most ``buckets``."""
+        touched = self._dealt(source).select(self.BUCKET).distinct()
+        numbers = sorted(r[0] for r in touched.collect())
+        self._table()._rewrite(touched, lambda rows: self._dealt(upsert(rows.drop(self.BUCKET), source, self.keys)),
+                               F.col(self.BUCKET).isin(numbers) if numbers else F.lit(False))
+        return self
+
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return df.select(*self.schema.fieldNames()).withColumn(self.BUCKET, bucket)
+
+    def _table(self) -> ParquetTable:
+        schema = T.StructType([*self.schema, T.StructField(self.BUCKET, T.IntegerType(), True)])
+        return ParquetTable(self.spark, self.path, schema, (self.BUCKET,))
+
+
 def _semi(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
     """Semi- or anti-join on partition values, null equal to null."""
     right = right.select(*[F.col(c).alias(f"_p_{c}") for c in cols])
     return left.join(right, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in cols]), how)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def _folder(spark: SparkSession, col: str, value: str | None) -> str:
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     return names.getPartitionPathString(col, value)

@@ -1,14 +1,15 @@
 """Taxi medallion flow as Structured Streaming.
 
 * T1 ``ingest_stream``: incremental, append-only ingest of new source files
-  with the ``valid_distance`` expectation into a parquet table; a second
-  stream keeps exact counts of seen and dropped rows per micro-batch.
+  with the ``valid_distance`` expectation into a parquet table; the same pass
+  counts the rows seen, kept and dropped, exactly, per micro-batch.
 * T2 ``flag_stream``: a second stream that reads the bronze table as its
   source, filters suspicious rides and appends them to the silver table.
-* T3 ``refresh_weekly``: the weekly statistics view, recomputed over all of
-  bronze after the streams drained (the reference's materialized-view
-  semantics). ``weekly_stream`` is the event-time alternative: a watermark
-  and a 7-day window aligned to Mondays, emitted once a week is final.
+* T3 ``partials_stream`` and ``refresh_weekly_from_partials``: the weekly
+  statistics view from exact sums and counts that each batch adds once;
+  ``refresh_weekly`` recomputes the same view over all of bronze.
+  ``weekly_stream`` is the event-time alternative: a watermark and a 7-day
+  window aligned to Mondays, emitted once a week is final.
 * T4 ``refresh_top_n``: the gold view (batch join + top-k; sorting a
   non-aggregated stream is not supported by Spark, and the view is a
   recomputation anyway).
@@ -20,10 +21,11 @@ restart from the checkpoint adds nothing (exactly-once file sink).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.quality import expect_or_drop, expectation_counts
+from tessera.functions.scalar import true_only
+from tessera.operators.quality import expect_or_drop, expectation_counts  # noqa: F401 - the batch form of the counts
 from tessera.plans import taxi
 from tessera.sources.writers import materialize
 
@@ -42,7 +44,7 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str
         r = r.option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(path)
+    return r.parquet(path).select(*schema.fieldNames())
 
 
 def write_stream(df: DataFrame, out: str, checkpoint: str, name: str | None = None):
@@ -55,29 +57,39 @@ def write_stream(df: DataFrame, out: str, checkpoint: str, name: str | None = No
 
 
 def ingest_stream(spark: SparkSession, src: DataFrame, out: str, checkpoint: str, metrics: str | None = None):
-    """bronze = rows passing ``valid_distance``. With ``metrics`` a second stream over
-    the same source counts rows seen and dropped into that folder (P6)."""
-    kept, _ = expect_or_drop(src, taxi.VALID_DISTANCE, taxi.distance_ok(),
-                             observation=taxi.VALID_DISTANCE)
-    q = write_stream(kept, out, checkpoint)
+    """bronze = rows passing ``valid_distance``; with ``metrics`` their counts (P6) go into
+    that folder, from the same pass over the same rows.
+
+    Each micro-batch is a folder ``batch=<id>`` of bronze, and one of the counts. A batch that is
+    repeated after a failure replaces both, so bronze and counts agree after any number of
+    batches, failures and restarts. Readers give the table's schema and select it, as
+    ``read_bronze`` and ``read_stream`` do."""
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"{taxi.VALID_DISTANCE}_{batch_id}")
+        kept, _ = expect_or_drop(batch, taxi.VALID_DISTANCE, taxi.distance_ok(), seen)
+        kept.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if metrics:
+            n, dropped = seen.get[f"{taxi.VALID_DISTANCE}_rows"], seen.get[f"{taxi.VALID_DISTANCE}_dropped"]
+            write_counts(spark, taxi.VALID_DISTANCE, n, dropped, f"{metrics}/batch={batch_id}")
+
+    bad = F.count_if(~true_only(taxi.distance_ok())).alias(f"{taxi.VALID_DISTANCE}_dropped")
+    observed = src.observe(taxi.VALID_DISTANCE, F.count(F.lit(1)).alias(f"{taxi.VALID_DISTANCE}_rows"), bad)  # for its progress
+    q = (observed.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
     q.awaitTermination()
-    if metrics:
-        count_stream(src, taxi.VALID_DISTANCE, taxi.distance_ok(), metrics, f"{checkpoint}_metrics")
     return q
 
 
-def count_stream(src: DataFrame, name: str, cond: Column, out: str, checkpoint: str):
-    """P6 in a stream: one row of counts per micro-batch, in a folder named by the batch id.
-    A batch that is repeated after a failure replaces its own row, so the sum over the
-    folder is exact over any number of batches and restarts (``total_counts``)."""
+def write_counts(spark: SparkSession, name: str, seen: int, dropped: int, path: str) -> None:
+    """The counts of one batch as a one-row folder, instead of what it held."""
+    one = spark.range(1).select(F.lit(name).alias("expectation"), *[F.lit(v).cast("long").alias(c) for c, v in (
+        ("rows_seen", seen), ("rows_kept", seen - dropped), ("rows_dropped", dropped))])
+    one.write.mode("overwrite").parquet(path)
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        expectation_counts(batch, name, cond).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    q = (src.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows that ``ingest_stream`` wrote."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def total_counts(spark: SparkSession, metrics: str) -> DataFrame:
@@ -97,7 +109,26 @@ def flag_stream(spark: SparkSession, bronze_dir: str, schema: T.StructType, out:
 def refresh_weekly(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str,
                    exact_scale: int | None = None) -> DataFrame:
     """Weekly stats over everything ingested so far (K8 materialize)."""
-    materialize(taxi.weekly_stats(spark.read.schema(schema).parquet(bronze_dir), exact_scale), out)
+    materialize(taxi.weekly_stats(read_bronze(spark, bronze_dir, schema), exact_scale), out)
+    return spark.read.parquet(out)
+
+
+def partials_stream(spark: SparkSession, bronze_dir: str, schema: T.StructType, out: str, checkpoint: str,
+                    scale: int = 6):
+    """T3, kept up to date: each micro-batch of bronze is reduced once to sums and counts per
+    week, in a folder of its id, which a repeat replaces. No bronze row is read again."""
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        taxi.weekly_partials(batch, scale).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = (read_stream(spark, bronze_dir, schema).writeStream.foreachBatch(publish)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def refresh_weekly_from_partials(spark: SparkSession, partials_dir: str, out: str) -> DataFrame:
+    """The view from the partials of all batches so far (weeks x batches rows)."""
+    materialize(taxi.weekly_from_partials(spark.read.parquet(partials_dir).drop("batch")), out)
     return spark.read.parquet(out)
 
 
