@@ -153,14 +153,15 @@ def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], total: int, by:
     """Inner join of ``rows`` with ``table``, which has each key once and says in its column
     ``many`` (dropped) how many of the ``total`` rows have it. The rows of a key with more
     than ``line`` are dealt by the column ``by`` over copies of its table row; the list of
-    these keys, at most ``MOST_HOT`` rows, is broadcast."""
+    these keys, at most ``MOST_HOT`` rows, is broadcast. The join itself is a merge at every
+    size: what it moves grows in proportion."""
     line = max(HOT_ROWS, total // MOST_HOT)
     copies = F.ceil(F.col("many") / line)
     hot = table.where(F.col("many") > line).select(*keys, copies.alias("deals"))
     dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "deal", F.pmod(F.xxhash64(by), F.coalesce("deals", F.lit(1).cast("long")))).drop("deals")
     spread = table.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), copies.cast("long") - 1))).drop("many")
-    return dealt.join(spread, [*keys, "deal"]).drop("deal")
+    return dealt.join(spread.hint("merge"), [*keys, "deal"]).drop("deal")
 
 
 # ---- components -------------------------------------------------------------------
@@ -307,16 +308,21 @@ class Linker:
         self.components = table.sparkSession.createDataFrame([], "node long, component long")  # of linked nodes
 
     def run(self) -> DataFrame:
-        kinds = self.judge(self.bucket_pairs())
+        pairs = materialize(self.bucket_pairs(), "minhash-pairs")
+        met = pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct()
+        # from here on only nodes that met another: their texts are moved more than once
+        self.nodes = materialize(self.nodes.select("node", "n", "sig", "text").join(
+            broadcast_if_small(materialize(met, "minhash-met")), "node", "left_semi"), "minhash-met-texts")
+        kinds = self.judge(pairs)
         self.merge(kinds)
         groups = kinds.withColumnRenamed("pivot", "group").join(
-            self.nodes.select("node", F.length("text").alias("bytes")), "node")
+            self.nodes.select("node", F.length("text").alias("bytes")).hint("merge"), "node")
         groups = materialize(groups, "minhash-groups")
         for k in range(self.rounds):
             rows, plan, light = self.open_groups(groups)
             if light:
                 break
-            self.merge(self.judge(self.further_pivots(rows, k)))
+            self.merge(self.judge(materialize(self.further_pivots(rows, k), "minhash-pairs")))
         else:
             rows, plan, _ = self.open_groups(groups)
         self.merge_links(self.compare_in_full(rows, plan))
@@ -333,7 +339,6 @@ class Linker:
 
     def judge(self, pairs: DataFrame) -> DataFrame:
         """``(node, pivot, kind)`` of each pair."""
-        pairs = materialize(pairs, "minhash-pairs")
         by_sig = materialize(judge_by_signature(self.with_both(pairs, "n", "sig"), self.percent), "minhash-judged")
         likely = by_sig.where(F.col("kind") == TO_VERIFY).select("node", "pivot")
         verified = materialize(verify(self.with_both(likely, "text"), self.words, self.percent), "minhash-verified")
@@ -343,8 +348,8 @@ class Linker:
         """``pairs`` with the columns of the node, and as ``pivot_...`` those of the pivot."""
         own = self.nodes.select("node", *columns)
         many = pairs.groupBy("pivot").agg(F.count("*").alias("many"))
-        pivots = many.join(own.toDF("pivot", *(f"pivot_{c}" for c in columns)), "pivot")
-        return join_hot(pairs.join(own, "node"), pivots, ["pivot"], pairs.count(), "node")
+        pivots = many.join(own.toDF("pivot", *(f"pivot_{c}" for c in columns)).hint("merge"), "pivot")
+        return join_hot(pairs.join(own.hint("merge"), "node"), pivots, ["pivot"], pairs.count(), "node")
 
     def merge(self, kinds: DataFrame) -> None:
         self.merge_links(kinds.where(F.col("kind") == LINKED).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
@@ -431,7 +436,7 @@ class Linker:
             return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
                              "b": pa.array([x for _, x in links], pa.int64())})
 
-        return (blocks.join(self.nodes.select("node", "n", "sig", "text"), "node")
+        return (blocks.join(self.nodes.hint("merge"), "node")
                 .groupBy("group", "lo", "hi").applyInArrow(inside, "a long, b long"))
 
 
