@@ -62,7 +62,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op6_document_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return syncmers.against_next(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Fingerprints of each text and of its edited text, likeness and longest common stretch."""
+    return syncmers.against_next(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop(
+        "anchors", "edited_anchors")
 
 
 @register("op7_benchmark_decontamination", """

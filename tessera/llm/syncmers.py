@@ -3,9 +3,10 @@
 A window of ``k`` code points is selected when the smallest hash among the ``s``-mers inside
 it lies at its first or last place. Whether a window is selected depends on the window
 alone (context-free), so an edit changes only anchors that overlap it, and copied text
-keeps its anchors wherever it stands. All anchors are kept with their places, packed; the
-likeness of two texts is exact over all of them, and ``common_places`` gives where they meet.
-The fingerprint beside them is a sketch: the ``size`` smallest different hashes.
+keeps its anchors wherever it stands. The fingerprint holds the different hashes of all
+anchors, and the likeness of two texts is that of their fingerprints. The anchors are kept
+with their places too, packed: ``common_places`` gives where two texts meet, and
+``copied_stretch`` the longest passage that they share.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import pieces
 
-K, S, SIZE = 16, 6, 512
+K, S = 16, 6
 
 U64 = np.uint64
 
@@ -73,12 +74,12 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
 
 
-def sketch(h: np.ndarray, size: int = SIZE) -> np.ndarray:
-    """The ``size`` smallest different upper halves of the anchors' hashes, ascending."""
+def sketch(h: np.ndarray, size: int | None = None) -> np.ndarray:
+    """The different upper halves of the anchors' hashes, ascending: all, or the ``size`` smallest."""
     return np.unique(h >> U64(32))[:size].astype(np.uint32)
 
 
-def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE) -> np.ndarray:
+def fingerprint(text: str, k: int = K, s: int = S, size: int | None = None) -> np.ndarray:
     return sketch(anchors(text, k, s)[1], size)
 
 
@@ -107,9 +108,25 @@ def common_places(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndar
     return both[np.argsort(both[:, 0], kind="stable")]
 
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int | None = SIZE) -> float:
+def copied_stretch(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], k: int = K) -> int:
+    """Code points of the longest stretch that two texts have in common, by their anchors: common
+    anchors that lie the same distance apart in both texts, each within a window of the
+    one before. Texts without a common anchor: 0."""
+    both = common_places(a, b)
+    if not len(both):
+        return 0
+    shift = both[:, 1] - both[:, 0]
+    order = np.lexsort((both[:, 0], shift))
+    at, shift = both[order, 0], shift[order]
+    starts = np.append(True, (np.diff(shift) != 0) | (np.diff(at) > k))
+    first = np.flatnonzero(starts)
+    last = np.append(first[1:], len(at)) - 1
+    return int((at[last] - at[first]).max()) + k
+
+
+def likeness(a: np.ndarray, b: np.ndarray, size: int | None = None) -> float:
     """Share of common anchors, 2 |A and B| / (|A| + |B|), of two sets of different hashes.
-    ``size`` None: exact, over all anchors. Of sketches of ``size``: exact while both texts have
+    ``size`` None: exact, of whole sets. Of sketches of ``size``: exact while both texts have
     at most ``size`` anchors, else estimated from the smallest of the union. Two texts
     without anchors are alike (1), one without and one with are not (0)."""
     if not len(a) or not len(b):
@@ -128,9 +145,10 @@ def _hex(x: np.ndarray) -> str:
     return x.astype(">u4").tobytes().hex()
 
 
-def fingerprints(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = K, s: int = S, size: int | None = None) -> DataFrame:
     """``docs`` (needs ``doc_id`` and ``text``) -> ``(doc_id, anchors, fingerprint)``: all anchors
-    packed, and eight hexadecimal digits per anchor of the sketch; null text: both empty."""
+    packed, and eight hexadecimal digits per different anchor (with ``size``: the smallest so
+    many); null text: both empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
@@ -172,14 +190,16 @@ def with_next(docs: DataFrame, per_range: int = 10_000, max_ranges: int = 4096)
         again.select("doc_id", "text", "th", F.col("before").alias("range"), F.lit(True).alias("last")))
 
 
-EDITED = ("doc_id long, n_chars long, edited_sha256 string, anchors binary, edited_anchors binary, "
-          "fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+EDITED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+          "near_edited double, near_next double, copied_edited long, copied_next long, "
+          "anchors binary, edited_anchors binary")
 
 
-def against_next(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
-    """``docs`` (needs ``doc_id`` and ``text``) -> one row per input row with all its anchors and
-    its sketch, those of its edited text, and the exact likeness to the edited text and the
-    next document.
+def against_next(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
+    """``docs`` (needs ``doc_id`` and ``text``) -> one row per input row with its fingerprint, that
+    of its edited text, the likeness of the first to the second and to the next document's,
+    the code points of the longest stretch (``copied_...``) that it has in common with
+    either, and the anchors of both its texts.
 
     The edited text has the last ``n_chars // 4`` code points replaced by the first as many
     (or all) of the next document: the next in ``(doc_id, text hash)`` order, null ids
@@ -193,7 +213,7 @@ def against_next(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE) -> D
             for doc_id, data, where, last in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 text = (data or b"").decode("utf-8", "replace")
                 at, h = anchors(text, k, s)
-                row = (doc_id, text, where, last, at, h, np.unique(h))
+                row = (doc_id, text, where, last, at, h, sketch(h))
                 if held is not None and not held[3] and held[2] == where:
                     out.append(beside(held, row))
                 held = row
@@ -206,15 +226,16 @@ def against_next(docs: DataFrame, k: int = K, s: int = S, size: int = SIZE) -> D
         n = len(text) // 4
         edited = text[:len(text) - n] + following[1][:n]
         new_at, new = anchors(edited, k, s)
+        theirs = sketch(new)
         return {"doc_id": doc_id, "n_chars": len(text), "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(),
-                "anchors": pack(at, h), "edited_anchors": pack(new_at, new),
-                "fingerprint": _hex(sketch(h, size)), "edited_fingerprint": _hex(sketch(new, size)),
-                "near_edited": likeness(own, np.unique(new), None), "near_next": likeness(own, following[6], None)}
-
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-                        ("anchors", pa.binary()), ("edited_anchors", pa.binary()),
-                        ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
-                        ("near_edited", pa.float64()), ("near_next", pa.float64())])
+                "fingerprint": _hex(own), "edited_fingerprint": _hex(theirs),
+                "near_edited": likeness(own, theirs), "near_next": likeness(own, following[6]),
+                "copied_edited": copied_stretch((at, h), (new_at, new), k),
+                "copied_next": copied_stretch((at, h), following[4:6], k),
+                "anchors": pack(at, h), "edited_anchors": pack(new_at, new)}
+
+    kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "binary": pa.binary()}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in EDITED.split(", "))])
     rows = with_next(docs).repartitionByRange("range")
     return (rows.sortWithinPartitions("range", "last", "doc_id", "th")
             .select("doc_id", F.col("text").cast("binary"), "range", "last").mapInArrow(run, EDITED))
