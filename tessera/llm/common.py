@@ -20,6 +20,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores before it as it takes to differ from
+    ``df``'s columns (whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts the
     lineage, survives lost executors and computes the plan once."""

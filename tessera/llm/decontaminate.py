@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialize
+from .common import broadcast_if_small, free_names, materialize
 
 
 def word_list(text: Column) -> Column:
@@ -93,8 +93,11 @@ def find_contained(docs: DataFrame, benchmark: DataFrame, words: int = 5, thresh
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the rows whose text contains a benchmark item; same columns."""
+    """``docs`` without the rows whose text contains a benchmark item; same columns, whatever
+    their names. Null and empty texts contain nothing and stay; repeated rows stay or go
+    together, null ids are ids of their own. Empty tables: nothing goes."""
+    doc, th = free_names(docs, "__doc", "__th")
     hit = materialize(find_contained(docs, benchmark, words, threshold).select(
-        F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).distinct(), "bench-hits")
-    return docs.join(broadcast_if_small(hit), docs["doc_id"].eqNullSafe(F.col("__doc"))
-                     & (F.xxhash64(docs["text"]) == F.col("__th")), "left_anti")
+        F.col("doc_id").alias(doc), F.col("th").alias(th)).distinct(), "bench-hits")
+    return docs.join(broadcast_if_small(hit), docs["doc_id"].eqNullSafe(hit[doc])
+                     & (F.xxhash64(docs["text"]) == hit[th]), "left_anti")

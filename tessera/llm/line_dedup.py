@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, connected_components, materialize, pieces, union_labels
+from .common import broadcast_if_small, connected_components, free_names, materialize, pieces, union_labels
 from .simhash_near import link_within
 
 #: Lines of one candidate group that one task compares with each other; values of one
@@ -312,7 +312,8 @@ def dedup_lines(docs: DataFrame, max_bits: int = 5, similarity: float = 0.8,
     """``docs`` (needs ``doc_id`` and ``text``) with the repeated lines cut from ``text``.
 
     * Every input row comes back once, with all its columns; a text whose lines all
-      repeat becomes empty. ``dropped`` names a column for the cut line numbers (from 0).
+      repeat becomes empty. ``dropped`` names a column for the cut line numbers (from 0), in
+      place of a column of that name.
     * Blank lines and lines without letters or digits are never cut. Null texts stay null.
     * Rows with equal ``doc_id`` and text are one document: they keep the same lines. A
       null ``doc_id`` sorts first; ties among rows of one id go by the text's hash.
@@ -320,13 +321,14 @@ def dedup_lines(docs: DataFrame, max_bits: int = 5, similarity: float = 0.8,
     """
     own = F.xxhash64("text")
     gone = repeated_lines(docs.select(F.col("doc_id").cast("long"), own.alias("th"), "text"), max_bits, similarity)
-    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), F.col("dropped").alias("__dropped"))
-    gone = materialize(gone, "line-dropped")
+    doc, th, cut_lines = free_names(docs, "__doc", "__th", "__dropped")
+    gone = materialize(gone.toDF(doc, th, cut_lines), "line-dropped")
     # no hint: one text shuffle at every size, unless Spark finds the table tiny
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__doc"])
-                       & own.eqNullSafe(gone["__th"]), "left")
-    cut = F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(
-        _without(F.when(F.col("__dropped").isNotNull(), F.col("text")), F.col("__dropped")))
-    out = [cut.alias("text") if c == "text" else joined[c] for c in docs.columns]
-    return joined.select(*out, *([F.coalesce("__dropped", F.array().cast("array<int>")).alias(dropped)]
+    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[doc])
+                       & own.eqNullSafe(gone[th]), "left")
+    gone_here = F.col(cut_lines)
+    cut = F.when(gone_here.isNull(), F.col("text")).otherwise(
+        _without(F.when(gone_here.isNotNull(), F.col("text")), gone_here))
+    out = [cut.alias("text") if c == "text" else joined[c] for c in docs.columns if c != dropped]
+    return joined.select(*out, *([F.coalesce(gone_here, F.array().cast("array<int>")).alias(dropped)]
                                  if dropped else []))

@@ -267,3 +267,44 @@ def test_minima_agree_as_often_as_sets_do():
     assert abs(share - 1800 / len(h)) < 0.08 and (minima.of(h[::-1]) == minima.of(h)).all()
     low, near = minhash_near.signature_bounds(80, 200)
     assert 0.6 < low < 0.65 and 0.38 < near < 0.4
+
+
+# ---- helper names of operators and stages -------------------------------------------------
+
+def test_stages_keep_columns_of_their_helpers_names(spark, tmp_path):
+    import corpus_pipeline
+    from tessera.llm import line_dedup
+    helpers = ["__doc", "__th", "__dropped", "__DOC", "__score", "__predicted", "__id", "dropped", "th", "fp", "rank", "n_shared"]
+    line, other = _words(1, 30), _words(2, 30)
+    rows = [(1, f"{line}\n{other}"), (2, f"{line}\n{_words(3, 40)}"), (3, None), (None, _words(4, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, name in enumerate(n for n in helpers if n != "__DOC"):
+        docs = docs.withColumn(name, F.lit(k))
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "doc_id long, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, _words(4, 60))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert all(tuple(r)[2:] == tuple(range(len(docs.columns) - 2)) for r in out.collect())
+    cut = line_dedup.dedup_lines(docs, dropped="dropped").collect()
+    assert {r["doc_id"]: r["dropped"] for r in cut} == {1: [], 2: [0], 3: [], None: []}
+
+
+def test_fingerprints_hold_what_the_likeness_uses(spark):
+    from tessera.llm import syncmers
+    texts = [_words(k, 900 * k) for k in (1, 2)] + [_words(9, 40) + " " + _words(2, 1800)[4000:7000] + " " + _words(8, 60), "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in syncmers.against_next(df).collect()}
+    of = lambda hex_digits: {hex_digits[k:k + 8] for k in range(0, len(hex_digits), 8)}
+    for i in range(5):
+        a, b, c = of(rows[i]["fingerprint"]), of(rows[(i + 1) % 5]["fingerprint"]), of(rows[i]["edited_fingerprint"])
+        like = lambda x, y: 2 * len(x & y) / (len(x) + len(y)) if x and y else float(len(x) == len(y))
+        assert (rows[i]["near_next"], rows[i]["near_edited"]) == (like(a, b), like(a, c))
+        assert len(a) == len(set(syncmers.closed_syncmers(texts[i] or "")[1].tolist()))  # none left out
+    assert 2900 < rows[1]["copied_next"] <= 3000 and rows[0]["copied_next"] < 40 and rows[3]["copied_next"] == 0
+    n = len(texts[1])
+    assert n - n // 4 - 60 < rows[1]["copied_edited"] <= n - n // 4 + 20
+    kept = list(syncmers.EDITED.split(", "))
+    assert [c.split()[0] for c in kept[:7]] == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                                                "near_edited", "near_next"]
