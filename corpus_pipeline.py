@@ -9,35 +9,42 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import byte_bpe, decontaminate, line_dedup, quality_mil, simhash_near
-from tessera.llm.common import materialize, read_table
+from tessera.llm.common import free_names, materialize, read_table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on ``labels``, rejects go."""
+    """Documents that the classifier, trained on ``labels``, rejects go. A null text counts as
+    empty; rows of equal text stay or go together."""
     labels = read_table(spark, sf_dir, "labels")
-    scored = quality_mil.classify(docs, labels, score_col="__score", predicted_col="__predicted")
-    return scored.where("__predicted = 1").select(*docs.columns)
+    score, predicted = free_names(docs, "__score", "__predicted")
+    scored = quality_mil.classify(docs, labels, score_col=score, predicted_col=predicted)
+    return scored.where(F.col(predicted) == 1).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of equal or nearly equal lines, one occurrence stays."""
+    """Of each group of equal or nearly equal lines, one occurrence stays, the first by ``doc_id``
+    (null first) and place. Every row stays, null texts as null."""
     return line_dedup.dedup_lines(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: the one with the smallest id."""
+    """One document of each SimHash component stays: the one with the smallest id (null last).
+    Null and blank texts are one component."""
     return simhash_near.keep_one(docs, words=3, max_bits=2)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item (0.8 of its 5-word shingles) go."""
+    """Documents that contain a benchmark item (0.8 of its 5-word shingles) go; null and empty
+    texts stay."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), words=5, threshold=0.8)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of each text that is left, decoded again and hashed."""
+    """Byte-level BPE ids of each text that is left (null: empty), decoded again and hashed: one
+    row per document, with columns of its own."""
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
