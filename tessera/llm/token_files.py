@@ -172,11 +172,13 @@ class Code:
         self.next_length = np.repeat(self.lengths[order], step).astype(np.int64)
         if len(ids) == 1:
             self.next_id, self.next_length = self.next_id.repeat(2), self.next_length.repeat(2)
+        self.place = np.zeros(int(self.ids.max(initial=0)) + 1, np.int64)  # of each id among the used
+        self.place[self.ids] = np.arange(len(ids))
 
     def encode(self, flat: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bytes of all documents, each one's number of bytes, and the bit offset in its
         document of each id."""
-        at = np.searchsorted(self.ids, flat)
+        at = self.place[flat]
         size = self.lengths[at]
         total = np.cumsum(size) - size
         first = np.cumsum(count) - count
@@ -262,7 +264,8 @@ BLOCK = ("part int, start long, doc_ids array<long>, n_ids array<long>, n_bytes
 def write_files(ids: DataFrame, counts: DataFrame, kind: str, path: str, parts: int | None = None) -> None:
     """Write the table of ``encode_ids`` as files below ``path``, in ascending ``doc_id``
     (null first; rows of one id by text hash). The driver sees the counts, one row per id
-    of the vocabulary, and makes the code."""
+    of the vocabulary, and makes the code. Ids are dealt out by range first, so the pass
+    that samples the ranges' bounds only reads them; each row is coded once, in place."""
     spark = ids.sparkSession
     seen = sorted((r["id"], r["n"]) for r in counts.collect())
     used, n = (np.array([r[k] for r in seen], np.int64) for k in (0, 1))
@@ -271,16 +274,16 @@ def write_files(ids: DataFrame, counts: DataFrame, kind: str, path: str, parts:
         1).write.parquet(f"{path}/code")
     code = Code(used, lengths)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """``(doc_id, th, n, checkpoints, payload)`` of each row."""
         for b in pieces(batches, n_bytes=1 << 20):
             flat, count = _flat(b.column(2), kind)
             payload, n_bytes, inside = code.encode(flat, count)
             number = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count)
             marks = number % EVERY == 0
             n_marks = -(-count // EVERY)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(count), _cut(inside[marks], n_marks), _cut(payload, n_bytes, "u1")],
-                ["doc_id", "th", "n", "checkpoints", "payload"])
+            marks, payload = (_cut(inside[marks], n_marks).to_pylist(), _cut(payload, n_bytes, "u1").to_pylist())
+            yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), count.tolist(), marks, payload, strict=True)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, rows, size = TaskContext.get().partitionId(), 0, [], 0
@@ -292,18 +295,16 @@ def write_files(ids: DataFrame, counts: DataFrame, kind: str, path: str, parts:
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(one, kinds, strict=True)],
                                               ["part", "start", "doc_ids", "n_ids", "n_bytes", "checkpoints", "payload"])
 
-        for b in pieces(batches):
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                rows.append(row)
-                size += len(row[4])
-                if size >= BLOCK_BYTES:
-                    yield block()
-                    start, rows, size = start + sum(r[2] for r in rows), [], 0
+        for row in encode(batches):
+            rows.append(row)
+            size += len(row[4])
+            if size >= BLOCK_BYTES:
+                yield block()
+                start, rows, size = start + sum(r[2] for r in rows), [], 0
         if rows:
             yield block()
 
-    coded = ids.mapInArrow(encode, "doc_id long, th long, n long, checkpoints binary, payload binary")
-    dealt = coded.repartitionByRange(parts, "doc_id") if parts else coded.repartitionByRange("doc_id")
+    dealt = ids.repartitionByRange(parts, "doc_id") if parts else ids.repartitionByRange("doc_id")
     dealt.sortWithinPartitions("doc_id", "th").mapInArrow(pack, BLOCK).write.option(
         "compression", "none").parquet(f"{path}/blocks")
 
