@@ -42,17 +42,16 @@ def compact(df: DataFrame, partition_cols: Sequence[str] = (), files: int | None
     return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
 
 
-#: Rows sampled to place the range bounds of the clustering columns (layout only).
+#: Rows sampled, on average, to place the range bounds of the clustering columns (layout only).
 BOUND_SAMPLE = 10_000
 
 
 def _range_bounds(df: DataFrame, cols: Sequence[str], ranges: int) -> list[list]:
     """For each column at most ``ranges - 1`` ascending values that cut it into ranges of about
-    equal size: quantiles of one bounded sample of rows, taken by hash in a single scan
-    of the clustering columns."""
-    rows = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    rows = (rows.withColumn("h", F.xxhash64(*rows.columns, F.monotonically_increasing_id()))
-            .orderBy("h").limit(BOUND_SAMPLE).drop("h").collect())
+    equal size: quantiles of one random sample of rows, taken in a single scan of the
+    clustering columns (its share follows from the row count, so its size does not grow)."""
+    share = min(1.0, BOUND_SAMPLE / max(1, df.count()))
+    rows = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)]).sample(share, seed=1).collect()
     bounds = []
     for i in range(len(cols)):
         values = sorted(r[i] for r in rows if r[i] is not None and r[i] == r[i])

@@ -89,6 +89,15 @@ def distinct_values(df: DataFrame, col: str, fill=None) -> DataFrame:
     return df.select(c.alias(col)).distinct()
 
 
+def distinct_lists(df: DataFrame, cols: Sequence[str], fills: dict | None = None, name: str = "dim",
+                   value: str = "value") -> DataFrame:
+    """G10 for several columns: one row per column and distinct value (as text; missing replaced
+    by ``fills[column]`` where given). One scan and one aggregate for all columns."""
+    fills = fills or {}
+    text = [(F.coalesce(F.col(c), F.lit(fills[c])) if c in fills else F.col(c)).cast("string").alias(c) for c in cols]
+    return df.select(*text).unpivot([], list(cols), name, value).distinct()
+
+
 def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:
     """Number of rows, as a one-row frame."""
     return df.agg(F.count(F.lit(1)).alias(alias))
@@ -276,7 +285,7 @@ def top_group(df: DataFrame, key: str, value: str, alias: str = "total", n: int
 
 __all__ = [
     "group_sum", "mean_of", "group_mean", "group_means", "group_count",
-    "distinct_values", "row_count", "exact_quantiles", "median_of",
+    "distinct_values", "distinct_lists", "row_count", "exact_quantiles", "median_of",
     "describe_exact", "top_n", "top_group", "dense_index",
 ]
 

@@ -7,12 +7,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from tessera import schemas
 from tessera import testviews as tv
 from tessera.functions.scalar import to_day, to_ts
 from tessera.operators.layout import cluster_by, layout_report
 from tessera.plans import orders_table
 from tessera.plans.catalog import register
 from tessera.session import scratch_path
+from tessera.sources.files import orders_from_rows
 from tessera.sources.history import HistoryTable
 from tessera.sources.tables import ParquetTable
 
@@ -75,6 +77,18 @@ def q_orders_with_date(spark, sf):
     return o.select("order_id", to_day(to_ts(text)).alias("order_date"), "amount")
 
 
+@register("orders_typed_rows", tv.with_views(
+    "SELECT order_id, customer_id, country, amount, currency, status, CAST(order_timestamp AS DATE) AS order_date "
+    "FROM orders_tbl", "orders_tbl"))
+def q_orders_typed_rows(spark, sf):
+    """S3: orders that came as rows of text, typed by the declared schema, their time stamps
+    parsed after the load and their dates derived."""
+    fields = schemas.ORDERS_TEXT.fieldNames()
+    o = tv.orders_tbl(spark, sf).withColumn("order_timestamp", F.date_format("order_timestamp", "yyyy-MM-dd HH:mm:ss"))
+    typed = orders_from_rows(spark, o.select(*[F.col(c).cast("string").alias(c) for c in fields]), schemas.ORDERS_TEXT)
+    return typed.drop("order_timestamp")
+
+
 @register("partition_pruned_read", O(
     "SELECT * FROM v0 WHERE country = 'NATION_1' AND order_date BETWEEN DATE '1996-01-01' "
     "AND DATE '1996-12-31'"))
@@ -97,6 +111,23 @@ def q_append_evolve(spark, sf):
     return table_at(spark, sf, "append").read()
 
 
+@register("append_widened", O(
+    """SELECT order_id, CAST(floor(amount) AS DECIMAL(18,2)) AS amount, CAST(n AS BIGINT) AS n, country
+       FROM (SELECT *, length(order_id) AS n FROM v0)
+       UNION ALL SELECT order_id, CAST(amount AS DECIMAL(18,2)), length(order_id) + 5000000000, country FROM base
+       WHERE order_timestamp >= TIMESTAMP '""" + SPLIT + "'"))
+def q_append_widened(spark, sf):
+    """U2 + V6: whole amounts and int counts, then rows with decimal amounts and counts beyond an
+    int: the columns take the wider types, earlier files stay and are read in them."""
+    first, second = (x.select("order_id", "amount", "country") for x in _batches(spark, sf))
+    first = first.select("order_id", F.floor("amount").cast("int").alias("amount"),
+                         F.length("order_id").cast("int").alias("n"), "country")
+    second = second.select("order_id", F.col("amount").cast("decimal(18,2)").alias("amount"),
+                           (F.length("order_id") + F.lit(5_000_000_000)).alias("n"), "country")
+    t = ParquetTable(spark, scratch_path(spark, "orders_widened"), first.schema, ("country",))
+    return t.overwrite(first).append(second, merge_schema=True).read()
+
+
 @register("table_delete", O("SELECT * FROM v4"))
 def q_table_delete(spark, sf):
     """V1 + V2: second update, then ``DELETE WHERE amount < 5000``."""

@@ -10,7 +10,7 @@ from tessera.operators.changes import concat
 from tessera.operators.clean import clean_sales
 from tessera.operators.filters import between, greater_than, not_equal_count, where_equals
 from tessera.operators.keyed import first_per_key
-from tessera.operators.stats import (describe_exact, distinct_values, group_mean, group_sum,
+from tessera.operators.stats import (describe_exact, distinct_lists, group_mean, group_sum,
                                      mean_of, median_of, row_count, top_group)
 from tessera.operators.synth import draw_sql, synth_sales
 from tessera.operators.util import attach_row
@@ -216,15 +216,8 @@ def q_dedupe_sales(spark, sf):
     "UNION SELECT DISTINCT 'promo_code', coalesce(promo_code, 'NONE') FROM sales"))
 def q_distinct_dims(spark, sf):
     """Distinct stores, products and promo codes (missing promo -> NONE)."""
-    s = _sales(spark, sf)
-    parts = [distinct_values(s, "store_id"), distinct_values(s, "store_name"),
-             distinct_values(s, "product_id"), distinct_values(s, "product_name"),
-             distinct_values(s, "promo_code", fill="NONE")]
-    out = None
-    for name, p in zip(["store_id", "store_name", "product_id", "product_name", "promo_code"], parts):
-        x = p.select(F.lit(name).alias("dim"), F.col(name).cast("string").alias("value"))
-        out = x if out is None else out.unionByName(x)
-    return out
+    return distinct_lists(_sales(spark, sf), ["store_id", "store_name", "product_id", "product_name", "promo_code"],
+                          {"promo_code": "NONE"})
 
 
 @register("row_counts", S(

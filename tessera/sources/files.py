@@ -84,8 +84,12 @@ def landing_paths(base: str, entity: str, run_dates, ext: str) -> list[str]:
 
 
 def orders_from_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
-    """S3: literal rows + declared schema; ``order_timestamp`` text parsed after
-    load and ``order_date`` derived (X3, X4). For fixtures and tests only."""
-    df = spark.createDataFrame(rows, schema)
+    """S3: rows + declared schema; ``order_timestamp`` text parsed after load and ``order_date``
+    derived (X3, X4). ``rows`` are literal rows, or a frame of text columns (rows that came as
+    text), whose values are cast to the declared types."""
+    if isinstance(rows, DataFrame):
+        df = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    else:
+        df = spark.createDataFrame(rows, schema)
     return (df.withColumn("order_timestamp", F.to_timestamp("order_timestamp"))
               .withColumn("order_date", F.to_date("order_timestamp")))

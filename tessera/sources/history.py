@@ -11,6 +11,9 @@ columns before the table's own, so
   intervals are never read or written again by later changes;
 * the history is an aggregate over partition columns, which reads no data column.
 
+A version is meant to be a batch, such as a daily load: each has folders of its own, one per
+partition value that it touches, and files are never merged across versions.
+
 A small table beside the rows names each version's operation and columns; a version counts
 once its line is there, and readers see the rows of versions that count. One writer at a
 time. A change is computed beside the table and moved in by one dynamic partition

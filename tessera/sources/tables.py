@@ -28,6 +28,24 @@ from tessera.sources.compaction import compact_files
 from tessera.sources.writers import write_partitioned
 
 
+def widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of the old type is one of the new, and Spark reads parquet files
+    of the old type as the new: whole numbers to longer ones, to double (up to int) or to a
+    decimal with room for all digits; float to double; decimals with more digits on
+    both sides of the point or one."""
+    digits = {T.ByteType: 10, T.ShortType: 10, T.IntegerType: 10, T.LongType: 20}  # as Spark asks for
+    whole = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    if type(old) in whole:
+        if type(new) in whole:
+            return whole.index(type(new)) > whole.index(type(old))
+        if isinstance(new, T.DecimalType):
+            return new.precision - new.scale >= digits[type(old)]
+        return isinstance(new, T.DoubleType) and not isinstance(old, T.LongType)
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new != old and new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return isinstance(old, T.FloatType) and isinstance(new, T.DoubleType)
+
+
 @dataclass(frozen=True)
 class ParquetTable:
     spark: SparkSession
@@ -46,8 +64,10 @@ class ParquetTable:
 
     def append(self, df: DataFrame, merge_schema: bool = False, as_is: bool = False) -> ParquetTable:
         """K4 / V6: add rows; with ``merge_schema`` new columns join the schema of the
-        returned table. A column of another type than the table's is refused. ``as_is``
-        keeps the frame's own partitions, one file each, instead of balancing them."""
+        returned table, and a column whose rows have a wider type takes that type: files
+        written before are read in it (see ``widens``) and stay as they are. Other types,
+        narrower ones too, are refused. ``as_is`` keeps the frame's own partitions, one file
+        each, instead of balancing them."""
         schema = self.merged_schema(df.schema, merge_schema)
         if as_is:
             df.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
@@ -62,12 +82,14 @@ class ParquetTable:
 
     def merged_schema(self, rows: T.StructType, merge_schema: bool) -> T.StructType:
         """The table's schema after an append of such rows; an error where it is refused."""
-        types = {f.name: f.dataType for f in self.schema}
-        new = [f for f in rows if f.name not in types]
-        changed = [f.name for f in rows if f.name in types and f.dataType != types[f.name]]
-        if changed or (new and not merge_schema):
-            raise ValueError(f"schema mismatch: new columns {[f.name for f in new]}, other types in {changed}")
-        return T.StructType([*self.schema, *[T.StructField(f.name, f.dataType, True) for f in new]])
+        came = {f.name: f.dataType for f in rows}
+        new = [f for f in rows if f.name not in self.schema.fieldNames()]
+        other = [f.name for f in self.schema if came.get(f.name, f.dataType) != f.dataType]
+        refused = [c for c in other if not merge_schema or not widens(self.schema[c].dataType, came[c])]
+        if refused or (new and not merge_schema):
+            raise ValueError(f"schema mismatch: new columns {[f.name for f in new]}, other types in {refused}")
+        kept = [T.StructField(f.name, came.get(f.name, f.dataType), f.nullable) for f in self.schema]
+        return T.StructType([*kept, *[T.StructField(f.name, f.dataType, True) for f in new]])
 
     def change(self, cond: str | Column, apply: Callable[[DataFrame], DataFrame]) -> ParquetTable:
         """V1 / V2: ``apply`` (an update or delete) to the partitions with a row where

@@ -277,3 +277,131 @@ def test_broken_off_compaction_is_ended_by_the_next(spark, tmp_dir, monkeypatch)
     os.makedirs(f"{t.path}/{HIDDEN}/files")  # one that had written nothing yet
     finish(spark, t.path)
     assert _rows(t.read()) == rows
+
+
+# ---- wider types -----------------------------------------------------------------------
+
+WIDER = [("tinyint", "int"), ("smallint", "bigint"), ("int", "bigint"), ("int", "double"), ("int", "decimal(10,0)"),
+         ("int", "decimal(14,4)"), ("bigint", "decimal(20,0)"), ("bigint", "decimal(24,2)"), ("float", "double"),
+         ("decimal(9,2)", "decimal(12,2)"), ("decimal(9,2)", "decimal(20,6)"), ("decimal(5,2)", "decimal(9,4)")]
+OTHER = [("bigint", "int"), ("bigint", "double"), ("double", "float"), ("int", "float"), ("int", "string"), ("int", "decimal(9,0)"),
+         ("bigint", "decimal(20,2)"), ("decimal(9,2)", "decimal(12,1)"), ("decimal(9,2)", "decimal(9,3)"), ("string", "int"),
+         ("double", "decimal(38,2)"), ("date", "timestamp"), ("decimal(9,2)", "double")]
+
+
+@pytest.mark.parametrize("old, new", WIDER)
+def test_appended_wider_types_read_back(spark, tmp_dir, old, new):
+    rows = lambda kind, lo: spark.range(lo, lo + 5).select(
+        "id", F.when(F.col("id") != lo, (F.col("id") * -1 if lo % 2 else F.col("id")).cast("double")).cast(kind).alias("v"))
+    first, second = rows(old, 1), rows(new, 100)
+    t = ParquetTable(spark, os.path.join(tmp_dir, "t"), first.schema).overwrite(first)
+    with pytest.raises(ValueError):
+        t.append(second)
+    before = _files(t.path)
+    t = t.append(second, merge_schema=True)
+    assert set(before) < set(_files(t.path)) and t.read().schema["v"].dataType.simpleString() == new
+    got = {r["id"]: None if r["v"] is None else float(r["v"]) for r in t.read().collect()}
+    assert got == {**{i: -float(i) for i in range(2, 6)}, 1: None, **{i: float(i) for i in range(101, 105)}, 100: None}
+    assert t.read().where("v < -2").count() == 3  # pushed down to files of both types
+
+
+@pytest.mark.parametrize("old, new", OTHER)
+def test_other_types_are_refused(spark, tmp_dir, old, new):
+    empty = lambda kind: spark.createDataFrame([], f"v {kind}")
+    t = ParquetTable(spark, os.path.join(tmp_dir, "t"), empty(old).schema)
+    with pytest.raises(ValueError):
+        t.append(empty(new), merge_schema=True)
+
+
+# ---- keyed tables, checks ------------------------------------------------------------------
+
+def test_upsert_leaves_other_buckets_alone(spark, tmp_dir):
+    from tessera.sources.tables import KeyedTable
+    first = spark.createDataFrame([(f"k{i}", i) for i in range(200)] + [(None, -1)], "id string, v int")
+    t = KeyedTable(spark, os.path.join(tmp_dir, "t"), first.schema, ("id",), 8).overwrite(first)
+    before = _files(t.path)
+    assert len({f.split("key_bucket=")[1].split("/")[0] for f in before}) == 8
+    t.merge(spark.createDataFrame([("k7", 700)], "id string, v int"))
+    after = _files(t.path)
+    assert len(set(before) - set(after)) == 1 and all(after[f] == before[f] for f in set(before) & set(after))
+    t.merge(spark.createDataFrame([("new", 1), ("k9", None)], "id string, v int"))
+    t.merge(first.limit(0))
+    want = {**{f"k{i}": i for i in range(200)}, None: -1, "k7": 700, "new": 1, "k9": None}
+    assert {r["id"]: r["v"] for r in t.read().collect()} == want and t.read().count() == len(want)
+
+
+def test_fused_checks(spark):
+    from tessera.operators import checks as c
+    from tessera.operators.quality import require
+    dim = spark.createDataFrame([(1,)], "id long")
+    fact = spark.createDataFrame([(1, "a", 5), (2, None, 5), (None, "b", 6), (None, None, None)], "id long, k string, day int")
+    tables = {"dim": dim, "none": dim.limit(0), "fact": fact}
+    rules = [c.not_empty("dim", "dim there"), c.not_empty("none", "none there"), c.no_nulls("fact", ["id", "k"], "keys"),
+             c.no_row("fact", F.col("day") > 5, "late"), c.equal_counts("fact", F.col("day") == 5, "fact", F.col("id") > 0, "same"),
+             c.equal_counts("dim", F.lit(True), "fact", F.col("k") == "zz", "unlike")]
+    got = {r["check"]: (r["observed"], r["passed"]) for r in c.run_checks(tables, rules).collect()}
+    assert got == {"dim there": (1, True), "none there": (0, False), "keys": (3, False), "late": (1, False), "same": (2, True),
+                   "unlike": (1, False)}
+    bad = sorted((r["check"], r["table"], json.loads(r["row"])["day"]) for r in c.failing_rows(tables, rules).collect() if r["check"] != "keys")
+    assert bad == [("late", "fact", 6)]
+    assert c.failing_rows(tables, rules).where("check = 'keys'").count() == 3
+    with pytest.raises(ValueError):
+        require(c.run_checks(tables, rules))
+    require(c.run_checks(tables, rules[:1]))
+    plan = c.run_checks(tables, rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 3
+    with pytest.raises(ValueError):
+        c.failing_rows({"dim": dim}, rules)
+
+
+def test_weekly_view_from_partials_equals_recompute(spark, tmp_dir):
+    from tessera import schemas
+    from tessera import testviews as tv
+    from tessera.plans import taxi
+    from tessera.streaming import taxi as stream
+    src, base = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    trips = tv.trips(spark, "/root/testdata/sf0.001")
+    gaps = trips.limit(40).withColumn("fare_amount", F.lit(None).cast("double")).unionByName(
+        trips.limit(3).withColumn("tpep_pickup_datetime", F.lit(None).cast("timestamp_ntz")))
+    for part in (trips.where("pickup_zip < 4"), trips.where("pickup_zip >= 4"), gaps):  # late files of weeks seen before
+        part.repartition(2).write.mode("append").parquet(src)
+        stream.ingest_stream(spark, stream.read_stream(spark, src, schemas.TRIPS, max_files=1), f"{base}/bronze", f"{base}/_b",
+                             metrics=f"{base}/metrics")
+        stream.partials_stream(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/partials", f"{base}/_p")
+        got = stream.refresh_weekly_from_partials(spark, f"{base}/partials", f"{base}/weekly")
+        want = stream.refresh_weekly(spark, f"{base}/bronze", schemas.TRIPS, f"{base}/again", exact_scale=6)
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    counts = stream.total_counts(spark, f"{base}/metrics").first()
+    assert counts["rows_kept"] == stream.read_bronze(spark, f"{base}/bronze", schemas.TRIPS).count()
+
+
+def test_counts_and_rows_agree_after_a_failure_between_them(spark, tmp_dir, monkeypatch):
+    from tessera import schemas
+    from tessera import testviews as tv
+    from tessera.streaming import taxi as stream
+    src, base = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    tv.trips(spark, "/root/testdata/sf0.001").limit(300).repartition(3).write.parquet(src)
+    run = lambda: stream.ingest_stream(spark, stream.read_stream(spark, src, schemas.TRIPS, max_files=1),
+                                       f"{base}/bronze", f"{base}/_b", metrics=f"{base}/metrics")
+    write, calls = stream.write_counts, []
+
+    def fails_once(*a):
+        calls.append(a)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        write(*a)
+
+    monkeypatch.setattr(stream, "write_counts", fails_once)
+    with pytest.raises(Exception):
+        run()
+    assert os.path.exists(f"{base}/bronze/batch=1") and not os.path.exists(f"{base}/metrics/batch=1")
+    run()
+    counts = stream.total_counts(spark, f"{base}/metrics").first()
+    bronze = stream.read_bronze(spark, f"{base}/bronze", schemas.TRIPS)
+    assert (counts["rows_seen"], counts["rows_kept"]) == (300, bronze.count())
+
+
+def test_distinct_lists_in_one_scan(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, None, 2.5), (2, "a", 2.5)], "x long, y string, z double")
+    got = {(r["dim"], r["value"]) for r in stats.distinct_lists(df, ["x", "y", "z"], {"y": "NONE"}).collect()}
+    assert got == {("x", "1"), ("x", "2"), ("y", "a"), ("y", "NONE"), ("z", None), ("z", "2.5")}

@@ -14,7 +14,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 FUNCS = {
-    "S1": ["sources.files.read_csv"], "S2": ["sources.files.read_json_records"],
+    "S1": ["sources.files.read_csv"], "S2": ["sources.files.read_json_records", "sources.json_arrays.elements"],
     "S3": ["sources.files.orders_from_rows"], "S4": ["sources.tables.ParquetTable.read"],
     "S5": ["streaming.taxi.read_stream"], "S6": ["sources.files.landing_path", "sources.files.landing_paths"],
     "S7": ["schemas.SCHEMAS", "schemas.conform"],
@@ -34,13 +34,13 @@ FUNCS = {
     "P13": ["operators.filters.with_columns", "plans.orders_table.with_order_date"],
     "P14": ["operators.filters.with_columns"], "P15": ["operators.filters.case_flag"],
     "P16": ["operators.clean.fill_missing"], "P17": ["operators.clean.fill_median"],
-    "J1": ["operators.keyed.left_lookup"], "J2": ["operators.keyed.upsert"],
+    "J1": ["operators.keyed.left_lookup"], "J2": ["operators.keyed.upsert", "sources.tables.KeyedTable.merge"],
     "J3": ["operators.keyed.orphans"], "J4": ["operators.synth.synth_sales"],
     "G1": ["operators.stats.group_sum"], "G2": ["operators.stats.mean_of"],
     "G3": ["operators.stats.group_mean"], "G4": ["operators.stats.group_means"],
-    "G5": ["operators.stats.group_count"], "G6": ["operators.quality.expectation_counts"],
+    "G5": ["operators.stats.group_count"], "G6": ["operators.quality.expectation_counts", "operators.checks.run_checks"],
     "G7": ["operators.stats.describe_exact"], "G8": ["operators.stats.median_of", "operators.stats.exact_quantiles"],
-    "G9": ["operators.synth.synth_sales"], "G10": ["operators.stats.distinct_values"],
+    "G9": ["operators.synth.synth_sales"], "G10": ["operators.stats.distinct_lists"],
     "G11": ["operators.stats.row_count"],
     "W1": ["operators.keyed.latest_per_key"], "W2": ["operators.keyed.first_per_key"],
     "W3": ["operators.keyed.last_per_key"],
@@ -55,16 +55,16 @@ FUNCS = {
     "X11": ["functions.scalar.record_json"], "X12": ["functions.scalar.int_or_zero"],
     "X13": ["operators.synth.synth_sales"], "X14": ["functions.scalar.one_of"],
     "T1": ["streaming.taxi.ingest_stream"], "T2": ["streaming.taxi.flag_stream"],
-    "T3": ["streaming.taxi.refresh_weekly", "streaming.taxi.weekly_stream"],
+    "T3": ["streaming.taxi.partials_stream", "streaming.taxi.refresh_weekly_from_partials", "streaming.taxi.weekly_stream"],
     "T4": ["streaming.taxi.refresh_top_n"],
     "V1": ["operators.changes.update_where", "sources.tables.ParquetTable.change"],
     "V2": ["operators.changes.delete_where", "sources.tables.ParquetTable.change"],
     "V3": ["operators.keyed.upsert", "sources.tables.ParquetTable.merge"],
-    "V4": ["plans.orders_table.steps"], "V5": ["plans.orders_table.steps"],
-    "V6": ["sources.tables.ParquetTable.append"], "V7": ["operators.layout.compact"],
+    "V4": ["sources.history.HistoryTable.as_of"], "V5": ["sources.history.HistoryTable.history"],
+    "V6": ["sources.tables.ParquetTable.append"], "V7": ["sources.compaction.compact_files"],
     "V8": ["operators.layout.cluster_by"], "V9": ["plans.shop_daily.load_day", "sources.tables.ParquetTable.merge"],
-    "Q1": ["operators.quality.check_not_empty"], "Q2": ["operators.quality.check_no_nulls"],
-    "Q3": ["operators.quality.check_counts"], "Q4": ["operators.quality.require", "operators.quality.all_passed"],
+    "Q1": ["operators.checks.not_empty"], "Q2": ["operators.checks.no_nulls", "operators.quality.check_no_nulls"],
+    "Q3": ["operators.checks.equal_counts"], "Q4": ["operators.quality.require", "operators.quality.all_passed"],
     "Q5": ["operators.quality.volume_status"], "Q6": ["operators.synth.synth_sales"],
 }
 
