@@ -87,11 +87,8 @@ def match_starts(code: np.ndarray, kind: np.ndarray) -> np.ndarray:
 class TreeBPE:
     """Encoder and decoder for one rank table (token bytes -> id, ids as merge ranks)."""
 
-    def __init__(self, ranks: dict[bytes, int], memory: int = 1_000_000):
-        self.ranks = ranks
-        self.bytes_of = [b""] * (1 + max(ranks.values(), default=-1))
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
+    def __init__(self, ranks: dict[bytes, int], memory: int = 200_000):
+        self.ranks, self.bytes_of = ranks, bytes_table(ranks)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.merges = merges = {ranks[t[:k]] << 32 | ranks[t[k:]]: r for t, r in ranks.items() if len(t) > 1
                   for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
@@ -267,11 +264,23 @@ class TreeBPE:
         return ids, np.bincount(text, weights=n, minlength=len(texts)).astype(np.int64)
 
     def decode(self, ids: list[int]) -> bytes:
-        """The tokens' bytes, concatenated up a tree."""
-        level = list(map(self.bytes_of.__getitem__, ids))
-        while len(level) > 1:
-            level = [b"".join(level[k:k + 256]) for k in range(0, len(level), 256)]
-        return level[0] if level else b""
+        return decode(self.bytes_of, ids)
+
+
+def bytes_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """Bytes of each token id."""
+    out = [b""] * (1 + max(ranks.values(), default=-1))
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+def decode(bytes_of: list[bytes], ids: list[int]) -> bytes:
+    """The tokens' bytes, concatenated up a tree."""
+    level = list(map(bytes_of.__getitem__, ids))
+    while len(level) > 1:
+        level = [b"".join(level[k:k + 256]) for k in range(0, len(level), 256)]
+    return level[0] if level else b""
 
 
 def cut(text: str, size: int) -> Iterator[str]:
@@ -298,6 +307,19 @@ def _coder(path: str) -> TreeBPE:
     return TreeBPE(load_ranks(path))
 
 
+@lru_cache(1)
+def _bytes_of(path: str) -> list[bytes]:
+    """All that decoding needs, one per worker process."""
+    return bytes_table(load_ranks(path))
+
+
+def _digests(rows: list[np.ndarray], out: list[bytes]) -> list[pa.Array]:
+    """``n_tokens``, and the SHA-256 of the ids and of the decoded bytes of each row."""
+    return [pa.array([len(x) for x in rows], pa.int64()),
+            pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in rows], pa.string()),
+            pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string())]
+
+
 def _fields(df: DataFrame, names: list[str]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(names).schema)
 
@@ -323,16 +345,13 @@ def decode_ids(tokens: DataFrame, path: str, keep: list[str], digests: bool = Fa
     little-endian unsigned 32-bit integers, and of the decoded bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(path)
+        bytes_of = _bytes_of(path)
         for b in pieces(batches, n_bytes=1 << 20):
             col = b.column(len(keep))
             rows = [col[i].values.to_numpy(zero_copy_only=False) if col[i].is_valid else np.empty(0, np.int32)
                     for i in range(b.num_rows)]
-            out = [coder.decode(x.tolist()) for x in rows]
-            cols = [pa.array(out, pa.binary())] if not digests else [
-                pa.array([len(x) for x in rows], pa.int64()),
-                pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in rows], pa.string()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string())]
+            out = [decode(bytes_of, x.tolist()) for x in rows]
+            cols = _digests(rows, out) if digests else [pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols], [*keep, *names])
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["bytes"]
@@ -346,4 +365,15 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     A null text is encoded as an empty one (no ids). Repeated rows and null ids come back
     as they came; other columns are ignored. Empty input: empty result."""
-    return decode_ids(encode_texts(docs, path, ["doc_id"]), path, ["doc_id"], digests=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(path)
+        for b in pieces(batches, n_bytes=1 << 20):
+            ids, n = coder.encode_batch([(t or b"").decode("utf-8", "replace") for t in b.column(1).to_pylist()])
+            rows = np.split(ids, np.cumsum(n)[:-1])
+            out = [coder.decode(x.tolist()) for x in rows]
+            yield pa.RecordBatch.from_arrays([b.column(0), *_digests(rows, out)],
+                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))  # one Python step: one coder per task
+    return rows.mapInArrow(run, f"{_fields(docs, ['doc_id'])}, n_tokens long, ids_sha256 string, decoded_sha256 string")
