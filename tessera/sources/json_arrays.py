@@ -6,13 +6,16 @@ source splits over tasks like lines. What a piece does to the parser's state is
 without the state: its quotes flip or keep "inside a string", and there are two depth
 changes, one for either start. These effects combine in any grouping (a monoid), so
 
-1. running sums inside each block of a file give every piece's effect up to there,
-2. running sums over the blocks' totals (one row per block) give each block's start,
+1. running sums inside each chunk of a file (at most ``CHUNK`` pieces that follow each other
+   in one split) give every piece's effect up to there,
+2. running sums over the chunks' totals (one row per chunk) give each chunk's start,
 3. both together tell the pieces that end an element of the array.
 
 Escapes never reach over a piece's end: a backslash before the ``}`` escapes just that.
-Text moves once, to the block's task; only elements that reach over a block's end move
-a second time. All steps are column expressions.
+Text moves once, to the chunk's task; only elements that reach over a chunk's end move
+a second time. Chunks are dealt over as many tasks as the files' size asks for, so a task
+sorts about ``TASK_BYTES`` of text whatever the size of a split or the number of shuffle
+partitions. All steps are column expressions.
 """
 
 from __future__ import annotations
@@ -20,14 +23,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 CLOSE = "}"
+#: Pieces of one chunk (a power of two), and text of one task.
+CHUNK, TASK_BYTES = 1 << 15, 32 << 20
+KEYS = ("file", "block", "chunk")
 
 
 def pieces(spark: SparkSession, path) -> DataFrame:
-    """``(file, block, line, size, value)``: the text up to each ``}`` (left out), in file
-    order by block and line; ``size`` is the file's length in bytes."""
+    """``(file, block, chunk, line, size, value)``: the text up to each ``}`` (left out), in file
+    order by block, chunk and line; ``size`` is the file's length in bytes."""
     text = spark.read.option("lineSep", CLOSE).text(path if isinstance(path, str) else list(path))
-    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+    text = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                        F.monotonically_increasing_id().alias("line"), F.col("_metadata.file_size").alias("size"), "value")
+    chunk = F.shiftright("line", CHUNK.bit_length() - 1).alias("chunk")
+    return text.select("file", "block", chunk, "line", "size", "value")
+
+
+def _tasks(spark: SparkSession, path) -> int:
+    """The number of tasks that hold ``TASK_BYTES`` of the files each (a listing; no file is opened)."""
+    size = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path)).agg(F.sum("length")).first()[0]
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // TASK_BYTES)
 
 
 def _depth_change(text: Column) -> Column:
@@ -51,33 +65,34 @@ def _upto(*keys: str, order: str):
 
 
 def running(df: DataFrame) -> DataFrame:
-    """``flips`` and, for a block that starts outside or inside a string, the depth changes
-    ``d_out`` and ``d_in`` from the block's start up to and with each piece."""
-    w = _upto("file", "block", order="line")
+    """``flips`` and, for a chunk that starts outside or inside a string, the depth changes
+    ``d_out`` and ``d_in`` from the chunk's start up to and with each piece."""
+    w = _upto(*KEYS, order="line")
     df = df.withColumn("flips", F.sum("flip").over(w))
-    even = (F.col("flips") - F.col("flip")) % 2 == 0  # the piece starts as the block does
+    even = (F.col("flips") - F.col("flip")) % 2 == 0  # the piece starts as the chunk does
     return (df.withColumn("d_out", F.sum(F.when(even, F.col("out")).otherwise(F.col("in"))).over(w))
             .withColumn("d_in", F.sum(F.when(even, F.col("in")).otherwise(F.col("out"))).over(w)))
 
 
-def block_starts(df: DataFrame) -> DataFrame:
-    """One row per block: whether it starts ``inside`` a string, at which ``depth`` (null in a
+def chunk_starts(df: DataFrame, tasks: int) -> DataFrame:
+    """One row per chunk: whether it starts ``inside`` a string, at which ``depth`` (null in a
     file that is no array), whether it is the file's last and whether that ends with ``}``."""
-    first = F.when(F.col("block") == 0, F.substring(F.ltrim("value"), 1, 1))
     blank = F.regexp_replace("value", r"\s", "") == ""
-    each = running(effects(df)).groupBy("file", "block").agg(
+    each = effects(df.withColumn("first", F.when((F.col("block") == 0) & ~blank, F.substring(F.ltrim("value"), 1, 1)))
+                   .withColumn("bytes", F.octet_length("value") + 1)).drop("value")  # the text stays
+    each = running(each.repartition(tasks, *KEYS)).groupBy(*KEYS).agg(
         F.sum("flip").alias("flip"), F.max_by("d_out", "line").alias("out"), F.max_by("d_in", "line").alias("in"),
-        F.min_by(F.when(~blank, first), "line").alias("first"),
-        F.sum(F.octet_length("value") + 1).alias("bytes"), F.max("size").alias("size"))
-    upto, whole = _upto("file", order="block"), Window.partitionBy("file")
+        F.min_by("first", "line").alias("first"), F.sum("bytes").alias("bytes"), F.max("size").alias("size"))
+    each = each.withColumn("place", F.struct("block", "chunk"))
+    upto, whole = _upto("file", order="place"), Window.partitionBy("file")
     each = each.withColumn("flips", F.sum("flip").over(upto))
     change = F.when((F.col("flips") - F.col("flip")) % 2 == 0, F.col("out")).otherwise(F.col("in"))
     each = each.withColumn("inside", (F.col("flips") - F.col("flip")) % 2).withColumn("change", change)
     return each.select(
-        "file", "block", "inside",
-        F.when(F.max("first").over(whole) == "[", F.sum("change").over(upto) - F.col("change")).alias("depth"),
-        (F.max("block").over(whole) == F.col("block")).alias("last"),
-        (F.sum("bytes").over(whole) == F.col("size")).alias("closed"))
+        *KEYS, "inside",
+        F.when(F.min_by("first", "place").over(whole) == "[", F.sum("change").over(upto) - F.col("change")).alias("depth"),
+        (F.max("place").over(whole) == F.col("place")).alias("last"),
+        (F.sum("bytes").over(whole) == F.max("size").over(whole)).alias("closed"))
 
 
 def elements(spark: SparkSession, path) -> DataFrame:
@@ -88,23 +103,24 @@ def elements(spark: SparkSession, path) -> DataFrame:
     before the fault are read. A file that is no array is parsed whole, by one task. A
     single element is always text of one task.
     """
-    df = pieces(spark, path)
-    start = block_starts(df).toDF("f", "b", "inside", "depth", "last", "closed")
-    rows = running(effects(df)).join(start, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    df, tasks = pieces(spark, path), _tasks(spark, path)
+    start = chunk_starts(df, tasks).toDF("f", "b", "c", "inside", "depth", "last", "closed")
+    rows = running(effects(df).repartition(tasks, *KEYS)).join(
+        start, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")) & (F.col("chunk") == F.col("c")))
     depth = F.col("depth") + F.when(F.col("inside") == 0, F.col("d_out")).otherwise(F.col("d_in"))
     ends = ((F.col("inside") + F.col("flips")) % 2 == 0) & (depth == 1)
-    by_line = Window.partitionBy("file", "block").orderBy("line")
+    by_line = Window.partitionBy(*KEYS).orderBy("line")
     final = F.col("last") & F.lead("line").over(by_line).isNull()  # after it the file ends
     rows = (rows.withColumn("ends", F.coalesce(ends, F.lit(False)) & ~final)
             .withColumn("text", F.when(final & ~F.col("closed"), F.col("value")).otherwise(F.concat("value", F.lit(CLOSE))))
-            .withColumn("n", F.sum(F.col("ends").cast("long")).over(_upto("file", "block", order="line"))
+            .withColumn("n", F.sum(F.col("ends").cast("long")).over(_upto(*KEYS, order="line"))
                         - F.col("ends").cast("long")))
-    parts = rows.groupBy("file", "block", "n").agg(
+    parts = rows.groupBy(*KEYS, "n").agg(
         F.min("line").alias("line"), F.max("ends").alias("ends"), _joined("line", "text").alias("text"))
     whole = parts.where("n > 0 and ends").select("file", "block", "line", "text", F.lit(False).alias("first"),
                                                  F.lit(False).alias("rest"))
-    # a block's first and last parts may belong together with those of the blocks beside it
-    open_ = parts.where("n = 0 or not ends").withColumn("order", F.struct("block", "n"))
+    # a chunk's first and last parts may belong together with those of the chunks beside it
+    open_ = parts.where("n = 0 or not ends").withColumn("order", F.struct("block", "chunk", "n"))
     ended = F.col("ends").cast("long")
     open_ = open_.withColumn("k", F.sum(ended).over(_upto("file", order="order")) - ended)
     over = open_.groupBy("file", "k").agg(
@@ -114,7 +130,7 @@ def elements(spark: SparkSession, path) -> DataFrame:
 
 
 def _joined(order: str, text: str) -> Column:
-    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), "")
+    return F.array_join(F.sort_array(F.collect_list(F.struct(order, text)))[text], "")
 
 
 def _parsed(rows: DataFrame) -> DataFrame:

@@ -405,3 +405,43 @@ def test_distinct_lists_in_one_scan(spark):
     df = spark.createDataFrame([(1, "a", None), (1, None, 2.5), (2, "a", 2.5)], "x long, y string, z double")
     got = {(r["dim"], r["value"]) for r in stats.distinct_lists(df, ["x", "y", "z"], {"y": "NONE"}).collect()}
     assert got == {("x", "1"), ("x", "2"), ("y", "a"), ("y", "NONE"), ("z", None), ("z", "2.5")}
+
+
+def test_chunks_of_few_pieces_give_the_same_elements(spark, tmp_dir, monkeypatch):
+    from tessera.sources import json_arrays
+    records = [{"n": i, "t": 'a "}" [b' * (i % 3), "in": [{"x": {}}] * (i % 5)} for i in range(300)]
+    for name, indent in (("a", None), ("b", 2)):
+        with open(os.path.join(tmp_dir, f"{name}.json"), "w") as f:
+            json.dump(records, f, indent=indent)
+    monkeypatch.setattr(json_arrays, "CHUNK", 4)
+    monkeypatch.setattr(json_arrays, "TASK_BYTES", 2000)
+    df = json_arrays.elements(spark, tmp_dir)
+    rows = df.orderBy("at.file", "at.block", "at.line", "pos").collect()
+    assert [json.loads(r["text"]) for r in rows] == records + records
+    # one split is read by many tasks after the scan, whatever spark.sql.shuffle.partitions is
+    assert json_arrays._tasks(spark, tmp_dir) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert json_arrays.pieces(spark, tmp_dir).select("file", "block", "chunk").distinct().count() > 50
+
+
+def test_scan_for_chunk_starts_moves_no_text(spark, tmp_dir):
+    from tessera.sources import json_arrays
+    with open(os.path.join(tmp_dir, "a.json"), "w") as f:
+        f.write('[{"a": 1}, {"a": 2}]')
+    plan = json_arrays.chunk_starts(json_arrays.pieces(spark, tmp_dir), 3)._jdf.queryExecution().sparkPlan().toString()
+    moved = [x for x in plan.split("\n") if "Exchange" in x or "RepartitionByExpression" in x]
+    assert moved and not any("value" in x for x in moved)
+
+
+def test_array_split_file_is_one_array_whatever_the_order_of_its_parts(spark, tmp_dir, monkeypatch):
+    """The brackets are placed by a sort: a reader of one partition may get its blocks in any order."""
+    from tessera.plans import q_shop
+    rows = spark.range(200).selectExpr("cast(id as string) order_id", "cast(id % 7 as int) line_no", "'c' customer_id", "'O' status",
+                                       "'USD' currency").repartition(5)
+    path = os.path.join(tmp_dir, "one")
+    monkeypatch.setattr(q_shop.tv, "shop_landing_orders", lambda spark, sf: rows)
+    monkeypatch.setattr(q_shop, "scratch_path", lambda spark, name: path)
+    assert q_shop.q_landing_array_split(spark, "").count() == 200
+    (name,) = glob.glob(path + "/*.txt")
+    with open(name) as f:
+        text = f.read()
+    assert len(json.loads(text)) == 201 and text.startswith("[")
