@@ -333,6 +333,11 @@ def q_landing_stage_orders(spark, sf):
     return spark.read.schema(schemas.STG_ORDERS).parquet(stg).drop("raw_json")
 
 
+def _tasks(spark, rows: int) -> int:
+    """Tasks of about 250,000 landing rows each."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 250_000)
+
+
 def _landing_files(spark, sf, base: str) -> None:
     """The landing files of two days: order records as JSON array files (all records of an
     order in one file, in ingest order), customers and products as CSV; on day 2 only the
@@ -420,9 +425,11 @@ def q_landing_array_files(spark, sf):
     files = max(1, landing.count() // 500)
     record = F.to_json(F.struct(*landing.columns, F.lit(None).cast("string").alias("missing")), {"ignoreNullFields": "false"})
     path = scratch_path(spark, "landing_arrays")
+    # a task writes some hundred files, one row each
     (landing.select(F.pmod(F.xxhash64(*landing.columns), F.lit(files)).alias("file"), record.alias("r"))
+     .repartition(_tasks(spark, files * 500), "file")
      .groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value"))
-     .select("value").repartition(files).write.option("maxRecordsPerFile", 1).text(path))
+     .select("value").write.option("maxRecordsPerFile", 1).text(path))
     read = read_json_records(spark, path, landing.schema, raw="raw_json")
     staged = shop.stage_orders(read, tv.SHOP_ORDERS_INGEST)
     field = lambda name: F.get_json_object("raw_json", f"$.{name}")

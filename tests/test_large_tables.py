@@ -445,3 +445,11 @@ def test_array_split_file_is_one_array_whatever_the_order_of_its_parts(spark, tm
     with open(name) as f:
         text = f.read()
     assert len(json.loads(text)) == 201 and text.startswith("[")
+
+
+# ---- files that tasks write many of, one row each -------------------------------
+
+def test_landing_files_are_written_by_few_tasks(spark):
+    from tessera.plans import q_shop
+    assert q_shop._tasks(spark, 0) == q_shop._tasks(spark, 1000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert q_shop._tasks(spark, 36_000_000) == 144  # not one per file of 500 rows
