@@ -348,9 +348,11 @@ def _landing_files(spark, sf, base: str) -> None:
     stamp = F.date_format("order_timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("order_timestamp")
     fields = [stamp if c == "order_timestamp" else F.col(c) for c in shop.LANDING_FIELDS]
     place = F.struct(*[F.col(c).cast("int") if c == "quantity" else F.col(c) for c in tv.SHOP_ORDERS_INGEST])
+    n = landing.count()
     rows = landing.select("landing_date", F.struct(place.alias("at"), F.to_json(F.struct(*fields)).alias("r")).alias("r"),
-                          F.pmod(F.xxhash64("order_id"), F.lit(max(1, landing.count() // 5000))).alias("file"))
-    files = rows.groupBy("landing_date", "file").agg(F.array_sort(F.collect_list("r")).alias("r")).select(
+                          F.pmod(F.xxhash64("order_id"), F.lit(max(1, n // 5000))).alias("file"))
+    rows = rows.repartition(_tasks(spark, n), "landing_date", "file")
+    files = rows.groupBy("landing_date", "file").agg(F.sort_array(F.collect_list("r")).alias("r")).select(
         "landing_date", F.concat(F.lit("["), F.array_join(F.col("r.r"), ","), F.lit("]")).alias("value"))
     cust, prod = tv.shop_customers(spark, sf), tv.shop_products(spark, sf)
     changed = cust.where(F.col("signup_date") >= F.lit(CHANGED_SINCE).cast("date")).withColumn("first_name", F.upper("first_name"))
