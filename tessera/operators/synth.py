@@ -57,26 +57,35 @@ def synth_sales(spark, sales: DataFrame, n: int, order: Sequence[str], seed: int
     # in a single Expand + partially aggregated shuffle; the small result is
     # materialised once and every list is read from it.
     store_sets = [["store_id"], ["store_name"]] if independent_store else [["store_id", "store_name"]]
-    sets = store_sets + [["product_name"], ["promo_code"], []]
+    sets = store_sets + [["product_name", "product_id"], ["promo_code"], []]
     keys = ["store_id", "store_name", "product_name", "promo_code"]
-    # the "first row" order is taken on the raw columns, before the NONE fill
-    src = (sales.withColumn("_rank", F.struct(*[F.col(o) for o in order]))
-                .withColumn("promo_code", F.coalesce("promo_code", F.lit("NONE"))))
+    # the "first row" order is taken on the raw columns, before the NONE fill; terms after the
+    # product's id decide between rows of one product only
+    order = list(order)
+    before = order[:order.index("product_id")] if "product_id" in order else order
+    src = sales.withColumns({f"_o{i}": F.col(o) for i, o in enumerate(before)})
+    src = src.withColumn("promo_code", F.coalesce("promo_code", F.lit("NONE")))
+    if len(before) == 1:  # plain numbers: a hash aggregate, which sorts no row
+        least = [F.min("_o0").alias("_least"), F.max(F.col("_o0").isNull()).alias("_null")]
+        rank = F.when(~F.col("_null"), F.col("_least"))  # nulls come first
+    else:
+        least = [F.min(F.struct(*[F.col(f"_o{i}") for i in range(len(before))]) if before else F.lit(0)).alias("_least")]
+        rank = F.col("_least")
     ensure_checkpoint_dir(spark)
-    g = (src.groupingSets(sets, *keys)
-            .agg(F.grouping_id().alias("_gid"), F.min_by("product_id", "_rank").alias("product_id"),
-                 F.max("transaction_id").alias("_max_id"))
+    g = (src.groupingSets(sets, *keys, "product_id")
+            .agg(F.grouping_id().alias("_gid"), F.max("transaction_id").alias("_max_id"), *least)
             .checkpoint(eager=True))
 
     def gid(*grouped):
-        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in grouped)
+        every = [*keys, "product_id"]
+        return sum(1 << (len(every) - 1 - i) for i, k in enumerate(every) if k not in grouped)
 
     start = g.where(F.col("_gid") == gid()).select(
         (F.coalesce(F.col("_max_id"), F.lit(-1)) + 1).alias("_start"))
     # number every list in one pass: within each grouping set the columns it
     # does not group by are null, so the key orders by the grouped columns
-    lists = g.where((F.col("_gid") != gid()) & ~((F.col("_gid") == gid("product_name"))
-                                                 & F.col("product_name").isNull()))
+    names_of = F.col("_gid") == gid("product_name", "product_id")
+    lists = g.where((F.col("_gid") != gid()) & ~(names_of & F.col("product_name").isNull()))
     numbered = dense_index(lists, keys, by=["_gid"], few_groups=True)  # <= 5 grouping sets
 
     def part(*grouped):
@@ -86,8 +95,8 @@ def synth_sales(spark, sales: DataFrame, n: int, order: Sequence[str], seed: int
         stores, names = part("store_id"), part("store_name")
     else:
         stores = part("store_id", "store_name")
-    pids = g.where(F.col("_gid") == gid("product_name")).select("product_name", "product_id")
-    prods = part("product_name").join(pids, "product_name")
+    pids = g.where(names_of).groupBy("product_name").agg(F.min_by("product_id", F.struct(rank, "product_id")).alias("product_id"))
+    prods = numbered.where(names_of).select("product_name", "idx").join(pids, "product_name")
     promos = part("promo_code")
 
     def size(df: DataFrame, alias: str) -> DataFrame:

@@ -40,9 +40,10 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    j = (li.join(s, li.l_suppkey == s.s_suppkey)
+    # the largest side first: lines move to their orders before they carry any names
+    j = (li.join(o, li.l_orderkey == o.o_orderkey)
            .join(p, li.l_partkey == p.p_partkey)
-           .join(o, li.l_orderkey == o.o_orderkey))
+           .join(s, li.l_suppkey == s.s_suppkey))
     promo = F.when(F.col("l_discount") == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("DISC"), F.round(F.col("l_discount") * 100).cast("int").cast("string")))
     return j.select(

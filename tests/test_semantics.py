@@ -225,3 +225,19 @@ def test_generator_draws_are_independent(spark):
     assert len(np.unique(x)) == x.size  # no draw repeats, also not 2^28 rows on
     assert np.abs(np.corrcoef(x.T) - np.eye(9)).max() < 0.1
     assert abs(x.mean() / 2 ** 47 - 1) < 0.02
+
+
+def test_synth_lists_sort_no_input_row(spark, tmp_dir):
+    """The lists come from a hash aggregate; a product's id is that of its first row, nulls first."""
+    from tessera import testviews as tv
+    from tessera.operators.synth import synth_sales
+    import datetime as dt
+    day = lambda d: dt.datetime(2024, 1, d)
+    rows = [(1, 7, "S", day(5), 30, "P"), (2, 7, "S", day(3), 20, "P"), (3, 7, "S", day(3), 10, "P"), (4, 7, "S", None, 40, "Q"),
+            (5, 7, "S", day(1), 50, "Q"), (6, 7, "S", day(1), 60, None)]
+    sales = spark.createDataFrame([(*r, 1.0, 1.0, 1.0, 1, None) for r in rows], "transaction_id long, store_id long, store_name string, "
+        "date timestamp_ntz, product_id long, product_name string, quantity double, unit_price double, total double, "
+        "customer_id long, promo_code string")
+    for order in (tv.SALES_ORDER, ["date", "store_id", "product_id"]):
+        got = {(r.product_name, r.product_id) for r in synth_sales(spark, sales, 60, order).collect()}
+        assert got == {("P", 10), ("Q", 40)}
