@@ -4,7 +4,7 @@
 here takes an explicit order. The order must be total (add tie-breakers);
 ties on the whole order pick an arbitrary row.
 
-Scale: the default strategy is ``min_by`` / ``max_by`` over a struct, which
+Scale: the default strategy is the least / greatest struct of a row, which
 runs a partial aggregate before the shuffle, so a key holding a third of all
 rows is reduced to one row per input partition before it is exchanged. The
 ``window`` strategy (``row_number``) is kept for comparison; it sends every row
@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.util import cols_of
 
@@ -25,6 +26,7 @@ class Order:
 
     def __init__(self, col: str | Column, desc: bool = False, nulls_first: bool | None = None):
         self.col = F.col(col) if isinstance(col, str) else col
+        self.name = col if isinstance(col, str) else None
         self.desc = desc
         # Spark / Postgres defaults: ASC -> nulls first (Spark), DESC -> nulls first (Postgres)
         self.nulls_first = (not desc) if nulls_first is None else nulls_first
@@ -42,12 +44,12 @@ def _norm(order) -> list[Order]:
     return out
 
 
-def _rank_struct(order: list[Order]) -> tuple[Column, str]:
-    """A struct whose natural ordering equals ``order``; returns (struct, 'min'|'max').
+def _rank_fields(order: list[Order]) -> tuple[list[Column], str]:
+    """Fields of a struct whose natural ordering equals ``order``; returns (fields, 'min'|'max').
 
-    Struct comparison in Spark puts null fields first, so a leading
-    ``isnull`` / ``isnotnull`` field moves nulls to the wanted end.
-    All terms must share one direction (descending uses ``max_by``).
+    Struct comparison in Spark puts null fields first; where the order wants them at the
+    other end, a leading ``isnull`` field moves them. The value of term ``i`` is ``v{i}``.
+    All terms must share one direction (descending takes the greatest).
     """
     dirs = {o.desc for o in order}
     if len(dirs) != 1:
@@ -55,13 +57,18 @@ def _rank_struct(order: list[Order]) -> tuple[Column, str]:
     desc = dirs.pop()
     fields = []
     for i, o in enumerate(order):
-        # min: nulls first <=> isnotnull (false < true); max: nulls first <=> isnull
-        if desc:
-            flag = o.col.isNull() if o.nulls_first else o.col.isNotNull()
-        else:
-            flag = o.col.isNotNull() if o.nulls_first else o.col.isNull()
-        fields += [flag.alias(f"n{i}"), o.col.alias(f"v{i}")]
-    return F.struct(*fields), ("max" if desc else "min")
+        if o.nulls_first == desc:  # nulls come first as the greatest, or last as the smallest
+            fields.append(o.col.isNull().alias(f"n{i}"))
+        fields.append(o.col.alias(f"v{i}"))
+    return fields, ("max" if desc else "min")
+
+
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType, T.CalendarIntervalType))
 
 
 def keep_one(df: DataFrame, keys, order: Sequence, strategy: str = "agg") -> DataFrame:
@@ -77,11 +84,20 @@ def keep_one(df: DataFrame, keys, order: Sequence, strategy: str = "agg") -> Dat
         w = Window.partitionBy(*keys).orderBy(*[o.sort_expr() for o in order])
         return (df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
                   .select(*cols))
-    rank, how = _rank_struct(order)
-    pick = F.max_by if how == "max" else F.min_by
-    payload = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None)
-    out = df.groupBy(*keys).agg(pick(payload, rank).alias("_row"))
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"_row.{c}").alias(c) for c in rest]) \
+    fields, how = _rank_fields(order)
+    # the order's own columns are read back from the rank, so that every value is sorted and sent once
+    at = {c: f"v{i}" for i, o in reversed(list(enumerate(order))) if (c := o.name) in rest}
+    others = {c: f"r{j}" for j, c in enumerate(rest) if c not in at}
+    payload = [F.col(c).alias(f) for c, f in others.items()]
+    if all(_orderable(df.schema[c].dataType) for c in others):
+        row = F.struct(*fields, *payload)  # payload columns only decide between ties
+        out = df.groupBy(*keys).agg((F.max if how == "max" else F.min)(row).alias("_row"))
+    else:
+        pick = F.max_by if how == "max" else F.min_by
+        at, others = {}, {c: f"r{j}" for j, c in enumerate(rest)}
+        row = F.struct(*[F.col(c).alias(f) for c, f in others.items()])
+        out = df.groupBy(*keys).agg(pick(row, F.struct(*fields)).alias("_row"))
+    return out.select(*[F.col(k) for k in keys], *[F.col(f"_row.{f}").alias(c) for c, f in {**at, **others}.items()]) \
               .select(*cols)
 
 

@@ -296,5 +296,5 @@ def q_json_roundtrip(spark, sf):
     back with the declared schema (E: equals the cleaned rows)."""
     clean = _clean(spark, sf)
     path = scratch_path(spark, "json_roundtrip")
-    write_json(clean, path)
+    write_json(clean, path, compression="gzip", records_per_file=500_000)  # names repeat in every record
     return read_json_records(spark, path, clean.schema, array_file=False)

@@ -22,10 +22,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
        .csv(path))
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K2: JSON records (one per line), ISO time stamps, nulls kept."""
-    (df.write.mode(mode).option("ignoreNullFields", False)
-       .option("timestampNTZFormat", TS_FORMAT).json(path))
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none",
+               records_per_file: int = 0) -> None:
+    """K2: JSON records (one per line), ISO time stamps, nulls kept. A compressed file is
+    read by one task: ``records_per_file`` (0: no bound) keeps each small."""
+    (df.write.mode(mode).option("ignoreNullFields", False).option("timestampNTZFormat", TS_FORMAT)
+       .option("maxRecordsPerFile", records_per_file).json(path, compression=compression))
 
 
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "overwrite",
