@@ -118,7 +118,8 @@ class ParquetTable:
         side.overwrite(apply(_semi(rows, touched, part, "left_semi")))
         emptied = _semi(touched, side.read().select(*part).distinct(), part, "left_anti")
         names = [r.asDict() for r in emptied.select(*[F.col(c).cast("string") for c in part]).toLocalIterator()]
-        (side.read().hint("rebalance", *part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # the side files hold one partition value each: they move as they are, without a shuffle
+        (side.read().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*part).parquet(self.path))
         for name in names:
             _remove(self.spark, "/".join([self.path, *[_folder(self.spark, c, name[c]) for c in part]]))

@@ -453,3 +453,16 @@ def test_landing_files_are_written_by_few_tasks(spark):
     from tessera.plans import q_shop
     assert q_shop._tasks(spark, 0) == q_shop._tasks(spark, 1000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert q_shop._tasks(spark, 36_000_000) == 144  # not one per file of 500 rows
+
+
+def test_change_of_a_partitioned_table_moves_side_files_without_a_shuffle(spark, tmp_dir, monkeypatch):
+    from tessera.sources import tables
+    df = spark.range(1000).selectExpr("id", "cast(id % 3 as int) p", "'x' v")
+    t = ParquetTable(spark, os.path.join(tmp_dir, "t"), df.schema, ("p",)).overwrite(df)
+    balanced = []
+    real = type(df).hint
+    monkeypatch.setattr(type(df), "hint", lambda self, name, *a: balanced.append(name) or real(self, name, *a))
+    t.merge(spark.range(990, 1010).selectExpr("id", "cast(id % 2 as int) p", "'y' v"), "id")
+    assert balanced == ["rebalance"]  # the side write only
+    got = {r["id"]: (r["p"], r["v"]) for r in t.read().collect()}
+    assert got == {i: (i % 2, "y") if i >= 990 else (i % 3, "x") for i in range(1010)}
