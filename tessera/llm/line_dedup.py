@@ -35,9 +35,12 @@ from .simhash_near import link_within
 PART_LINES, CROWD = 2000, 1024
 
 _OTHER = re.compile(r"[\W_]+")
+_ASCII = {c: " " for c in range(128) if not chr(c).isalnum()}
 
 
 def normalise(line: str) -> str:
+    if line.isascii():  # the same without a regular expression
+        return " ".join(line.lower().translate(_ASCII).split())
     return _OTHER.sub(" ", line.lower()).strip()
 
 
@@ -49,9 +52,10 @@ def features(norm: str) -> list[str]:
 
 def simhashes(lines: list[list[str]]) -> np.ndarray:
     """SimHash of each word list (at least one word each): majority of the words' XXH64 bits."""
-    h = xxhash.xxh64_intdigest
     size = np.fromiter(map(len, lines), np.int64, len(lines))
-    hashes = np.array([h(w) for words in lines for w in words], np.uint64)
+    every = [w for words in lines for w in words]
+    h = {w: xxhash.xxh64_intdigest(w) for w in set(every)}  # most words come often
+    hashes = np.fromiter(map(h.__getitem__, every), np.uint64, len(every))
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     lanes = bits.view(np.uint64)  # one-byte counters; runs of at most 255 words cannot overflow
     runs = -(-size // 255)
