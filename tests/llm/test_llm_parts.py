@@ -270,3 +270,11 @@ def test_word_encoder_equals_the_library_on_whole_texts():
         ids, n = coder.encode([t.encode() for t in texts], 1)
         got = [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
         assert got == [[*e.ids, 1] for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_ascii_lines_are_normalised_as_by_the_expression():
+    r = np.random.default_rng(5)
+    lines = ["".join(map(chr, r.integers(0, 128, 40))) for _ in range(500)] + ["", "_", " A_b ", "Straße É", "x\x1cy"]
+    for line in lines:
+        assert line_dedup.normalise(line) == line_dedup._OTHER.sub(" ", line.lower()).strip()
+        assert all(line_dedup._ASCII[ord(c)] == " " for c in line if c.isascii() and not c.isalnum())

@@ -466,3 +466,22 @@ def test_change_of_a_partitioned_table_moves_side_files_without_a_shuffle(spark,
     assert balanced == ["rebalance"]  # the side write only
     got = {r["id"]: (r["p"], r["v"]) for r in t.read().collect()}
     assert got == {i: (i % 2, "y") if i >= 990 else (i % 3, "x") for i in range(1010)}
+
+
+def test_landing_days_hold_their_records_in_ingest_order(spark, tmp_dir, monkeypatch):
+    from tessera.plans import q_shop
+    rows = spark.range(60).selectExpr(
+        "cast(id % 4 as string) order_id", "timestamp_ntz'2024-01-01 00:00:00' order_timestamp", "'c' customer_id", "'p' product_id",
+        "if(id % 5 = 0, null, cast(id as string)) quantity", "1.5D total_amount", "'USD' currency", "'O' status",
+        "cast(id % 7 as int) line_no", "if(id % 2 = 0, date'2025-01-01', date'2025-01-02') landing_date").repartition(4)
+    monkeypatch.setattr(q_shop.tv, "shop_landing_orders", lambda spark, sf: rows)
+    none = lambda names: lambda spark, sf: spark.createDataFrame([], names)
+    monkeypatch.setattr(q_shop.tv, "shop_customers", none("customer_id string, first_name string, signup_date date"))
+    monkeypatch.setattr(q_shop.tv, "shop_products", none("product_id string, unit_price decimal(10,2)"))
+    monkeypatch.setattr(F, "array_sort", None)  # its comparator is called row by row
+    q_shop._landing_files(spark, "", tmp_dir)
+    for day, odd in (("20250101", 0), ("20250102", 1)):
+        texts = [r.value for r in spark.read.text(f"{tmp_dir}/orders/orders_{day}.json").collect()]
+        got = [x.get("quantity") for t in texts for x in json.loads(t)]
+        want = sorted((i for i in range(60) if i % 2 == odd), key=lambda i: (i % 7, i % 5 != 0, i))
+        assert got == [None if i % 5 == 0 else str(i) for i in want]

@@ -252,8 +252,8 @@ def test_keep_one_sends_each_column_once(spark):
     rest = {(2, None, None, None), (None, 5, "d", 4.0)}
     assert rows(["o"]) == {(1, None, "a", 1.0)} | rest
     assert rows([Order("o", nulls_first=False)]) == {(1, 2, "b", 2.0)} | rest
-    assert rows([Order("o", desc=True)]) == {(1, None, "a", 1.0)} | rest
-    assert rows([Order("o", desc=True, nulls_first=False)]) == {(1, 3, "c", 3.0)} | rest
+    assert rows([Order("o", desc=True, nulls_first=True)]) == {(1, None, "a", 1.0)} | rest
+    assert rows([Order("o", desc=True)]) == {(1, 3, "c", 3.0)} | rest
     assert keep_one(df, "k", ["o", "k", "o"]).columns == ["k", "o", "s", "v"]
     moved = keep_one(df, "k", ["o", "s"])._jdf.queryExecution().optimizedPlan().toString()
     assert "isnotnull" not in moved and moved.count("AS v0") + moved.count("v0,") <= 3
