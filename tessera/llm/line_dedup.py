@@ -18,7 +18,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,8 @@ PART_LINES, CROWD = 2000, 1024
 
 _OTHER = re.compile(r"[\W_]+")
 _ASCII = {c: " " for c in range(128) if not chr(c).isalnum()}
+#: Of each code point: 1 letter or digit, 0 other, 2 not looked up yet.
+_KIND = np.full(0x110000, 2, np.uint8)
 
 
 def normalise(line: str) -> str:
@@ -50,23 +52,76 @@ def features(norm: str) -> list[str]:
     return list(set(norm.split(" ")))
 
 
-def simhashes(lines: list[list[str]]) -> np.ndarray:
-    """SimHash of each word list (at least one word each): majority of the words' XXH64 bits."""
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    every = [w for words in lines for w in words]
-    h = {w: xxhash.xxh64_intdigest(w) for w in set(every)}  # most words come often
-    hashes = np.fromiter(map(h.__getitem__, every), np.uint64, len(every))
+def majority(hashes: np.ndarray, which: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """SimHash of each run of ``size`` words (at least one): the majority of the bits of
+    ``hashes[which]``."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    lanes = bits.view(np.uint64)  # one-byte counters; runs of at most 255 words cannot overflow
+    lanes = np.ascontiguousarray(bits.view(np.uint64).T)  # one-byte counters; runs of at most 255 words cannot overflow
     runs = -(-size // 255)
     first = np.cumsum(runs) - runs
     start = np.cumsum(size) - size
     cut = np.repeat(start - 255 * first, runs) + 255 * np.arange(runs.sum())
-    part = np.add.reduceat(lanes, cut, axis=0).view(np.uint8)
+    part = np.stack([np.add.reduceat(lane[which], cut) for lane in lanes], axis=1).view(np.uint8)
     total = np.add.reduceat(part, first, axis=0, dtype=np.int64)
     return np.packbits(2 * total > size[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def simhashes(lines: list[list[str]]) -> np.ndarray:
+    """SimHash of each word list (at least one word each): majority of the words' XXH64 bits."""
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    place: dict[str, int] = {}
+    which = [place.setdefault(w, len(place)) for words in lines for w in words]
+    return majority(np.array([xxhash.xxh64_intdigest(w) for w in place], np.uint64), np.array(which), size)
+
+
+def _in_words(code: np.ndarray) -> np.ndarray:
+    kind = _KIND[code]
+    if (kind == 2).any():
+        new = np.unique(code[kind == 2])
+        _KIND[new] = [chr(c).isalnum() for c in new.tolist()]
+        kind = _KIND[code]
+    return kind.view(bool)
+
+
+def normal_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Of all lines with letters or digits: the text's place in ``texts``, the line's number
+    (from 0), what ``normalise`` makes of the line (UTF-8) and the SimHash of its ``features``.
+
+    One pass over the characters of all texts: each word, followed by one blank, is a value of
+    an Arrow array, so that each different word is hashed once."""
+    raw = b"\n".join(texts) + b"\n"
+    if raw.isascii():
+        code = np.frombuffer(raw.lower(), np.uint8)
+    else:
+        code = np.frombuffer(raw.decode("utf-8", "replace").lower().encode("utf-32-le"), np.uint32)
+    word = _in_words(code)
+    behind = np.flatnonzero(word[:-1] & ~word[1:]) + 1
+    words = np.diff(np.searchsorted(behind, np.flatnonzero(code == 10), side="right"), prepend=0)
+    line = np.flatnonzero(words)
+    if not len(line):
+        return line, line, [], np.empty(0, np.uint64)
+    n_lines = np.array([t.count(b"\n") + 1 for t in texts])
+    row = np.repeat(np.arange(len(texts)), n_lines)[line]
+    pos = line - (np.cumsum(n_lines) - n_lines)[row]
+    words = words[line]
+    keep, code = word.copy(), code.copy()
+    keep[behind], code[behind] = True, 32
+    code = code[keep]
+    data = code.tobytes() if code.itemsize == 1 else code.tobytes().decode("utf-32-le").encode()
+    end = np.append(0, np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1)
+    found = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(end) - 1, [None, pa.py_buffer(end), pa.py_buffer(data)]).dictionary_encode()
+    different = [w[:-1] for w in found.dictionary.to_numpy(zero_copy_only=False)]
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, different), np.uint64, len(different))
+    has = np.repeat(np.arange(len(line)), words) * len(hashes) + found.indices.to_numpy()
+    has.sort()
+    has = has[np.append(True, has[1:] != has[:-1])]  # each word of a line once
+    size = np.diff(np.searchsorted(has, np.arange(len(line) + 1) * len(hashes)))
+    last = np.cumsum(words)
+    norms = [data[i:j - 1] for i, j in zip(end[last - words].tolist(), end[last].tolist(), strict=True)]
+    return row, pos, norms, majority(hashes, has % len(hashes), size)
+
+
 def at_least(a: str, b: str) -> int:
     """A lower bound of the distance: characters that one string has more often."""
     more, fewer = Counter(a), Counter(b)
@@ -74,11 +129,32 @@ def at_least(a: str, b: str) -> int:
 
 
 def at_most(a: str, b: str) -> int:
-    """An upper bound of the distance: the cost of replacing what lies between common
-    anchors, the words that both strings have once, in their longest common order."""
+    """An upper bound of the distance: words equal from both ends stay, then the words that
+    both rests have once, in their longest common order, and so on between those; the cost is
+    that of replacing what is left."""
     x, y = a.split(" "), b.split(" ")
+    total, todo = 0, [(0, len(x), 0, len(y))]
+    while todo:
+        i, m, j, n = todo.pop()
+        while i < m and j < n and x[i] == y[j]:
+            i, j = i + 1, j + 1
+        while i < m and j < n and x[m - 1] == y[n - 1]:
+            m, n = m - 1, n - 1
+        chain = _anchors(x[i:m], y[j:n]) if i < m and j < n else []
+        if not chain:  # each word counts with one blank
+            total += max(sum(map(len, x[i:m])) + m - i, sum(map(len, y[j:n])) + n - j)
+            continue
+        k, q = i, j
+        for p, r in chain:
+            todo.append((k, i + p, q, j + r))
+            k, q = i + p + 1, j + r + 1
+        todo.append((k, m, q, n))
+    return total
+
+
+def _anchors(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """Places of the words that both lists have once, in their longest common order."""
     once_x, once_y = Counter(x), Counter(y)
-    ends_x, ends_y = list(accumulate(len(w) + 1 for w in x)), list(accumulate(len(w) + 1 for w in y))
     place_y = {w: k for k, w in enumerate(y)}
     common = [(i, place_y[w]) for i, w in enumerate(x) if once_x[w] == 1 and once_y.get(w) == 1]
     tails: list[int] = []  # place in y of the last anchor of the best chain of each length
@@ -96,11 +172,7 @@ def at_most(a: str, b: str) -> int:
     while k >= 0:
         chain.append(common[k])
         k = back[k]
-    total, px, py = 0, 0, 0
-    for i, j in reversed(chain):
-        total += max(ends_x[i] - len(x[i]) - 1 - px, ends_y[j] - len(y[j]) - 1 - py)
-        px, py = ends_x[i], ends_y[j]
-    return total + max(len(a) + 1 - px, len(b) + 1 - py)
+    return chain[::-1]
 
 
 def within_edits(a: str, b: str, limit: int) -> bool:
@@ -152,20 +224,14 @@ def line_table(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, n_bytes=1 << 20):
-            row, pos, norms = [], [], []
-            for i, t in enumerate(b.column(2).to_pylist()):
-                for k, line in enumerate((t or b"").decode("utf-8", "replace").split("\n")):
-                    if norm := normalise(line):
-                        row.append(i)
-                        pos.append(k)
-                        norms.append(norm)
-            if not row:
+            row, pos, norms, sims = normal_lines([t or b"" for t in b.column(2).to_pylist()])
+            if not norms:
                 continue
             at = pa.array(row)
-            key = [hashlib.blake2b(x.encode(), digest_size=16).digest() for x in norms]
+            key = [hashlib.blake2b(x, digest_size=16).digest() for x in norms]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(at), b.column(1).take(at), pa.array(pos, pa.int32()), pa.array(key, pa.binary()),
-                 pa.array(simhashes([features(x) for x in norms]).view(np.int64)), pa.array(norms)],
+                [b.column(0).take(at), b.column(1).take(at), pa.array(pos.astype(np.int32)), pa.array(key, pa.binary()),
+                 pa.array(sims.view(np.int64)), pa.array(norms, pa.string())],
                 ["doc_id", "th", "pos", "key", "sim", "norm"])
 
     return docs.select("doc_id", "th", F.col("text").cast("binary")).mapInArrow(
@@ -247,9 +313,11 @@ def edit_links(lines: DataFrame, max_bits: int, similarity: float, part_lines: i
              .select("comp", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
                      "key", "sim", "norm"))
 
-    def check(table: pa.Table) -> pa.Table:
-        key, norm = table.column("key").to_pylist(), table.column("norm").to_pylist()
-        sim = table.column("sim").to_numpy().view(np.uint64)
+    def check(group: pa.Table) -> Iterator[tuple[bytes, bytes]]:
+        if len(group) < 2:
+            return
+        key, norm = group.column("key").to_pylist(), group.column("norm").to_pylist()
+        sim = group.column("sim").to_numpy().view(np.uint64)
         root, size = np.arange(len(key)), np.array([len(x) for x in norm])
         for i in range(len(key) - 1):
             near = np.flatnonzero((np.bitwise_count(sim[i + 1:] ^ sim[i]) <= max_bits) & (root[i + 1:] != root[i])
@@ -258,11 +326,27 @@ def edit_links(lines: DataFrame, max_bits: int, similarity: float, part_lines: i
                 longer = max(len(norm[i]), len(norm[j]))
                 if root[i] != root[j] and within_edits(norm[i], norm[j], _edits(longer, similarity)):
                     root[root == max(root[i], root[j])] = min(root[i], root[j])
-        child = np.flatnonzero(root != np.arange(len(key)))
-        return pa.table({"src": pa.array([key[c] for c in child], pa.binary()),
-                         "dst": pa.array([key[root[c]] for c in child], pa.binary())})
+        for c in np.flatnonzero(root != np.arange(len(key))).tolist():
+            yield key[c], key[root[c]]
 
-    return dealt.groupBy("comp", "p", "q").applyInArrow(check, "src binary, dst binary")
+    def checked(rows: pa.Table, cut: list[int]) -> pa.RecordBatch:
+        links = [e for s, t in zip(cut[:-1], cut[1:], strict=True) for e in check(rows.slice(s, t - s))]
+        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in links], pa.binary()) for k in (0, 1)], ["src", "dst"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last group of a batch may go on in the next one
+        for b in batches:
+            rows = pa.Table.from_batches([b])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            ids = [rows.column(c).to_numpy() for c in ("comp", "p", "q")]
+            cut = [0, *(np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in ids])) + 1).tolist()]
+            yield checked(rows, cut)
+            held = rows.slice(cut[-1])
+        if held is not None:
+            yield checked(held, [0, len(held)])
+
+    return (dealt.repartition("comp", "p", "q").sortWithinPartitions("comp", "p", "q")
+            .mapInArrow(run, "src binary, dst binary"))
 
 
 def _edits(longer: int, similarity: float) -> int:

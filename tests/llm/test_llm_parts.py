@@ -278,3 +278,51 @@ def test_ascii_lines_are_normalised_as_by_the_expression():
     for line in lines:
         assert line_dedup.normalise(line) == line_dedup._OTHER.sub(" ", line.lower()).strip()
         assert all(line_dedup._ASCII[ord(c)] == " " for c in line if c.isascii() and not c.isalnum())
+
+
+def test_lines_of_many_texts_are_normalised_and_hashed_as_one_by_one():
+    r = random.Random(4)
+    signs = list("aB Σσς_\n\n\r\t\x0b\x1c\x85 İıßǅⅧ²٣é漢😀​नि-' ")
+    for k in range(300):
+        texts = ["".join(r.choice(signs[:r.choice([6, len(signs)])]) for _ in range(r.randrange(40))).encode()
+                 for _ in range(r.randrange(5))]
+        texts = [t[:len(t) // 2] if r.random() < 0.2 else t for t in texts]  # cut inside a character too
+        if k == 0:
+            texts = [b"", " ".join(f"w{i % 700}" for i in range(1500)).encode() + b"\n\nE e"]
+        want = [(i, j, norm) for i, t in enumerate(texts) for j, x in enumerate(t.decode("utf-8", "replace").split("\n"))
+                if (norm := line_dedup._OTHER.sub(" ", x.lower()).strip())]
+        row, pos, norms, sims = line_dedup.normal_lines(texts)
+        assert list(zip(row.tolist(), pos.tolist(), [x.decode() for x in norms], strict=True)) == want
+        for (_, _, norm), got in zip(want, sims.tolist(), strict=True):
+            h = [line_dedup.xxhash.xxh64_intdigest(w) for w in set(norm.split(" "))]
+            assert got == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@settings(max_examples=200, deadline=None)
+@given(*[st.lists(st.sampled_from(["a", "of", "the", "x", "word"]), min_size=1, max_size=12).map(" ".join)] * 2)
+def test_upper_bound_of_the_distance(a, b):
+    assert line_dedup.at_most(a, b) >= _levenshtein(a, b)
+
+
+def test_upper_bound_decides_lines_of_repeated_words():
+    a = "of the " * 40 + "end " + "and so on " * 20
+    b = "of the " * 20 + "new " + "of the " * 20 + "end " + "and so on " * 9 + "but " + "and so on " * 11
+    assert line_dedup.at_most(a.strip(), b.strip()) == _levenshtein(a.strip(), b.strip()) == 8
+
+
+def test_candidate_groups_may_span_arrow_batches(spark):
+    rows = [(c, bytes([c, i]), 7, f"group {c} has a long line of words, {'y' * (i % 3)}" if i % 4 else chr(97 + i) * 40)
+            for c in range(9) for i in range(1 + c * 2)]
+    df = spark.createDataFrame(rows, "comp long, key binary, sim long, norm string")
+    want = {(bytes(r["src"]), bytes(r["dst"])) for r in line_dedup.edit_links(df, 3, 0.8).collect()}
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "4")
+    try:
+        got = {(bytes(r["src"]), bytes(r["dst"])) for r in line_dedup.edit_links(df, 3, 0.8).collect()}
+    finally:
+        spark.conf.set(conf, before)
+    found = connected_components(spark.createDataFrame(sorted(got), "src binary, dst binary")).groupBy("component").count()
+    sizes = sorted(r["count"] for r in found.collect())
+    assert len(got) == len(want) and sizes == sorted(
+        n for c in range(9) if (n := sum(i % 4 > 0 for i in range(1 + c * 2))) > 1)
