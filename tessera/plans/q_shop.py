@@ -419,7 +419,7 @@ def q_landing_array_split(spark, sf):
     FROM (SELECT * REPLACE (coalesce(TRY_CAST(quantity AS INTEGER), 0) AS quantity) FROM shop_landing_orders)
     WHERE quantity > 0) WHERE rn = 1)"""))
 def q_landing_array_files(spark, sf):
-    """S2 + X11: the landing orders as files that hold one JSON array of about 500 records
+    """S2 + X11: the landing orders as gzipped files that hold one JSON array of about 500 records
     each (with a null field and a field that no table has), read back, staged, the whole
     record kept."""
     from tessera.sources.files import read_json_records
@@ -427,11 +427,11 @@ def q_landing_array_files(spark, sf):
     files = max(1, landing.count() // 500)
     record = F.to_json(F.struct(*landing.columns, F.lit(None).cast("string").alias("missing")), {"ignoreNullFields": "false"})
     path = scratch_path(spark, "landing_arrays")
-    # a task writes some hundred files, one row each
-    (landing.select(F.pmod(F.xxhash64(*landing.columns), F.lit(files)).alias("file"), record.alias("r"))
+    # a task writes some hundred files, one row each; records are made where they are written
+    (landing.withColumn("file", F.pmod(F.xxhash64(*landing.columns), F.lit(files)))
      .repartition(_tasks(spark, files * 500), "file")
-     .groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value"))
-     .select("value").write.option("maxRecordsPerFile", 1).text(path))
+     .groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("value"))
+     .select("value").write.option("maxRecordsPerFile", 1).text(path, compression="gzip"))
     read = read_json_records(spark, path, landing.schema, raw="raw_json")
     staged = shop.stage_orders(read, tv.SHOP_ORDERS_INGEST)
     field = lambda name: F.get_json_object("raw_json", f"$.{name}")

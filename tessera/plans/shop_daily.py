@@ -46,7 +46,7 @@ def stage_orders(landing: DataFrame, ingest_order: Sequence) -> DataFrame:
     """Skip rows whose quantity (missing/bad = 0) is not positive, keep the last remaining
     row per order_id, keep the whole record as JSON text: as the reader carried it in
     ``raw_json``, else built from the fields (after the dedupe, from the surviving row)."""
-    x = landing.withColumn("_quantity_text", F.col("quantity"))
+    x = landing if "raw_json" in landing.columns else landing.withColumn("_quantity_text", F.col("quantity"))
     x = positive_quantity(x, "quantity")
     x = last_per_key(x, "order_id", ingest_order)
     if "raw_json" not in landing.columns:

@@ -14,7 +14,10 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tessera.sources.json_arrays import elements
+from tessera.sources.json_arrays import TASK_BYTES, elements
+
+#: Bytes of JSON records that a byte of a compressed file holds, about.
+PACKED = 6
 
 
 def _with_ingest(df: DataFrame) -> DataFrame:
@@ -46,12 +49,17 @@ def read_json_records(spark: SparkSession, path, schema: T.StructType, ingest_or
 
     An array file is read whole by one task, or, with ``split``, by many (see
     ``json_arrays``): the same records in the same order. Left out, files are split where
-    one is larger than ``spark.sql.files.maxPartitionBytes``."""
+    one is larger than ``spark.sql.files.maxPartitionBytes`` (a compressed one: unpacked, about).
+    A task takes small array files together, about ``TASK_BYTES`` of text, so that what it
+    shuffles is reduced by key and compressed over many records."""
     paths = path if isinstance(path, str) else list(path)
-    if array_file and (_larger_than_a_split(spark, paths) if split is None else split):
+    largest, total = _sizes(spark, paths) if array_file and not split else (0, 0)
+    if array_file and (largest > _split_bytes(spark) if split is None else split):
         rows = elements(spark, paths)
     else:
         text = spark.read.option("wholetext", array_file).text(paths)
+        if array_file:
+            text = text.coalesce(max(spark.sparkContext.defaultParallelism, total // TASK_BYTES))
         text = text.select("value", F.struct(F.col("_metadata.file_path").alias("file"),
                                              F.col("_metadata.file_block_start").alias("block"),
                                              F.monotonically_increasing_id().alias("line")).alias("at"))
@@ -64,11 +72,18 @@ def read_json_records(spark: SparkSession, path, schema: T.StructType, ingest_or
     return rows.select("r.*", *([F.col("text").alias(raw)] if raw else []), *(["_ingest"] if ingest_order else []))
 
 
-def _larger_than_a_split(spark: SparkSession, paths) -> bool:
-    """Whether a file would be more than one split (a listing; no file is opened)."""
-    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+def _split_bytes(spark: SparkSession) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return not spark.read.format("binaryFile").load(paths).where(F.col("length") > size).select("path").isEmpty()
+
+
+def _sizes(spark: SparkSession, paths) -> tuple[int, int]:
+    """Bytes of text of the largest file and of all (a listing; no file is opened)."""
+    packed = F.col("path").rlike(r"\.(gz|bz2|zst|lz4|snappy|deflate)$")
+    size = F.when(packed, F.col("length") * PACKED).otherwise(F.col("length"))
+    files = spark.read.format("binaryFile").load(paths).coalesce(spark.sparkContext.defaultParallelism)
+    row = files.agg(F.max(size), F.sum(size)).first()
+    return row[0] or 0, row[1] or 0
 
 
 def landing_path(base: str, entity: str, run_date, ext: str) -> str:

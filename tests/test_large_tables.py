@@ -485,3 +485,73 @@ def test_landing_days_hold_their_records_in_ingest_order(spark, tmp_dir, monkeyp
         got = [x.get("quantity") for t in texts for x in json.loads(t)]
         want = sorted((i for i in range(60) if i % 2 == odd), key=lambda i: (i % 7, i % 5 != 0, i))
         assert got == [None if i % 5 == 0 else str(i) for i in want]
+
+
+# ---- disk: many small array files ------------------------------------------------
+
+def test_small_array_files_are_read_together(spark, tmp_dir, monkeypatch):
+    import gzip
+    from tessera.sources import files
+    n = 4 * spark.sparkContext.defaultParallelism
+    for k in range(n):
+        text = json.dumps([{"a": k * 10 + i} for i in range(3)])
+        with (gzip.open(os.path.join(tmp_dir, f"{k}.json.gz"), "wt") if k % 2 else open(os.path.join(tmp_dir, f"{k}.json"), "w")) as f:
+            f.write(text)
+    schema = spark.createDataFrame([], "a long").schema
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")  # less than a file's open cost: a scan task per file
+    try:
+        df = read_json_records(spark, tmp_dir, schema, ingest_order=True)
+        assert df.rdd.getNumPartitions() == n // 4
+        rows = df.orderBy("_ingest.file", "_ingest.block", "_ingest.pos").collect()
+        assert len({r["_ingest"]["file"] for r in rows}) == n and [r["a"] % 10 for r in rows] == [0, 1, 2] * n
+        assert sorted(r["a"] for r in rows) == [k * 10 + i for k in range(n) for i in range(3)]
+        monkeypatch.setattr(files, "TASK_BYTES", 60)
+        assert n // 4 < read_json_records(spark, tmp_dir, schema).rdd.getNumPartitions() <= n  # tasks follow the text
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_large_compressed_array_files_are_split(spark, tmp_dir):
+    import gzip
+    records = [{"a": i, "t": "}]["} for i in range(2000)]
+    with gzip.open(os.path.join(tmp_dir, "a.json.gz"), "wt") as f:
+        json.dump(records, f)
+    size = os.path.getsize(os.path.join(tmp_dir, "a.json.gz"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(2 * size))  # more than the file, less than its text
+    try:
+        df = read_json_records(spark, tmp_dir, spark.createDataFrame([], "a long, t string").schema)
+        assert "Window" in df._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, df.collect())) == [(i, "}][") for i in range(2000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+LANDING = ["cast(id % 40 as string) order_id", "timestamp_ntz'2024-01-01 00:00:00' order_timestamp", "'c' customer_id", "'p' product_id",
+           "if(id % 5 = 0, null, cast(id as string)) quantity", "1.5D total_amount", "'USD' currency", "concat('O', id) status",
+           "cast(id as int) line_no"]
+
+
+def test_array_files_are_compressed_and_hold_whole_records(spark, tmp_dir, monkeypatch):
+    from tessera.plans import q_shop
+    rows = spark.range(4000).selectExpr(*LANDING, "date'2025-01-01' landing_date").repartition(5)
+    path = os.path.join(tmp_dir, "arrays")
+    monkeypatch.setattr(q_shop.tv, "shop_landing_orders", lambda spark, sf: rows)
+    monkeypatch.setattr(q_shop, "scratch_path", lambda spark, name: path)
+    got = {r["order_id"]: (r["quantity"], r["raw_status"], r["raw_line"], r["raw_missing"]) for r in q_shop.q_landing_array_files(spark, "").collect()}
+    last = {str(i % 40): i for i in range(4000) if i % 5}  # the last of an order whose quantity is known
+    assert got == {k: (i, f'"O{i}"', i, True) for k, i in last.items()}
+    names = glob.glob(path + "/part-*")
+    assert len(names) == 8 and all(f.endswith(".gz") for f in names)
+    texts = [json.loads(r.value) for r in spark.read.text(path, wholetext=True).collect()]
+    assert sum(map(len, texts)) == 4000 and all(x["missing"] is None for t in texts for x in t)
+
+
+def test_staging_moves_the_quantity_once_where_the_record_is_kept(spark):
+    from tessera import testviews as tv
+    from tessera.plans import shop_daily as shop
+    plain = spark.range(8).selectExpr(*LANDING)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    staged = shop.stage_orders(plain.withColumn("raw_json", F.lit("{}")), tv.SHOP_ORDERS_INGEST)
+    assert "_quantity_text" not in plan(staged) and {r["raw_json"] for r in staged.collect()} == {"{}"}
+    built = shop.stage_orders(plain, tv.SHOP_ORDERS_INGEST).collect()
+    assert all(json.loads(r["raw_json"])["quantity"] == str(r["quantity"]) for r in built) and len(built) == 6
