@@ -339,7 +339,7 @@ def _tasks(spark, rows: int) -> int:
 
 
 def _landing_files(spark, sf, base: str) -> None:
-    """The landing files of two days: order records as JSON array files (all records of an
+    """The landing files of two days: order records as gzipped JSON array files (all records of an
     order in one file, in ingest order), customers and products as CSV; on day 2 only the
     customers that changed and the products that were repriced come."""
     from tessera.sources.files import landing_path
@@ -349,10 +349,10 @@ def _landing_files(spark, sf, base: str) -> None:
     fields = [stamp if c == "order_timestamp" else F.col(c) for c in shop.LANDING_FIELDS]
     place = F.struct(*[F.col(c).cast("int") if c == "quantity" else F.col(c) for c in tv.SHOP_ORDERS_INGEST])
     n = landing.count()
-    rows = landing.select("landing_date", F.struct(place.alias("at"), F.to_json(F.struct(*fields)).alias("r")).alias("r"),
-                          F.pmod(F.xxhash64("order_id"), F.lit(max(1, n // 5000))).alias("file"))
-    rows = rows.repartition(_tasks(spark, n), "landing_date", "file")
-    files = rows.groupBy("landing_date", "file").agg(F.sort_array(F.collect_list("r")).alias("r")).select(
+    rows = landing.withColumn("file", F.pmod(F.xxhash64("order_id"), F.lit(max(1, n // 5000))))
+    rows = rows.repartition(_tasks(spark, n), "landing_date", "file")  # records are made where they are written
+    record = F.struct(place.alias("at"), F.to_json(F.struct(*fields)).alias("r"))
+    files = rows.groupBy("landing_date", "file").agg(F.sort_array(F.collect_list(record)).alias("r")).select(
         "landing_date", F.concat(F.lit("["), F.array_join(F.col("r.r"), ","), F.lit("]")).alias("value"))
     cust, prod = tv.shop_customers(spark, sf), tv.shop_products(spark, sf)
     changed = cust.where(F.col("signup_date") >= F.lit(CHANGED_SINCE).cast("date")).withColumn("first_name", F.upper("first_name"))
@@ -362,7 +362,7 @@ def _landing_files(spark, sf, base: str) -> None:
         write_csv(c, landing_path(base, "customers", day, "csv"))
         write_csv(p, landing_path(base, "products", day, "csv"))
         (files.where(F.col("landing_date") == F.lit(day).cast("date")).select("value")
-         .write.option("maxRecordsPerFile", 1).text(landing_path(base, "orders", day, "json")))
+         .write.option("maxRecordsPerFile", 1).text(landing_path(base, "orders", day, "json"), compression="gzip"))
 
 
 @register("daily_load", Q(

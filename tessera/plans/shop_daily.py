@@ -67,8 +67,9 @@ def dim_upsert(dim: DataFrame, staged: DataFrame, key: str, schema, run_ts: str
 
 def fact_rows(stg_clean: DataFrame, load_date) -> DataFrame:
     """``DISTINCT ON (order_id) ORDER BY order_id, order_timestamp DESC`` with
-    the currency flag and the run's load date."""
-    latest = latest_per_key(stg_clean, "order_id", "order_timestamp",
+    the currency flag and the run's load date; the record's JSON text, which is no fact
+    column, is not moved."""
+    latest = latest_per_key(stg_clean.drop("raw_json"), "order_id", "order_timestamp",
                             tie_breakers=["product_id", "quantity", "total_amount"])
     return schemas.conform(
         latest.withColumn("currency_mismatch_flag", case_flag(F.col("currency") != HOME_CURRENCY))

@@ -555,3 +555,29 @@ def test_staging_moves_the_quantity_once_where_the_record_is_kept(spark):
     assert "_quantity_text" not in plan(staged) and {r["raw_json"] for r in staged.collect()} == {"{}"}
     built = shop.stage_orders(plain, tv.SHOP_ORDERS_INGEST).collect()
     assert all(json.loads(r["raw_json"])["quantity"] == str(r["quantity"]) for r in built) and len(built) == 6
+
+
+def test_landing_days_are_compressed(spark, tmp_dir, monkeypatch):
+    from tessera.plans import q_shop
+    rows = spark.range(300).selectExpr(*LANDING, "if(id % 3 = 0, date'2025-01-01', date'2025-01-02') landing_date").repartition(3)
+    monkeypatch.setattr(q_shop.tv, "shop_landing_orders", lambda spark, sf: rows)
+    none = lambda names: lambda spark, sf: spark.createDataFrame([], names)
+    monkeypatch.setattr(q_shop.tv, "shop_customers", none("customer_id string, first_name string, signup_date date"))
+    monkeypatch.setattr(q_shop.tv, "shop_products", none("product_id string, unit_price decimal(10,2)"))
+    q_shop._landing_files(spark, "", tmp_dir)
+    for day, of in (("20250101", [i for i in range(300) if i % 3 == 0]), ("20250102", [i for i in range(300) if i % 3])):
+        names = glob.glob(f"{tmp_dir}/orders/orders_{day}.json/part-*")
+        assert names and all(f.endswith(".gz") for f in names)
+        (text,) = [r.value for r in spark.read.text(f"{tmp_dir}/orders/orders_{day}.json", wholetext=True).where("value <> ''").collect()]
+        assert [x["status"] for x in json.loads(text)] == [f"O{i}" for i in of]  # in ingest order
+        assert [x.get("quantity") for x in json.loads(text)] == [str(i) if i % 5 else None for i in of]
+
+
+def test_fact_rows_move_no_record_text(spark):
+    from tessera import schemas
+    from tessera.plans import shop_daily as shop
+    stg = schemas.conform(spark.range(120).selectExpr(*LANDING, "repeat(cast(id as string), 9) raw_json"), schemas.STG_ORDERS)
+    fact = shop.fact_rows(stg, "2025-01-01")
+    assert "repeat(" not in fact._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["order_id"]: (r["quantity"], r["status"]) for r in fact.collect()}
+    assert len(got) == 40 and got["0"] == (None, "O80") and got["1"] == (81, "O81")  # a null quantity comes first
