@@ -113,7 +113,10 @@ class ParquetTable:
         if not part:
             side.overwrite(apply(self.read()))
             return self.overwrite(side.read())
+        # written once: its small size is known when the joins are planned, so the table's rows are not moved by partition
         touched = touched.select(*part).distinct()
+        named = ParquetTable(self.spark, scratch_path(self.spark, "table-touched"), touched.schema)
+        touched = named.overwrite(touched).read()
         rows = self.read() if among is None else self.read().where(among)
         side.overwrite(apply(_semi(rows, touched, part, "left_semi")))
         emptied = _semi(touched, side.read().select(*part).distinct(), part, "left_anti")
@@ -124,6 +127,7 @@ class ParquetTable:
         for name in names:
             _remove(self.spark, "/".join([self.path, *[_folder(self.spark, c, name[c]) for c in part]]))
         _remove(self.spark, side.path)
+        _remove(self.spark, named.path)
         return self
 
 

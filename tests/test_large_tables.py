@@ -581,3 +581,26 @@ def test_fact_rows_move_no_record_text(spark):
     assert "repeat(" not in fact._jdf.queryExecution().optimizedPlan().toString()
     got = {r["order_id"]: (r["quantity"], r["status"]) for r in fact.collect()}
     assert len(got) == 40 and got["0"] == (None, "O80") and got["1"] == (81, "O81")  # a null quantity comes first
+
+
+def test_change_does_not_move_a_table_by_partition(spark, tmp_dir, monkeypatch):
+    """All rows of a partition value would go through one task."""
+    from tessera.sources import tables
+    df = spark.range(4000).selectExpr("id", "cast(id % 3 as int) p", "sha2(cast(id as string), 256) v")
+    t = ParquetTable(spark, os.path.join(tmp_dir, "t"), df.schema, ("p",)).overwrite(df)
+    plans, real = [], tables._semi
+
+    def semi(*a):
+        out = real(*a)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(tables, "_semi", semi)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")  # less than the table, more than the partitions' names
+    try:
+        t.merge(spark.range(3990, 4010).selectExpr("id", "cast(null as int) p", "'y' v"), "id")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0] and "Exchange hashpartitioning" not in plans[0]
+    got = {r["id"]: (r["p"], r["v"] == "y") for r in t.read().collect()}
+    assert got == {i: (i % 3, False) if i < 3990 else (None, True) for i in range(4010)}
